@@ -1,0 +1,53 @@
+"""Child rows of a document as ordered text, in slices of bounded size."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from sluice.operators.sequence import dense_position
+
+ROWS_PER_SLICE = 10_000
+
+
+def sliced_rows(
+    rows: DataFrame,
+    key: str | Sequence[str],
+    order: str | Sequence[str],
+    columns: Sequence[str],
+    rows_per_slice: int = ROWS_PER_SLICE,
+    block_rows: int = 65_536,
+) -> DataFrame:
+    """(key.., slice, rows): the ordered child rows of a key, ``rows_per_slice`` per output row.
+
+    Nearly every key fits one slice. A key with very many children becomes several slices, so no
+    task collects an unbounded group and no row outgrows a cell. The first order column must be
+    numeric; it also cuts the windows into blocks of ``block_rows``.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    placed = dense_position(rows, "nth", key=keys, order=order, block_rows=block_rows)
+    item = F.struct("nth", *columns)
+    return (
+        placed.withColumn("slice", F.floor(F.col("nth") / rows_per_slice))
+        .groupBy(*keys, "slice")
+        .agg(F.array_sort(F.collect_list(item)).alias("rows"))
+    )
+
+
+def sliced_text(
+    rows: DataFrame,
+    key: str | Sequence[str],
+    order: str | Sequence[str],
+    render: Callable[[Column], Column],
+    sep: str,
+    text: str = "text",
+    **options,
+) -> DataFrame:
+    """As :func:`sliced_rows` with the rows rendered and joined into ``text``."""
+    keys = [key] if isinstance(key, str) else list(key)
+    sliced = sliced_rows(rows.withColumnRenamed(text, "text"), keys, order, ["text"], **options)
+    return sliced.select(
+        *keys, "slice", F.array_join(F.transform("rows", render), sep).alias("text")
+    )
