@@ -1,6 +1,8 @@
 """All registered queries."""
 
 from sluice.plans.catalog import (  # noqa: F401
+    documents,
+    records,
     scalars,
 )
 from sluice.plans.catalog.registry import ORACLES, QUERIES
