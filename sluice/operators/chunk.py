@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.packing import pack
 from sluice.operators.sequence import dense_position, ordered_lag
+from sluice.session import reliable
 
 SEPARATOR = "\n\n"
 MAX_CHARACTERS = 500
@@ -49,10 +50,11 @@ def chunk_elements(
         elements, strategy, room, new_after_n_chars, combine_text_under_n_chars,
         multipage_sections, **options,
     )
-    row = F.struct("pos", "element_id", "type", "text", "metadata")
+    row = F.struct("pos", "element_id", "type", "text")
     # A chunk holds at most room / 2 + 2 elements, so the collected list is bounded.
     grouped = assigned.groupBy("record_id", "chunk_start").agg(
-        F.array_sort(F.collect_list(row)).alias("_rows")
+        F.array_sort(F.collect_list(row)).alias("_rows"),
+        F.min_by("metadata", "pos").alias("metadata"),
     )
     first = F.element_at("_rows", 1)
     whole = F.array_join(
@@ -81,7 +83,7 @@ def chunk_elements(
         "chunk_start",
         whole.alias("whole"),
         F.when(is_table, "Table").otherwise("CompositeElement").alias("type"),
-        first["metadata"].alias("metadata"),
+        "metadata",
         orig.cast(ORIG).alias("orig"),
     ).withColumn("n_pieces", n_pieces)
     cut = cut.select(
@@ -182,6 +184,8 @@ def _combine(packed: DataFrame, limit: int, under: int, multipage: bool, options
         (F.sum(F.col("_chars") + sep) - sep).alias("_len"),
         F.min_by("_break", "pos").alias("_break"),
     )
+    # One narrow row per chunk; written once because several steps below read it.
+    small = reliable(small)
     small = dense_position(small, "_nth", order="chunk_start", **_seq(options))
     merged = pack(
         small,

@@ -109,14 +109,16 @@ def graph_nodes(index: DataFrame, elements: DataFrame) -> DataFrame:
 def structure_edges(index: DataFrame, elements: DataFrame, **options) -> DataFrame:
     """NEXT_*, PART_OF_DOCUMENT and PART_OF_CHUNK edges."""
     labelled = elements.withColumn("_label", _label(elements))
-    chained = ordered_lag(labelled, "element_id", "_previous", **options)
-    chained = ordered_lag(chained, "_label", "_previous_label", **options)
+    chained = labelled.select(
+        "record_id", "pos", F.struct(F.col("element_id").alias("id"), "_label").alias("_node")
+    )
+    chained = ordered_lag(chained, "_node", "_previous", **options)
     following = chained.filter(F.col("_previous").isNotNull()).select(
-        F.col("element_id").alias("src"),
-        F.col("_label").alias("src_label"),
-        F.col("_previous").alias("dst"),
-        F.col("_previous_label").alias("dst_label"),
-        F.when(F.col("_label") == CHUNK, NEXT_CHUNK).otherwise(NEXT_ELEMENT).alias("relationship"),
+        F.col("_node.id").alias("src"),
+        F.col("_node._label").alias("src_label"),
+        F.col("_previous.id").alias("dst"),
+        F.col("_previous._label").alias("dst_label"),
+        F.when(F.col("_node._label") == CHUNK, NEXT_CHUNK).otherwise(NEXT_ELEMENT).alias("relationship"),
     )
     documents = index.select(F.col("identifier").alias("record_id"))
     belongs = labelled.join(documents, "record_id", "left_semi").select(

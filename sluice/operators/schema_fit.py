@@ -88,11 +88,14 @@ def _missing_paths(
             wanted_items = {f.name for f in target.elementType.fields}
             for sub in field.dataType.elementType.fields:
                 if sub.name not in wanted_items:
-                    present = F.exists(column, lambda item, n=sub.name: item[n].isNotNull())
-                    out.append((f"{path}.{sub.name}", F.coalesce(present, F.lit(False))))
+                    out.append((f"{path}.{sub.name}", _any_item_has(column, sub.name)))
     return out
 
 
+def _any_item_has(items: Column, name: str) -> Column:
+    return F.coalesce(F.exists(items, lambda item: item[name].isNotNull()), F.lit(False))
+
+
 def dropped_columns_report(df: DataFrame, target: T.StructType) -> DataFrame:
     """(path, rows) of the data's fields that the target lacks, in one aggregation."""
     missing = _missing_paths(None, df.schema, target, "")

@@ -39,30 +39,50 @@ def _attach(rows: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(carry, on, "left")
 
 
-def ordered_lag(
+def neighbours(
     df: DataFrame,
     value: str,
-    out: str,
+    before: str | None = None,
+    after: str | None = None,
     key="record_id",
     order="pos",
     block_rows: int = BLOCK_ROWS,
     bounded: bool = False,
 ) -> DataFrame:
-    """Value of the previous row of the record."""
+    """Value of the previous row, of the next row, or of both; null at the ends of the record."""
     rows, keys, orders, window = _blocked(df, key, order, block_rows, bounded)
-    rows = rows.withColumn(out, F.lag(value).over(window))
+    if before:
+        rows = rows.withColumn(before, F.lag(value).over(window))
+    if after:
+        rows = rows.withColumn(after, F.lead(value).over(window))
     if bounded:
         return rows.drop("_block")
-    rows = rows.withColumn("_first", F.row_number().over(window) == 1)
-    last = rows.groupBy(*keys, "_block").agg(
-        F.max_by(F.col(value), _order_struct(orders)).alias("_last")
+    rows = rows.withColumn("_head", F.lag(F.lit(True)).over(window).isNull())
+    rows = rows.withColumn("_tail", F.lead(F.lit(True)).over(window).isNull())
+    at = _order_struct(orders)
+    ends = rows.groupBy(*keys, "_block").agg(
+        F.min_by(F.col(value), at).alias("_first"), F.max_by(F.col(value), at).alias("_last")
     )
     over_blocks = Window.partitionBy(*keys).orderBy("_block")
-    carry = last.withColumn("_carry", F.lag("_last").over(over_blocks)).drop("_last")
-    joined = _attach(rows, carry.filter(F.col("_carry").isNotNull()), keys)
-    return joined.withColumn(
-        out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col(out))
-    ).drop("_block", "_first", "_carry")
+    carry = ends.select(
+        *keys,
+        "_block",
+        F.lag("_last").over(over_blocks).alias("_from_before"),
+        F.lead("_first").over(over_blocks).alias("_from_after"),
+    ).filter(F.col("_from_before").isNotNull() | F.col("_from_after").isNotNull())
+    joined = _attach(rows, carry, keys)
+    if before:
+        edge = F.when(F.col("_head"), F.col("_from_before")).otherwise(F.col(before))
+        joined = joined.withColumn(before, edge)
+    if after:
+        edge = F.when(F.col("_tail"), F.col("_from_after")).otherwise(F.col(after))
+        joined = joined.withColumn(after, edge)
+    return joined.drop("_block", "_head", "_tail", "_from_before", "_from_after")
+
+
+def ordered_lag(df: DataFrame, value: str, out: str, **options) -> DataFrame:
+    """Value of the previous row of the record."""
+    return neighbours(df, value, before=out, **options)
 
 
 def previous_present(

@@ -2,6 +2,7 @@
 
 from sluice.plans.catalog import (  # noqa: F401
     documents,
+    elements,
     records,
     scalars,
 )

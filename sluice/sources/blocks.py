@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.functions.dates import float_text
+from sluice.operators.sequence import dense_position, neighbours
+from sluice.session import reliable
 from sluice.sources.messages import xml_escape
 from sluice.sources.slices import sliced_rows
 
@@ -27,14 +30,15 @@ LIST_TAGS = {"bulleted_list_item": "ul", "numbered_list_item": "ol"}
 CONTAINERS = {"table": "table", "column_list": "div"}
 SEPARATE = ["child_page", "child_database"]
 
+SIBLINGS = ["page_id", "parent_id"]
+
 
 def block_levels(blocks: DataFrame, max_levels: int = 16) -> DataFrame:
     """Blocks with ``level`` (0 below the page), sibling ``peer_rank`` and ``peer_count``."""
-    siblings = Window.partitionBy("page_id", "parent_id").orderBy("rank")
-    everyone = Window.partitionBy("page_id", "parent_id")
-    ranked = blocks.withColumn("peer_rank", F.row_number().over(siblings) - 1).withColumn(
-        "peer_count", F.count(F.lit(1)).over(everyone)
-    )
+    ranked = dense_position(blocks, "peer_rank", key=SIBLINGS, order="rank")
+    counts = blocks.groupBy(*SIBLINGS).agg(F.count(F.lit(1)).alias("peer_count"))
+    # Every round below reads the ranked blocks again, so they are written once.
+    ranked = reliable(ranked.join(counts, SIBLINGS))
     level = ranked.filter(F.col("parent_id") == F.col("page_id")).withColumn("level", F.lit(0))
     out = level
     for depth in range(1, max_levels + 1):
@@ -49,8 +53,8 @@ def block_levels(blocks: DataFrame, max_levels: int = 16) -> DataFrame:
 def _own_html(blocks: DataFrame) -> DataFrame:
     """Opening and closing text of each block; its children go in between."""
     kind = F.col("type")
-    siblings = Window.partitionBy("page_id", "parent_id").orderBy("rank")
-    before, after = F.lag("type").over(siblings), F.lead("type").over(siblings)
+    blocks = neighbours(blocks, "type", "_before", "_after", key=SIBLINGS, order="rank")
+    before, after = F.col("_before"), F.col("_after")
     text = xml_escape(F.coalesce("text", F.lit("")))
     body = F.lit("")
     for name, tag in TEXT_TAGS.items():
@@ -91,9 +95,7 @@ def _wrapped(children: Column) -> Column:
         wrapped = F.when(
             kind == name, F.concat(F.lit(f"<{tag}>"), children, F.lit(f"</{tag}>"))
         ).otherwise(wrapped)
-    width = F.regexp_replace(
-        F.format_number(F.lit(100.0) / F.col("peer_count"), "0.######"), ",", ""
-    )
+    width = float_text(F.lit(100.0) / F.col("peer_count"))
     column = F.concat(
         F.lit('<div style="width:'), width, F.lit('%; float: left">'), children, F.lit("</div>")
     )
@@ -109,7 +111,8 @@ def blocks_to_html(
     own and leave no trace. Each round renders one level and folds it into its parents; a page
     with more than ``blocks_per_slice`` top-level blocks comes as numbered slices.
     """
-    placed = _own_html(block_levels(blocks.filter(~F.col("type").isin(SEPARATE)), max_levels))
+    levels = block_levels(blocks.filter(~F.col("type").isin(SEPARATE)), max_levels)
+    placed = reliable(_own_html(levels))
     children = None
     for depth in range(max_levels, -1, -1):
         level = placed.filter(F.col("level") == depth)
