@@ -5,6 +5,7 @@ from sluice.plans.catalog import (  # noqa: F401
     elements,
     records,
     scalars,
+    staging,
 )
 from sluice.plans.catalog.registry import ORACLES, QUERIES
 
