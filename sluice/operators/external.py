@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.operators.schema_fit import fit_to_schema
 from sluice.operators.staging import element_json
 
 JDBC_BATCH = 50
@@ -90,17 +91,10 @@ def read_jdbc_ids(
     return reader.options(**options).load().select(id_column)
 
 
-def write_catalog_table(rows: DataFrame, table: str, key: str | None = None) -> None:
-    """Insert into a managed table, created on first use; with ``key`` its records are replaced
-    by a staged rewrite when the format has no row-level delete."""
+def insert_into(rows: DataFrame, table: str) -> None:
+    """Append to a catalog table after fitting the rows to its columns."""
     spark = rows.sparkSession
-    if not spark.catalog.tableExists(table):
-        rows.writeTo(table).using("parquet").create()
-        return
-    target = spark.table(table)
-    from sluice.operators.schema_fit import fit_to_schema
-
-    fit_to_schema(rows, target.schema).writeTo(table).append()
+    fit_to_schema(rows, spark.table(table).schema).write.insertInto(table)
 
 
 class Registry:

@@ -3,8 +3,10 @@
 from sluice.plans.catalog import (  # noqa: F401
     documents,
     elements,
+    graph_acl,
     records,
     scalars,
+    sinks,
     staging,
 )
 from sluice.plans.catalog.registry import ORACLES, QUERIES
