@@ -9,15 +9,21 @@ from sluice.functions.ids import element_hash
 from sluice.operators.sequence import seq_on_page
 
 
-def assign_hash_ids(elements: DataFrame, strict: bool = False, bounded: bool = False) -> DataFrame:
-    """Replace element ids by content ids and map parent ids to the new ids."""
+def assign_hash_ids(
+    elements: DataFrame, strict: bool = False, bounded: bool = False, parents: bool = True
+) -> DataFrame:
+    """Replace element ids by content ids and map parent ids to the new ids.
+
+    ``parents=False`` skips the mapping for rows without parents, such as chunks.
+    """
     work = elements.withColumn("_page", F.col("metadata.page_number"))
     work = seq_on_page(work, "_page", "_seq", bounded=bounded)
     work = work.withColumn("old_id", F.col("element_id")).withColumn(
         "element_id",
         element_hash(F.col("metadata.filename"), F.col("text"), F.col("_page"), F.col("_seq")),
     )
-    return remap_parent_ids(work.drop("_page", "_seq"), strict).drop("old_id")
+    work = work.drop("_page", "_seq")
+    return (remap_parent_ids(work, strict) if parents else work).drop("old_id")
 
 
 def remap_parent_ids(elements: DataFrame, strict: bool = False) -> DataFrame:

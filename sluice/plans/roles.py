@@ -24,7 +24,10 @@ def _iso(epoch) -> object:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index rows of the documents table, with doc_id, lang, source and body."""
-    docs = table(spark, sf_dir, "documents")
+    return document_columns(table(spark, sf_dir, "documents"))
+
+
+def document_columns(docs: DataFrame) -> DataFrame:
     rel = F.concat_ws(
         "/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt"))
     )
@@ -114,7 +117,10 @@ def elements(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = table(spark, sf_dir, "conversations")
+    return message_columns(table(spark, sf_dir, "conversations"))
+
+
+def message_columns(conv: DataFrame) -> DataFrame:
     start = F.lit(1704067200) + F.col("conv_id") * 7200
     at = start + F.col("turn") * 60
 
