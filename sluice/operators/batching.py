@@ -42,6 +42,23 @@ def global_position(
     )
 
 
+def position_in_group(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "nth"
+) -> DataFrame:
+    """0-based position inside each group, for orders that no numeric block can cut.
+
+    The total order splits a giant group over many range partitions; its first position comes from
+    a partial aggregate.
+    """
+    placed = global_position(df, [*keys, *order], "_position")
+    first = placed.groupBy(*keys).agg(F.min("_position").alias("_first"))
+    return (
+        placed.join(first, list(keys))
+        .withColumn(out, F.col("_position") - F.col("_first"))
+        .drop("_position", "_first")
+    )
+
+
 def batch_by_count(
     df: DataFrame, order: Sequence[str], size: int, out: str = "batch_no", **options
 ) -> DataFrame:

@@ -12,7 +12,7 @@ import json
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,24 +32,24 @@ def replace_records(existing: DataFrame, arriving: DataFrame, key: str = "record
 
 
 def upsert_rows(existing: DataFrame, arriving: DataFrame, key: str = "id") -> DataFrame:
-    """Insert or replace by primary id; of several arriving rows with one id one stays."""
-    window = Window.partitionBy(key).orderBy(*[F.col(c) for c in _orderable(arriving)])
-    unique = (
-        arriving.withColumn("_rank", F.row_number().over(window))
-        .filter("_rank = 1")
-        .drop("_rank")
-    )
+    """Insert or replace by primary id; of several arriving rows with one id one stays.
+
+    The surviving row is the smallest one, found by partial aggregation, so many copies of one id
+    never meet in one task.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in arriving.columns])
+    order = F.struct(*[F.col(f"`{c}`") for c in _orderable(arriving)])
+    unique = arriving.groupBy(key).agg(F.min_by(row, order).alias("_row")).select("_row.*")
     return replace_records(existing, unique, key)
 
 
 def _orderable(df: DataFrame) -> list[str]:
-    names = [
+    unordered = ("map<", "variant")
+    return [
         f.name
         for f in df.schema.fields
-        if not isinstance(f.dataType, (T.MapType, T.VariantType)) and "map<" not in
-        f.dataType.simpleString() and "variant" not in f.dataType.simpleString()
+        if not any(word in f.dataType.simpleString() for word in unordered)
     ]
-    return names
 
 
 def delete_by_prefix(rows: DataFrame, record_ids: DataFrame, id_column: str = "id") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sluice.functions.ids import enhanced_element_id
 from sluice.operators import partition, staging
 from sluice.operators.embed import is_unit_vector
 from sluice.operators.tables import BucketedTable
@@ -93,36 +94,40 @@ def html_ingest(spark, sf):
 @query(
     "messages_ingest",
     o.with_(
-        o.PACKAGES,
-        """SELECT count(*) AS n_elements, sha256(channel || '-' || day) AS record_id
-        FROM (SELECT channel, day, unnest(list_filter(list_transform(
-            regexp_split_to_array(text, '[\\r\\n]+'),
-            lambda s: regexp_replace(s, '^[ \\t\\f]+|[ \\t\\f]+$', '', 'g')),
-            lambda s: s <> '')) AS line FROM dated)
-        GROUP BY channel, day""",
+        o.PACKAGES
+        + """,
+lines AS (
+  SELECT channel, day, coalesce(thread_ts, ts)::double AS root, ts::double AS moment, text AS whole,
+    list_filter(list_transform(regexp_split_to_array(text, '[\\r\\n]+'),
+      lambda s: regexp_replace(s, '^[ \\t\\f]+|[ \\t\\f]+$', '', 'g')), lambda s: s <> '') AS found
+  FROM dated
+)""",
+        """SELECT sha256(channel || '-' || day) AS record_id, sum(len(found))::bigint AS n_elements,
+          sha256(string_agg(CASE WHEN len(found) > 0 THEN array_to_string(found, chr(10)) END,
+            chr(10) ORDER BY root DESC, moment, whole)) AS text_hash
+        FROM lines GROUP BY channel, day""",
     ),
 )
 def messages_ingest(spark, sf):
-    """Daily packages, one element per message line, staged for a vector store."""
-    dated = messages.with_package(roles.messages(spark, sf))
-    identifier, filename = messages.package_columns()
-    # One document row per message keeps large packages apart; they share the package identity.
-    documents = dated.select(
-        identifier.alias("identifier"),
-        filename.alias("filename"),
-        filename.alias("fullpath"),
-        F.lit(None).cast("string").alias("url"),
-        F.col("ts").alias("date_modified"),
-        F.col("text").alias("body"),
-    )
-    rows = staging.stage_chroma(partition.partition_text(documents))
-    record = F.substring(rows["metadata"]["metadata-filename"], 1, 16)
-    packages = dated.select(identifier.alias("record_id")).distinct()
-    counted = rows.select(record.alias("head")).groupBy("head").agg(
-        F.count(F.lit(1)).alias("n_elements")
+    """Daily packages to elements, staged for a vector store."""
+    documents = messages.package_documents(roles.messages(spark, sf))
+    rows = partition.partition_text(documents)
+    staged = staging.stage_chroma(rows)
+    ordered = rows.select(
+        "record_id",
+        "pos",
+        enhanced_element_id(F.col("element_id"), F.col("record_id")).alias("id"),
     )
-    return packages.join(counted, F.substring("record_id", 1, 16) == F.col("head")).select(
-        "n_elements", "record_id"
+    texts = F.array_sort(F.collect_list(F.struct("pos", "document")))
+    return (
+        staged.join(ordered, "id")
+        .groupBy("record_id")
+        .agg(
+            F.count(F.lit(1)).alias("n_elements"),
+            F.sha2(F.array_join(F.transform(texts, lambda t: t["document"]), "\n"), 256).alias(
+                "text_hash"
+            ),
+        )
     )
 
 

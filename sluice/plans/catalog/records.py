@@ -41,23 +41,19 @@ def sql_index_batches(spark, sf):
     "batch_identity",
     o.with_(
         """items AS (
-          SELECT o_custkey, '"' || o_orderkey || '": "' || o_orderstatus || '"' AS item,
+          SELECT (row_number() OVER (ORDER BY o_orderkey) - 1) // 200 AS batch_no,
+            '"' || o_orderkey || '": "' || o_orderstatus || '"' AS item,
             o_orderkey::varchar AS id FROM orders
         )""",
-        f"""SELECT o_custkey, {o.uuid5("('{' || string_agg(item, ', ' ORDER BY id) || '}')")}
-          AS identifier FROM items GROUP BY o_custkey""",
+        f"""SELECT batch_no, count(*) AS n_items,
+          {o.uuid5("('{' || string_agg(item, ', ' ORDER BY id) || '}')")} AS identifier
+        FROM items GROUP BY batch_no""",
     ),
 )
 def batch_identity(spark, sf):
-    from sluice.functions import ids
-
-    orders = table(spark, sf, "orders")
-    item = F.struct(
-        F.col("o_orderkey").cast("string").alias("identifier"),
-        F.col("o_orderstatus").alias("version"),
-    )
-    grouped = orders.groupBy("o_custkey").agg(F.array_sort(F.collect_list(item)).alias("items"))
-    return grouped.select("o_custkey", ids.batch_identity(F.col("items")).alias("identifier"))
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    batches = batching.batch_rows(orders, "o_orderkey", 200, version="o_orderstatus")
+    return batches.select("batch_no", "n_items", "identifier")
 
 
 @query(

@@ -150,7 +150,7 @@ def package_xml(messages: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> Da
     )
     sliced = sliced_rows(
         rows, ["channel", "day"], ["thread", "at", "text"], ["thread", "text"],
-        rows_per_slice=rows_per_slice, block_rows=3_600,
+        rows_per_slice=rows_per_slice, numeric_order=False,
     )
 
     def opening(i: Column) -> Column:
@@ -178,6 +178,25 @@ def package_xml(messages: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> Da
     )
 
 
+def package_documents(messages: DataFrame, **options) -> DataFrame:
+    """Daily packages as text documents for partitioning: one line per message text line."""
+    packages = package_xml(messages, **options)
+    text = F.regexp_replace(F.regexp_replace("body", r"^<\?xml[^>]*>", ""), "<[^>]*>", "\n")
+    text = F.replace(F.replace(text, F.lit(" &lt;reply&gt; "), F.lit("\n")), F.lit("&lt;"), F.lit("<"))
+    text = F.replace(F.replace(text, F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&"))
+    part = F.when(F.col("slice") == 0, F.lit("")).otherwise(
+        F.concat(F.lit("#"), F.col("slice").cast("string"))
+    )
+    return doc_index(
+        packages.withColumn("body", text),
+        keep=("body",),
+        identifier=F.concat("identifier", part),
+        connector_type=F.lit("slack"),
+        filename=F.col("filename"),
+        fullpath=F.col("filename"),
+    )
+
+
 def channel_text(messages: DataFrame, limit: int = CHANNEL_LIMIT) -> DataFrame:
     """The newest ``limit`` messages of each channel, newest first, one per line.
 

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.operators.batching import position_in_group
 from sluice.operators.sequence import dense_position
 
 ROWS_PER_SLICE = 10_000
@@ -18,16 +19,21 @@ def sliced_rows(
     order: str | Sequence[str],
     columns: Sequence[str],
     rows_per_slice: int = ROWS_PER_SLICE,
-    block_rows: int = 65_536,
+    numeric_order: bool = True,
 ) -> DataFrame:
     """(key.., slice, rows): the ordered child rows of a key, ``rows_per_slice`` per output row.
 
     Nearly every key fits one slice. A key with very many children becomes several slices, so no
-    task collects an unbounded group and no row outgrows a cell. The first order column must be
-    numeric; it also cuts the windows into blocks of ``block_rows``.
+    task collects an unbounded group and no row outgrows a cell. A numeric first order column
+    (a rank) cuts large keys into blocks of positions; any other order is placed by range
+    partitioning (``numeric_order=False``).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    placed = dense_position(rows, "nth", key=keys, order=order, block_rows=block_rows)
+    if numeric_order:
+        placed = dense_position(rows, "nth", key=keys, order=order)
+    else:
+        orders = [order] if isinstance(order, str) else list(order)
+        placed = position_in_group(rows, keys, orders)
     item = F.struct("nth", *columns)
     return (
         placed.withColumn("slice", F.floor(F.col("nth") / rows_per_slice))
