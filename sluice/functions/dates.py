@@ -176,8 +176,13 @@ def format_rfc3339(epoch: Column) -> Column:
     """Epoch seconds to ``2023-11-14T22:13:20.000000Z``, in UTC whatever the session zone is."""
     micros = F.round(epoch * 1000000).cast("long")
     moment = F.timestamp_micros(micros).cast("timestamp")
-    wall = F.convert_timezone(F.current_timezone(), F.lit("UTC"), moment.cast("timestamp_ntz"))
-    return F.date_format(wall, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")
+    zone_free = moment.cast("timestamp_ntz")
+    wall = F.convert_timezone(F.current_timezone(), F.lit("UTC"), zone_free).cast("string")
+    fraction = F.rpad(F.substring(wall, 21, 6), 6, "0")
+    return F.concat(
+        F.substring(wall, 1, 10), F.lit("T"), F.substring(wall, 12, 8), F.lit("."), fraction,
+        F.lit("Z"),
+    )
 
 
 def ensure_isoformat(value: Column) -> Column:

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,10 +98,21 @@ def pack(
         )
     else:
         work = work.join(entries, [key, "_block"], "left")
-    schema = T.StructType([*work.schema.fields, T.StructField(out, T.LongType())])
-    arranged = work.repartition(key, "_block").sortWithinPartitions(key, "_block", order)
+    schema = T.StructType(
+        [
+            *work.schema.fields,
+            T.StructField("_nth", T.IntegerType()),
+            T.StructField(out, T.LongType()),
+        ]
+    )
+    # The window asks for rows clustered by record and block, which an earlier window on the record
+    # may already have done; the sort is then dropped as redundant too.
+    clustered = Window.partitionBy(key, "_block").orderBy(order)
+    arranged = work.withColumn("_nth", F.row_number().over(clustered)).sortWithinPartitions(
+        key, "_block", order
+    )
     packed = arranged.mapInArrow(_packer(key, order, size, rules), schema)
-    return packed.drop("_starts", "_block", "_open", "_entry")
+    return packed.drop("_starts", "_block", "_open", "_entry", "_nth")
 
 
 def _packer(key: str, order: str, size: str, rules: _Limits):

@@ -18,13 +18,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a table that is smaller than one scan split per core.
+
+    The test tables are single row groups, which one task would read. Larger tables come in many
+    splits and are left alone.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) < split * cores:
+        return df.repartition(cores)
+    return df
+
+
 def _iso(epoch) -> object:
     return F.substring(format_rfc3339(epoch), 1, 19)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index rows of the documents table, with doc_id, lang, source and body."""
-    return document_columns(table(spark, sf_dir, "documents"))
+    return document_columns(spread(table(spark, sf_dir, "documents")))
 
 
 def document_columns(docs: DataFrame) -> DataFrame:
@@ -155,7 +170,7 @@ def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "pages")
+    rows = spread(table(spark, sf_dir, "pages"))
     filename = F.concat(F.col("page_id").cast("string"), F.lit(".html"))
     return doc_index(
         rows.withColumn("body", F.col("html")),

@@ -23,6 +23,7 @@ def local_session(cores: int | str = 8, app: str = "sluice", **extra: str) -> Sp
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("SLUICE_DRIVER_MEMORY", "12g"))
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.bindAddress", "127.0.0.1")
