@@ -61,24 +61,17 @@ def embed_elements(
 ) -> DataFrame:
     """Fill ``embeddings`` of all elements with text; other rows pass unchanged.
 
-    Narrow: rows stay in their partitions. Rows arrive in Arrow batches, texts go to the encoder
-    in calls of ``batch_size``, and the other columns are passed through untouched.
+    Narrow: rows stay in their partitions, and only the text travels to Python. The encoder is
+    made once per task and called with ``batch_size`` texts at a time.
     """
     factory = encoder_factory(encoder, **options)
-    schema = T.StructType(
-        [f for f in elements.schema.fields if f.name != out]
-        + [T.StructField(out, T.ArrayType(T.FloatType()))]
-    )
-    if out not in elements.columns:
-        elements = elements.withColumn(out, F.lit(None).cast("array<float>"))
-    rest = [c for c in elements.columns if c != out]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = None
         for batch in batches:
             encode = encode or factory()
-            texts = batch.column(text).to_pylist()
-            vectors = batch.column(out).to_pylist()
+            texts = batch.to_pylist()
+            vectors: list = [None] * len(texts)
             at = [i for i, t in enumerate(texts) if t]
             for first in range(0, len(at), batch_size):
                 part = at[first : first + batch_size]
@@ -87,11 +80,13 @@ def embed_elements(
                     raise ValueError(f"encoder returned {len(made)} vectors for {len(part)} texts")
                 for i, vector in zip(part, made):
                     vectors[i] = vector
-            columns = [batch.column(c) for c in rest]
-            columns.append(pa.array(vectors, pa.list_(pa.float32())))
-            yield pa.RecordBatch.from_arrays(columns, names=[*rest, out])
+            yield pa.array(vectors, pa.list_(pa.float32()))
 
-    return elements.select(*rest, out).mapInArrow(run, schema)
+    # Not repeated by the optimizer: a model call is expensive.
+    vector = F.arrow_udf(T.ArrayType(T.FloatType()))(run).asNondeterministic()
+    made = elements.withColumn("_vector", vector(F.col(text)))
+    kept = F.coalesce("_vector", F.col(out)) if out in elements.columns else F.col("_vector")
+    return made.withColumn(out, kept).drop("_vector")
 
 
 def embed_dimension(vector: Column) -> Column:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from sluice.functions.ids import element_hash, uuid5_dns
 from sluice.functions.paths import absolute_url, file_name, file_suffix, url_allowed, url_path
@@ -131,7 +132,7 @@ class _PageReader(HTMLParser):
         return self.rows
 
 
-_ROW = T.ArrayType(
+_PARTS = T.ArrayType(
     T.StructType(
         [
             T.StructField("type", T.StringType()),
@@ -143,46 +144,34 @@ _ROW = T.ArrayType(
         ]
     )
 )
-_ROW_ARROW = pa.list_(
-    pa.struct(
-        [
-            ("type", pa.string()),
-            ("text", pa.string()),
-            ("html", pa.string()),
-            ("depth", pa.int64()),
-            ("link_urls", pa.list_(pa.string())),
-            ("link_texts", pa.list_(pa.string())),
-        ]
-    )
-)
-_FIELDS = ["type", "text", "html", "depth", "link_urls", "link_texts"]
+_PARSED = T.StructType([T.StructField("parts", _PARTS), T.StructField("error", T.StringType())])
+_PARSED_ARROW = to_arrow_type(_PARSED)
+_FIELDS = _PARTS.elementType.names
+
+
+def _parse(batch: pa.Array) -> pa.Array:
+    rows = []
+    for text in batch.to_pylist():
+        try:
+            reader = _PageReader()
+            reader.feed(text or "")
+            parts = [dict(zip(_FIELDS, row)) for row in reader.finish()]
+            rows.append({"parts": parts, "error": None})
+        except Exception as problem:  # one broken page must not fail its task
+            rows.append({"parts": [], "error": f"{type(problem).__name__}: {problem}"})
+    return pa.array(rows, _PARSED_ARROW)
 
 
 def parse_pages(pages: DataFrame, html: str = "body") -> DataFrame:
-    """Add ``parts`` (elements of the page in order) and ``error`` (null when it parsed)."""
-    schema = T.StructType(
-        [f for f in pages.schema.fields if f.name != html]
-        + [T.StructField("parts", _ROW), T.StructField("error", T.StringType())]
+    """Add ``parts`` (elements of the page in order) and ``error`` (null when it parsed).
+
+    Only the HTML travels to Python.
+    """
+    parse = F.arrow_udf(_PARSED)(_parse).asNondeterministic()
+    parsed = pages.withColumn("_parsed", parse(F.col(html))).drop(html)
+    return parsed.select(
+        *[c for c in parsed.columns if c != "_parsed"], "_parsed.parts", "_parsed.error"
     )
-    rest = [c for c in pages.columns if c != html]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts, errors = [], []
-            for text in batch.column(html).to_pylist():
-                try:
-                    reader = _PageReader()
-                    reader.feed(text or "")
-                    parts.append([dict(zip(_FIELDS, row)) for row in reader.finish()])
-                    errors.append(None)
-                except Exception as problem:  # one broken page must not fail its task
-                    parts.append([])
-                    errors.append(f"{type(problem).__name__}: {problem}")
-            columns = [batch.column(c) for c in rest]
-            columns += [pa.array(parts, _ROW_ARROW), pa.array(errors, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*rest, "parts", "error"])
-
-    return pages.select(*rest, html).mapInArrow(run, schema)
 
 
 def partition_html(documents: DataFrame) -> DataFrame:

@@ -93,45 +93,37 @@ def pack(
         work = work.withColumn("_block", F.floor(F.col(order) / block_rows))
         entries = _entries(work, key, order, size, rules, halo, block_rows)
     if entries is None:
-        work = work.withColumn("_open", F.lit(None).cast("long")).withColumn(
-            "_entry", F.lit(None).cast("long")
+        work = work.withColumn("_open", F.lit(-1).cast("long")).withColumn(
+            "_entry", F.lit(-1).cast("long")
         )
     else:
-        work = work.join(entries, [key, "_block"], "left")
-    schema = T.StructType(
-        [
-            *work.schema.fields,
-            T.StructField("_nth", T.IntegerType()),
-            T.StructField(out, T.LongType()),
-        ]
-    )
+        work = work.join(entries, [key, "_block"], "left").withColumns(
+            {c: F.coalesce(c, F.lit(-1)) for c in ("_open", "_entry")}
+        )
     # The window asks for rows clustered by record and block, which an earlier window on the record
     # may already have done; the sort is then dropped as redundant too.
     clustered = Window.partitionBy(key, "_block").orderBy(order)
-    arranged = work.withColumn("_nth", F.row_number().over(clustered)).sortWithinPartitions(
+    arranged = work.withColumn("_in_block", F.row_number().over(clustered)).sortWithinPartitions(
         key, "_block", order
     )
-    packed = arranged.mapInArrow(_packer(key, order, size, rules), schema)
-    return packed.drop("_starts", "_block", "_open", "_entry", "_nth")
+    # Only these narrow columns travel to Python; the rest of the row waits in the JVM.
+    group = _packer(rules)("_in_block", order, size, "_starts", "_open", "_entry")
+    return arranged.withColumn(out, group).drop("_starts", "_block", "_open", "_entry", "_in_block")
 
 
-def _packer(key: str, order: str, size: str, rules: _Limits):
+def _packer(rules: _Limits):
+    """Group start of each row of a partition that is sorted by record, block and position."""
     limit, soft, sep, max_rows = rules.limit, rules.soft, rules.sep, rules.max_rows
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        record = block = None
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         start, held, rows = 0, 0, 0
         for batch in batches:
             out = []
-            columns = (key, "_block", order, size, "_starts", "_open", "_entry")
-            for k, b, at, n, forced, open_at, entry in zip(
-                *[batch.column(c).to_pylist() for c in columns]
-            ):
-                if k != record or b != block:
-                    record, block = k, b
+            for in_block, at, n, forced, open_at, entry in zip(*[c.to_pylist() for c in batch]):
+                if in_block == 1:
                     # Rows before the entry belong to the group left open by the block before.
                     start, held, rows = open_at, _NO_LIMIT, 0
-                if entry is not None and at < entry:
+                if at < entry:
                     out.append(open_at)
                     continue
                 fits = held + sep + n <= limit and held < soft and rows < max_rows
@@ -140,12 +132,10 @@ def _packer(key: str, order: str, size: str, rules: _Limits):
                 else:
                     held, rows = held + sep + n, rows + 1
                 out.append(start)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(out, pa.int64())],
-                names=[*batch.schema.names, "_out"],
-            )
+            yield pa.array(out, pa.int64())
 
-    return run
+    # The result depends on the row order, so the optimizer must not move or repeat the call.
+    return F.arrow_udf(T.LongType())(run).asNondeterministic()
 
 
 def _entries(
