@@ -29,21 +29,14 @@ def assign_hash_ids(
 def remap_parent_ids(elements: DataFrame, strict: bool = False) -> DataFrame:
     """Map ``metadata.parent_id`` from old to new ids inside each record.
 
-    Only ids that some element names as its parent enter the lookup, once each (the last element
-    of an old id wins), so the element side may be skewed but the lookup side is unique and small;
-    adaptive execution splits the skewed side. ``strict`` fails on a parent that does not exist,
-    otherwise such a parent becomes null.
+    The lookup has one row per old id (its last element wins), so the element side may be skewed
+    towards one parent while the lookup side is unique; adaptive execution splits the skewed side.
+    ``strict`` fails on a parent that does not exist, otherwise such a parent becomes null.
     """
     parent = F.when(F.col("metadata.parent_id") != "", F.col("metadata.parent_id"))
-    wanted = elements.select("record_id", parent.alias("old_id")).filter(
-        F.col("old_id").isNotNull()
-    )
     lookup = (
-        elements.select("record_id", "old_id", "element_id", "pos")
-        .join(wanted, ["record_id", "old_id"], "left_semi")
-        .groupBy("record_id", "old_id")
+        elements.groupBy("record_id", F.col("old_id").alias("_old_parent"))
         .agg(F.max_by("element_id", "pos").alias("_new_parent"))
-        .withColumnRenamed("old_id", "_old_parent")
     )
     joined = elements.withColumn("_old_parent", parent).join(
         lookup, ["record_id", "_old_parent"], "left"

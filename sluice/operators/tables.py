@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,16 +31,19 @@ def replace_records(existing: DataFrame, arriving: DataFrame, key: str = "record
     return kept.unionByName(arriving, allowMissingColumns=True)
 
 
-def upsert_rows(existing: DataFrame, arriving: DataFrame, key: str = "id") -> DataFrame:
-    """Insert or replace by primary id; of several arriving rows with one id one stays.
+def one_row_per_key(rows: DataFrame, key: str) -> DataFrame:
+    """Of several rows with one key the smallest stays.
 
-    The surviving row is the smallest one, found by partial aggregation, so many copies of one id
-    never meet in one task.
+    Found by partial aggregation, so many copies of one key never meet in one task.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in arriving.columns])
-    order = F.struct(*[F.col(f"`{c}`") for c in _orderable(arriving)])
-    unique = arriving.groupBy(key).agg(F.min_by(row, order).alias("_row")).select("_row.*")
-    return replace_records(existing, unique, key)
+    row = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    order = F.struct(*[F.col(f"`{c}`") for c in _orderable(rows)])
+    return rows.groupBy(key).agg(F.min_by(row, order).alias("_row")).select("_row.*")
+
+
+def upsert_rows(existing: DataFrame, arriving: DataFrame, key: str = "id") -> DataFrame:
+    """Insert or replace by primary id."""
+    return replace_records(existing, one_row_per_key(arriving, key), key)
 
 
 def _orderable(df: DataFrame) -> list[str]:
@@ -213,42 +216,61 @@ class BucketedTable:
         )
         return version
 
-    def _rewrite(
-        self, rows: DataFrame, change: Callable[[DataFrame], DataFrame], merge: bool = False
-    ) -> int:
-        """Apply ``change`` to the buckets that ``rows`` touches. Retries when another writer wins.
+    def _replace(self, made: dict[str, list[str]], schema: T.StructType, ids: DataFrame) -> int:
+        """Publish new bucket folders in place of the existing rows with the given keys.
 
-        The touched bucket numbers (at most the bucket count) are read by the driver.
+        Only the touched buckets are read and rewritten. When another writer publishes first, the
+        kept rows are computed again from its version.
         """
         for _ in range(COMMIT_RETRIES):
             manifest = self.manifest()
-            n = manifest["n_buckets"]
-            schema = self._target_schema(manifest, rows, merge)
-            touched = [
-                str(r["b"]) for r in rows.select(self._bucket(n).alias("b")).distinct().collect()
-            ]
-            before = self._read_buckets({**manifest, "schema": schema.jsonValue()}, touched)
-            made = self._write(fit_to_schema(change(before), schema), n)
-            buckets = {b: f for b, f in manifest["buckets"].items() if b not in touched}
-            buckets.update(made)
+            schema = self._merged(manifest, schema)
+            buckets = {b: list(f) for b, f in manifest["buckets"].items() if b not in made}
+            if len(buckets) < len(manifest["buckets"]):
+                current = {**manifest, "schema": schema.jsonValue()}
+                before = self._read_buckets(current, list(made))
+                kept = self._write(before.join(ids, self.key, "left_anti"), manifest["n_buckets"])
+            else:
+                kept = {}
+            for bucket, folders in made.items():
+                buckets[bucket] = folders + kept.get(bucket, [])
             try:
                 return self._commit(manifest, schema, buckets)
             except CommitConflict:
                 continue
         raise CommitConflict(self.path)
 
+    def _merged(self, manifest: dict, schema: T.StructType) -> T.StructType:
+        """The table's schema plus the columns that are new in ``schema``."""
+        if manifest["schema"] is None:
+            return schema
+        current = T.StructType.fromJson(manifest["schema"])
+        extra = [f for f in schema.fields if f.name not in current.names]
+        return T.StructType([*current.fields, *extra])
+
     def overwrite_records(self, rows: DataFrame, merge_schema: bool = False) -> int:
-        """Replace all rows of the arriving records. Writing the same rows twice changes nothing."""
-        return self._rewrite(
-            rows, lambda before: replace_records(before, rows, self.key), merge_schema
-        )
+        """Replace all rows of the arriving records. Writing the same rows twice changes nothing.
+
+        The arriving rows are computed once, into their own folders; everything after that reads
+        those folders.
+        """
+        manifest = self.manifest()
+        schema = self._target_schema(manifest, rows, merge_schema)
+        made = self._write(fit_to_schema(rows, schema), manifest["n_buckets"])
+        written = self._read_buckets({"schema": schema.jsonValue(), "buckets": made}, None)
+        return self._replace(made, schema, written.select(self.key).distinct())
 
     def upsert(self, rows: DataFrame, id_column: str = "id") -> int:
         """Insert or replace by id; the table must be bucketed by that id."""
         if id_column != self.key:
             raise ValueError(f"the table is bucketed by {self.key}, not by {id_column}")
-        return self._rewrite(rows, lambda before: upsert_rows(before, rows, id_column))
+        return self.overwrite_records(one_row_per_key(rows, id_column))
 
     def delete_records(self, ids: DataFrame) -> int:
+        """Drop all rows of the given records. The touched bucket numbers, at most the bucket
+        count, are read by the driver."""
         ids = ids.select(self.key).distinct()
-        return self._rewrite(ids, lambda before: before.join(ids, self.key, "left_anti"))
+        manifest = self.manifest()
+        bucket = self._bucket(manifest["n_buckets"]).alias("b")
+        touched = {str(r["b"]): [] for r in ids.select(bucket).distinct().collect()}
+        return self._replace(touched, T.StructType.fromJson(manifest["schema"]), ids)
