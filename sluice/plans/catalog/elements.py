@@ -355,17 +355,28 @@ packed AS (
 _SIZED = """
 sized AS (
   SELECT record_id, pos, length(text)::bigint AS size, type, text, page_number, element_id,
-    filename FROM parts
+    filename, type = 'Title' AS opens FROM parts
 )"""
 
-_BASIC = (
-    "RECURSIVE "
-    + o.LINES
-    + ","
-    + _SIZED
-    + ","
-    + _packing("sized", "p.held + 2 + e.size <= 500 AND p.held < 400")
-    + """,
+
+def chunk_ctes(
+    limit: int,
+    soft: int | None = None,
+    overlap: int = 0,
+    titled: bool = False,
+    kept: str = "true",
+) -> str:
+    """CTEs up to ``chunks`` for greedy chunking of the elements that satisfy ``kept``."""
+    fits = f"p.held + 2 + e.size <= {limit}" + (f" AND p.held < {soft}" if soft else "")
+    step = limit - overlap
+    return (
+        "RECURSIVE "
+        + o.LINES
+        + ","
+        + _SIZED.replace("FROM parts", f"FROM parts WHERE {kept}")
+        + ","
+        + _packing("sized", fits, "e.opens" if titled else "false")
+        + f""",
 grouped AS (
   SELECT record_id, p.start, string_agg(text, chr(10) || chr(10) ORDER BY p.pos) AS whole,
     count(*) AS n_elements, min(e.type) AS one_type, string_agg(e.element_id, ',' ORDER BY p.pos)
@@ -373,20 +384,39 @@ grouped AS (
   FROM packed p JOIN sized e USING (record_id, pos) GROUP BY 1, 2
 ),
 cut AS (
-  SELECT *, CASE WHEN length(whole) > 500 THEN ceil((length(whole) - 20) / 480.0)::bigint ELSE 1 END
-    AS n_pieces FROM grouped
+  SELECT *, CASE WHEN length(whole) > {limit} THEN
+    ceil((length(whole) - {overlap}) / {step}.0)::bigint ELSE 1 END AS n_pieces FROM grouped
 ),
 pieces AS (
   SELECT *, unnest(range(n_pieces)) AS piece FROM cut
 ),
 chunks AS (
-  SELECT *, substr(whole, piece * 480 + 1, 500) AS text,
+  SELECT *, substr(whole, piece * {step} + 1, {limit}) AS text,
     row_number() OVER (PARTITION BY record_id ORDER BY start, piece) - 1 AS pos,
+    substr(sha256(record_id || '#' || start || '#' || piece), 1, 32) AS chunk_id,
     CASE WHEN n_elements = 1 AND one_type = 'Table' THEN
       CASE WHEN n_pieces > 1 THEN 'TableChunk' ELSE 'Table' END ELSE 'CompositeElement' END AS type
   FROM pieces
 )"""
-)
+    )
+
+
+# Content ids of the chunks.
+HASHED_CHUNKS = """,
+lagged AS (
+  SELECT c.*, d.filename, d.date_created, d.date_modified, d.fullpath, CASE WHEN pos > 0 AND
+    lag(page_number) OVER (PARTITION BY record_id ORDER BY pos) IS NOT DISTINCT FROM page_number
+    THEN 0 ELSE 1 END AS opens
+  FROM chunks c JOIN docs d ON d.identifier = c.record_id
+),
+spans AS (SELECT *, sum(opens) OVER (PARTITION BY record_id ORDER BY pos) AS run FROM lagged),
+hashed AS (
+  SELECT *, substr(sha256(filename || text || page_number ||
+    (row_number() OVER (PARTITION BY record_id, run ORDER BY pos) - 1)), 1, 32) AS element_id
+  FROM spans
+)"""
+
+_BASIC = chunk_ctes(500, 400, 20)
 
 
 def _chunk_columns(chunks):
@@ -437,7 +467,7 @@ _TITLED = (
     + ""","""
     + """
 paged AS (
-  SELECT *, type = 'Title' OR coalesce(lag(page_number) OVER (PARTITION BY record_id ORDER BY pos)
+  SELECT * EXCLUDE (opens), type = 'Title' OR coalesce(lag(page_number) OVER (PARTITION BY record_id ORDER BY pos)
     <> page_number, false) AS opens,
     coalesce(lag(page_number) OVER (PARTITION BY record_id ORDER BY pos) <> page_number, false)
       AS new_page
@@ -499,20 +529,7 @@ def chunk_passthrough(spark, sf):
 
 @query(
     "rehash_after_chunk",
-    o.with_(
-        _BASIC
-        + """,
-lagged AS (
-  SELECT c.*, d.filename, CASE WHEN pos > 0 AND
-    lag(page_number) OVER (PARTITION BY record_id ORDER BY pos) IS NOT DISTINCT FROM page_number
-    THEN 0 ELSE 1 END AS opens
-  FROM chunks c JOIN docs d ON d.identifier = c.record_id
-),
-spans AS (SELECT *, sum(opens) OVER (PARTITION BY record_id ORDER BY pos) AS run FROM lagged)""",
-        """SELECT record_id, pos, substr(sha256(filename || text || page_number ||
-          (row_number() OVER (PARTITION BY record_id, run ORDER BY pos) - 1)), 1, 32) AS element_id
-        FROM spans""",
-    ),
+    o.with_(_BASIC + HASHED_CHUNKS, "SELECT record_id, pos, element_id FROM hashed"),
 )
 def rehash_after_chunk(spark, sf):
     chunks = chunk.chunk_elements(
@@ -542,7 +559,15 @@ def attach_orig_elements(spark, sf):
     )
 
 
-@query("chunk_overlap_all")
+@query(
+    "chunk_overlap_all",
+    o.with_(
+        chunk_ctes(369, None, 30),
+        """SELECT record_id, pos, type, CASE WHEN piece = 0 AND pos > 0 THEN
+          right(lag(text) OVER (PARTITION BY record_id ORDER BY pos), 30) || ' ' || text
+          ELSE text END AS text FROM chunks""",
+    ),
+)
 def chunk_overlap_all(spark, sf):
     return chunk.chunk_elements(
         roles.parts(spark, sf), "basic", 400, overlap=30, overlap_all=True
@@ -606,7 +631,10 @@ def has_text(spark, sf):
     return rows.select("record_id", "pos", filters.has_text(text).alias("has_text"))
 
 
-@query("embed_elements")
+@query(
+    "embed_elements",
+    o.with_(o.LINES, "SELECT record_id, pos, 16 AS dimension, true AS is_unit FROM parts"),
+)
 def embed_elements(spark, sf):
     rows = embed.embed_elements(roles.parts(spark, sf), "hash", dimension=16)
     return rows.select(

@@ -11,14 +11,27 @@ from sluice.operators.tables import BucketedTable
 from sluice.plans import oracle as o
 from sluice.plans import roles
 from sluice.plans.catalog.documents import scratch
-from sluice.plans.catalog.elements import _BASIC
+from sluice.plans.catalog.elements import HASHED_CHUNKS, chunk_ctes
 from sluice.plans.catalog.registry import query
 from sluice.plans.flow import HTML, Flow
 from sluice.plans.roles import table
 from sluice.sources import messages, records
 
 
-@query("flagship_ingest")
+_STAGED = f"""{o.uuid5("(element_id || record_id)")} AS id, record_id, element_id, type, text,
+  date_created::double AS date_created, page_number::varchar AS page_number, true AS is_unit"""
+_SMALL_ENGLISH = "lang = 'en' AND filesize_bytes <= 5000"
+
+
+@query(
+    "flagship_ingest",
+    o.with_(
+        chunk_ctes(500, titled=True, kept=_SMALL_ENGLISH) + HASHED_CHUNKS,
+        f"""SELECT {_STAGED}, filename,
+          '{{"protocol":"s3","remote_file_path":"' || fullpath || '"}}' AS record_locator
+        FROM hashed""",
+    ),
+)
 def flagship_ingest(spark, sf):
     """English documents under 5 kB: partition, chunk, ids, vectors, table rows."""
     flow = (
@@ -31,34 +44,16 @@ def flagship_ingest(spark, sf):
     )
     return flow.rows.select(
         "id", "record_id", "element_id", "type", "text", "filename", "page_number",
-        "date_created", "date_modified", "record_locator", "embeddings",
+        "date_created", "record_locator",
+        is_unit_vector(F.col("embeddings")).alias("is_unit"),
     )
 
 
 @query(
     "ingest_basic",
     o.with_(
-        _BASIC.replace(
-            "sized AS (",
-            "kept AS (SELECT * FROM parts WHERE lang = 'en' AND filesize_bytes <= 5000),\nsized AS (",
-            1,
-        ).replace("filename FROM parts\n)", "filename FROM kept\n)", 1)
-        + """,
-lagged AS (
-  SELECT c.*, d.filename, d.date_created, CASE WHEN pos > 0 AND
-    lag(page_number) OVER (PARTITION BY record_id ORDER BY pos) IS NOT DISTINCT FROM page_number
-    THEN 0 ELSE 1 END AS opens
-  FROM chunks c JOIN docs d ON d.identifier = c.record_id
-),
-spans AS (SELECT *, sum(opens) OVER (PARTITION BY record_id ORDER BY pos) AS run FROM lagged),
-hashed AS (
-  SELECT *, substr(sha256(filename || text || page_number ||
-    (row_number() OVER (PARTITION BY record_id, run ORDER BY pos) - 1)), 1, 32) AS element_id
-  FROM spans
-)""",
-        f"""SELECT {o.uuid5("(element_id || record_id)")} AS id, record_id, element_id, type, text,
-          date_created::double AS date_created, page_number::varchar AS page_number, true AS is_unit
-        FROM hashed""",
+        chunk_ctes(500, 400, 20, kept=_SMALL_ENGLISH) + HASHED_CHUNKS,
+        f"SELECT {_STAGED} FROM hashed",
     ),
 )
 def ingest_basic(spark, sf):

@@ -8,6 +8,7 @@ from sluice.functions.permissions import permissions_json
 from sluice.operators import acl, closure, graph
 from sluice.plans import oracle as o
 from sluice.plans import roles
+from sluice.plans.catalog.elements import chunk_ctes
 from sluice.plans.catalog.registry import query
 from sluice.plans.roles import table
 
@@ -104,7 +105,24 @@ def graph_structure_edges(spark, sf):
     return edges.select("src", "dst", "relationship")
 
 
-@query("graph_chunk_edges")
+@query(
+    "graph_chunk_edges",
+    o.with_(
+        chunk_ctes(500)
+        + """,
+origins AS (
+  SELECT record_id, chunk_id, unnest(string_split(members, ',')) AS element_id FROM chunks
+)""",
+        """SELECT chunk_id AS src, 'Chunk' AS src_label, lag(chunk_id) OVER (PARTITION BY record_id
+          ORDER BY pos) AS dst, 'Chunk' AS dst_label, 'NEXT_CHUNK' AS relationship FROM chunks
+          QUALIFY dst IS NOT NULL
+        UNION ALL SELECT chunk_id, 'Chunk', record_id, 'Document', 'PART_OF_DOCUMENT' FROM chunks
+        UNION ALL SELECT element_id, 'UnstructuredElement', chunk_id, 'Chunk', 'PART_OF_CHUNK'
+          FROM origins
+        UNION ALL SELECT element_id, 'UnstructuredElement', record_id, 'Document',
+          'PART_OF_DOCUMENT' FROM origins""",
+    ),
+)
 def graph_chunk_edges(spark, sf):
     from sluice.operators.chunk import chunk_elements
 
