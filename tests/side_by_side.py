@@ -27,7 +27,7 @@ def _cell(value):
     if isinstance(value, float):
         if math.isnan(value):
             return "NaN"
-        return f"{value:.9g}"
+        return repr(value)
     if isinstance(value, bool) or value is None:
         return str(value)
     if isinstance(value, int):
