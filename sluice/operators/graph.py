@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sluice.operators.batching import position_in_group
 from sluice.operators.sequence import ordered_lag
 
 # Labels and relationship names.
@@ -19,6 +20,8 @@ NEXT_ELEMENT = "NEXT_ELEMENT"
 ENTITY_TYPE = "ENTITY_TYPE"
 HAS_ENTITY = "HAS_ENTITY"
 
+MERGE_BATCH = 1_000
+
 _ITEMS = "array<struct<type:string,entity:string>>"
 _ENTITIES = (
     f"struct<items:{_ITEMS},"
@@ -206,6 +209,13 @@ def merge_edges(existing: DataFrame, arriving: DataFrame) -> DataFrame:
     return existing.unionByName(arriving).distinct()
 
 
+def merge_batches(rows: DataFrame, group: list[str], order: list[str], size: int = MERGE_BATCH):
+    """Batches of one statement each: rows of one label (or relationship and labels), ``size`` per
+    batch. One label holds most rows, so batches come from a distributed order."""
+    placed = position_in_group(rows, group, order, "_nth")
+    return placed.withColumn("batch_no", F.floor(F.col("_nth") / size)).drop("_nth")
+
+
 def delete_record(
     nodes: DataFrame, edges: DataFrame, record_ids: DataFrame
 ) -> tuple[DataFrame, DataFrame]:

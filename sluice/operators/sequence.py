@@ -100,13 +100,9 @@ def previous_present(
     rows = rows.withColumn(out, F.last(value, ignorenulls=True).over(before))
     if bounded:
         return rows.drop("_block")
-    last = (
-        rows.filter(F.col(value).isNotNull())
-        .groupBy(*keys, "_block")
-        .agg(F.max_by(F.col(value), _order_struct(orders)).alias("_last"))
-    )
-    # A block without values has no summary row, so blocks are looked up by range of blocks.
-    blocks = rows.select(*keys, "_block").distinct().join(last, [*keys, "_block"], "left")
+    # Rows without a value have no order and never win; a block without values has a null summary.
+    present = F.when(F.col(value).isNotNull(), _order_struct(orders))
+    blocks = rows.groupBy(*keys, "_block").agg(F.max_by(F.col(value), present).alias("_last"))
     over_blocks = (
         Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     )

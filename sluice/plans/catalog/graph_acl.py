@@ -130,6 +130,35 @@ def graph_chunk_edges(spark, sf):
     return graph.structure_edges(roles.documents(spark, sf), chunks, bounded=True)
 
 
+@query(
+    "stage_graph",
+    o.with_(
+        o.LINES
+        + """,
+edges AS (
+  SELECT element_id AS src, 'UnstructuredElement' AS src_label, record_id AS dst,
+    'Document' AS dst_label, 'PART_OF_DOCUMENT' AS relationship FROM parts
+  UNION ALL SELECT * FROM (
+    SELECT element_id, 'UnstructuredElement', lag(element_id) OVER (PARTITION BY record_id ORDER BY
+      pos) AS dst, 'UnstructuredElement', 'NEXT_ELEMENT' FROM parts QUALIFY dst IS NOT NULL)
+),
+placed AS (
+  SELECT *, (row_number() OVER (PARTITION BY relationship, src_label, dst_label ORDER BY src, dst)
+    - 1) // 1000 AS batch_no FROM edges
+)""",
+        """SELECT relationship, src_label, dst_label, batch_no, count(*) AS n, min(src) AS first,
+          max(src) AS last FROM placed GROUP BY ALL""",
+    ),
+)
+def stage_graph(spark, sf):
+    edges = graph.structure_edges(roles.documents(spark, sf), roles.parts(spark, sf), bounded=True)
+    kind = ["relationship", "src_label", "dst_label"]
+    batches = graph.merge_batches(edges, kind, ["src", "dst"])
+    return batches.groupBy(*kind, "batch_no").agg(
+        F.count(F.lit(1)).alias("n"), F.min("src").alias("first"), F.max("src").alias("last")
+    )
+
+
 _MERGE = (
     o.LINES
     + """,

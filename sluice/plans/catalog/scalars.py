@@ -593,3 +593,53 @@ def url_allow_list(spark, sf):
         paths.url_allowed(F.lit("ftp://nowhere/x"), url).alias("foreign_site"),
         paths.url_allowed(url, url, ["https://m.", "http://blog."]).alias("listed"),
     )
+
+
+@query(
+    "path_parts",
+    r"""
+    SELECT page_id, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path,
+      regexp_extract(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '[^/]*$') AS name,
+      regexp_extract(regexp_replace(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/+$', ''),
+        '[^/.][^/]*(\.[^./]+)$', 1) AS suffix
+    FROM pages
+    """,
+)
+def path_parts(spark, sf):
+    path = paths.url_path(F.col("url"))
+    return table(spark, sf, "pages").select(
+        "page_id",
+        path.alias("path"),
+        paths.file_name(path).alias("name"),
+        paths.file_suffix(path).alias("suffix"),
+    )
+
+
+@query(
+    "sha256_16",
+    "SELECT c_custkey, substr(sha256(c_name), 1, 16) || '.eml' AS filename FROM customer",
+)
+def sha256_16(spark, sf):
+    name = F.concat(ids.sha256_16(F.col("c_name")), F.lit(".eml"))
+    return table(spark, sf, "customer").select("c_custkey", name.alias("filename"))
+
+
+@query(
+    "is_unit_vector",
+    """
+    WITH norms AS (
+      SELECT vec_id, sqrt(list_sum(list_transform(embedding, lambda x: x::double * x::double))) AS n
+      FROM embeddings
+    )
+    SELECT vec_id, abs(n - 1) <= 1e-3 AS is_unit, abs(n * 1.5 - 1) <= 1e-3 AS longer_is_unit
+    FROM norms
+    """,
+)
+def is_unit_vector(spark, sf):
+    from sluice.operators.embed import is_unit_vector as is_unit
+
+    vector = F.col("embedding")
+    longer = F.transform(vector, lambda x: x.cast("double") * 1.5)
+    return table(spark, sf, "embeddings").select(
+        "vec_id", is_unit(vector).alias("is_unit"), is_unit(longer).alias("longer_is_unit")
+    )

@@ -229,3 +229,37 @@ def lakehouse_table_sink(spark, sf):
     external.insert_into(existing, name)
     external.insert_into(arriving, name)
     return spark.table(name)
+
+
+@query(
+    "write_json",
+    o.with_(o.LINES, "SELECT element_id, type, text, parent_id FROM parts"),
+)
+def write_json(spark, sf):
+    """JSON arrays of at most forty elements, written as files and read back."""
+    rows = roles.parts(spark, sf).withColumn("path", F.col("record_id"))
+    folder = scratch(spark, "arrays")
+    written = files.write_documents(files.json_documents(rows, "path", 40), folder)
+    written.write.format("noop").mode("overwrite").save()
+    back = files.read_element_files(spark, folder, "json")
+    return back.select(
+        "element_id", "type", "text", F.col("metadata.parent_id").alias("parent_id")
+    )
+
+
+@query(
+    "register_source_destination",
+    "SELECT p_partkey, p_name FROM part UNION ALL SELECT s_suppkey, s_name FROM supplier",
+)
+def register_source_destination(spark, sf):
+    """Named readers and writers, looked up by name."""
+    registry = external.Registry()
+    registry.register_source("parts", lambda: table(spark, sf, "part"))
+    registry.register_source("suppliers", lambda: table(spark, sf, "supplier"))
+    target = BucketedTable(spark, scratch(spark, "registry"), key="p_partkey", buckets=4)
+    registry.register_destination("lake", target.append)
+    write = registry.destination("lake")
+    write(registry.source("parts")().select("p_partkey", "p_name"))
+    suppliers = registry.source("suppliers")().select("s_suppkey", "s_name")
+    write(suppliers.withColumnsRenamed({"s_suppkey": "p_partkey", "s_name": "p_name"}))
+    return target.read()

@@ -75,6 +75,30 @@ def kafka_index(spark, sf):
     return index.select("identifier", topic.alias("topic"))
 
 
+@query(
+    "stream_kafka_out",
+    o.with_(o.LINES, "SELECT element_id AS key, text, lang FROM parts"),
+)
+def stream_kafka_out(spark, sf):
+    """Messages of a document stream; files stand in for the topic."""
+    from sluice.operators.external import message_values
+
+    folder = scratch(spark, "topic")
+    documents = roles.document_columns(_stream(spark, sf, "documents"))
+
+    def send(batch, batch_id):
+        values = message_values(partition_text(batch))
+        values.write.mode("overwrite").parquet(f"{folder}/topic/batch={batch_id}")
+
+    messages.drain(documents, send, f"{folder}/state", "append")
+    topic = spark.read.parquet(f"{folder}/topic")
+    return topic.select(
+        "key",
+        F.get_json_object("value", "$.text").alias("text"),
+        F.get_json_object("value", "$.metadata.languages[0]").alias("lang"),
+    )
+
+
 def _message_stream(spark, sf):
     conv = _stream(spark, sf, "conversations")
     # The same projection as the batch role.

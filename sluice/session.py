@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Flattened keys that collide: the later one wins.
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
 }
 
 

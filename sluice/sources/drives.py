@@ -32,6 +32,9 @@ NATIVE_EXPORTS = {
     "application/vnd.google-apps.drawing": "png",
 }
 
+# Fixed value: part boundary of the mail template.
+MAIL_BOUNDARY = "00000000000095c9b205eff92630"
+
 # File extension by CRM record type.
 CRM_EXTENSIONS = {
     "EmailMessage": ".eml",
@@ -209,7 +212,7 @@ def crm_mails_to_eml(mails: DataFrame) -> DataFrame:
     def or_none(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit("None"))
 
-    boundary = "00000000000095c9b205eff92630"
+    boundary = MAIL_BOUNDARY
     head = [
         F.lit("MIME-Version: 1.0\nDate: "), date,
         F.lit("\nMessage-ID: "), or_none("MessageIdentifier"),
