@@ -13,14 +13,17 @@ from sluice.session import reliable
 
 
 def global_position(
-    df: DataFrame, order: Sequence[str], out: str = "position", partitions: int | None = None
+    df: DataFrame,
+    order: Sequence[str | Column],
+    out: str = "position",
+    partitions: int | None = None,
 ) -> DataFrame:
     """0-based position of every row in a total order, without a one-task window.
 
     Rows are range partitioned and sorted, and written once so that both passes see the same
     partitions. Offsets are a prefix sum over one row per partition.
     """
-    by = [F.col(c) for c in order]
+    by = [F.col(c) if isinstance(c, str) else c for c in order]
     ranged = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
     ranged = (
         ranged.sortWithinPartitions(*by)
@@ -43,7 +46,7 @@ def global_position(
 
 
 def position_in_group(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str = "nth"
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], out: str = "nth"
 ) -> DataFrame:
     """0-based position inside each group, for orders that no numeric block can cut.
 

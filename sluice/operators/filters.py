@@ -5,9 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.operators.batching import position_in_group
+
+# Default of spark.sql.optimizer.windowGroupLimitThreshold.
+GROUP_LIMIT = 1_000
+
 
 def glob_regex(pattern: str) -> str:
     """Anchored regular expression of a shell pattern; ``*`` also crosses ``/``."""
@@ -109,16 +114,19 @@ def cap_per_group(
 ) -> DataFrame:
     """First ``n`` rows per group in the given order (a report limit, not a sample).
 
-    The rank filter is pushed below the shuffle as a group limit, so every task ships at most
-    ``n`` rows per group.
+    A small limit is pushed below the shuffle, so every task ships at most ``n`` rows per group.
+    Spark does that up to its group limit threshold; above it, positions come from a distributed
+    order instead of one window task per group.
     """
-    from pyspark.sql import Window
-
     keys = [group] if isinstance(group, str) else list(group)
+    if n > GROUP_LIMIT:
+        return position_in_group(df, keys, order, "_nth").filter(F.col("_nth") < n).drop("_nth")
     window = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rank", F.row_number().over(window)).filter(
-        F.col("_rank") <= n
-    ).drop("_rank")
+    return (
+        df.withColumn("_rank", F.row_number().over(window))
+        .filter(F.col("_rank") <= n)
+        .drop("_rank")
+    )
 
 
 def first_seen_wins(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

@@ -575,7 +575,7 @@ def folder_filter(spark, sf):
 def date_range(spark, sf):
     rows = table(spark, sf, "events").select(
         "event_id",
-        (F.unix_micros(F.col("ts").cast("timestamp")) / 1000000).alias("epoch"),
+        (F.unix_micros(roles.utc("ts")) / 1000000).alias("epoch"),
     )
     return filters.between_dates(rows, "epoch", 1704500000, 1705500000.5).select("event_id")
 

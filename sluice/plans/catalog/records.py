@@ -365,7 +365,7 @@ def thread_to_xml(spark, sf):
 def channel_to_text(spark, sf):
     rows = table(spark, sf, "events").select(
         F.col("event_type").alias("channel"),
-        (F.unix_micros(F.col("ts").cast("timestamp")) / 1000000).alias("ts"),
+        (F.unix_micros(roles.utc("ts")) / 1000000).alias("ts"),
         F.concat_ws(" ", "props", F.col("event_id").cast("string")).alias("text"),
     )
     return messages.channel_text(rows).select("identifier", "filename", "body")
@@ -637,7 +637,7 @@ def crm_records_to_xml(spark, sf):
     FROM events""",
 )
 def crm_mails_to_eml(spark, sf):
-    epoch = F.unix_micros(F.col("ts").cast("timestamp")) / 1000000
+    epoch = F.unix_micros(roles.utc("ts")) / 1000000
     rows = table(spark, sf, "events").select(
         F.col("event_id").cast("string").alias("Id"),
         format_rfc3339(epoch).alias("MessageDate"),

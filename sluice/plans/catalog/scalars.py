@@ -249,7 +249,7 @@ def iso_to_epoch_string(spark, sf):
 )
 def format_rfc3339(spark, sf):
     rows = table(spark, sf, "events")
-    epoch = F.unix_micros(F.col("ts").cast("timestamp")).cast("double") / 1000000
+    epoch = F.unix_micros(roles.utc("ts")).cast("double") / 1000000
     return rows.select("event_id", dates.format_rfc3339(epoch).alias("text"))
 
 

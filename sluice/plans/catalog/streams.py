@@ -43,7 +43,7 @@ def _topic_records(events):
         F.col("event_type").alias("topic"),
         (F.col("user_id") % 4).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
+        roles.utc("ts").alias("timestamp"),
     )
 
 
@@ -133,7 +133,7 @@ def stream_daily_packages(spark, sf):
 )
 def tumbling_message_windows(spark, sf):
     folder = scratch(spark, "windows")
-    events = _stream(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    events = _stream(spark, sf, "events").withColumn("ts", roles.utc("ts"))
     counts = messages.tumbling_counts(
         events, "ts", "event_type", "1 day", n=F.count(F.lit(1)), newest=F.max("event_id")
     )

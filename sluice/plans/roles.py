@@ -33,6 +33,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
+def utc(column: str):
+    """Zone-free wall time of a test table as the UTC instant, whatever the session zone is."""
+    wall = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col(column))
+    return wall.cast("timestamp")
+
+
 def _iso(epoch) -> object:
     return F.substring(format_rfc3339(epoch), 1, 19)
 

@@ -220,3 +220,12 @@ def test_errors_fail_the_run(spark):
     with pytest.raises(RuntimeError, match="embed failed for r: boom"):
         incremental.fail_on_errors(errors)
     incremental.fail_on_errors(errors.limit(0))
+
+
+def test_caps_above_the_group_limit(spark):
+    rows = spark.range(6000).select((F.col("id") % 2).alias("g"), F.col("id").alias("v"))
+    for n in (3, 1500):
+        kept = filters.cap_per_group(rows, "g", [F.col("v").desc()], n)
+        got = {r["g"]: (r["n"], r["low"]) for r in kept.groupBy("g").agg(
+            F.count("*").alias("n"), F.min("v").alias("low")).collect()}
+        assert got == {0: (n, 5998 - 2 * (n - 1)), 1: (n, 5999 - 2 * (n - 1))}
