@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.paths import file_name
-
 # Name parts that mark a secret.
 SECRET_WORDS = [
     "password",
@@ -96,13 +94,3 @@ def mask_columns(df: DataFrame) -> DataFrame:
         out.append(column.alias(field.name))
     return df.select(*out)
 
-
-__all__ = [
-    "file_name",
-    "mask_columns",
-    "mask_id",
-    "mask_location",
-    "mask_path",
-    "mask_token",
-    "mask_url",
-]

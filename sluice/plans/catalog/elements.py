@@ -109,9 +109,6 @@ def exclude_element_types(spark, sf):
     return rows.select("record_id", "pos", "type")
 
 
-_METADATA_TAIL = """'"file_directory":"' || file_directory || '","page_number":' || page_number ||"""
-
-
 @query(
     "metadata_exclude",
     o.with_(

@@ -12,15 +12,6 @@ from sluice.plans.catalog.elements import chunk_ctes
 from sluice.plans.catalog.registry import query
 from sluice.plans.roles import table
 
-_ENTITIES = """CASE
-  WHEN pos % 11 = 1 THEN '[{"type":"LANG","entity":"' || lang || '"},{"type":"SRC","entity":"' ||
-    source || '"}]'
-  WHEN pos % 11 = 4 THEN '{"items":[{"type":"SRC","entity":"' || source ||
-    '"}],"relationships":[{"from":"' || source || '","relationship":"written_in","to":"' || lang ||
-    '"}]}'
-  WHEN pos % 11 = 7 THEN 'not json' END"""
-
-
 def _with_entities(spark, sf):
     docs = roles.documents(spark, sf)
     rows = roles.parts(spark, sf)
@@ -379,12 +370,10 @@ def group_acl(spark, sf):
 )
 def mapping_join(spark, sf):
     lines = table(spark, sf, "lineitem")
-    names = ["unknown"] + list(acl.DRIVE_ROLES)
     number = F.col("l_linenumber") % 7
     role = F.lit(None).cast("string")
-    for i, name in enumerate(
-        ["owner", "reader", "writer", "commenter", "fileOrganizer", "organizer", names[0]]
-    ):
+    names = ["owner", "reader", "writer", "commenter", "fileOrganizer", "organizer", "unknown"]
+    for i, name in enumerate(names):
         role = F.when(number == i, F.lit(name)).otherwise(role)
     return lines.select(
         "l_orderkey",

@@ -219,8 +219,9 @@ def parse_timestamp(spark, sf):
 )
 def parse_date_lenient(spark, sf):
     rows = _stamps(spark, sf)
-    stamp = F.timestamp_seconds("e")
-    written = F.date_format(stamp, "EEE, d MMM yyyy HH:mm:ss")
+    moment = dates.format_rfc3339(F.col("e"))
+    day = F.date_format(F.substring(moment, 1, 10).cast("date"), "EEE, d MMM yyyy ")
+    written = F.concat(day, F.substring(moment, 12, 8))
     return rows.select(
         "event_id",
         dates.parse_date_lenient(F.col("value")).alias("epoch"),

@@ -206,8 +206,12 @@ def crm_mails_to_eml(mails: DataFrame) -> DataFrame:
     """(Id, MessageDate, MessageIdentifier, Subject, FromAddress, ToAddress, TextBody, HtmlBody)
     to a two-part message."""
     epoch = parse_timestamp(F.col("MessageDate"))
-    stamp = F.to_timestamp_ntz(F.substring(format_rfc3339(epoch), 1, 19))
-    date = F.concat(F.date_format(stamp, "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" -0000"))
+    moment = format_rfc3339(epoch)
+    day = F.substring(moment, 1, 10).cast("date")
+    date = F.concat(
+        F.date_format(day, "EEE, dd MMM yyyy"), F.lit(" "), F.substring(moment, 12, 8),
+        F.lit(" -0000"),
+    )
 
     def or_none(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit("None"))
