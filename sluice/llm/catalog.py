@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.llm.bpe import round_trip
 from sluice.llm.common import table
 from sluice.llm.exact_dedup import exact_dedup
 from sluice.llm.mixing import mix
+from sluice.llm.token_files import token_file_round_trip
 from sluice.llm.url_filters import url_verdicts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,3 +154,15 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken"
     )
+
+
+@query("op9_token_files")
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return token_file_round_trip(table(spark, sf_dir, "documents"), path)
+
+
+@query("op10_bpe")
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return round_trip(table(spark, sf_dir, "documents"), path)
