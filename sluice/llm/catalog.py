@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from sluice.llm.bpe import round_trip
 from sluice.llm.common import table
 from sluice.llm.exact_dedup import exact_dedup
+from sluice.llm.fingerprints import edit_report
 from sluice.llm.mixing import mix
 from sluice.llm.token_files import token_file_round_trip
 from sluice.llm.url_filters import url_verdicts
@@ -166,3 +167,8 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return round_trip(table(spark, sf_dir, "documents"), path)
+
+
+@query("op7_fingerprints")
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_report(table(spark, sf_dir, "documents"))
