@@ -12,6 +12,7 @@ from sluice.llm.common import table
 from sluice.llm.exact_dedup import exact_dedup
 from sluice.llm.fingerprints import edit_report
 from sluice.llm.mixing import mix
+from sluice.llm.near_dedup import near_duplicates
 from sluice.llm.token_files import token_file_round_trip
 from sluice.llm.url_filters import url_verdicts
 
@@ -172,3 +173,38 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_fingerprints")
 def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edit_report(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op1_near_dedup",
+    r"""
+    WITH RECURSIVE w AS (
+      SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words
+      FROM documents),
+    s AS (
+      SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN []
+        WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_transform(range(1, len(words) - 3),
+          lambda i: array_to_string(list_slice(words, i, i + 4), ' ')) END) AS shingle
+      FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    pairs AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+      FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id),
+    links AS (
+      SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+      WHERE 100 * common >= 85 * (na.n + nb.n - common)),
+    reach(node, root) AS (
+      SELECT doc_id, doc_id FROM documents
+      UNION SELECT b, root FROM reach JOIN links ON node = a)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM documents LEFT JOIN n USING (doc_id)
+      JOIN (SELECT node AS doc_id, min(root) AS component_id FROM reach GROUP BY node)
+        USING (doc_id)
+    """,
+)
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
