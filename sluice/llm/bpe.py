@@ -159,15 +159,17 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of at most SLICE_ROWS rows and, but for single rows, SLICE_CHARS bytes."""
+def slices(
+    batch: pa.RecordBatch, column: str, rows: int = SLICE_ROWS, size: int = SLICE_CHARS
+) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of at most ``rows`` rows and, but for single rows, ``size`` bytes of text."""
     lengths = pa.compute.fill_null(pa.compute.binary_length(batch[column]), 0).to_pylist()
-    begin = size = 0
+    begin = held = 0
     for row, length in enumerate(lengths):
-        if row > begin and (row - begin >= SLICE_ROWS or size + length > SLICE_CHARS):
+        if row > begin and (row - begin >= rows or held + length > size):
             yield batch.slice(begin, row - begin)
-            begin, size = row, 0
-        size += length
+            begin, held = row, 0
+        held += length
     if begin < batch.num_rows:
         yield batch.slice(begin)
 

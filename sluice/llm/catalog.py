@@ -11,6 +11,7 @@ from sluice.llm.bpe import round_trip
 from sluice.llm.common import table
 from sluice.llm.exact_dedup import exact_dedup
 from sluice.llm.fingerprints import edit_report
+from sluice.llm.lm_scoring import held_out_scores
 from sluice.llm.mixing import mix
 from sluice.llm.near_dedup import near_duplicates
 from sluice.llm.token_files import token_file_round_trip
@@ -208,3 +209,8 @@ def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op2_lm_scoring")
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return held_out_scores(table(spark, sf_dir, "documents"))
