@@ -16,6 +16,7 @@ from sluice.llm.mixing import mix
 from sluice.llm.near_dedup import near_duplicates
 from sluice.llm.token_files import token_file_round_trip
 from sluice.llm.url_filters import url_verdicts
+from sluice.llm.warc import archive_report
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -214,3 +215,24 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_lm_scoring")
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return held_out_scores(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op5_warc",
+    """
+    WITH p AS (
+      SELECT page_id, strlen(coalesce(html, ''))::bigint AS payload_bytes,
+        sha1(encode(coalesce(html, ''))) AS payload_digest
+      FROM pages),
+    w AS (
+      SELECT payload_digest, max(page_id) AS winner FROM p WHERE payload_bytes >= 1000
+      GROUP BY payload_digest)
+    SELECT page_id, payload_bytes, payload_digest,
+      CASE WHEN winner IS NULL OR page_id IS NOT DISTINCT FROM winner THEN 'response'
+           ELSE 'revisit' END AS record_type,
+      CASE WHEN page_id IS DISTINCT FROM winner THEN winner END AS refers_to
+    FROM p LEFT JOIN w USING (payload_digest)
+    """,
+)
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_report(table(spark, sf_dir, "pages")).drop("error")
