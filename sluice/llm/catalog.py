@@ -11,6 +11,8 @@ from sluice.llm.bpe import round_trip
 from sluice.llm.common import table
 from sluice.llm.exact_dedup import exact_dedup
 from sluice.llm.fingerprints import edit_report
+from sluice.llm.language_id import identify_documents, identify_pages
+from sluice.llm.language_id import train as train_languages
 from sluice.llm.lm_scoring import held_out_scores
 from sluice.llm.mixing import mix
 from sluice.llm.near_dedup import near_duplicates
@@ -236,3 +238,14 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_report(table(spark, sf_dir, "pages")).drop("error")
+
+
+@query("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_documents(table(spark, sf_dir, "documents"))
+
+
+@query("language_id_pages")
+def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = train_languages(table(spark, sf_dir, "documents"))
+    return identify_pages(table(spark, sf_dir, "pages"), model)

@@ -118,6 +118,8 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
     rows = docs.select(key.alias("_key"), F.struct(*_columns(docs)).alias("_row")).join(
         right.alias("r"), "_key"
     )
+    if kept.where("count > 1").isEmpty():
+        return rows.select("_row.*")
     once = rows.where("NOT _again").select("_row.*")
     again = rows.where("_again").dropDuplicates(["_key"]).select("_row.*")
     return once.unionByName(again)
