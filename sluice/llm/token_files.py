@@ -19,16 +19,19 @@ Every part starts at a multiple of eight bytes. Files sorted by block and number
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.bpe import slices
+from sluice.llm.bpe import SPACE, slices
 from sluice.llm.common import shared_path, staged, text_or_empty
 
 MAGIC = int.from_bytes(b"DACFILE1", "little")
@@ -36,14 +39,26 @@ END_ID = 1
 FILE_TOKENS = 4_000_000
 CHUNK_BITS = 8
 BLOCK_BITS = 512
-MEMORY = 1 << 18  # words remembered by a worker; only speed depends on it
+MEMORY = 1 << 19  # pieces remembered by a worker; only speed depends on it
+
+# The pattern of the word tokenizer, and what ends the last token of a piece.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^" + SPACE + r"\p{L}\p{N}]+")
+# The same for texts in small letters below LATIN_END, with letters and numbers spelt out.
+LATIN_END = "\u0180"
+_L = r"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f"
+_N = r"0-9\xb2\xb3\xb9\xbc-\xbe"
+LATIN_PIECES = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{SPACE}{_L}{_N}]+"
+)
+WORD_END = "</w>"
 
 
 class Coder:
-    """A tokenizer of the tokenizers library that drops white space, asked word by word.
+    """A tokenizer of the tokenizers library that drops white space and marks the ends of words.
 
-    No token of such a tokenizer crosses white space, so a text's ids are those of its words.
-    Words are remembered as the bytes of their ids.
+    No token of such a tokenizer crosses a border of its pattern, so a text's ids are those of its
+    pieces. Pieces are remembered as the bytes of their ids; the library is asked for all new pieces
+    of some documents at once.
     """
 
     def __init__(self, path: str):
@@ -53,22 +68,57 @@ class Coder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.width = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[bytes, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        words = text.encode().split()
-        new = list(set(words).difference(self.known))
-        if new:
-            if len(self.known) + len(new) > MEMORY:
-                self.known.clear()
-                new = list(set(words))
-            texts = [word.decode() for word in new]
-            for word, found in zip(
-                new, self.tokenizer.encode_batch(texts, add_special_tokens=False)
-            ):
-                self.known[word] = np.array(found.ids, self.width).tobytes()
-        return b"".join(map(self.known.__getitem__, words))
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.width = np.dtype("<u2" if max(vocabulary.values()) < 1 << 16 else "<u4")
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for token, place in vocabulary.items():
+            self.ends[place] = token.endswith(WORD_END)
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.known: dict[str, bytes] = {}
+
+    def _split(self, text: str) -> list[str] | None:
+        """The pieces of a text, or None if the library should see it as it is."""
+        for special in self.special:
+            if special in text:
+                return None
+        if text.isascii():
+            return LATIN_PIECES.findall(text.lower())
+        low = unicodedata.normalize("NFC", text).lower()
+        # Sigma has two small forms, and small letters may compose anew.
+        if "Σ" in text or not unicodedata.is_normalized("NFC", low) or low.lower() != low:
+            return None
+        return (LATIN_PIECES if max(low) < LATIN_END else PIECES).findall(low)
+
+    def _encoded(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.width)
+
+    def _learn(self, pieces: list[str]) -> None:
+        ids = self._encoded(" ".join(pieces))
+        ends = np.flatnonzero(self.ends[ids]) + 1
+        if len(ends) != len(pieces):  # the library knows other letters and cuts a piece once more
+            for piece in pieces:
+                self.known[piece] = self._encoded(piece).tobytes()
+            return
+        data, size = ids.tobytes(), self.width.itemsize
+        begin = 0
+        for piece, end in zip(pieces, (ends * size).tolist()):
+            self.known[piece] = data[begin:end]
+            begin = end
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        split = [self._split(text) for text in texts]
+        new = set().union(*filter(None, split)).difference(self.known)
+        if len(self.known) + len(new) > MEMORY:
+            self.known.clear()
+            new = set().union(*filter(None, split))
+        new = list(new)
+        for begin in range(0, len(new), 4096):
+            self._learn(new[begin : begin + 4096])
+        known = self.known.__getitem__
+        return [
+            self._encoded(text).tobytes() if pieces is None else b"".join(map(known, pieces))
+            for text, pieces in zip(texts, split)
+        ]
 
 
 @lru_cache(maxsize=2)
@@ -206,7 +256,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
         end = np.array([END_ID], model.width).tobytes()
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = [model.encode(text) + end for text in part["text"].to_pylist()]
+                ids = [found + end for found in model.encode_all(part["text"].to_pylist())]
                 width = np.full(len(ids), model.width.itemsize, np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part["block"], part["doc_id"], pa.array(width), pa.array(ids, pa.binary())],
