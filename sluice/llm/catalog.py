@@ -96,9 +96,10 @@ KEPT_QUERY = (
         regexp_extract_all(html,
           '(?is)<meta\\s[^>]*http-equiv="refresh"[^>]*content="[^">]*url=([^">]*://[^">]*)"', 1)
       )) AS t FROM p WHERE u IS NOT NULL),
+    targets AS (SELECT page_id, t, coalesce({KEPT_QUERY.format(u="t")}, '') AS kept FROM links),
     edges AS (
       SELECT a, b FROM forms
-      UNION SELECT a, {ADDRESS.format(u="t")} FROM links JOIN forms USING (page_id)),
+      UNION SELECT a, {CANONICAL.format(u="t", q="kept")} FROM targets JOIN forms USING (page_id)),
     both_ways AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges),
     reach(node, root) AS (
       SELECT a, a FROM both_ways

@@ -117,8 +117,8 @@ def declared_targets(url: Column, html: Column) -> Column:
 def url_verdicts(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule, verdict, component.
 
-    Edges are: url to its canonical form, url to the canonical links and refresh targets that its
-    html declares, and ``redirects`` (src, dst) if given. Null urls and urls without ``://`` have
+    Edges are: url to its canonical form, url to that of the canonical links and refresh targets in
+    its html, and between those of ``redirects`` (src, dst) if given. Null urls and urls without ``://`` have
     empty host and path, no edges, and are allowed; null html declares nothing. Repeated rows get
     equal answers; extra columns are ignored; an empty table gives no rows. Nodes are MD5 digests
     of addresses, so hot pages cost 16 bytes an edge.
@@ -127,7 +127,7 @@ def url_verdicts(pages: DataFrame, rules=RULES, redirects: DataFrame | None = No
     node = F.unhex(F.md5(address(url)))
     declared = F.transform(
         F.coalesce(declared_targets(url, F.col("html")), F.array().cast("array<string>")),
-        lambda t: F.unhex(F.md5(address(t))),
+        lambda t: F.unhex(F.md5(canonical(t))),
     )
     host, path = host_of(url), path_of(url)
     read = staged(
@@ -148,8 +148,8 @@ def url_verdicts(pages: DataFrame, rules=RULES, redirects: DataFrame | None = No
     if redirects is not None:
         edges = edges.unionByName(
             redirects.select(
-                F.unhex(F.md5(address(F.col("src")))).alias("a"),
-                F.unhex(F.md5(address(F.col("dst")))).alias("b"),
+                F.unhex(F.md5(canonical(F.col("src")))).alias("a"),
+                F.unhex(F.md5(canonical(F.col("dst")))).alias("b"),
             )
         )
     groups = staged(components(edges), "aliases")
