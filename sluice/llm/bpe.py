@@ -16,7 +16,9 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,13 +31,18 @@ PIECES = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + SPACE + r"\p{L}\p{N}]+"
     r"|[" + SPACE + r"]+(?![^" + SPACE + r"])|[" + SPACE + r"]+"
 )
-# The same pattern as far as white space goes. Every piece lies within one of these chunks, and a
-# chunk's pieces do not depend on what is around it, so chunks can be remembered whole.
-CHUNKS = re.compile(rf" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
+# The same for texts below LATIN_END, with the letters and numbers spelt out.
+LATIN_END = "\u0250"
+_L = r"A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u024f"
+_N = r"0-9\xb2\xb3\xb9\xbc-\xbe"
+LATIN_PIECES = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{SPACE}{_L}{_N}]+"
+    rf"|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
+)
 
 LONG_WORD = 200  # bytes; beyond it a heap replaces the scan, with the same result
-MEMORY = 1 << 18  # chunks remembered by a worker; only speed depends on it
-LONG_CHUNK = 64  # characters; longer chunks are not remembered
+MEMORY = 1 << 19  # pieces remembered by a worker; only speed depends on it
+LONG_PIECE = 64  # characters; longer pieces are forgotten after use
 NO_RANK = 1 << 62
 SLICE_ROWS, SLICE_CHARS = 512, 1 << 21
 
@@ -60,9 +67,14 @@ class Vocabulary:
             data = json.load(file)
         ids = data["model"]["vocab"]
         letters = byte_letters()
-        self.token_bytes = {i: bytes(letters[c] for c in token) for token, i in ids.items()}
+        tokens = {i: bytes(letters[c] for c in token) for token, i in ids.items()}
         self.special = {t["content"]: t["id"] for t in data.get("added_tokens", [])}
-        self.token_bytes.update({i: text.encode() for text, i in self.special.items()})
+        tokens.update({i: text.encode() for text, i in self.special.items()})
+        ordered = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
+        self.width = np.dtype("<u2" if len(ordered) <= 1 << 16 else "<u4")
+        self.token_sizes = np.array([len(token) for token in ordered])
+        self.token_starts = np.cumsum(self.token_sizes) - self.token_sizes
+        self.token_table = np.frombuffer(b"".join(ordered), np.uint8)
         self.byte_ids = [0] * 256
         for letter, byte in letters.items():
             self.byte_ids[byte] = ids[letter]
@@ -76,7 +88,7 @@ class Vocabulary:
         if self.special:
             longest = sorted(self.special, key=len, reverse=True)
             self.cut = re.compile("(" + "|".join(map(re.escape, longest)) + ")")
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
 
     def merge_word(self, word: bytes) -> list[int]:
         """Ids of one word: boundaries and ranks side by side, one deletion a round."""
@@ -125,33 +137,53 @@ class Vocabulary:
                         heapq.heappush(heap, (found, left))
         return [p for p in parts if p >= 0]
 
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
-        ids: list[int] = []
-        for piece in self.pieces.findall(chunk):
-            ids += self.merge_word(piece.encode())
-        found = tuple(ids)
-        if len(chunk) <= LONG_CHUNK:
-            if len(self.known) >= MEMORY:
-                self.known.clear()
-            self.known[chunk] = found
+    def _split(self, text: str) -> list[str]:
+        """Pieces of a text; strings of special tokens are pieces of their own."""
+        pattern = LATIN_PIECES if not text or max(text) < LATIN_END else self.pieces
+        if not (self.cut and self.cut.search(text)):
+            return pattern.findall(text)
+        pieces: list[str] = []
+        for part in self.cut.split(text):
+            pieces += [part] if part in self.special else pattern.findall(part)
+        return pieces
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as bytes of type ``width``."""
+        split = [self._split(text) for text in texts]
+        used = set().union(*split)
+        if len(self.known) + len(used) > MEMORY:
+            self.known.clear()
+        new = used.difference(self.known)
+        for piece in new:
+            ids = (
+                [self.special[piece]] if piece in self.special else self.merge_word(piece.encode())
+            )
+            self.known[piece] = np.array(ids, self.width).tobytes()
+        known = self.known.__getitem__
+        found = [b"".join(map(known, pieces)) for pieces in split]
+        for piece in new:
+            if len(piece) > LONG_PIECE:
+                del self.known[piece]
         return found
 
     def encode(self, text: str) -> list[int]:
-        """Ids of a text; strings of special tokens become those tokens."""
-        ids: list[int] = []
-        known = self.known
-        for part in self.cut.split(text) if self.cut else (text,):
-            if part in self.special:
-                ids.append(self.special[part])
-                continue
-            for chunk in CHUNKS.findall(part):
-                found = known.get(chunk)
-                ids += self._chunk(chunk) if found is None else found
-        return ids
+        return np.frombuffer(self.encode_all([text])[0], self.width).tolist()
+
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of runs of ids, special tokens included; broken UTF-8 becomes U+FFFD.
+
+        All bytes are gathered at once: those of an id are a run of one table of all tokens.
+        """
+        sizes = self.token_sizes[ids]
+        stops = np.cumsum(sizes)
+        total = int(stops[-1]) if len(stops) else 0
+        places = np.repeat(self.token_starts[ids] - (stops - sizes), sizes) + np.arange(total)
+        data = self.token_table[places].tobytes()
+        cuts = np.concatenate([[0], stops])[np.concatenate([[0], ends])].tolist()
+        return [data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ids, special tokens included; broken UTF-8 becomes U+FFFD."""
-        return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
+        return self.decode_all(np.array(ids, np.int64), np.array([len(ids)]))[0]
 
 
 @lru_cache(maxsize=2)
@@ -185,10 +217,11 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
         model = vocabulary(path)
         for batch in batches:
             for part in slices(batch, "text"):
-                ids = [model.encode(text) for text in part["text"].to_pylist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"]
-                )
+                found = model.encode_all(part["text"].to_pylist())
+                ends = np.cumsum([0, *map(len, found)]) // model.width.itemsize
+                values = np.frombuffer(b"".join(found), model.width).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
+                yield pa.RecordBatch.from_arrays([part["doc_id"], ids], ["doc_id", "ids"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
@@ -204,7 +237,9 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for begin in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(begin, SLICE_ROWS)
-                texts = [model.decode(ids or ()) for ids in part["ids"].to_pylist()]
+                sizes = pa.compute.fill_null(pa.compute.list_value_length(part["ids"]), 0)
+                ids = part["ids"].flatten().to_numpy(zero_copy_only=False)
+                texts = model.decode_all(ids, np.cumsum(sizes.to_numpy(zero_copy_only=False)))
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], part["ids"], pa.array(texts, pa.string())],
                     ["doc_id", "ids", "text"],
