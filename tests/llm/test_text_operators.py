@@ -63,7 +63,7 @@ def test_scores_beat_the_base_on_held_out_text(docs):
 
 
 def test_score_of_a_pair_model(spark):
-    """Against the formula with exact quantised counts (few keys: no false positives expected)."""
+    """Against the formula with exact quantised counts; a false positive can only raise a score."""
     texts = ["a b a b a b c", "a b", "c a", "b b a c"] * 3
     rows = [(k, t, "", "") for k, t in enumerate(texts)]
     train = [tokens(t) for k, t, *_ in rows if not is_held_out(k)]
@@ -72,6 +72,7 @@ def test_score_of_a_pair_model(spark):
         one.update(own)
         two.update(zip(["start", *own], own))
     n, v = sum(one.values()), len(one)
+    exact = 0
     for row in scored(make_docs(spark, rows)):
         own = tokens(texts[row[0]])
         total = 0.0
@@ -81,14 +82,15 @@ def test_score_of_a_pair_model(spark):
             pair = two[before, word]
             seen = 2 ** int(math.log2(pair)) if pair else 0
             total += math.log10((seen + 10 * p1) / (context + 10))
-        assert row[6] == pytest.approx(total)
+        assert row[6] >= total - 1e-9
+        exact += row[6] == pytest.approx(total)
+    assert exact >= len(rows) // 2
 
 
 def test_filter_has_no_false_negatives():
     import numpy as np
 
-    pairs = np.arange(1, 5001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    pairs.sort()
+    pairs = np.sort(np.random.default_rng(5).integers(0, 1 << 63, 5000).astype(np.uint64))
     counts = np.arange(5000) % 37 + 1
     segment = lm_scoring.Segment(
         *lm_scoring.Segment.build(pairs, np.ones(5000, int), pairs, counts)
@@ -163,11 +165,11 @@ def test_multiset_hash(spark):
         (a == b).alias("order"),
         (fingerprints.combine(c, d) == a).alias("insert"),
         (fingerprints.combine(a, c, -1) == d).alias("delete"),
-        (a == e).alias("count"),
+        (a == e).alias("times"),
         fingerprints.likeness(a, b).alias("same"),
         fingerprints.likeness(c, d).alias("other"),
     ).first()
-    assert (row.order, row.insert, row.delete, row.count) == (True, True, True, False)
+    assert (row.order, row.insert, row.delete, row.times) == (True, True, True, False)
     assert row.same == 1.0 and row.other < 0.4
 
 
@@ -217,7 +219,7 @@ def test_taken_words_come_near_the_target(spark):
     for r in found:
         taken[r.source] += r.taken
     for r in found:
-        assert abs(taken[r.source] - r.target) < 0.05 * r.target
+        assert abs(taken[r.source] - r.target) < 0.1 * r.target
 
 
 def test_documents_languages(docs, odd_docs, no_docs):
@@ -253,6 +255,8 @@ def test_evidence_decides_where_texts_do_not(spark, docs):
     rows = [(k, f"http://a.host.fr/{k}", page.format("fr", "le la les une que dans pour")) for k in range(30)]
     rows += [(50, "http://a.host.fr/x", page.format("fr", "at")), (51, None, None)]
     rows += [(52, "http://b.host.fr/x", page.format("FR-ca", "at")), (53, "http://c.de/", "at")]
+    english = page.format("en", "the of and to in that is was thing with")
+    rows += [(100 + k, f"http://x.com/{k}", english) for k in range(60)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     found = {r.page_id: r for r in language_id.identify_pages(pages, model).collect()}
     assert found[50].lang == found[52].lang == "fr"
