@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from sluice.functions.ids import json_quote
 from sluice.functions.text import plain_text
+from sluice.session import reliable
 
 ENTRY = "array<struct<key:string,value:string,json:string>>"
 
@@ -168,29 +169,30 @@ def flat_values_text(entries: Column) -> Column:
     )
 
 
-def variant_entries(df: DataFrame, column: str, max_depth: int = 4) -> DataFrame:
+def variant_entries(df: DataFrame, column: str) -> DataFrame:
     """(path, value) rows of a VARIANT column whose keys are only known from the data.
 
-    One lateral explode per nesting level; each level only keeps the rows that still hold
-    objects. Arrays are leaves. Deeper levels than ``max_depth`` come back as JSON text.
+    One lateral explode per nesting level, until no row holds an object. Each level is written,
+    so that asking whether it is the last one computes it once. Arrays are leaves.
     """
     rest = [c for c in df.columns if c != column]
     tvf = df.sparkSession.tvf
-    level = df.select(*rest, F.lit("").alias("path"), F.col(column).alias("v"))
+    level = reliable(df.select(*rest, F.lit("").alias("path"), F.col(column).alias("v")))
+    is_object = F.schema_of_variant(F.col("v")).startswith("OBJECT")
     leaves = None
-    for depth in range(max_depth + 1):
-        is_object = F.schema_of_variant(F.col("v")).startswith("OBJECT")
-        done = level if depth == max_depth else level.filter(~is_object)
+    while True:
+        done = level.filter(F.coalesce(~is_object, F.lit(True)))
         done = done.select(*rest, "path", F.col("v").cast("string").alias("value"))
         leaves = done if leaves is None else leaves.unionByName(done)
-        if depth == max_depth:
-            return leaves
         nested = level.filter(is_object).alias("l")
+        if nested.isEmpty():
+            return leaves
         entries = nested.lateralJoin(tvf.variant_explode(F.col("l.v").outer()).alias("e"))
         name = F.when(F.col("l.path") == "", F.col("e.key")).otherwise(
             F.concat(F.col("l.path"), F.lit("_"), F.col("e.key"))
         )
-        level = entries.select(
-            *[F.col(f"l.`{c}`") for c in rest], name.alias("path"), F.col("e.value").alias("v")
+        level = reliable(
+            entries.select(
+                *[F.col(f"l.`{c}`") for c in rest], name.alias("path"), F.col("e.value").alias("v")
+            )
         )
-    return leaves

@@ -8,13 +8,11 @@ from pyspark.sql import functions as F
 from sluice.session import reliable
 
 
-def tree_closure(
-    edges: DataFrame, roots: DataFrame | None = None, max_rounds: int = 64
-) -> DataFrame:
+def tree_closure(edges: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     """(root, node, depth) of every node reachable from each root, roots included at depth 0.
 
     ``edges`` is ``(parent, child)``. Each round joins only the newest nodes to their children and
-    drops what was reached before, so cycles end. The frontier is written every round: that cuts
+    drops what was reached before, so it ends at any depth and cycles end too. The frontier is written every round: that cuts
     the growing lineage and survives lost executors. Hub nodes skew the edge side of the join,
     which adaptive execution splits.
     """
@@ -25,7 +23,9 @@ def tree_closure(
         start = roots.select(F.col(roots.columns[0]).alias("root")).distinct()
     frontier = reliable(start.select("root", F.col("root").alias("node"), F.lit(0).alias("depth")))
     reached = frontier
-    for depth in range(1, max_rounds + 1):
+    depth = 0
+    while True:
+        depth += 1
         step = (
             frontier.join(edges, F.col("node") == F.col("parent"))
             .select("root", F.col("child").alias("node"), F.lit(depth).alias("depth"))
@@ -36,16 +36,18 @@ def tree_closure(
         if frontier.isEmpty():
             return reached
         reached = reached.unionByName(frontier)
-    raise RuntimeError(f"edges reach deeper than {max_rounds} levels")
 
 
-def node_paths(nodes: DataFrame, max_rounds: int = 64, sep: str = "/") -> DataFrame:
-    """(id, path) of a forest given as ``(id, parent_id, name)``; roots have no known parent."""
+def node_paths(nodes: DataFrame, sep: str = "/") -> DataFrame:
+    """(id, path) of a forest given as ``(id, parent_id, name)``; roots have no known parent.
+
+    Nodes of a cycle have no root above them and no path.
+    """
     known = nodes.select(F.col("id").alias("parent_id")).distinct()
     rooted = nodes.join(known, "parent_id", "left_anti")
     frontier = reliable(rooted.select("id", F.col("name").alias("path")))
     done = frontier
-    for _ in range(max_rounds):
+    while True:
         step = nodes.alias("n").join(
             frontier.alias("f"), F.col("n.parent_id") == F.col("f.id")
         ).select("n.id", F.concat_ws(sep, F.col("f.path"), F.col("n.name")).alias("path"))
@@ -53,4 +55,3 @@ def node_paths(nodes: DataFrame, max_rounds: int = 64, sep: str = "/") -> DataFr
         if frontier.isEmpty():
             return done
         done = done.unionByName(frontier)
-    raise RuntimeError(f"paths are deeper than {max_rounds} levels")

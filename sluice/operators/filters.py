@@ -8,10 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.operators.batching import position_in_group
-
-# Default of spark.sql.optimizer.windowGroupLimitThreshold.
-GROUP_LIMIT = 1_000
+GROUP_SHARES = 32
 
 
 def glob_regex(pattern: str) -> str:
@@ -114,18 +111,21 @@ def cap_per_group(
 ) -> DataFrame:
     """First ``n`` rows per group in the given order (a report limit, not a sample).
 
-    A small limit is pushed below the shuffle, so every task ships at most ``n`` rows per group.
-    Spark does that up to its group limit threshold; above it, positions come from a distributed
-    order instead of one window task per group.
+    Rows are ranked within shares of a group first, and the first ``n`` of each share among each
+    other. So a hot group is spread over ``GROUP_SHARES`` tasks, and the last one reads ``n`` rows
+    of each share, for every ``n``.
     """
     keys = [group] if isinstance(group, str) else list(group)
-    if n > GROUP_LIMIT:
-        return position_in_group(df, keys, order, "_nth").filter(F.col("_nth") < n).drop("_nth")
-    window = Window.partitionBy(*keys).orderBy(*order)
+    share = F.pmod(F.monotonically_increasing_id(), F.lit(GROUP_SHARES))
+    within = Window.partitionBy(*keys, "_share").orderBy(*order)
+    among = Window.partitionBy(*keys).orderBy(*order)
     return (
-        df.withColumn("_rank", F.row_number().over(window))
+        df.withColumn("_share", share)
+        .withColumn("_rank", F.row_number().over(within))
+        .filter(F.col("_rank") <= n)
+        .withColumn("_rank", F.row_number().over(among))
         .filter(F.col("_rank") <= n)
-        .drop("_rank")
+        .drop("_rank", "_share")
     )
 
 

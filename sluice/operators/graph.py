@@ -11,7 +11,7 @@ from sluice.operators.sequence import ordered_lag
 # Labels and relationship names.
 DOCUMENT = "Document"
 CHUNK = "Chunk"
-ELEMENT = "UnstructuredElement"
+ELEMENT = "DocumentElement"
 ENTITY = "Entity"
 PART_OF_DOCUMENT = "PART_OF_DOCUMENT"
 PART_OF_CHUNK = "PART_OF_CHUNK"

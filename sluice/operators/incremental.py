@@ -52,10 +52,10 @@ def skip_existing_output(records: DataFrame, outputs: DataFrame, config_hash: st
 
 
 def status_report(errors: DataFrame) -> DataFrame:
-    """Failed records and messages per step."""
+    """Failures and distinct failed records per step."""
     return errors.groupBy("step").agg(
         F.count(F.lit(1)).alias("failures"),
-        F.approx_count_distinct("record_id").alias("approx_records"),
+        F.count_distinct("record_id").alias("records"),
     )
 
 

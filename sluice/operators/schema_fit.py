@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_FIELD_DEPTH = 10
-
 
 def fit_to_schema(
     df: DataFrame,
@@ -32,13 +30,17 @@ def fit_to_schema(
     return df.select(*out)
 
 
-def _prune(value: Column, have: T.DataType, want: T.DataType, depth: int) -> Column:
+def _prune(
+    value: Column, have: T.DataType, want: T.DataType, depth: int, max_depth: int | None
+) -> Column:
     if isinstance(have, T.StructType) and isinstance(want, T.StructType):
-        if depth >= MAX_FIELD_DEPTH:
+        if max_depth is not None and depth >= max_depth:
             return F.when(value.isNotNull(), F.struct())
         wanted = {f.name: f.dataType for f in want.fields}
         fields = [
-            _prune(value[f.name], f.dataType, wanted[f.name], depth + 1).alias(f.name)
+            _prune(value[f.name], f.dataType, wanted[f.name], depth + 1, max_depth).alias(
+                f.name
+            )
             for f in have.fields
             if f.name in wanted
         ]
@@ -47,17 +49,23 @@ def _prune(value: Column, have: T.DataType, want: T.DataType, depth: int) -> Col
         inner = want.elementType if isinstance(want, T.ArrayType) else want
         if isinstance(have.elementType, T.StructType) and isinstance(inner, T.StructType):
             return F.transform(
-                value, lambda item: _prune(item, have.elementType, inner, depth)
+                value, lambda item: _prune(item, have.elementType, inner, depth, max_depth)
             )
     return value
 
 
-def fit_nested_schema(df: DataFrame, target: T.StructType) -> DataFrame:
-    """Keep only fields of the target's field tree, at every level and inside lists of objects."""
+def fit_nested_schema(
+    df: DataFrame, target: T.StructType, max_depth: int | None = None
+) -> DataFrame:
+    """Keep only fields of the target's field tree, at every level and inside lists of objects.
+
+    ``max_depth`` is the depth a destination allows, if it has such a limit; objects below it are
+    emptied.
+    """
     wanted = {f.name: f.dataType for f in target.fields}
     return df.select(
         *[
-            _prune(F.col(f"`{f.name}`"), f.dataType, wanted[f.name], 1).alias(f.name)
+            _prune(F.col(f"`{f.name}`"), f.dataType, wanted[f.name], 1, max_depth).alias(f.name)
             for f in df.schema.fields
             if f.name in wanted
         ]

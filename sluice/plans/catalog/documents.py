@@ -22,7 +22,7 @@ def _listing(spark, sf):
     return docs.select(
         "doc_id",
         "lang",
-        F.substring(F.col("fullpath"), 6, 999).alias("path"),
+        F.regexp_replace("fullpath", r"^s3://", "").alias("path"),
         F.when(F.col("doc_id") % 11 == 3, 0)
         .otherwise(F.col("filesize_bytes"))
         .cast("long")
@@ -104,14 +104,6 @@ def sample_files(spark, sf):
     return listings.sample_files(index, 50, seed=7)
 
 
-@query("index_local")
-def index_local(spark, sf):
-    scanned = listings.scan_files(spark, sf)
-    return listings.index_local(scanned, f"file:{sf}").select(
-        "identifier", "filename", "rel_path", "filesize_bytes", "date_modified"
-    )
-
-
 @query(
     "hydrate_single_file",
     o.with_(
@@ -358,17 +350,6 @@ def read_content(spark, sf):
     )
 
 
-@query("scan_table_files")
-def scan_table_files(spark, sf):
-    """Binary scan of the table folder joined to its own index: real sizes win."""
-    scanned = listings.scan_files(spark, sf)
-    index = listings.index_files(scanned, f"file:{sf}/", "file").withColumn(
-        "filesize_bytes", F.lit(1).cast("long")
-    )
-    files = spark.read.format("binaryFile").load(sf).select("path", "content")
-    return listings.read_content(index, files).select("filename", "rel_path", "filesize_bytes")
-
-
 @query(
     "uncompress_archives",
     o.with_(
@@ -691,7 +672,7 @@ def skip_existing_output(spark, sf):
 @query(
     "status_report",
     "SELECT CASE WHEN l_returnflag = 'R' THEN 'partition' ELSE 'embed' END AS step, "
-    "count(*) AS failures FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1",
+    "count(*) AS failures, count(DISTINCT l_orderkey) AS records FROM lineitem WHERE l_returnflag <> 'N' GROUP BY 1",
 )
 def status_report(spark, sf):
     errors = table(spark, sf, "lineitem").filter("l_returnflag <> 'N'").select(
@@ -699,7 +680,7 @@ def status_report(spark, sf):
         F.when(F.col("l_returnflag") == "R", "partition").otherwise("embed").alias("step"),
         F.lit("x").alias("error"),
     )
-    return incremental.status_report(errors).drop("approx_records")
+    return incremental.status_report(errors)
 
 
 def scratch(spark, name: str) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from sluice.operators.incremental import classify_changes
 from sluice.functions.permissions import permissions_json
 from sluice.operators import acl, closure, graph
 from sluice.plans import oracle as o
@@ -47,9 +48,9 @@ def _with_entities(spark, sf):
     "graph_entity_edges",
     o.with_(
         o.LINES,
-        """SELECT element_id AS src, 'UnstructuredElement' AS src_label, lang AS dst,
+        """SELECT element_id AS src, 'DocumentElement' AS src_label, lang AS dst,
           'Entity' AS dst_label, 'HAS_ENTITY' AS relationship FROM parts WHERE pos % 11 = 1
-        UNION ALL SELECT element_id, 'UnstructuredElement', source, 'Entity', 'HAS_ENTITY'
+        UNION ALL SELECT element_id, 'DocumentElement', source, 'Entity', 'HAS_ENTITY'
           FROM parts WHERE pos % 11 IN (1, 4)
         UNION ALL SELECT lang, 'Entity', 'LANG', 'Entity', 'ENTITY_TYPE' FROM parts
           WHERE pos % 11 = 1
@@ -69,7 +70,7 @@ def graph_entity_edges(spark, sf):
         o.LINES,
         """SELECT identifier AS id, 'Document' AS label, filename AS name, date_created,
           NULL::varchar AS text FROM docs
-        UNION ALL SELECT element_id, 'UnstructuredElement', NULL, NULL, text FROM parts
+        UNION ALL SELECT element_id, 'DocumentElement', NULL, NULL, text FROM parts
         UNION ALL SELECT DISTINCT id, 'Entity', NULL, NULL, NULL FROM (
           SELECT lang AS id FROM parts WHERE pos % 11 IN (1, 4)
           UNION ALL SELECT source FROM parts WHERE pos % 11 IN (1, 4)
@@ -108,9 +109,9 @@ origins AS (
           ORDER BY pos) AS dst, 'Chunk' AS dst_label, 'NEXT_CHUNK' AS relationship FROM chunks
           QUALIFY dst IS NOT NULL
         UNION ALL SELECT chunk_id, 'Chunk', record_id, 'Document', 'PART_OF_DOCUMENT' FROM chunks
-        UNION ALL SELECT element_id, 'UnstructuredElement', chunk_id, 'Chunk', 'PART_OF_CHUNK'
+        UNION ALL SELECT element_id, 'DocumentElement', chunk_id, 'Chunk', 'PART_OF_CHUNK'
           FROM origins
-        UNION ALL SELECT element_id, 'UnstructuredElement', record_id, 'Document',
+        UNION ALL SELECT element_id, 'DocumentElement', record_id, 'Document',
           'PART_OF_DOCUMENT' FROM origins""",
     ),
 )
@@ -127,11 +128,11 @@ def graph_chunk_edges(spark, sf):
         o.LINES
         + """,
 edges AS (
-  SELECT element_id AS src, 'UnstructuredElement' AS src_label, record_id AS dst,
+  SELECT element_id AS src, 'DocumentElement' AS src_label, record_id AS dst,
     'Document' AS dst_label, 'PART_OF_DOCUMENT' AS relationship FROM parts
   UNION ALL SELECT * FROM (
-    SELECT element_id, 'UnstructuredElement', lag(element_id) OVER (PARTITION BY record_id ORDER BY
-      pos) AS dst, 'UnstructuredElement', 'NEXT_ELEMENT' FROM parts QUALIFY dst IS NOT NULL)
+    SELECT element_id, 'DocumentElement', lag(element_id) OVER (PARTITION BY record_id ORDER BY
+      pos) AS dst, 'DocumentElement', 'NEXT_ELEMENT' FROM parts QUALIFY dst IS NOT NULL)
 ),
 placed AS (
   SELECT *, (row_number() OVER (PARTITION BY relationship, src_label, dst_label ORDER BY src, dst)
@@ -338,9 +339,15 @@ granted AS (
 )
 
 
-@query("acl_drive", o.with_(_DRIVE, _nested_json("granted")))
+# Orders whose lines deliver access, with or without a grant that counts.
+_DELIVERED = """(SELECT * FROM granted
+  UNION ALL SELECT DISTINCT l_orderkey, NULL, NULL, NULL FROM lineitem)"""
+
+
+@query("acl_drive", o.with_(_DRIVE, _nested_json(_DELIVERED)))
 def acl_drive(spark, sf):
-    nested = acl.nest_grants(acl.drive_grants(_grants(spark, sf)))
+    permissions = _grants(spark, sf)
+    nested = acl.nest_grants(acl.drive_grants(permissions), permissions.select("doc_id"))
     return nested.select("doc_id", permissions_json(F.col("permissions_data")).alias("permissions"))
 
 
@@ -398,7 +405,7 @@ granted AS (
 )"""
 
 
-@query("acl_graph", o.with_(_GRAPH, _nested_json("granted")))
+@query("acl_graph", o.with_(_GRAPH, _nested_json(_DELIVERED)))
 def acl_graph(spark, sf):
     lines = table(spark, sf, "lineitem")
     number = F.col("l_linenumber") % 4
@@ -438,7 +445,7 @@ def acl_graph(spark, sf):
         none.alias("v2_many"),
         many.alias("v1_many"),
     )
-    nested = acl.nest_grants(acl.graph_grants(permissions))
+    nested = acl.nest_grants(acl.graph_grants(permissions), permissions.select("doc_id"))
     return nested.select("doc_id", permissions_json(F.col("permissions_data")).alias("permissions"))
 
 
@@ -603,7 +610,7 @@ digests AS (
         ORDER BY CASE WHEN kind = 'group' THEN '"' || id || '"' END), '') || '],"users":[' ||
       coalesce(string_agg(DISTINCT CASE WHEN kind = 'user' THEN '"' || id || '"' END, ','
         ORDER BY CASE WHEN kind = 'user' THEN '"' || id || '"' END), '') || ']}}' AS item
-    FROM (SELECT DISTINCT doc_id FROM granted) d
+    FROM (SELECT DISTINCT l_orderkey AS doc_id FROM lineitem) d
     CROSS JOIN (VALUES ('read'), ('update'), ('delete')) o(op)
     LEFT JOIN granted g ON g.doc_id = d.doc_id AND g.op = o.op GROUP BY 1, 2)
   GROUP BY 1
@@ -613,7 +620,46 @@ digests AS (
     ),
 )
 def acl_digest_change(spark, sf):
-    nested = acl.nest_grants(acl.drive_grants(_grants(spark, sf)))
+    permissions = _grants(spark, sf)
+    nested = acl.nest_grants(acl.drive_grants(permissions), permissions.select("doc_id"))
     nested = nested.withColumn("doc_id", F.col("doc_id").cast("string"))
     index = table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("identifier"))
     return acl.attach_permissions(index, nested).select("identifier", "permissions_version")
+
+
+@query(
+    "acl_revoked",
+    """
+    SELECT o_orderkey::varchar AS identifier,
+      CASE WHEN bool_or(l_returnflag <> 'R' AND l_linenumber % 7 < 6) THEN 'acl' ELSE 'none' END
+        AS change
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey
+    """,
+)
+def acl_revoked(spark, sf):
+    """All grants become link access, which no principal holds: every lost grant is a change."""
+    before = _grants(spark, sf)
+    after = before.withColumn("type", F.lit("anyone"))
+    index = before.select(F.col("doc_id").cast("string").alias("identifier")).distinct()
+
+    def access(permissions):
+        nested = acl.nest_grants(acl.drive_grants(permissions), permissions.select("doc_id"))
+        return acl.attach_permissions(
+            index, nested.withColumn("doc_id", F.col("doc_id").cast("string"))
+        )
+
+    state = access(before).select(
+        "identifier",
+        F.lit(1.0).alias("processed_at"),
+        F.lit("v").alias("version"),
+        "permissions_version",
+    )
+    now = access(after).select(
+        "identifier",
+        F.lit("0").alias("date_modified"),
+        F.lit("v").alias("version"),
+        "permissions_version",
+        F.lit(False).alias("reprocess"),
+    )
+    change = F.when(F.col("change") == "acl", "acl").otherwise("none")
+    return classify_changes(now, state).select("identifier", change.alias("change"))

@@ -368,7 +368,7 @@ def channel_to_text(spark, sf):
         (F.unix_micros(roles.utc("ts")) / 1000000).alias("ts"),
         F.concat_ws(" ", "props", F.col("event_id").cast("string")).alias("text"),
     )
-    return messages.channel_text(rows).select("identifier", "filename", "body")
+    return messages.channel_text(rows, messages.CHANNEL_LIMIT).select("identifier", "filename", "body")
 
 
 @query(
@@ -786,7 +786,7 @@ rendered AS (
     ),
 )
 def block_tree_to_html(spark, sf):
-    return blocks.blocks_to_html(_blocks(spark, sf), max_levels=2)
+    return blocks.blocks_to_html(_blocks(spark, sf))
 
 
 @query(
@@ -801,7 +801,7 @@ def block_tree_to_html(spark, sf):
     ),
 )
 def peer_rank(spark, sf):
-    return blocks.block_levels(_blocks(spark, sf), 2).select(
+    return blocks.block_levels(_blocks(spark, sf)).select(
         "block_id",
         F.col("peer_rank").cast("long").alias("peer_rank"),
         "peer_count",

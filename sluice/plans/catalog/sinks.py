@@ -149,7 +149,7 @@ def batched_sink(spark, sf):
 )
 def write_json_per_document(spark, sf):
     elements = roles.parts(spark, sf)
-    relative = F.substring("metadata.data_source.url", 13, 9999)
+    relative = F.regexp_replace("metadata.data_source.url", r"^s3://corpus/", "")
     documents = files.json_documents(elements.withColumn("path", relative), "path")
     folder = scratch(spark, "documents")
     written = files.write_documents(documents, folder).agg(F.sum("n_bytes")).first()[0]

@@ -33,19 +33,39 @@ SEPARATE = ["child_page", "child_database"]
 SIBLINGS = ["page_id", "parent_id"]
 
 
-def block_levels(blocks: DataFrame, max_levels: int = 16) -> DataFrame:
-    """Blocks with ``level`` (0 below the page), sibling ``peer_rank`` and ``peer_count``."""
+def block_levels(blocks: DataFrame) -> DataFrame:
+    """Blocks with ``level`` (0 below the page), sibling ``peer_rank`` and ``peer_count``.
+
+    One round per level, until a level is empty. Blocks that no page leads to have no level and
+    are left out; a block that is below itself raises.
+    """
     ranked = dense_position(blocks, "peer_rank", key=SIBLINGS, order="rank")
     counts = blocks.groupBy(*SIBLINGS).agg(F.count(F.lit(1)).alias("peer_count"))
     # Every round below reads the ranked blocks again, so they are written once.
     ranked = reliable(ranked.join(counts, SIBLINGS))
-    level = ranked.filter(F.col("parent_id") == F.col("page_id")).withColumn("level", F.lit(0))
-    out = level
-    for depth in range(1, max_levels + 1):
-        parents = level.select("page_id", F.col("block_id").alias("parent_id"))
-        level = ranked.join(parents, ["page_id", "parent_id"], "left_semi").withColumn(
-            "level", F.lit(depth)
+    found = [
+        reliable(
+            ranked.filter(F.col("parent_id") == F.col("page_id")).withColumn("level", F.lit(0))
         )
+    ]
+    total = None
+    while True:
+        depth = len(found)
+        parents = found[-1].select("page_id", F.col("block_id").alias("parent_id"))
+        level = reliable(
+            ranked.join(parents, ["page_id", "parent_id"], "left_semi").withColumn(
+                "level", F.lit(depth)
+            )
+        )
+        if level.isEmpty():
+            break
+        found.append(level)
+        if depth % 64 == 0:  # a tree is never deeper than it has blocks
+            total = total or ranked.count()
+            if depth > total:
+                raise ValueError("a block is below itself")
+    out = found[0]
+    for level in found[1:]:
         out = out.unionByName(level)
     return out
 
@@ -102,19 +122,18 @@ def _wrapped(children: Column) -> Column:
     return F.when(kind == "column", column).otherwise(wrapped)
 
 
-def blocks_to_html(
-    blocks: DataFrame, max_levels: int = 8, blocks_per_slice: int = 10_000
-) -> DataFrame:
+def blocks_to_html(blocks: DataFrame, blocks_per_slice: int = 10_000) -> DataFrame:
     """(page_id, slice, body) of ``(page_id, block_id, parent_id, rank, type, text, cells)``.
 
     Top-level blocks have their page as parent. Child pages and databases are documents of their
     own and leave no trace. Each round renders one level and folds it into its parents; a page
     with more than ``blocks_per_slice`` top-level blocks comes as numbered slices.
     """
-    levels = block_levels(blocks.filter(~F.col("type").isin(SEPARATE)), max_levels)
+    levels = block_levels(blocks.filter(~F.col("type").isin(SEPARATE)))
     placed = reliable(_own_html(levels))
+    deepest = placed.agg(F.max("level")).first()[0] or 0
     children = None
-    for depth in range(max_levels, -1, -1):
+    for depth in range(deepest, -1, -1):
         level = placed.filter(F.col("level") == depth)
         if children is None:
             html = F.concat("_open", "_close")

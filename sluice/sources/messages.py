@@ -50,6 +50,12 @@ def package_columns() -> tuple[Column, Column]:
     return identifier, F.concat(F.substring(identifier, 1, 16), F.lit(".xml"))
 
 
+def time_stamp(ts: Column) -> Column:
+    """(number, text) of a message time, in numeric order; null for texts that are no time."""
+    number = ts.try_cast("double")
+    return F.when(number.isNotNull(), F.struct(number.alias("number"), ts.alias("text")))
+
+
 def daily_packages(messages: DataFrame) -> DataFrame:
     """One index row per channel and UTC day.
 
@@ -58,7 +64,7 @@ def daily_packages(messages: DataFrame) -> DataFrame:
     one row per task.
     """
     activity = newest([F.col("ts"), F.col("latest_reply"), F.col("edited_ts")])
-    stamp = F.when(F.col("ts") != "", F.struct(F.col("ts").cast("double"), F.col("ts")))
+    stamp = time_stamp(F.col("ts"))
     grouped = (
         with_package(messages)
         .withColumn("_activity", activity)
@@ -82,13 +88,13 @@ def daily_packages(messages: DataFrame) -> DataFrame:
         fullpath=filename,
         display_name=filename,
         version=version,
-        date_created=F.col("oldest.ts"),
+        date_created=F.col("oldest.text"),
         date_modified=version,
         record_locator=F.create_map(
             F.lit("channel"), F.col("channel"),
             F.lit("day"), F.col("day"),
-            F.lit("oldest"), F.col("oldest.ts"),
-            F.lit("latest"), F.col("latest.ts"),
+            F.lit("oldest"), F.col("oldest.text"),
+            F.lit("latest"), F.col("latest.text"),
         ),
     )
 
@@ -197,7 +203,7 @@ def package_documents(messages: DataFrame, **options) -> DataFrame:
     )
 
 
-def channel_text(messages: DataFrame, limit: int = CHANNEL_LIMIT) -> DataFrame:
+def channel_text(messages: DataFrame, limit: int) -> DataFrame:
     """The newest ``limit`` messages of each channel, newest first, one per line.
 
     The limit is the feature (a channel history read); at most ``limit`` rows per channel leave

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sluice.operators.external import message_values
 from sluice.operators.tables import BucketedTable
 from sluice.sources.listings import doc_index
-from sluice.sources.messages import newest, package_columns, with_package
+from sluice.sources.messages import newest, package_columns, time_stamp, with_package
 
 
 def index_messages(stream: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def package_activity(stream: DataFrame, watermark: str | None = None) -> DataFra
     if watermark:
         stream = stream.withWatermark("event_time", watermark)
     activity = newest([F.col("ts"), F.col("latest_reply"), F.col("edited_ts")])
-    stamp = F.struct(F.col("ts").cast("double").alias("number"), F.col("ts").alias("text"))
+    stamp = time_stamp(F.col("ts"))
     identifier, filename = package_columns()
     return (
         with_package(stream)
