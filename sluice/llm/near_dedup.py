@@ -7,8 +7,9 @@
    most one error (13 chunks with two errors each would be 26). The allowed errors are enumerated:
    a chunk gives one key for each of its values left out, so signatures that agree in a chunk but
    for one value share a key. That is 64 keys a class.
-3. Pairs that share a key are compared by signature, then on the full sets. Only what decides the
-   components is compared, see ``near_duplicates``.
+3. Pairs that share a key are compared by signature, then by bitmaps of the sets, which bound the
+   size of their intersection from above, then on the full sets. Only what decides the components
+   is compared, see ``near_duplicates``.
 
 At a similarity of 0.85 or more, d is above 25 with a probability of less than 1e-5 (a binomial tail
 of 64 values that differ with probability 0.15). Everything else is exact.
@@ -32,6 +33,8 @@ SIMILARITY = 85  # per cent
 VALUES = 64
 CHUNKS = 13
 MAX_DISTANCE = 2 * CHUNKS - 1
+FILTER_BITS = 1 << 24
+BITMAP_BITS = 4096
 BLOCK = 2048  # signatures a side of a block of the last comparison
 MEMORY = 1 << 17
 
@@ -96,6 +99,28 @@ def signatures_of(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def bitmap_of(hashes: np.ndarray) -> np.ndarray:
+    """A set as bits, one for each hash modulo ``BITMAP_BITS``, as 64-bit words."""
+    bits = np.zeros(BITMAP_BITS, bool)
+    bits[(hashes % np.uint64(BITMAP_BITS)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").view(np.uint64)
+
+
+def may_link(n_a, n_b, bits_a: np.ndarray, bits_b: np.ndarray, similarity: int) -> np.ndarray:
+    """Whether sets of sizes ``n_a``, ``n_b`` can have the similarity, by row of their bitmaps.
+
+    Every common element sets a common bit, but for those that share a bit within one set: these
+    are its size less its bits. So the intersection has at most as many elements as there are
+    common bits and such doubles.
+    """
+    common = np.bitwise_count(bits_a & bits_b).sum(axis=-1).astype(np.int64)
+    most = np.minimum(
+        n_a - np.bitwise_count(bits_a).sum(axis=-1), n_b - np.bitwise_count(bits_b).sum(axis=-1)
+    )
+    most = np.minimum(common + most, np.minimum(n_a, n_b))
+    return 100 * most >= similarity * (n_a + n_b - most)
+
+
 def chunk_keys(signatures: np.ndarray) -> np.ndarray:
     """The keys of each signature: per chunk and place in it, a hash of the chunk's other values."""
     terms = _mixed(signatures.astype(np.uint64) + PLACE_SALTS) * PLACE_FACTORS
@@ -104,7 +129,7 @@ def chunk_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, set_hash, signature) of every row; both null for an empty set."""
+    """(doc_id, n_shingles, set_hash, signature, bitmap) of every row; null for an empty set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,6 +138,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 full = [s for s in sets if len(s)]
                 rows = iter(signatures_of(full)) if full else iter(())
                 found = [next(rows).tobytes() if len(s) else None for s in sets]
+                bits = [bitmap_of(s).tobytes() if len(s) else None for s in sets]
                 digest = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -120,12 +146,14 @@ def signatures(docs: DataFrame) -> DataFrame:
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(digest, pa.binary()),
                         pa.array(found, pa.binary()),
+                        pa.array(bits, pa.binary()),
                     ],
-                    ["doc_id", "n_shingles", "set_hash", "signature"],
+                    ["doc_id", "n_shingles", "set_hash", "signature", "bitmap"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, set_hash binary, signature binary"
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    return rows.mapInArrow(
+        run, "doc_id long, n_shingles long, set_hash binary, signature binary, bitmap binary"
     )
 
 
@@ -148,14 +176,20 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, VALUES)
 
 
+def _bitmaps(column: pa.Array) -> np.ndarray:
+    data = np.frombuffer(b"".join(column.to_pylist()), np.uint64)
+    return data.reshape(-1, BITMAP_BITS // 64)
+
+
 def _near(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
-    """The pairs (a, b) that are near by signature and whose set sizes allow the similarity."""
+    """The pairs (a, b) that are near by signature and whose bitmaps allow the similarity."""
 
     def side(name: str) -> DataFrame:
         return classes.select(
             F.col("rep").alias(name),
             F.col("n_shingles").alias(f"n_{name}"),
             F.col("signature").alias(f"s_{name}"),
+            F.col("bitmap").alias(f"m_{name}"),
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +197,14 @@ def _near(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             distance = (_matrix(batch["s_a"]) != _matrix(batch["s_b"])).sum(axis=1)
-            found = batch.filter(pa.array(distance <= MAX_DISTANCE))
+            fits = may_link(
+                batch["n_a"].to_numpy(),
+                batch["n_b"].to_numpy(),
+                _bitmaps(batch["m_a"]),
+                _bitmaps(batch["m_b"]),
+                similarity,
+            )
+            found = batch.filter(pa.array((distance <= MAX_DISTANCE) & fits))
             yield found.select(["a", "b"])
 
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
@@ -171,7 +212,6 @@ def _near(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
         pairs.join(side("a"), "a")
         .join(side("b"), "b")
         .where(small * 100 >= large * similarity)
-        .select("a", "b", "s_a", "s_b")
         .mapInArrow(run, "a long, b long")
     )
 
@@ -212,18 +252,17 @@ def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> Dat
     return rows.join(to, column, "left").withColumn(name, F.coalesce(name, column))
 
 
-def _cross_pairs(members: DataFrame) -> DataFrame:
-    """Near pairs (a, b) with different labels within each key of (key, rep, label, n, signature).
+def _cross_pairs(members: DataFrame, similarity: int) -> DataFrame:
+    """Near pairs (a, b) with different labels within each key.
 
-    Signatures of a key are compared in blocks of at most ``BLOCK`` a side, so a hot key becomes
-    many groups. Only pairs within the distance leave a block, and only from the first key they
-    share, so that no pair is given twice.
+    ``members`` is (key, size, rep, label, n_shingles, signature, bitmap). A key of ``size`` members is compared in blocks of
+    at most ``BLOCK`` a side, so a hot key becomes many groups. Only pairs within the distance whose
+    bitmaps allow the similarity leave a block, and only from the first key they share, so that no
+    pair is given twice.
     """
-    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
     split = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     dealt = (
-        members.join(sizes, "key")
-        .withColumn("own", F.pmod(F.xxhash64("rep"), split).cast("int"))
+        members.withColumn("own", F.pmod(F.xxhash64("rep"), split).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), split - 1)))
         .withColumn("low", F.least("own", "other"))
         .withColumn("high", F.greatest("own", "other"))
@@ -231,7 +270,8 @@ def _cross_pairs(members: DataFrame) -> DataFrame:
 
     def run(key, block):
         low, high = key[1].as_py(), key[2].as_py()
-        rows = _matrix(block["signature"])
+        rows, bits = _matrix(block["signature"]), _bitmaps(block["bitmap"])
+        sizes = block["n_shingles"].to_numpy()
         own = block["own"].to_numpy()
         reps, labels = block["rep"].to_numpy(), block["label"].to_numpy()
         keys = chunk_keys(rows)
@@ -242,6 +282,7 @@ def _cross_pairs(members: DataFrame) -> DataFrame:
             rest = second[(reps[second] > reps[i]) if low == high else slice(None)]
             rest = rest[labels[rest] != labels[i]]
             near = rest[(rows[rest] != rows[i]).sum(axis=1) <= MAX_DISTANCE]
+            near = near[may_link(sizes[near], sizes[i], bits[near], bits[i], similarity)]
             if not len(near):
                 continue
             at = (keys[near] == keys[i]).argmax(axis=1)
@@ -283,6 +324,7 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
         F.min("doc_id").alias("rep"),
         F.first("n_shingles").alias("n_shingles"),
         F.first("signature").alias("signature"),
+        F.first("bitmap").alias("bitmap"),
     )
     classes = staged(sets, "classes")
     keys = _keys(classes)
@@ -351,9 +393,24 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
 
 
 def _texts(docs: DataFrame, reps: DataFrame) -> DataFrame:
-    """(rep, text) of the classes to compare, written once."""
+    """(rep, text) of the classes to compare, written once.
+
+    Most texts have no candidate. A filter of ``FILTER_BITS`` bits, so of bounded size, keeps them
+    from being shuffled: it passes all classes asked for and some others, which the join drops.
+    """
+    reps = staged(reps.distinct(), "asked")
+    place = F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS))
+    word = F.floor(place / 64)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    words = reps.groupBy(word.alias("_word")).agg(F.bit_or(bit).alias("_bits"))
     rows = docs.select(F.col("doc_id").cast("long").alias("rep"), text_or_empty().alias("text"))
-    return staged(rows.join(reps.distinct(), "rep", "left_semi"), "texts")
+    likely = (
+        rows.withColumn("_word", word)
+        .join(F.broadcast(words), "_word")  # FILTER_BITS / 64 rows at most
+        .where(F.col("_bits").bitwiseAND(bit) != 0)
+        .select("rep", "text")
+    )
+    return staged(likely.join(reps, "rep", "left_semi"), "texts")
 
 
 def _open_pairs(
@@ -363,24 +420,13 @@ def _open_pairs(
     labelled = staged(_labelled(members.select("key", "rep"), labels, "rep", "label"), "labelled")
     open_keys = (
         labelled.groupBy("key")
-        .agg(F.min("label").alias("first"), F.max("label").alias("last"))
+        .agg(
+            F.min("label").alias("first"), F.max("label").alias("last"), F.count("*").alias("size")
+        )
         .where("first <> last")
-        .select("key")
+        .select("key", "size")
     )
     rows = labelled.join(open_keys, "key").join(
-        classes.select("rep", "n_shingles", "signature"), "rep"
-    )
-    pairs = _cross_pairs(staged(rows, "open")).distinct()
-    sizes = classes.groupBy("rep").agg(F.max("n_shingles").alias("most"), F.min("n_shingles").alias("least"))
-
-    def side(name: str) -> DataFrame:
-        return sizes.select(
-            F.col("rep").alias(name),
-            F.col("most").alias(f"most_{name}"),
-            F.col("least").alias(f"least_{name}"),
-        )
-
-    fits = (F.col("most_a") * 100 >= F.col("least_b") * similarity) & (
-        F.col("most_b") * 100 >= F.col("least_a") * similarity
+        classes.select("rep", "n_shingles", "signature", "bitmap"), "rep"
     )
-    return pairs.join(side("a"), "a").join(side("b"), "b").where(fits).select("a", "b")
+    return _cross_pairs(rows, similarity).distinct()
