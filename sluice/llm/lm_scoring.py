@@ -32,7 +32,7 @@ ADD = 0.1  # of the word distribution
 K = 10.0  # weight of the word distribution against a context
 BITS_PER_KEY = 10
 PROBES = 7
-SEGMENT_BYTES = 32 << 20  # of training text
+SEGMENT_BYTES = 16 << 20  # of training text
 BATCH_BYTES = 16 << 20  # of text, where lookups travel
 BROADCAST_BYTES = 256 << 20
 MEMORY = 1 << 17
@@ -167,7 +167,7 @@ def train(docs: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 8192, 1 << 23):
+            for part in slices(batch, "text", 8192, 1 << 22):
                 tokens, contexts, _ = token_hashes(part["text"].to_pylist())
                 words, word_counts = _counted(tokens)
                 pairs, pair_counts = _counted(pair_hashes(contexts, tokens))
@@ -283,7 +283,7 @@ def _by_broadcast(docs: DataFrame, model: DataFrame, totals: Totals) -> DataFram
 
         documents = int(ask(np.array([END]), "word_counts")[0])
         for batch in batches:
-            for part in slices(batch, "text", 4096, 1 << 22):
+            for part in slices(batch, "text", 4096, 1 << 21):
                 tokens, contexts, starts = token_hashes(part["text"].to_pylist())
                 count = ask(tokens, "word_counts")
                 before = np.roll(count, 1)
