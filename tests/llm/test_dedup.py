@@ -141,6 +141,22 @@ def test_chunks_share_a_key_within_one_error():
     assert (keys[0] == keys[1]).any()
 
 
+@pytest.mark.parametrize("n", [3, 60, 900, 20_000])
+def test_bitmaps_never_rule_out_a_link(n):
+    draw = np.random.default_rng(n)
+    for share in (0.7, 0.84, 0.86, 0.95, 1.0):
+        both = draw.integers(0, 1 << 63, max(1, int(n * share))).astype(np.uint64)
+        rest = draw.integers(0, 1 << 63, 2 * (n - len(both))).astype(np.uint64)
+        a = np.concatenate([both, rest[::2]])
+        b = np.concatenate([both, rest[1::2]])
+        linked = 100 * len(both) >= 85 * (len(a) + len(b) - len(both))
+        bits = near_dedup.bitmap_of(a), near_dedup.bitmap_of(b)
+        may = near_dedup.may_link(len(a), len(b), *bits, 85)
+        assert may or not linked
+        if n == 60 and share < 0.8:
+            assert not may
+
+
 @pytest.mark.parametrize("n", [1, 2, 40])
 def test_components(spark, n):
     edges = [(k, k + 1) for k in range(n)] + [(1000, 1000 + k) for k in range(1, 9)]
