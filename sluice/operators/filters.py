@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 GROUP_SHARES = 32
 
@@ -96,13 +98,27 @@ def folder_in(df: DataFrame, column: str, folders: Sequence[str]) -> DataFrame:
 
 
 def between_dates(
-    df: DataFrame, epoch_column: str, oldest: float | None = None, latest: float | None = None
+    df: DataFrame, column: str, oldest: float | None = None, latest: float | None = None
 ) -> DataFrame:
-    """Both bounds are inclusive; a missing bound is open."""
+    """Rows whose time lies between two epochs, both inclusive; a missing bound is open.
+
+    The column is a number (epoch seconds) or a time. For a time, the bounds become literals of its
+    type (UTC where it has no zone), so the stored column is compared and the scan can skip files.
+    """
+
+    def bound(epoch: float) -> Column:
+        kind = df.schema[column].dataType
+        if isinstance(kind, T.TimestampType):
+            return F.timestamp_micros(F.lit(round(epoch * 1_000_000)))
+        if isinstance(kind, T.TimestampNTZType):
+            moment = datetime.fromtimestamp(0, UTC) + timedelta(microseconds=round(epoch * 1e6))
+            return F.lit(moment.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(kind)
+        return F.lit(epoch)
+
     if oldest is not None:
-        df = df.filter(F.col(epoch_column) >= oldest)
+        df = df.filter(F.col(column) >= bound(oldest))
     if latest is not None:
-        df = df.filter(F.col(epoch_column) <= latest)
+        df = df.filter(F.col(column) <= bound(latest))
     return df
 
 

@@ -405,6 +405,30 @@ def uncompress_archives(spark, sf):
     )
 
 
+@query(
+    "archive_errors",
+    o.with_(
+        o.DOCS,
+        "SELECT identifier AS record_id, 'uncompress' AS step FROM docs WHERE doc_id % 5 = 1",
+    ),
+)
+def archive_errors(spark, sf):
+    """Texts that pose as archives are failures, one row each; the other documents are none."""
+    docs = roles.documents(spark, sf)
+    suffix = F.when(F.col("doc_id") % 5 == 1, ".zip").otherwise(".txt")
+
+    def renamed(path):
+        return F.concat(F.regexp_replace(path, r"\.txt$", ""), suffix).alias(path)
+
+    rows = docs.select(
+        "identifier",
+        *[renamed(path) for path in ("filename", "fullpath", "rel_path")],
+        "filesize_bytes",
+        F.encode("body", "UTF-8").alias("body_bytes"),
+    )
+    return archives.archive_errors(rows).select("record_id", "step")
+
+
 _GLOBS = ["*/en/*", "s3://corpus/src[1-3]/*.txt", "*src?/d[!x]/1*"]
 _GLOB_SQL = (
     "(fullpath GLOB '*/en/*' OR fullpath GLOB 's3://corpus/src[1-3]/*.txt' "
@@ -554,11 +578,8 @@ def folder_filter(spark, sf):
     "SELECT event_id FROM events WHERE epoch(ts) >= 1704500000 AND epoch(ts) <= 1705500000.5",
 )
 def date_range(spark, sf):
-    rows = table(spark, sf, "events").select(
-        "event_id",
-        (F.unix_micros(roles.utc("ts")) / 1000000).alias("epoch"),
-    )
-    return filters.between_dates(rows, "epoch", 1704500000, 1705500000.5).select("event_id")
+    rows = table(spark, sf, "events")
+    return filters.between_dates(rows, "ts", 1704500000, 1705500000.5).select("event_id")
 
 
 @query(

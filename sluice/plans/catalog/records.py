@@ -275,20 +275,8 @@ def package_version_max(spark, sf):
     ),
 )
 def recency_order(spark, sf):
-    from sluice.operators.batching import global_position
-
     index = messages.daily_packages(roles.messages(spark, sf))
-    ordered = index.select(
-        "channel",
-        "identifier",
-        "version",
-        (-F.coalesce(F.col("version").try_cast("double"), F.lit(0.0))).alias("age"),
-    )
-    placed = global_position(ordered, ["channel", "age", "identifier"])
-    first = placed.groupBy("channel").agg(F.min("position").alias("first"))
-    return placed.join(first, "channel").select(
-        "channel", "identifier", "version", (F.col("position") - F.col("first") + 1).alias("nth")
-    )
+    return messages.recency_order(index.select("channel", "identifier", "version"), "channel")
 
 
 @query(

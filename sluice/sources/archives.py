@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import tarfile
+import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -16,7 +20,10 @@ from sluice.functions.paths import file_name
 ZIP_SUFFIXES = [".zip"]
 TAR_SUFFIXES = [".tar", ".tar.gz", ".tgz"]
 
-_MEMBER = T.StructType([T.StructField("_member", T.StringType())])
+_MEMBER = T.StructType(
+    [T.StructField("_member", T.StringType()), T.StructField("error", T.StringType())]
+)
+BROKEN = (OSError, EOFError, ValueError, RuntimeError, NotImplementedError)
 
 
 def _is_safe(name: str) -> bool:
@@ -25,10 +32,6 @@ def _is_safe(name: str) -> bool:
 
 def _members(name: str, data: bytes) -> Iterator[tuple[str, bytes]]:
     """(member path, bytes) of the regular files of an archive held in memory."""
-    import io
-    import tarfile
-    import zipfile
-
     if name.endswith(tuple(ZIP_SUFFIXES)):
         with zipfile.ZipFile(io.BytesIO(data)) as archive:
             for info in archive.infolist():
@@ -45,8 +48,23 @@ def uncompress_archives(documents: DataFrame) -> DataFrame:
     """Replace archive rows (index columns and ``body_bytes``) by one row per member.
 
     Other rows pass through untouched by Python. Members whose path would leave the archive are
-    left out. Members stream out one at a time; memory holds one archive and one member.
+    left out. Members stream out one at a time; memory holds one archive and one member. Archives
+    that cannot be read are left out here and reported by :func:`archive_errors`.
     """
+    return _unpacked(documents).filter("error IS NULL").select(*documents.columns)
+
+
+def archive_errors(documents: DataFrame) -> DataFrame:
+    """(record_id, step, error) of the archives that cannot be read, or not to their end."""
+    return (
+        _unpacked(documents)
+        .filter("error IS NOT NULL")
+        .select(F.col("identifier").alias("record_id"), F.lit("uncompress").alias("step"), "error")
+    )
+
+
+def _unpacked(documents: DataFrame) -> DataFrame:
+    """Rows that are no archives, members, and a row with its ``error`` for each broken archive."""
     lower = F.lower("filename")
     suffixes = [(s, "zip") for s in ZIP_SUFFIXES] + [(s, "tar") for s in TAR_SUFFIXES]
     is_archive = F.lit(False)
@@ -66,15 +84,22 @@ def uncompress_archives(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = [*batch.schema.names, "_member"]
+            names = [*batch.schema.names, "_member", "error"]
+
+            def made(row: pa.RecordBatch, data, member, error) -> pa.RecordBatch:
+                columns = list(row.columns)
+                columns[at] = pa.array([data], pa.binary())
+                columns += [pa.array([member], pa.string()), pa.array([error], pa.string())]
+                return pa.RecordBatch.from_arrays(columns, names=names)
+
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1)
                 name = row.column("filename")[0].as_py().lower()
-                for member, data in _members(name, row.column("body_bytes")[0].as_py()):
-                    columns = list(row.columns)
-                    columns[at] = pa.array([data], pa.binary())
-                    columns.append(pa.array([member], pa.string()))
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
+                try:
+                    for member, data in _members(name, row.column("body_bytes")[0].as_py() or b""):
+                        yield made(row, data, member, None)
+                except (*BROKEN, zipfile.BadZipFile, tarfile.TarError, zlib.error) as problem:
+                    yield made(row, None, None, f"{type(problem).__name__}: {problem}")
 
     archives = marked.filter("_is_archive").mapInArrow(run, schema)
     inside = F.concat(F.col("_folder"), F.lit("/"), F.col("_member"))
@@ -82,12 +107,20 @@ def uncompress_archives(documents: DataFrame) -> DataFrame:
     def moved(path: str):
         return F.replace(F.col(path), F.col("filename"), inside)
 
+    failed = archives.filter("error IS NOT NULL")
     members = (
-        archives.withColumn("rel_path", moved("rel_path"))
+        archives.filter("error IS NULL")
+        .withColumn("rel_path", moved("rel_path"))
         .withColumn("fullpath", moved("fullpath"))
         .withColumn("identifier", uuid5_dns(F.col("fullpath")))
         .withColumn("filename", file_name(F.col("_member")))
         .withColumn("filesize_bytes", F.octet_length("body_bytes").cast("long"))
     )
     others = marked.filter(~F.col("_is_archive"))
-    return others.select(*documents.columns).unionByName(members.select(*documents.columns))
+    columns = [*documents.columns, "error"]
+    return (
+        others.withColumn("error", F.lit(None).cast("string"))
+        .select(*columns)
+        .unionByName(members.select(*columns))
+        .unionByName(failed.select(*columns))
+    )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.ids import sha256_id
 from sluice.functions.text import sanitize_name
+from sluice.operators.batching import global_position
 from sluice.operators.filters import cap_per_group
 from sluice.sources.listings import doc_index
 from sluice.sources.slices import ROWS_PER_SLICE, sliced_rows
@@ -100,9 +101,16 @@ def daily_packages(messages: DataFrame) -> DataFrame:
 
 
 def recency_order(index: DataFrame, group: str) -> DataFrame:
-    """Newest version first inside each group; a version that is no number sorts as zero."""
-    number = F.coalesce(F.col("version").try_cast("double"), F.lit(0.0))
-    return index.orderBy(F.col(group), number.desc(), F.col("identifier"))
+    """``index`` with ``nth`` (from 1): newest version first inside each group.
+
+    A version that is no number counts as zero. Positions come from a distributed order, so a hot
+    group is no single task.
+    """
+    age = -F.coalesce(F.col("version").try_cast("double"), F.lit(0.0))
+    placed = global_position(index.withColumn("_age", age), [group, "_age", "identifier"])
+    first = placed.groupBy(group).agg(F.min("position").alias("_first"))
+    nth = F.col("position") - F.col("_first") + 1
+    return placed.join(first, group).withColumn("nth", nth).drop("_age", "_first", "position")
 
 
 def attachments(messages: DataFrame) -> DataFrame:

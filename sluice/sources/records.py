@@ -58,13 +58,22 @@ def fetch_records(
 ) -> DataFrame:
     """Records of the given batches; a projection always starts with the id.
 
-    The id list becomes a semi join, so Spark chooses how to ship it and prunes columns.
+    Ids go back to the column's own type, so the range they span is filtered in the scan; the ids
+    themselves become a semi join, which Spark ships as it likes. Ids of types whose text does not
+    read back exactly (floats, binaries) are compared as text and scan the whole table.
     """
     id_name = resolve_column(table.columns, id_column)
     names = list(dict.fromkeys([id_name, *fields])) if fields else table.columns
     wanted = batches.select(F.explode("batch_items.identifier").alias("_id")).distinct()
-    rows = table.select(*names).withColumn("_id", F.col(id_name).cast("string"))
-    return rows.join(wanted, "_id", "left_semi").drop("_id")
+    rows = table.select(*names)
+    kind = table.schema[id_name].dataType
+    if not isinstance(kind, (T.IntegralType, T.StringType, T.DateType, T.DecimalType)):
+        rows = rows.withColumn("_id", F.col(id_name).cast("string"))
+        return rows.join(wanted, "_id", "left_semi").drop("_id")
+    native = wanted.select(F.col("_id").try_cast(kind).alias("_id"))
+    low, high = native.agg(F.min("_id"), F.max("_id")).first()
+    within = F.col(f"`{id_name}`").between(F.lit(low).cast(kind), F.lit(high).cast(kind))
+    return rows.filter(within).join(native, rows[id_name] == native["_id"], "left_semi")
 
 
 def rows_to_documents(

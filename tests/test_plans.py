@@ -5,8 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from sluice.operators import filters
 from sluice.plans import roles
 from sluice.plans.catalog import ORACLES, QUERIES
+from sluice.sources import records
 
 
 def plan(df):
@@ -84,3 +86,13 @@ def test_positions_need_no_single_task_over_rows(spark, sf_dir):
 def test_every_query_is_listed_once():
     assert set(ORACLES) <= set(QUERIES)
     assert len(QUERIES) > 170
+
+
+def test_ids_and_dates_reach_the_scan(spark, sf_dir):
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    batches = records.index_batches(customers, "customer", "c_custkey", 10).filter("batch_no = 2")
+    text = plan(records.fetch_records(customers, batches, "c_custkey"))
+    assert "GreaterThanOrEqual(c_custkey,20)" in text and "LessThanOrEqual(c_custkey,29)" in text
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    text = plan(filters.between_dates(events, "ts", 1704500000, 1705500000))
+    assert "GreaterThanOrEqual(ts," in text and "LessThanOrEqual(ts," in text
