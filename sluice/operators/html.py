@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -17,7 +19,9 @@ from sluice.operators.partition import data_source_struct, metadata_struct
 
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
 _HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
-_SRC = r"""(?i)<img\s(?:[^>]*?\s)?src\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+_SRC = (
+    r"""(?i)<img\s(?:(?:[^>"']|"[^"]*"|'[^']*')*?\s)?src\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+)
 
 # Tags that end a text run, and the element type their text gets.
 _TYPES = {
@@ -300,15 +304,37 @@ def inline_images(
         ).alias("_images")
     )
     joined = pages.join(per_page, page_id, "left")
+    # Pages without images to swap stay in the JVM.
+    swapped = F.when(F.col("_images").isNotNull(), _swap_images(F.col(html), F.col("_images")))
+    return joined.withColumn(html, F.coalesce(swapped, F.col(html))).drop("_images")
 
-    def swap(text: Column, image: Column) -> Column:
-        for quote in ('"', "'"):
-            text = F.replace(
-                text,
-                F.concat(F.lit(f"src={quote}"), image["src"], F.lit(quote)),
-                F.concat(F.lit(f"src={quote}"), image["data"], F.lit(quote)),
-            )
-        return text
 
-    swapped = F.aggregate("_images", F.col(html), swap)
-    return joined.withColumn(html, F.coalesce(swapped, F.col(html))).drop("_images")
+# Image tags, and the places where what looks like one is none.
+_IMAGE = re.compile(
+    r"""(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>|<img\b(?:[^>"']|"[^"]*"|'[^']*')*>"""
+)
+_SOURCE = re.compile(r"""(?is)(\ssrc\s*=\s*)(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+
+
+@F.arrow_udf(T.StringType())
+def _swap_images(pages: pa.Array, images: pa.Array) -> pa.Array:
+    """The pages with the sources of their image tags replaced; sources compare unescaped."""
+
+    def swapped(page: str | None, found: list[dict] | None) -> str | None:
+        if page is None or not found:
+            return page
+        data = {image["src"]: image["data"] for image in found}
+
+        def source(match: re.Match) -> str:
+            written = next(g for g in match.groups()[1:] if g is not None)
+            new = data.get(unescape(written))
+            return match[0] if new is None else f'{match[1]}"{new}"'
+
+        def tag(match: re.Match) -> str:
+            if match[0][:4].lower() != "<img":
+                return match[0]
+            return _SOURCE.sub(source, match[0], count=1)
+
+        return _IMAGE.sub(tag, page)
+
+    return pa.array(map(swapped, pages.to_pylist(), images.to_pylist()), pa.string())

@@ -224,3 +224,22 @@ def test_flow_key_depends_on_settings(spark, sf_dir):
     flow = Flow(roles.documents(spark, sf_dir)).partition()
     assert flow.key == Flow(roles.documents(spark, sf_dir)).partition().key
     assert flow.key != flow.chunk("basic", max_characters=99).key
+
+
+def test_images_are_swapped_at_their_tags(spark):
+    page = (
+        "<p>src=\"/a.png\"</p><IMG SRC=/a.png><img alt='>' src = '/b.png?x=1&amp;y=2'>"
+        '<a src="/a.png">no image</a><!-- <img src="/a.png"> --><img src="/gone.png">'
+    )
+    pages = spark.createDataFrame([(1, "http://s.example/p", page), (2, "http://s.example/q", "x")],
+                                  "page_id int, url string, html string")
+    assets = spark.createDataFrame(
+        [("http://s.example/a.png", bytearray(b"A")), ("http://s.example/b.png?x=1&y=2", bytearray(b"B"))],
+        "image_url string, content binary",
+    )
+    got = {r["page_id"]: r["html"] for r in html.inline_images(pages, assets, "page_id").collect()}
+    data = "data:image/png;base64,"
+    assert got[1] == page.replace("SRC=/a.png", f'SRC="{data}QQ=="').replace(
+        "'/b.png?x=1&amp;y=2'", f'"{data}Qg=="'
+    )
+    assert got[2] == "x"
