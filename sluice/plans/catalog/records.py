@@ -194,8 +194,8 @@ def astra_records_to_documents(spark, sf):
 @query(
     "airtable_tables_to_documents",
     f"""
-    SELECT {o.uuid5("('base' || c_mktsegment)")} AS identifier, slice,
-      CASE WHEN slice = 0 THEN ',c_name,created_time,id' || chr(10) ELSE '' END ||
+    SELECT {o.uuid5("('base' || c_mktsegment || CASE WHEN slice > 0 THEN '#' || slice ELSE '' END)")}
+        AS identifier, slice, ',c_name,created_time,id' || chr(10) ||
       string_agg(nth || ',' || c_name || ',2024-01-01T00:00:00.000Z,rec' || c_custkey, chr(10)
                  ORDER BY nth) || chr(10) AS body
     FROM (SELECT *, nth // 100 AS slice FROM (

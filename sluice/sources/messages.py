@@ -10,7 +10,7 @@ from sluice.functions.text import sanitize_name
 from sluice.operators.batching import global_position
 from sluice.operators.filters import cap_per_group
 from sluice.sources.listings import doc_index
-from sluice.sources.slices import ROWS_PER_SLICE, sliced_rows
+from sluice.sources.slices import ROWS_PER_SLICE, slice_identifier, sliced_rows
 
 CHANNEL_LIMIT = 100
 
@@ -181,7 +181,7 @@ def package_xml(messages: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> Da
     )
     identifier, filename = package_columns()
     return sliced.select(
-        identifier.alias("identifier"),
+        slice_identifier(identifier).alias("identifier"),
         "slice",
         filename.alias("filename"),
         F.concat(
@@ -198,13 +198,10 @@ def package_documents(messages: DataFrame, **options) -> DataFrame:
     text = F.regexp_replace(F.regexp_replace("body", r"^<\?xml[^>]*>", ""), "<[^>]*>", "\n")
     text = F.replace(F.replace(text, F.lit(" &lt;reply&gt; "), F.lit("\n")), F.lit("&lt;"), F.lit("<"))
     text = F.replace(F.replace(text, F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&"))
-    part = F.when(F.col("slice") == 0, F.lit("")).otherwise(
-        F.concat(F.lit("#"), F.col("slice").cast("string"))
-    )
     return doc_index(
         packages.withColumn("body", text),
         keep=("body",),
-        identifier=F.concat("identifier", part),
+        identifier=F.col("identifier"),
         connector_type=F.lit("slack"),
         filename=F.col("filename"),
         fullpath=F.col("filename"),

@@ -14,7 +14,7 @@ from sluice.functions.ids import record_identifier, uuid5_dns
 from sluice.functions.text import csv_line, plain_text
 from sluice.operators.batching import batch_rows
 from sluice.sources.listings import doc_index
-from sluice.sources.slices import sliced_text
+from sluice.sources.slices import slice_identifier, sliced_text
 
 SQL_BATCH = 100
 DOCUMENT_STORE_BATCH = 20
@@ -209,7 +209,7 @@ def table_documents(
     """One CSV document per table: columns by name, leading row index.
 
     ``rank`` orders the rows of a table. Tables above ``rows_per_slice`` rows come as numbered
-    slices of one document; the first slice carries the header.
+    slices, each a document of its own with the header, so each reads as a table.
     """
     names = sorted(c for c in rows.columns if c not in (table_key, rank))
     header = "," + ",".join(names) + "\n"
@@ -219,11 +219,12 @@ def table_documents(
         lines, table_key, rank, lambda r: F.concat(r["nth"].cast("string"), F.lit(","), r["text"]),
         "\n", text="_line", rows_per_slice=rows_per_slice,
     )
-    head = F.when(F.col("slice") == 0, F.lit(header)).otherwise(F.lit(""))
-    identifier = uuid5_dns(F.concat(F.lit(base), F.col(table_key).cast("string")))
+    identifier = uuid5_dns(
+        slice_identifier(F.concat(F.lit(base), F.col(table_key).cast("string")))
+    )
     filename = F.concat(F.col(table_key).cast("string"), F.lit(".csv"))
     return doc_index(
-        sliced.withColumn("body", F.concat(head, F.col("text"), F.lit("\n"))),
+        sliced.withColumn("body", F.concat(F.lit(header), F.col("text"), F.lit("\n"))),
         keep=("slice", "body"),
         identifier=identifier,
         connector_type=F.lit("airtable"),

@@ -13,6 +13,17 @@ from sluice.operators.sequence import dense_position
 ROWS_PER_SLICE = 10_000
 
 
+def slice_identifier(identifier: Column, part: str = "slice") -> Column:
+    """The identifier of a slice: the document's own for the first, with its number for others.
+
+    So positions and element ids of different slices never collide.
+    """
+    number = F.when(F.col(part) == 0, F.lit("")).otherwise(
+        F.concat(F.lit("#"), F.col(part).cast("string"))
+    )
+    return F.concat(identifier, number)
+
+
 def sliced_rows(
     rows: DataFrame,
     key: str | Sequence[str],

@@ -11,7 +11,7 @@ from sluice.functions.dates import iso_to_epoch_string
 from sluice.functions.text import fix_unescaped_unicode
 from sluice.operators.filters import cap_per_group, first_seen_wins, status_in
 from sluice.sources.listings import doc_index
-from sluice.sources.slices import ROWS_PER_SLICE, sliced_text
+from sluice.sources.slices import ROWS_PER_SLICE, slice_identifier, sliced_text
 
 # Printed fields of tickets and comments, in print order.
 TICKET_FIELDS = ["created_at", "description", "id", "subject"]
@@ -37,7 +37,7 @@ def tickets_to_text(
 ) -> DataFrame:
     """(identifier, slice, body): the ticket, then its comments in order.
 
-    A ticket with more than ``rows_per_slice`` comments continues in further slices.
+    A ticket with more than ``rows_per_slice`` comments continues in further slices, each a document of its own.
     """
     rendered = comments.select(
         ticket_key, order, _field_lines("comment", COMMENT_FIELDS).alias("text")
@@ -51,9 +51,10 @@ def tickets_to_text(
     joined = heads.join(sliced, ticket_key, "left")
     slice_no = F.coalesce("slice", F.lit(0))
     head = F.when(slice_no == 0, F.col("_head")).otherwise(F.lit(""))
+    joined = joined.withColumn("slice", slice_no)
     return joined.select(
-        F.col(ticket_key).cast("string").alias("identifier"),
-        slice_no.alias("slice"),
+        slice_identifier(F.col(ticket_key).cast("string")).alias("identifier"),
+        "slice",
         F.concat(F.col(ticket_key).cast("string"), F.lit(".txt")).alias("filename"),
         F.concat(head, F.coalesce("text", F.lit(""))).alias("body"),
     )
@@ -149,7 +150,7 @@ def issues_to_text(
     ``issues`` is (id, key, project_key, project_name, issue_type, status, priority, assignee_id,
     assignee_name, reporter_email, reporter_name, labels, components, summary, description,
     attachments); ``comments`` is (key, rank, author, body). Sections are joined by the record
-    separator. Issues with very many comments continue in further slices.
+    separator. Issues with very many comments continue in further slices, each a document of its own.
     """
     cell, record = F.lit(CELL_SEPARATOR), F.lit(RECORD_SEPARATOR)
     rendered = comments.select(
@@ -211,7 +212,7 @@ def issues_to_text(
         RECORD_SEPARATOR, ids, project, drop_downs, F.lit(""), comments_text, texts
     )
     return joined.select(
-        F.col("id").cast("string").alias("identifier"),
+        slice_identifier(F.col("id").cast("string")).alias("identifier"),
         "slice",
         F.concat(F.col("key"), F.lit(".txt")).alias("filename"),
         F.when(F.col("slice") == 0, whole).otherwise(comments_text).alias("body"),
