@@ -23,7 +23,7 @@ ORACLE_SQL = None
 
 
 def _without(docs: DataFrame, key, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose ``key`` is in ``dropped`` (_key); no column names can clash."""
+    """``docs`` without the rows whose ``key`` is in ``dropped`` (_key); no names can clash."""
     row = F.struct(*[F.col(f"`{name}`") for name in docs.columns])
     rows = docs.select(key.alias("_key"), row.alias("_row"))
     return rows.join(dropped, "_key", "left_anti").select("_row.*")

@@ -1,8 +1,8 @@
 """Byte-level BPE by a contiguous rank array.
 
-A word is a list of part boundaries with the rank of every pair of neighbours beside it. The smallest
-rank is found by a scan, its inner boundary is deleted, and the ranks of the two new neighbours are
-looked up again, until no pair has a rank. Words longer than ``LONG_WORD`` bytes, for which repeated
+A word is a list of part boundaries with the rank of every pair of neighbours beside it. The
+smallest rank is found by a scan, its inner boundary is deleted, and the ranks of the two new
+neighbours are looked up again, until no pair has a rank. Words longer than ``LONG_WORD`` bytes, for which repeated
 scans would cost the square of their length, take the same merges from a heap.
 
 The vocabulary is read from a public tokenizer file on every worker; its path is a parameter.
@@ -18,7 +18,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -194,8 +194,8 @@ def vocabulary(path: str) -> Vocabulary:
 def slices(
     batch: pa.RecordBatch, column: str, rows: int = SLICE_ROWS, size: int = SLICE_CHARS
 ) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of at most ``rows`` rows and, but for single rows, ``size`` bytes of text."""
-    lengths = pa.compute.fill_null(pa.compute.binary_length(batch[column]), 0).to_pylist()
+    """The batch in runs of at most ``rows`` rows and ``size`` bytes of text, or one longer row."""
+    lengths = pc.fill_null(pc.binary_length(batch[column]), 0).to_pylist()
     begin = held = 0
     for row, length in enumerate(lengths):
         if row > begin and (row - begin >= rows or held + length > size):
@@ -237,7 +237,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for begin in range(0, batch.num_rows, SLICE_ROWS):
                 part = batch.slice(begin, SLICE_ROWS)
-                sizes = pa.compute.fill_null(pa.compute.list_value_length(part["ids"]), 0)
+                sizes = pc.fill_null(pc.list_value_length(part["ids"]), 0)
                 ids = part["ids"].flatten().to_numpy(zero_copy_only=False)
                 texts = model.decode_all(ids, np.cumsum(sizes.to_numpy(zero_copy_only=False)))
                 yield pa.RecordBatch.from_arrays(

@@ -192,7 +192,7 @@ def with_next(docs: DataFrame, columns: list[Column], block_docs: int = BLOCK_DO
 
 
 def edited_text(text: Column, other: Column) -> Column:
-    """The last floor(n / 2) code points replaced by as many (or all) from the start of ``other``."""
+    """The last floor(n / 2) code points replaced by the first as many (or all) of ``other``."""
     n = F.char_length(text)
     half = F.floor(n / 2).cast("int")
     return F.concat(F.substr(text, F.lit(1), n - half), F.substr(other, F.lit(1), half))

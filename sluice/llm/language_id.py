@@ -9,8 +9,8 @@ The posterior of a language is the product of
 * the prior of the host, smoothed by its domain, that by the address suffix, and that by all rows.
   Counts are grouped aggregates over all rows; a row's own vote is taken out of its host's.
 
-The trigram model is fitted to a sample of labelled documents, about ``SAMPLE_ROWS`` a language chosen
-by the hash of the id; all other counts are over all rows. A text that is better explained by evenly
+The trigram model is fitted to a sample of labelled documents, about ``SAMPLE_ROWS`` a language,
+chosen by the hash of the id; all other counts are over all rows. A text that is better explained by evenly
 spread trigrams than by any language, or has no letters, is rejected.
 """
 
@@ -203,7 +203,8 @@ def identify(rows: DataFrame, model: TextModel, levels: Sequence[str]) -> DataFr
     )
 
     # Votes by the finest level, and priors from coarse to fine.
-    finest = staged(read.groupBy(*levels).agg(*[v.alias(f"n{k}") for k, v in enumerate(votes)]), "votes")
+    counted = [v.alias(f"n{k}") for k, v in enumerate(votes)]
+    finest = staged(read.groupBy(*levels).agg(*counted), "votes")
     all_votes = finest.agg(*[F.sum(f"n{k}") for k in range(size)]).first()
     all_votes = [n or 0 for n in all_votes]
     parent = F.array(*[F.lit((n + 1) / (sum(all_votes) + size)) for n in all_votes])
@@ -216,7 +217,9 @@ def identify(rows: DataFrame, model: TextModel, levels: Sequence[str]) -> DataFr
         if priors is None:
             table = table.withColumn("parent", parent)
         else:
-            above = priors.select(F.struct(*part[:-1]).alias("_above"), F.col("prior").alias("parent"))
+            above = priors.select(
+                F.struct(*part[:-1]).alias("_above"), F.col("prior").alias("parent")
+            )
             table = table.withColumn("_above", F.struct(*part[:-1])).join(above, "_above")
         count = F.aggregate("votes", F.lit(0).cast("long"), lambda total, n: total + n)
         priors = staged(

@@ -5,7 +5,8 @@ q = 1 + floor(log2 c): the filter gets the keys (pair, 1) to (pair, q). A lookup
 (pair, 2), .. until one is missing, and takes 2^(q - 1) as the count, a lower bound. Word counts are
 kept exactly, as sorted arrays. Scores are smoothed by the word distribution P1:
 
-    P(w | v) = (min(2^(q - 1), c(v), c(w)) + K * P1(w)) / (c(v) + K),   P1(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1))
+    P(w | v) = (min(2^(q - 1), c(v), c(w)) + K * P1(w)) / (c(v) + K)
+    P1(w) = (c(w) + 0.1) / (N + 0.1 * (V + 1))
 
 so they sum to at most 1 over w but for false positives of the filter (below 1 % of unseen pairs).
 
@@ -61,7 +62,7 @@ def _mixed(values: np.ndarray) -> np.ndarray:
 
 
 def token_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(tokens, contexts, starts): hashes of all tokens, of the token before each, and where texts begin.
+    """(tokens, contexts, starts): hashes of tokens and of those before, and where texts begin.
 
     Tokens are the words in lower case (A-Z) and one end; the first has the start as context.
     """
@@ -193,7 +194,9 @@ def train(docs: DataFrame) -> DataFrame:
         def joined(name, kind):
             return np.frombuffer(b"".join(table[name].to_pylist()), kind)
 
-        words, counts = _counted(joined("words", np.uint64), joined("counts", np.uint32).astype(int))
+        words, counts = _counted(
+            joined("words", np.uint64), joined("counts", np.uint32).astype(int)
+        )
         pairs, pair_counts = _counted(
             joined("pairs", np.uint64), joined("pair_counts", np.uint32).astype(int)
         )
@@ -220,13 +223,12 @@ class Totals:
     """What the formulas need of the whole corpus."""
 
     def __init__(self, model: DataFrame):
+        size = F.octet_length("words") + F.octet_length("counts") + F.octet_length("bloom")
         row = model.agg(
             F.sum("tokens").alias("n"),
             F.sum(F.octet_length("words") / 8).cast("long").alias("v"),
             F.max("segments").alias("segments"),
-            F.sum(F.octet_length("words") + F.octet_length("counts") + F.octet_length("bloom")).alias(
-                "bytes"
-            ),
+            F.sum(size).alias("bytes"),
         ).first()
         self.tokens, self.words = row["n"] or 0, row["v"] or 0
         self.segments, self.bytes = row["segments"] or 1, row["bytes"] or 0
@@ -364,7 +366,8 @@ def _by_travel(docs: DataFrame, model: DataFrame, totals: Totals) -> DataFrame:
         .cogroup(model.groupBy("segment"))
         .applyInArrow(answers, "batch int, segment int, counts binary, levels binary")
     )
-    return dealt.groupBy("batch").cogroup(returned.groupBy("batch")).applyInArrow(score, SCORE_SCHEMA)
+    both = dealt.groupBy("batch").cogroup(returned.groupBy("batch"))
+    return both.applyInArrow(score, SCORE_SCHEMA)
 
 
 def score(docs: DataFrame, model: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:

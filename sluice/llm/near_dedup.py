@@ -255,10 +255,10 @@ def _labelled(rows: DataFrame, labels: DataFrame, column: str, name: str) -> Dat
 def _cross_pairs(members: DataFrame, similarity: int) -> DataFrame:
     """Near pairs (a, b) with different labels within each key.
 
-    ``members`` is (key, size, rep, label, n_shingles, signature, bitmap). A key of ``size`` members is compared in blocks of
-    at most ``BLOCK`` a side, so a hot key becomes many groups. Only pairs within the distance whose
-    bitmaps allow the similarity leave a block, and only from the first key they share, so that no
-    pair is given twice.
+    ``members`` is (key, size, rep, label, n_shingles, signature, bitmap). A key of ``size`` members
+    is compared in blocks of at most ``BLOCK`` a side, so a hot key becomes many groups. Only pairs
+    within the distance whose bitmaps allow the similarity leave a block, and only from the first
+    key they share, so that no pair is given twice.
     """
     split = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     dealt = (

@@ -1,8 +1,8 @@
 """Token ids in binary files that give any token directly.
 
 Ids are split into chunks of eight bits. Level 0 holds the low chunk of every token, a bitmap tells
-which tokens continue, and level k + 1 holds the next chunks of those that do. A rank directory holds
-the number of set bits before every 512th bit, so the place of a token in the next level is one
+which tokens continue, and level k + 1 holds the next chunks of those that do. A rank directory
+holds the number of set bits before every 512th bit, so the place of a token in the next level is one
 directory entry and the bits of one block. A token is read with at most four such steps and without
 decoding its neighbours.
 
@@ -13,7 +13,8 @@ A file holds a run of documents in ascending doc_id order:
     per level: entries, chunks (1 byte each), bitmap (64-bit words), directory (64 bit per 512 bits)
     a line feed
 
-Every part starts at a multiple of eight bytes. Files sorted by block and number are in doc_id order.
+Every part starts at a multiple of eight bytes. Sorted by block and number, files are in doc_id
+order.
 """
 
 from __future__ import annotations
@@ -131,7 +132,7 @@ def _padded(data: bytes) -> bytes:
 
 
 def build_file(block: int, number: int, ids: list, sizes: list[int], tokens: np.ndarray) -> bytes:
-    """The bytes of a file but the last; ``ids`` and ``sizes`` per document, ``tokens`` of all of them."""
+    """The bytes of a file but the last; ``ids`` and ``sizes`` per document, ``tokens`` of all."""
     starts = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype("<i8")
     null = np.array([i is None for i in ids], "<i8")
     known = np.array([0 if i is None else i for i in ids], "<i8")
@@ -321,7 +322,7 @@ def write_token_files(
 
 
 def read_token_files(spark, path: str) -> DataFrame:
-    """One row per document in the files: block, number, doc_id, local_start, n_tokens, ids_crc32."""
+    """One row per document in the files, with its place, first token, size and checksum there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -108,20 +108,22 @@ def declared_targets(url: Column, html: Column) -> Column:
         F.transform(links, lambda t: _attribute(t, "href")),
         F.transform(
             metas,
-            lambda t: F.regexp_extract(_attribute(t, "content"), r"(?is)url\s*=\s*['\"]?([^'\"]*)", 1),
+            lambda t: F.regexp_extract(
+                _attribute(t, "content"), r"(?is)url\s*=\s*['\"]?([^'\"]*)", 1
+            ),
         ),
     )
     return F.filter(F.transform(to, lambda t: _absolute(url, t)), lambda t: t.isNotNull())
 
 
 def url_verdicts(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) -> DataFrame:
-    """One row per row of ``pages``: page_id, host, path, rule, verdict, component.
+    """One row per row of ``pages``: page_id, host, path, rule, verdict.
 
     Edges are: url to its canonical form, url to that of the canonical links and refresh targets in
-    its html, and between those of ``redirects`` (src, dst) if given. Null urls and urls without ``://`` have
-    empty host and path, no edges, and are allowed; null html declares nothing. Repeated rows get
-    equal answers; extra columns are ignored; an empty table gives no rows. Nodes are MD5 digests
-    of addresses, so hot pages cost 16 bytes an edge.
+    its html, and between those of ``redirects`` (src, dst) if given. Null urls and urls without
+    ``://`` have empty host and path, no edges, and are allowed; null html declares nothing.
+    Repeated rows get equal answers; extra columns are ignored; an empty table gives no rows. Nodes
+    are MD5 digests of addresses, so hot pages cost 16 bytes an edge.
     """
     url = F.col("url")
     node = F.unhex(F.md5(address(url)))
@@ -156,7 +158,7 @@ def url_verdicts(pages: DataFrame, rules=RULES, redirects: DataFrame | None = No
     decided = (
         read.where("own IS NOT NULL AND node IS NOT NULL")
         .groupBy("node")
-        .agg(F.max(F.col("own") == "allow").alias("allow"), F.max(F.col("own") == "block").alias("block"))
+        .agg(F.max(F.col("own") == "allow").alias("allow"))
     )
     verdicts = staged(
         groups.join(decided, "node")

@@ -3,7 +3,8 @@
 Pages are written as HTTP responses in chunked transfer framing; a response above ``segment_bytes``
 is cut into a first record and continuations. Copies of a payload become revisit records. Reading
 parses the records, groups continuations by the identifier of their origin, orders them by segment
-number, verifies that the numbers are complete and the total length is right, and decodes the framing.
+number, verifies that the numbers are complete and the total length is right, and decodes the
+framing.
 
 Archives are written by Spark's text writer, whose line separator is the separator of WARC records,
 and read as a stream by its reader, so they may be in any store that Spark reaches.
@@ -153,7 +154,9 @@ def write_archives(
         hashed.where(F.octet_length("payload") >= revisit_bytes).select("page_id", "digest"),
         "payloads",
     )
-    winners = narrow.groupBy("digest").agg(F.max("page_id").alias("winner"), F.count("*").alias("n"))
+    winners = narrow.groupBy("digest").agg(
+        F.max("page_id").alias("winner"), F.count("*").alias("n")
+    )
     others = staged(
         narrow.join(staged(winners.where("n > 1"), "winners"), "digest")
         .where("winner IS NOT NULL AND NOT page_id <=> winner")
