@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -22,13 +24,32 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/corpus/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
+    """Within it, Arrow batches have at most ``rows`` rows, as whole texts make long rows.
+
+    A batch is held by the JVM and by Python at once, for every core of an executor.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back, which cuts its lineage.
 
     A lost executor then costs a reread and not the stages before.
     """
     path = shared_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

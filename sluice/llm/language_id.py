@@ -94,8 +94,9 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TextModel:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(languages), BUCKETS), np.int64)
         for batch in batches:
-            for k, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
-                total[k] += np.bincount(trigrams(text), minlength=BUCKETS)
+            for part in slices(batch, "text"):
+                for k, text in zip(part["lang"].to_pylist(), part["text"].to_pylist()):
+                    total[k] += np.bincount(trigrams(text), minlength=BUCKETS)
         where = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [

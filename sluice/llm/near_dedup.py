@@ -36,7 +36,7 @@ MAX_DISTANCE = 2 * CHUNKS - 1
 FILTER_BITS = 1 << 24
 BITMAP_BITS = 4096
 BLOCK = 2048  # signatures a side of a block of the last comparison
-MEMORY = 1 << 17
+MEMORY = 1 << 16
 
 _RANDOM = np.random.Generator(np.random.Philox(20))
 _ODD = np.uint64(1)
@@ -230,14 +230,15 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, similarity: int) -> DataFrame
             return seen[rep]
 
         for batch in batches:
-            keep = []
-            for a, b, text_a, text_b in zip(
-                *(batch[name].to_pylist() for name in ("a", "b", "t_a", "t_b"))
-            ):
-                x, y = known(a, text_a), shingle_set(text_b)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * common >= similarity * (len(x) + len(y) - common))
-            yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+            for part in slices(batch, "t_b", 128):
+                keep = []
+                for a, b, text_a, text_b in zip(
+                    *(part[name].to_pylist() for name in ("a", "b", "t_a", "t_b"))
+                ):
+                    x, y = known(a, text_a), shingle_set(text_b)
+                    common = len(np.intersect1d(x, y, assume_unique=True))
+                    keep.append(100 * common >= similarity * (len(x) + len(y) - common))
+                yield part.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
     left = texts.select(F.col("rep").alias("a"), F.col("text").alias("t_a"))
     right = texts.select(F.col("rep").alias("b"), F.col("text").alias("t_b"))
