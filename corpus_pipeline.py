@@ -18,6 +18,8 @@ from sluice.llm.language_id import document_evidence, identify, train
 from sluice.llm.mixing import emit
 from sluice.llm.near_dedup import near_duplicates
 
+NEAR_SIMILARITY = 80  # per cent of shingles in common, of the near_dedup stage
+
 # Stages that SQL cannot express (a fitted model, a tokenizer): tested against plain Python.
 ORACLE_SQL = None
 
@@ -49,7 +51,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near duplicates, that with the smallest doc_id."""
-    dropped = near_duplicates(docs).where("NOT kept").select(F.struct("doc_id").alias("_key"))
+    found = near_duplicates(docs, NEAR_SIMILARITY)
+    dropped = found.where("NOT kept").select(F.struct("doc_id").alias("_key"))
     key = F.struct(F.col("doc_id").cast("long").alias("doc_id"))
     return _without(docs, key, staged(dropped.distinct(), "near-copies"))
 

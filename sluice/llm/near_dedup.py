@@ -6,13 +6,15 @@
    signature is split into 13 chunks. By the pigeonhole principle such a pair has a chunk with at
    most one error (13 chunks with two errors each would be 26). The allowed errors are enumerated:
    a chunk gives one key for each of its values left out, so signatures that agree in a chunk but
-   for one value share a key. That is 64 keys a class.
+   for one value share a key. That is 64 keys a class. Below 85 per cent, it is 15 chunks and d of
+   at most 29.
 3. Pairs that share a key are compared by signature, then by bitmaps of the sets, which bound the
    size of their intersection from above, then on the full sets. Only what decides the components
    is compared, see ``near_duplicates``.
 
 At a similarity of 0.85 or more, d is above 25 with a probability of less than 1e-5 (a binomial tail
-of 64 values that differ with probability 0.15). Everything else is exact.
+of 64 values that differ with probability 0.15); at 0.80 or more, d is above 29 with a probability
+of less than 1e-5. Everything else is exact.
 """
 
 from __future__ import annotations
@@ -30,8 +32,10 @@ from sluice.llm.common import components, staged, text_or_empty
 
 SHINGLE_WORDS = 5
 SIMILARITY = 85  # per cent
+LEAST_SIMILARITY = 80
 VALUES = 64
 CHUNKS = 13
+MORE_CHUNKS = 15  # below ``SIMILARITY``
 MAX_DISTANCE = 2 * CHUNKS - 1
 FILTER_BITS = 1 << 24
 BITMAP_BITS = 4096
@@ -48,6 +52,11 @@ CHUNK_OF = np.arange(VALUES) * CHUNKS // VALUES
 CHUNK_STARTS = np.searchsorted(CHUNK_OF, np.arange(CHUNKS))
 
 
+def chunks_for(similarity: int) -> int:
+    """The number of chunks that finds pairs of the similarity."""
+    return CHUNKS if similarity >= SIMILARITY else MORE_CHUNKS
+
+
 class _Words(dict):
     """Hashes of words seen lately; forgetting them costs only time."""
 
@@ -121,11 +130,12 @@ def may_link(n_a, n_b, bits_a: np.ndarray, bits_b: np.ndarray, similarity: int)
     return 100 * most >= similarity * (n_a + n_b - most)
 
 
-def chunk_keys(signatures: np.ndarray) -> np.ndarray:
+def chunk_keys(signatures: np.ndarray, chunks: int = CHUNKS) -> np.ndarray:
     """The keys of each signature: per chunk and place in it, a hash of the chunk's other values."""
     terms = _mixed(signatures.astype(np.uint64) + PLACE_SALTS) * PLACE_FACTORS
-    totals = np.add.reduceat(terms, CHUNK_STARTS, axis=1)
-    return _mixed(totals[:, CHUNK_OF] - terms + PLACE_SALTS).view(np.int64)
+    chunk_of = np.arange(VALUES) * chunks // VALUES
+    totals = np.add.reduceat(terms, np.searchsorted(chunk_of, np.arange(chunks)), axis=1)
+    return _mixed(totals[:, chunk_of] - terms + PLACE_SALTS).view(np.int64)
 
 
 def signatures(docs: DataFrame) -> DataFrame:
@@ -157,7 +167,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     )
 
 
-def _keys(classes: DataFrame) -> DataFrame:
+def _keys(classes: DataFrame, chunks: int) -> DataFrame:
     """(key, rep) for every key of every class."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +175,7 @@ def _keys(classes: DataFrame) -> DataFrame:
             for begin in range(0, batch.num_rows, BLOCK):
                 part = batch.slice(begin, BLOCK)
                 rows = _matrix(part["signature"])
-                keys = chunk_keys(rows).reshape(-1)
+                keys = chunk_keys(rows, chunks).reshape(-1)
                 reps = np.repeat(part["rep"].to_numpy(), VALUES)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(reps)], ["key", "rep"])
 
@@ -183,6 +193,7 @@ def _bitmaps(column: pa.Array) -> np.ndarray:
 
 def _near(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
     """The pairs (a, b) that are near by signature and whose bitmaps allow the similarity."""
+    max_distance = 2 * chunks_for(similarity) - 1
 
     def side(name: str) -> DataFrame:
         return classes.select(
@@ -204,7 +215,7 @@ def _near(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFrame:
                 _bitmaps(batch["m_b"]),
                 similarity,
             )
-            found = batch.filter(pa.array((distance <= MAX_DISTANCE) & fits))
+            found = batch.filter(pa.array((distance <= max_distance) & fits))
             yield found.select(["a", "b"])
 
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
@@ -261,6 +272,7 @@ def _cross_pairs(members: DataFrame, similarity: int) -> DataFrame:
     within the distance whose bitmaps allow the similarity leave a block, and only from the first
     key they share, so that no pair is given twice.
     """
+    chunks = chunks_for(similarity)
     split = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     dealt = (
         members.withColumn("own", F.pmod(F.xxhash64("rep"), split).cast("int"))
@@ -275,14 +287,14 @@ def _cross_pairs(members: DataFrame, similarity: int) -> DataFrame:
         sizes = block["n_shingles"].to_numpy()
         own = block["own"].to_numpy()
         reps, labels = block["rep"].to_numpy(), block["label"].to_numpy()
-        keys = chunk_keys(rows)
+        keys = chunk_keys(rows, chunks)
         this = np.int64(key[0].as_py())
         first, second = np.flatnonzero(own == low), np.flatnonzero(own == high)
         found_a, found_b = [], []
         for i in first:
             rest = second[(reps[second] > reps[i]) if low == high else slice(None)]
             rest = rest[labels[rest] != labels[i]]
-            near = rest[(rows[rest] != rows[i]).sum(axis=1) <= MAX_DISTANCE]
+            near = rest[(rows[rest] != rows[i]).sum(axis=1) <= 2 * chunks - 1]
             near = near[may_link(sizes[near], sizes[i], bits[near], bits[i], similarity)]
             if not len(near):
                 continue
@@ -301,7 +313,7 @@ def _cross_pairs(members: DataFrame, similarity: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
-    Documents whose sets have ``similarity`` per cent (85 or more, the signature distance is meant
+    Documents whose sets have ``similarity`` per cent (80 or more, the signature distance is meant
     for that) of their union in common are linked, and a component is named by its smallest doc_id.
     Which links exist decides, not how many, so comparisons are saved where the answer is known:
 
@@ -316,8 +328,8 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
     nothing and have no component (kept). Rows that repeat an id share its component. Extra columns
     are ignored; an empty table gives no rows.
     """
-    if similarity < SIMILARITY:
-        raise ValueError(f"the signature distance is meant for {SIMILARITY} per cent or more")
+    if similarity < LEAST_SIMILARITY:
+        raise ValueError(f"the signature distance is meant for {LEAST_SIMILARITY} per cent or more")
     read = staged(signatures(docs), "signatures")
     known = read.where("set_hash IS NOT NULL AND doc_id IS NOT NULL")
     # A set's smallest document stands for it; a repeated id stands for its smallest set.
@@ -328,7 +340,7 @@ def near_duplicates(docs: DataFrame, similarity: int = SIMILARITY) -> DataFrame:
         F.first("bitmap").alias("bitmap"),
     )
     classes = staged(sets, "classes")
-    keys = _keys(classes)
+    keys = _keys(classes, chunks_for(similarity))
     hubs = staged(
         keys.groupBy("key")
         .agg(F.min("rep").alias("hub"), F.max("rep").alias("last"))

@@ -4,6 +4,7 @@ import hashlib
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from sluice.llm import near_dedup
 from sluice.llm.common import components
 from sluice.llm.exact_dedup import DigestIndex, digests, drop_duplicates, exact_dedup
@@ -123,6 +124,53 @@ def test_near_in_blocks(spark, monkeypatch):
     assert near(make_docs(spark, rows)) == expected_near(rows)
 
 
+def likeness(a, b):
+    x, y = shingles(a), shingles(b)
+    return len(x & y) / len(x | y)
+
+
+def test_near_at_80(spark, sf_dir):
+    """Pairs between 0.80 and 0.85 are linked when 80 is asked for, and by the pipeline stage."""
+    bases = [words(400 + k, 1000) for k in range(30)]
+    rows = [(2 * k, base, "", "") for k, base in enumerate(bases)]
+    rows += [(2 * k + 1, changed(base, k, 19 + k % 3), "", "") for k, base in enumerate(bases)]
+    rows += [(1000, words(500, 1000), "", ""), (1001, changed(words(500, 1000), 5, 25), "", "")]
+    alike = [likeness(rows[k][1], rows[30 + k][1]) for k in range(30)]
+    assert all(0.8 <= x < 0.85 for x in alike) and likeness(rows[60][1], rows[61][1]) < 0.8
+    docs = make_docs(spark, rows)
+    found = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(docs, 80).collect()}
+    assert found == {i: i if i >= 1000 else i - i % 2 for i in found} and len(found) == 62
+    assert {r.component_id for r in near_dedup.near_duplicates(docs).collect()} == set(found)
+    left = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, sf_dir).collect()}
+    assert left == {2 * k for k in range(30)} | {1000, 1001}
+
+
+def test_near_stage_on_the_table(spark, docs, sf_dir):
+    """The stage against all pairs at 80; the table has pairs between 80 and 85."""
+    rows = [(r.doc_id, shingles(r.text)) for r in docs.select("doc_id", "text").collect()]
+    edges = [(i, i) for i, _ in rows]
+    for k, (i, x) in enumerate(rows):
+        for j, y in rows[:k]:
+            common = len(x & y)
+            if common and 100 * common >= 80 * (len(x) + len(y) - common):
+                edges.append((i, j))
+    linked = components(spark.createDataFrame(edges, "a long, b long"))
+    expected = {r.node for r in linked.where("node = component").collect()}
+    left = {r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, sf_dir).collect()}
+    assert left == expected
+
+
+def test_more_chunks_share_a_key_within_one_error():
+    rows = np.arange(2 * near_dedup.VALUES, dtype=np.uint16).reshape(2, -1)
+    rows[1] = rows[0]
+    chunk_of = np.arange(near_dedup.VALUES) * near_dedup.MORE_CHUNKS // near_dedup.VALUES
+    for chunk in range(near_dedup.MORE_CHUNKS):
+        rows[1, np.flatnonzero(chunk_of == chunk)[: 1 if chunk == 4 else 2]] += 999
+    assert (rows[0] != rows[1]).sum() == 2 * near_dedup.MORE_CHUNKS - 1
+    keys = near_dedup.chunk_keys(rows, near_dedup.MORE_CHUNKS)
+    assert (keys[0] == keys[1]).any()
+
+
 def test_repeated_id_connects_its_texts(spark):
     a, b = words(21, 80), words(22, 80)
     rows = [(1, a, "", ""), (5, b, "", ""), (5, a, "", ""), (7, b, "", "")]
