@@ -10,7 +10,9 @@ The posterior of a language is the product of
   Counts are grouped aggregates over all rows; a row's own vote is taken out of its host's.
 
 The trigram model is fitted to a sample of labelled documents, about ``SAMPLE_ROWS`` a language,
-chosen by the hash of the id; all other counts are over all rows. A text that is better explained by evenly
+chosen by the hash of the id; all other counts are over all rows. Every language that a row is
+labelled with is modelled, under its primary tag (``en`` for ``en-US`` and ``EN``); many languages
+share fewer buckets, so that the model stays below ``CELLS`` numbers. A text that is better explained by evenly
 spread trigrams than by any language, or has no letters, is rejected.
 """
 
@@ -30,8 +32,9 @@ from sluice.llm.url_filters import host_of
 
 BUCKETS = 1 << 16
 SAMPLE_ROWS = 4000  # labelled documents a language, about
-MIN_ROWS = 5  # labelled documents that make a language known
-MAX_LANGUAGES = 64  # of the model; the most frequent ones
+CELLS = 1 << 23  # buckets times languages of a model
+MIN_BUCKETS = 1 << 8
+HELD_TABLES = 32  # languages counted at once by a task
 SMOOTHING = 0.5  # of trigram counts
 PRIOR_WEIGHT = 10.0  # rows that a parent's prior counts for
 TEMPER = 1.0 / 3.0
@@ -41,10 +44,14 @@ MIN_POSTERIOR = 0.5
 
 @dataclass(frozen=True)
 class TextModel:
-    """Log probabilities of trigram buckets, one column a language; rows are buckets."""
+    """Log probabilities of trigram buckets, one column a language; rows are buckets.
+
+    There are 2^-``shift`` times ``BUCKETS`` rows: a bucket's row is its number without as many bits.
+    """
 
     languages: tuple[str, ...]
     log_p: np.ndarray
+    shift: int = 0
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -64,62 +71,80 @@ def trigrams(text: str) -> np.ndarray:
 _FOLD = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
 
+def primary_tag(label: Column) -> Column:
+    """What a label says before ``-`` or ``_``, in lower case; null for none and for ``und``."""
+    tag = F.lower(F.trim(F.regexp_extract(label, r"^[^-_]*", 0)))
+    return F.when((tag != "") & (tag != UNKNOWN), tag)
+
+
+def shift_for(languages: int) -> int:
+    """The bits that bucket numbers lose, so that a model of so many languages has ``CELLS``."""
+    shift = 0
+    while BUCKETS >> shift > MIN_BUCKETS and (BUCKETS >> shift) * languages > CELLS:
+        shift += 1
+    return shift
+
+
 def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TextModel:
-    """The text model of ``labelled`` (doc_id, text, lang); null labels are left out.
+    """The text model of ``labelled`` (doc_id, text, lang); rows without a language are left out.
 
     What comes to the driver is bounded: a count per language, and one per bucket and language.
     """
-    counts = (
-        labelled.where("lang IS NOT NULL")
-        .groupBy("lang")
-        .count()
-        .where(F.col("count") >= MIN_ROWS)
-        .orderBy(F.desc("count"), "lang")
-        .limit(MAX_LANGUAGES)
-        .collect()
-    )
-    languages = tuple(sorted(row["lang"] for row in counts))
-    if not languages:
+    tagged = labelled.select("doc_id", text_or_empty().alias("text"), primary_tag("lang").alias("tag"))
+    tagged = tagged.where("tag IS NOT NULL")
+    counts = {row["tag"]: row["count"] for row in tagged.groupBy("tag").count().collect()}
+    languages = tuple(sorted(counts))
+    size = len(languages)
+    if not size:
         return TextModel((), np.zeros((BUCKETS, 0), np.float32))
-    place = {name: k for k, name in enumerate(languages)}
-    share = F.lit(None).cast("double")
-    index = F.lit(None).cast("int")
-    for row in counts:
-        here = F.col("lang") == row["lang"]
-        share = F.when(here, F.lit(min(1.0, sample_rows / row["count"]))).otherwise(share)
-        index = F.when(here, F.lit(place[row["lang"]])).otherwise(index)
+    shift = shift_for(size)
+    buckets = BUCKETS >> shift
+    known = labelled.sparkSession.createDataFrame(
+        [(tag, k, min(1.0, sample_rows / counts[tag])) for k, tag in enumerate(languages)],
+        "tag string, lang int, share double",
+    )
     draw = F.pmod(F.xxhash64("doc_id", F.lit("language sample")), F.lit(1 << 20)) / float(1 << 20)
-    sample = labelled.where(draw < share).select(index.alias("lang"), text_or_empty().alias("text"))
+    sample = tagged.join(F.broadcast(known), "tag").where(draw < F.col("share"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(languages), BUCKETS), np.int64)
+        held: dict[int, np.ndarray] = {}
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            for k, total in held.items():
+                where = np.flatnonzero(total)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(where), k), pa.int32()),
+                        pa.array(where, pa.int32()),
+                        pa.array(total[where], pa.int64()),
+                    ],
+                    ["lang", "bucket", "n"],
+                )
+            held.clear()
+
         for batch in batches:
             for part in slices(batch, "text"):
                 for k, text in zip(part["lang"].to_pylist(), part["text"].to_pylist()):
-                    total[k] += np.bincount(trigrams(text), minlength=BUCKETS)
-        where = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(where[0], pa.int32()),
-                pa.array(where[1], pa.int32()),
-                pa.array(total[where], pa.int64()),
-            ],
-            ["lang", "bucket", "n"],
-        )
-
-    table = np.zeros((BUCKETS, len(languages)))
-    found = sample.mapInArrow(count, "lang int, bucket int, n long").groupBy("lang", "bucket")
-    for row in found.agg(F.sum("n").alias("n")).collect():
-        table[row["bucket"], row["lang"]] = row["n"]
+                    if k not in held:
+                        if len(held) >= HELD_TABLES:
+                            yield from counted()
+                        held[k] = np.zeros(buckets, np.int64)
+                    held[k] += np.bincount(trigrams(text) >> shift, minlength=buckets)
+        yield from counted()
+
+    found = sample.select("lang", "text").mapInArrow(count, "lang int, bucket int, n long")
+    cells = found.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros((buckets, size))
+    table[cells["bucket"].to_numpy(), cells["lang"].to_numpy()] = cells["n"].to_numpy()
     table += SMOOTHING
-    return TextModel(languages, np.log(table / table.sum(axis=0)).astype(np.float32))
+    return TextModel(languages, np.log(table / table.sum(axis=0)).astype(np.float32), shift)
 
 
 def _with_likelihoods(rows: DataFrame, model: TextModel, keep: Sequence[str]) -> DataFrame:
     """``keep`` of every row, ``trigrams`` and the tempered ``likelihood`` of each language."""
     context = rows.sparkSession.sparkContext
-    sent = context.broadcast(model.log_p)  # BUCKETS x MAX_LANGUAGES numbers at most
-    size = len(model.languages)
+    sent = context.broadcast(model.log_p)  # CELLS numbers, or MIN_BUCKETS a language
+    size, shift = len(model.languages), model.shift
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         log_p = sent.value
@@ -127,7 +152,7 @@ def _with_likelihoods(rows: DataFrame, model: TextModel, keep: Sequence[str]) ->
             for part in slices(batch, "text"):
                 n, sums = [], []
                 for text in part["text"].to_pylist():
-                    found = trigrams(text)
+                    found = trigrams(text) >> shift
                     total = np.zeros(size)
                     for begin in range(0, len(found), 1 << 16):
                         total += log_p[found[begin : begin + (1 << 16)]].sum(axis=0, dtype=float)
@@ -150,6 +175,27 @@ def _best(values: Column) -> Column:
     return (F.array_position(values, F.array_max(values)) - 1).cast("int")
 
 
+def _totals(counted: DataFrame, size: int) -> list[int]:
+    """The sum of (guess, count) for each language; a null guess is none."""
+    rows = counted.where("guess IS NOT NULL").groupBy("guess").agg(F.sum("count")).collect()
+    found = dict(map(tuple, rows))
+    return [found.get(k, 0) for k in range(size)]
+
+
+def _votes(counted: DataFrame, by: Sequence[str], size: int) -> DataFrame:
+    """``by`` and ``votes``, an array of the counts of each language, from (by, guess, count)."""
+    n = F.when(F.col("guess").isNotNull(), F.struct("guess", "n"))
+    sums = counted.groupBy(*by, "guess").agg(F.sum("count").alias("n"))
+    found = sums.groupBy(*by).agg(F.map_from_entries(F.collect_list(n)).alias("_votes"))
+    return found.select(
+        *by,
+        F.transform(
+            F.sequence(F.lit(0), F.lit(size - 1)),
+            lambda k: F.coalesce(F.col("_votes")[k], F.lit(0).cast("long")),
+        ).alias("votes"),
+    )
+
+
 def identify(rows: DataFrame, model: TextModel, levels: Sequence[str]) -> DataFrame:
     """Columns of ``rows`` but text, with lang, posterior, text_lang and accepted.
 
@@ -168,7 +214,7 @@ def identify(rows: DataFrame, model: TextModel, levels: Sequence[str]) -> DataFr
             F.lit(None).cast("string").alias("text_lang"),
             F.lit(False).alias("accepted"),
         )
-    even = F.col("trigrams") * F.lit(float(-np.log(BUCKETS) * TEMPER))
+    even = F.col("trigrams") * F.lit(float(-np.log(len(model.log_p)) * TEMPER))
     read = staged(
         _with_likelihoods(rows, model, keep)
         .withColumn(
@@ -179,42 +225,29 @@ def identify(rows: DataFrame, model: TextModel, levels: Sequence[str]) -> DataFr
         "likelihoods",
     )
     names = F.array(*[F.lit(name) for name in model.languages])
-    votes = [F.count_if(F.col("guess") == k) for k in range(size)]
 
     # What is declared, for each language that texts read like.
-    declared = (
-        read.where("declared IS NOT NULL").groupBy("declared").agg(F.array(*votes).alias("votes"))
-    )
-    declared = staged(declared, "declared")
-    totals = declared.agg(
-        F.count("*").alias("kinds"),
-        *[F.coalesce(F.sum(F.col("votes")[k]), F.lit(0)).alias(f"n{k}") for k in range(size)],
-    ).first()
-    said = declared.select(
+    said_votes = read.where("declared IS NOT NULL").groupBy("declared", "guess").count()
+    said_votes = staged(said_votes, "declared")
+    kinds = said_votes.select("declared").distinct().count()
+    totals = [
+        F.lit(float(n + SMOOTHING * (kinds + 1))) for n in _totals(said_votes, size)
+    ]
+    said = _votes(said_votes, ["declared"], size).select(
         F.struct("declared").alias("_said"),
-        F.array(
-            *[
-                F.log(
-                    (F.col("votes")[k] + SMOOTHING)
-                    / F.lit(totals[f"n{k}"] + SMOOTHING * (totals["kinds"] + 1))
-                )
-                for k in range(size)
-            ]
-        ).alias("_said_log"),
+        F.zip_with("votes", F.array(*totals), lambda n, t: F.log((n + SMOOTHING) / t)).alias(
+            "_said_log"
+        ),
     )
 
     # Votes by the finest level, and priors from coarse to fine.
-    counted = [v.alias(f"n{k}") for k, v in enumerate(votes)]
-    finest = staged(read.groupBy(*levels).agg(*counted), "votes")
-    all_votes = finest.agg(*[F.sum(f"n{k}") for k in range(size)]).first()
-    all_votes = [n or 0 for n in all_votes]
+    finest = staged(read.groupBy(*levels, "guess").count(), "votes")
+    all_votes = _totals(finest, size)
     parent = F.array(*[F.lit((n + 1) / (sum(all_votes) + size)) for n in all_votes])
     priors = None
     for depth in range(1, len(levels) + 1):
         part = list(levels[:depth])
-        table = finest.groupBy(*part).agg(
-            F.array(*[F.sum(f"n{k}") for k in range(size)]).alias("votes")
-        )
+        table = _votes(finest, part, size)
         if priors is None:
             table = table.withColumn("parent", parent)
         else:
@@ -224,12 +257,14 @@ def identify(rows: DataFrame, model: TextModel, levels: Sequence[str]) -> DataFr
             table = table.withColumn("_above", F.struct(*part[:-1])).join(above, "_above")
         count = F.aggregate("votes", F.lit(0).cast("long"), lambda total, n: total + n)
         priors = staged(
-            table.select(
+            table.withColumn("_count", count).select(
                 *part,
                 "votes",
                 "parent",
                 F.zip_with(
-                    "votes", "parent", lambda n, p: (n + PRIOR_WEIGHT * p) / (count + PRIOR_WEIGHT)
+                    "votes",
+                    "parent",
+                    lambda n, p: (n + PRIOR_WEIGHT * p) / (F.col("_count") + PRIOR_WEIGHT),
                 ).alias("prior"),
             ),
             "priors",
@@ -240,7 +275,10 @@ def identify(rows: DataFrame, model: TextModel, levels: Sequence[str]) -> DataFr
         F.col("votes").alias("_votes"),
         F.col("parent").alias("_parent"),
     )
-    own = F.array(*[F.coalesce((F.col("guess") == k).cast("long"), F.lit(0)) for k in range(size)])
+    own = F.transform(
+        F.sequence(F.lit(0), F.lit(size - 1)),
+        lambda k: F.coalesce((F.col("guess") == k).cast("long"), F.lit(0)),
+    )
     others = F.zip_with("_votes", own, lambda n, mine: n - mine)
     prior = F.zip_with(others, "_parent", lambda n, p: F.log(n + PRIOR_WEIGHT * p))
     none = F.array_repeat(F.lit(0.0), size)

@@ -1,6 +1,7 @@
 import collections
 import hashlib
 import math
+import random
 import zlib
 
 import pytest
@@ -233,6 +234,33 @@ def test_documents_languages(docs, odd_docs, no_docs):
     assert language_id.identify_documents(no_docs, model).count() == 0
 
 
+def test_every_label_is_a_language(spark, docs):
+    """100 labels, most with few rows, and forms of one tag; none is left out or stands twice."""
+    rows = []
+    for k in range(100):
+        letters = "".join(chr(0x4E00 + 40 * k + i) for i in range(40))
+        draw = random.Random(k)
+        for copy in range(1 if k % 3 else 3):
+            text = "".join(draw.choices(letters, k=300))
+            rows.append((100 * k + copy, text, f"l{k}", "s"))
+    rows += [(20_000 + k, words(k, 80), tag, "s") for k, tag in enumerate(["en", "en-US", "EN", " en_gb"] * 3)]
+    rows += [(30_000, words(1, 80), "und", "s"), (30_001, words(1, 80), "", "s")]
+    corpus = make_docs(spark, rows)
+    model = language_id.train(corpus)
+    assert model.languages == tuple(sorted([f"l{k}" for k in range(100)] + ["en"]))
+    found = {r.doc_id: r for r in language_id.identify_documents(corpus, model).collect()}
+    assert all(found[i].accepted and found[i].lang == lang for i, _, lang, _ in rows[: -14])
+    assert all(found[20_000 + k].lang == "en" for k in range(12))
+
+
+def test_many_languages_share_buckets(spark, docs, monkeypatch):
+    monkeypatch.setattr(language_id, "CELLS", language_id.BUCKETS)
+    model = language_id.train(docs)
+    assert model.log_p.shape == (language_id.BUCKETS >> 2, 4) and model.shift == 2
+    rows = language_id.identify_documents(docs, model).collect()
+    assert sum(r.accepted and r.lang == r.declared for r in rows) >= 0.98 * len(rows)
+
+
 def test_held_out_accuracy(spark, docs):
     """Trained on even ids, judged on short pieces of odd ids that declare nothing."""
     from pyspark.sql import functions as F
