@@ -12,8 +12,13 @@ The posterior of a language is the product of
 The trigram model is fitted to a sample of labelled documents, about ``SAMPLE_ROWS`` a language,
 chosen by the hash of the id; all other counts are over all rows. Every language that a row is
 labelled with is modelled, under its primary tag (``en`` for ``en-US`` and ``EN``); many languages
-share fewer buckets, so that the model stays below ``CELLS`` numbers. A text that is better explained by evenly
-spread trigrams than by any language, or has no letters, is rejected.
+share fewer buckets, so that the model stays below ``CELLS`` numbers.
+
+A text without letters is rejected, and one whose trigrams are, on average, less likely than the bar
+of every language. Bars are calibrated on held-out texts: the sample is halved by the hash of the
+text, and each half is judged by the model of the other. The bar of a language lies between the low
+end of its own texts and the level that texts of other languages reach where theirs is not modelled.
+Unseen trigrams have a fixed share of the probability, whatever the size of the sample.
 """
 
 from __future__ import annotations
@@ -35,7 +40,12 @@ SAMPLE_ROWS = 4000  # labelled documents a language, about
 CELLS = 1 << 23  # buckets times languages of a model
 MIN_BUCKETS = 1 << 8
 HELD_TABLES = 32  # languages counted at once by a task
-SMOOTHING = 0.5  # of trigram counts
+SMOOTHING = 0.5  # of counts of declarations
+UNSEEN = 0.2  # share of the probability that is spread evenly over all buckets
+OWN_LEVEL = 0.01  # quantile of a language's held-out texts
+FOREIGN_LEVEL = 0.95  # quantile of texts whose language is not modelled
+BAR_PLACE = 0.75  # of the way from the first to the second
+FOREIGN_ROWS = 20  # below as many, a language takes the foreign level of all
 PRIOR_WEIGHT = 10.0  # rows that a parent's prior counts for
 TEMPER = 1.0 / 3.0
 UNKNOWN = "und"
@@ -46,11 +56,14 @@ MIN_POSTERIOR = 0.5
 class TextModel:
     """Log probabilities of trigram buckets, one column a language; rows are buckets.
 
-    There are 2^-``shift`` times ``BUCKETS`` rows: a bucket's row is its number without as many bits.
+    ``bars`` has the mean log probability that a text must reach, for each language. There are
+    2^-``shift`` times ``BUCKETS`` rows: a bucket's row is its number without as
+    many bits.
     """
 
     languages: tuple[str, ...]
     log_p: np.ndarray
+    bars: np.ndarray
     shift: int = 0
 
 
@@ -88,7 +101,8 @@ def shift_for(languages: int) -> int:
 def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TextModel:
     """The text model of ``labelled`` (doc_id, text, lang); rows without a language are left out.
 
-    What comes to the driver is bounded: a count per language, and one per bucket and language.
+    What comes to the driver is bounded: a count per language, two per bucket and language, and two
+    numbers per row of the sample.
     """
     tagged = labelled.select("doc_id", text_or_empty().alias("text"), primary_tag("lang").alias("tag"))
     tagged = tagged.where("tag IS NOT NULL")
@@ -96,7 +110,7 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TextModel:
     languages = tuple(sorted(counts))
     size = len(languages)
     if not size:
-        return TextModel((), np.zeros((BUCKETS, 0), np.float32))
+        return TextModel((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
     shift = shift_for(size)
     buckets = BUCKETS >> shift
     known = labelled.sparkSession.createDataFrame(
@@ -104,27 +118,33 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TextModel:
         "tag string, lang int, share double",
     )
     draw = F.pmod(F.xxhash64("doc_id", F.lit("language sample")), F.lit(1 << 20)) / float(1 << 20)
+    # Equal texts are in one half, so that no half holds copies of the other's.
+    half = F.pmod(F.xxhash64("text", F.lit("language half")), F.lit(2)).cast("int")
     sample = tagged.join(F.broadcast(known), "tag").where(draw < F.col("share"))
+    sample = sample.select("lang", "text", half.alias("half"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, np.ndarray] = {}
+        held: dict[tuple[int, int], np.ndarray] = {}
 
         def counted() -> Iterator[pa.RecordBatch]:
-            for k, total in held.items():
+            for (half, k), total in held.items():
                 where = np.flatnonzero(total)
                 yield pa.RecordBatch.from_arrays(
                     [
+                        pa.array(np.full(len(where), half), pa.int32()),
                         pa.array(np.full(len(where), k), pa.int32()),
                         pa.array(where, pa.int32()),
                         pa.array(total[where], pa.int64()),
                     ],
-                    ["lang", "bucket", "n"],
+                    ["half", "lang", "bucket", "n"],
                 )
             held.clear()
 
         for batch in batches:
             for part in slices(batch, "text"):
-                for k, text in zip(part["lang"].to_pylist(), part["text"].to_pylist()):
+                rows = zip(*(part[name].to_pylist() for name in ("half", "lang", "text")))
+                for *k, text in rows:
+                    k = tuple(k)
                     if k not in held:
                         if len(held) >= HELD_TABLES:
                             yield from counted()
@@ -132,41 +152,110 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TextModel:
                     held[k] += np.bincount(trigrams(text) >> shift, minlength=buckets)
         yield from counted()
 
-    found = sample.select("lang", "text").mapInArrow(count, "lang int, bucket int, n long")
-    cells = found.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros((buckets, size))
-    table[cells["bucket"].to_numpy(), cells["lang"].to_numpy()] = cells["n"].to_numpy()
-    table += SMOOTHING
-    return TextModel(languages, np.log(table / table.sum(axis=0)).astype(np.float32), shift)
+    found = sample.mapInArrow(count, "half int, lang int, bucket int, n long")
+    cells = found.groupBy("half", "lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros((2, buckets, size), np.float32)
+    place = tuple(cells[name].to_numpy() for name in ("half", "bucket", "lang"))
+    table[place] = cells["n"].to_numpy()
+    halves = [_log_p(table[1]), _log_p(table[0])]  # of the other half, for each
+    log_p = _log_p(table.sum(axis=0))
+    return TextModel(languages, log_p, _bars(sample, halves, shift), shift)
+
+
+def _log_p(counts: np.ndarray) -> np.ndarray:
+    """Log probabilities from counts; the cost of an unseen bucket does not depend on their sum."""
+    share = counts / np.maximum(1, counts.sum(axis=0))
+    return np.log((1 - UNSEEN) * share + UNSEEN / len(counts)).astype(np.float32)
+
+
+def _mean_log_p(log_p: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """The mean over the buckets found (at least one), for each language."""
+    total = np.zeros(log_p.shape[1])
+    for begin in range(0, len(found), 1 << 16):
+        total += log_p[found[begin : begin + (1 << 16)]].sum(axis=0, dtype=float)
+    return total / len(found)
+
+
+def _bars(sample: DataFrame, halves: list[np.ndarray], shift: int) -> np.ndarray:
+    """The bar of each language, from the sample (lang, text, half) under ``halves[half]``."""
+    sent = sample.sparkSession.sparkContext.broadcast(halves)
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                rows = []
+                for half, k, text in zip(
+                    *(part[name].to_pylist() for name in ("half", "lang", "text"))
+                ):
+                    found = trigrams(text) >> shift
+                    if not len(found):
+                        continue
+                    means = _mean_log_p(sent.value[half], found)
+                    own, means[k] = means[k], -np.inf
+                    rows.append((k, own, int(means.argmax()), means.max()))
+                kinds = pa.int32(), pa.float64(), pa.int32(), pa.float64()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
+                    ["lang", "own", "other", "foreign"],
+                )
+
+    judged = sample.mapInArrow(judge, "lang int, own double, other int, foreign double").toArrow()
+    lang, own, other, foreign = (judged[name].to_numpy() for name in judged.column_names)
+    return calibrated(lang, own, other, foreign, *halves[0].shape)
+
+
+def calibrated(lang, own, other, foreign, buckets: int, size: int) -> np.ndarray:
+    """Bars from held-out texts: ``own`` likelihood in ``lang``, the best ``foreign`` in ``other``.
+
+    Without foreign texts, evenly spread trigrams stand for them. A language without held-out texts
+    has the foreign level as its bar, and one that others read like keeps its own level.
+    """
+    even = -np.log(buckets)
+
+    def level(values: np.ndarray, q: float) -> float:
+        return float(np.quantile(values, q, method="lower"))
+
+    seen = np.isfinite(foreign)
+    of_all = level(foreign[seen], FOREIGN_LEVEL) if seen.any() else even
+    bars = np.empty(size)
+    for k in range(size):
+        others, mine = foreign[seen & (other == k)], own[lang == k]
+        high = level(others, FOREIGN_LEVEL) if len(others) >= FOREIGN_ROWS else of_all
+        low = level(mine, OWN_LEVEL) if len(mine) else high
+        bars[k] = min(low, low + BAR_PLACE * (high - low))
+    return bars
 
 
 def _with_likelihoods(rows: DataFrame, model: TextModel, keep: Sequence[str]) -> DataFrame:
-    """``keep`` of every row, ``trigrams`` and the tempered ``likelihood`` of each language."""
+    """``keep`` of every row, the tempered ``likelihood`` of each language, and ``guess``.
+
+    The guess is the place of the likeliest language whose bar the text reaches, null for none.
+    """
     context = rows.sparkSession.sparkContext
     sent = context.broadcast(model.log_p)  # CELLS numbers, or MIN_BUCKETS a language
-    size, shift = len(model.languages), model.shift
+    size, shift, model_bars = len(model.languages), model.shift, model.bars
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        log_p = sent.value
+        log_p, bars = sent.value, model_bars
         for batch in batches:
             for part in slices(batch, "text"):
-                n, sums = [], []
+                guesses, sums = [], []
                 for text in part["text"].to_pylist():
                     found = trigrams(text) >> shift
-                    total = np.zeros(size)
-                    for begin in range(0, len(found), 1 << 16):
-                        total += log_p[found[begin : begin + (1 << 16)]].sum(axis=0, dtype=float)
-                    n.append(len(found))
-                    sums.append(total * TEMPER)
+                    means = _mean_log_p(log_p, found) if len(found) else np.zeros(size)
+                    fits = means >= bars if len(found) else np.zeros(size, bool)
+                    best = int(np.where(fits, means, -np.inf).argmax())
+                    guesses.append(best if fits[best] else None)
+                    sums.append(means * len(found) * TEMPER)
                 yield pa.RecordBatch.from_arrays(
                     [part[name] for name in keep]
-                    + [pa.array(n, pa.int64()), pa.array(sums, pa.list_(pa.float64()))],
-                    [*keep, "trigrams", "likelihood"],
+                    + [pa.array(guesses, pa.int32()), pa.array(sums, pa.list_(pa.float64()))],
+                    [*keep, "guess", "likelihood"],
                 )
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema]
     return rows.select(*keep, "text").mapInArrow(
-        run, ", ".join([*kinds, "trigrams long", "likelihood array<double>"])
+        run, ", ".join([*kinds, "guess int", "likelihood array<double>"])
     )
 
 
@@ -214,14 +303,8 @@ def identify(rows: DataFrame, model: TextModel, levels: Sequence[str]) -> DataFr
             F.lit(None).cast("string").alias("text_lang"),
             F.lit(False).alias("accepted"),
         )
-    even = F.col("trigrams") * F.lit(float(-np.log(len(model.log_p)) * TEMPER))
     read = staged(
-        _with_likelihoods(rows, model, keep)
-        .withColumn(
-            "readable",
-            (F.col("trigrams") > 0) & (F.array_max("likelihood") > even),
-        )
-        .withColumn("guess", F.when(F.col("readable"), _best(F.col("likelihood")))),
+        _with_likelihoods(rows, model, keep).withColumn("readable", F.col("guess").isNotNull()),
         "likelihoods",
     )
     names = F.array(*[F.lit(name) for name in model.languages])

@@ -6,6 +6,7 @@ import zlib
 
 import pytest
 
+import corpus_pipeline
 from sluice.llm import fingerprints, language_id, lm_scoring, mixing
 from tests.llm.conftest import make_docs, words
 
@@ -253,6 +254,72 @@ def test_every_label_is_a_language(spark, docs):
     assert all(found[20_000 + k].lang == "en" for k in range(12))
 
 
+FOREIGN = [
+    "Questa mattina sono andato al mercato per comprare il pane, il formaggio e le mele che "
+    "piacciono tanto ai miei figli.",
+    "Vanochtend ging ik naar de markt om brood en kaas te kopen, omdat mijn kinderen daar heel erg "
+    "van houden.",
+    "Esta manha fui ao mercado para comprar pao, queijo e as macas de que os meus filhos gostam "
+    "muito.",
+    "Dzis rano poszedlem na targ kupic chleb i ser, poniewaz moje dzieci bardzo je lubia.",
+]
+
+
+def expected_accepted(labelled, texts):
+    """Whether texts pass, by (text, lang) rows whose half is given, in plain Python."""
+    counts = collections.defaultdict(lambda: [collections.Counter(), collections.Counter()])
+    for half, text, lang in labelled:
+        counts[lang][half].update(language_id.trigrams(text).tolist())
+    languages = sorted(counts)
+
+    def means(text, halves):
+        found, out = language_id.trigrams(text).tolist(), {}
+        for lang in languages:
+            count = sum((counts[lang][h] for h in halves), collections.Counter())
+            n = max(1, sum(count.values()))
+            p = [math.log(0.8 * count[t] / n + 0.2 / 65536) for t in found]
+            out[lang] = sum(p) / len(p)
+        return out
+
+    own, foreign, cache = collections.defaultdict(list), collections.defaultdict(list), {}
+    for half, text, lang in labelled:
+        if not len(language_id.trigrams(text)):
+            continue
+        if (half, text) not in cache:
+            cache[half, text] = means(text, [1 - half])
+        by = cache[half, text]
+        own[lang].append(by[lang])
+        best = max((x for x in languages if x != lang), key=by.get)
+        foreign[best].append(by[best])
+
+    def level(values, q):
+        return sorted(values)[math.floor(q * (len(values) - 1))]
+
+    every, bars = [x for xs in foreign.values() for x in xs], {}
+    for lang in languages:
+        high = level(foreign[lang] if len(foreign[lang]) >= 20 else every, 0.95)
+        low = level(own[lang], 0.01)
+        bars[lang] = min(low, low + 0.75 * (high - low))
+    return [any(m >= bars[x] for x, m in means(text, [0, 1]).items()) for text in texts]
+
+
+@pytest.mark.parametrize("share", [4, 1])
+def test_foreign_texts_are_rejected(spark, docs, sf_dir, share):
+    """At two sizes of the table: foreign texts go, clean ones stay, and plain Python agrees."""
+    from pyspark.sql import functions as F
+
+    labelled = docs.where(f"doc_id % {share} = 0")
+    half = F.pmod(F.xxhash64("text", F.lit("language half")), F.lit(2))
+    rows = [tuple(r) for r in labelled.select(half, "text", "lang").collect()]
+    clean = [r.text[:400] for r in docs.where("doc_id % 10 = 1").collect()]
+    planted = FOREIGN + clean
+    assert expected_accepted(rows, planted) == [False] * 4 + [True] * len(clean)
+    extra = make_docs(spark, [(10_000 + k, t, None, "x") for k, t in enumerate(planted)])
+    both = labelled.unionByName(extra.select(labelled.columns))
+    kept = corpus_pipeline.language_id(spark, both, sf_dir).where("doc_id >= 10000")
+    assert {r.doc_id - 10_000 for r in kept.collect()} == set(range(4, len(planted)))
+
+
 def test_many_languages_share_buckets(spark, docs, monkeypatch):
     monkeypatch.setattr(language_id, "CELLS", language_id.BUCKETS)
     model = language_id.train(docs)
