@@ -80,25 +80,58 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.concat(*[F.regexp_extract(tag, pattern, k) for k in (1, 2, 3)])
 
 
+def _without_dots(path: Column) -> Column:
+    """An absolute path without its ``.`` and ``..`` segments, as RFC 3986 removes them."""
+    parts = F.slice(F.split(path, "/"), 2, F.greatest(F.size(F.split(path, "/")) - 1, F.lit(0)))
+    up = lambda done: F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
+    kept = F.aggregate(
+        parts,
+        F.array().cast("array<string>"),
+        lambda done, part: F.when(part == "..", up(done))
+        .when(part == ".", done)
+        .otherwise(F.array_append(done, part)),
+    )
+    end = F.when(F.element_at(parts, -1).isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    joined = F.concat(F.lit("/"), F.array_join(kept, "/"))
+    return F.when(joined == "/", joined).otherwise(F.concat(joined, end))
+
+
 def _absolute(base: Column, link: Column) -> Column:
+    """The reference ``link`` on the page ``base``, absolute; null for one that names no page.
+
+    References of other schemes than ``scheme://`` name no page, nor does an empty one.
+    """
     link = F.trim(F.replace(link, F.lit("&amp;"), F.lit("&")))
     scheme = F.regexp_extract(base, r"(?s)^(.*?)://", 1)
+    site = F.concat(scheme, F.lit("://"), host_of(base))
+    path = F.when(path_of(base) == "", "/").otherwise(path_of(base))
+    query = F.regexp_extract(base, r"(?s)^[^?#]*(\?[^#]*)", 1)
+    own_path = F.regexp_extract(link, r"(?s)^([^?#]*)", 1)
+    rest = F.regexp_extract(link, r"(?s)^[^?#]*(.*)$", 1)
+    folder = F.regexp_extract(path, r"(?s)^(.*/)", 1)
     return (
         F.when(link == "", F.lit(None).cast("string"))
-        .when(link.contains("://"), link)
+        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*://"), link)
         .when(link.startswith("//"), F.concat(scheme, F.lit(":"), link))
-        .when(link.startswith("/"), F.concat(scheme, F.lit("://"), host_of(base), link))
+        .when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), F.lit(None).cast("string"))
+        .when(link.startswith("/"), F.concat(site, _without_dots(own_path), rest))
+        .when(link.startswith("#"), F.concat(site, path, query, link))
+        .when(link.startswith("?"), F.concat(site, path, rest))
+        .otherwise(F.concat(site, _without_dots(F.concat(folder, own_path)), rest))
     )
 
 
 def declared_targets(url: Column, html: Column) -> Column:
     """Absolute targets of the page's canonical links and refresh redirects, as an array.
 
-    Absolute, scheme-relative and root-relative references count.
+    References are resolved against the address of the page; ``canonical`` may be one of several
+    values of ``rel``.
     """
     links = F.filter(
         F.regexp_extract_all(html, F.lit(r"(?is)<link\s[^>]*>"), 0),
-        lambda t: F.lower(_attribute(t, "rel")) == "canonical",
+        lambda t: F.array_contains(
+            F.split(F.lower(_attribute(t, "rel")), r"[ \t\r\n\f]+"), "canonical"
+        ),
     )
     metas = F.filter(
         F.regexp_extract_all(html, F.lit(r"(?is)<meta\s[^>]*>"), 0),

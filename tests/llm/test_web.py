@@ -1,10 +1,12 @@
 import hashlib
+from urllib.parse import urljoin
 
 import pytest
+from pyspark.sql import functions as F
 
 from sluice.llm import warc
 from sluice.llm.common import shared_path
-from sluice.llm.url_filters import url_verdicts
+from sluice.llm.url_filters import declared_targets, url_verdicts
 
 PAGES = "page_id long, url string, html string, node string, own string, payload string"
 
@@ -56,6 +58,42 @@ def test_rules_and_aliases(spark):
     assert by_id[16] == ("e.net", "", None, "allow")
 
 
+BASE = "http://site.org/a/b/page.html?old=1#top"
+REFERENCES = [
+    *("x.html", "../x.html", "./x", "../../../x", ".", "..", "./", "c/../d/./e?p=../q#f", "?id=1"),
+    *("/go?to=http://x.net/es/", "/a/./b/../c", "//other.net/es/1", "http://other.net/es/2", "#part"),
+    *("x?u=http://y.net/es/", "mailto:a@b.c", "javascript:void(0)", "x.html?a=1&amp;b=2", "ftp://f.net/es/"),
+]
+
+
+def test_references_are_resolved(spark):
+    link = '<link rel="canonical" href="{}">'
+    rows = [(k, BASE, link.format(ref)) for k, ref in enumerate(REFERENCES)]
+    rows += [(100, "http://site.org", link.format("x"))]
+    rows = make_pages(spark, rows).select("page_id", declared_targets(F.col("url"), F.col("html")).alias("t"))
+    found = {r.page_id: r.t for r in rows.collect()}
+    for k, ref in enumerate(REFERENCES):
+        to = urljoin(BASE, ref.replace("&amp;", "&"))
+        to = BASE.split("#")[0] + ref if ref.startswith("#") else to
+        assert found[k] == ([] if ":" in ref.split("/")[0] and "://" not in ref else [to]), ref
+    assert found[100] == ["http://site.org/x"]
+
+
+def test_blocks_reach_aliases_by_any_reference(spark):
+    refresh = "<meta http-equiv=refresh content='0; url={}'>"
+    rows = [
+        (1, "http://a.net/es/x/1", None),
+        (2, "http://www.a.net/go/page", refresh.format("../es/x/1")),
+        (3, "http://b.net/es/p", None),
+        (4, "http://b.net/other/", "<link rel='canonical nofollow' href='/es/p'>"),
+        (5, "http://c.org/", refresh.format("/go?to=http://b.net/es/p")),
+        (6, "http://m.a.net/es2/q?id=7", None),
+        (7, "http://a.net/es2/q", refresh.format("?id=7")),
+    ]
+    found = {r.page_id: r.verdict for r in url_verdicts(make_pages(spark, rows)).collect()}
+    assert found == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow", 6: "allow", 7: "allow"}
+
+
 def test_redirect_table(spark):
     pages = make_pages(spark, [(1, "http://q.org/a", None), (2, "http://z.net/es/", None)])
     hops = [("http://q.org/a", "http://h.org/1"), ("http://h.org/1", "http://z.net/es")]
