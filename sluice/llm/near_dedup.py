@@ -231,14 +231,16 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, similarity: int) -> DataFrame
     """The pairs (a, b) whose full sets have the similarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[int, np.ndarray] = {}  # sets of the side that repeats, a few at a time
+        # Sets of the side that repeats, a few at a time; an id may have several texts.
+        seen: dict[tuple[int, bytes], np.ndarray] = {}
 
         def known(rep: int, text: str) -> np.ndarray:
-            if rep not in seen:
+            at = rep, xxhash.xxh3_128_digest(text.encode())
+            if at not in seen:
                 if len(seen) >= 64:
                     seen.clear()
-                seen[rep] = shingle_set(text)
-            return seen[rep]
+                seen[at] = shingle_set(text)
+            return seen[at]
 
         for batch in batches:
             for part in slices(batch, "t_b", 128):

@@ -178,6 +178,14 @@ def test_repeated_id_connects_its_texts(spark):
     assert found == {(1, 1), (5, 1), (7, 1)}
 
 
+def test_near_copies_of_each_text_of_a_repeated_id(spark):
+    a, b = words(23, 200), words(24, 200)
+    rows = [(5, a, "", ""), (5, b, "", "")]
+    rows += [(7, changed(a, 1, 2), "", ""), (8, changed(b, 2, 2), "", ""), (9, words(25, 200), "", "")]
+    found = {(r.doc_id, r.component_id) for r in near_dedup.near_duplicates(make_docs(spark, rows)).collect()}
+    assert found == {(5, 5), (7, 5), (8, 5), (9, 9)}
+
+
 def test_chunks_share_a_key_within_one_error():
     rows = np.arange(2 * near_dedup.VALUES, dtype=np.uint16).reshape(2, -1)
     rows[1] = rows[0]
