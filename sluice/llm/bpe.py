@@ -10,6 +10,7 @@ The vocabulary is read from a public tokenizer file on every worker; its path is
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import re
@@ -20,10 +21,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from sluice.llm.common import text_or_empty
+from sluice.llm.common import staged, text_or_empty
 
 # White space, and the pattern that splits text before the merges.
 SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -41,7 +41,9 @@ LATIN_PIECES = re.compile(
 )
 
 LONG_WORD = 200  # bytes; beyond it a heap replaces the scan, with the same result
-MEMORY = 1 << 19  # pieces remembered by a worker; only speed depends on it
+MEMORY = 24 << 20  # bytes of pieces remembered by a worker; only speed depends on it
+PIECE_BYTES = 250  # about what a remembered piece takes besides its ids
+GATHER = 1 << 17  # ids whose strings are gathered at once
 LONG_PIECE = 64  # characters; longer pieces are forgotten after use
 NO_RANK = 1 << 62
 SLICE_ROWS, SLICE_CHARS = 512, 1 << 21
@@ -59,6 +61,29 @@ def byte_letters() -> dict[str, int]:
     return letters
 
 
+class Strings:
+    """Byte strings by number in one table; those of runs of numbers are joined at once."""
+
+    def __init__(self, strings: list[bytes]):
+        self.sizes = np.array([len(s) for s in strings], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.table = np.frombuffer(b"".join(strings), np.uint8)
+
+    def _gathered(self, numbers: np.ndarray) -> bytes:
+        sizes = self.sizes[numbers]
+        stops = np.cumsum(sizes)
+        places = np.repeat(self.starts[numbers] - (stops - sizes), sizes)
+        return self.table[places + np.arange(len(places))].tobytes()
+
+    def joined(self, numbers: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """For each run of ``numbers`` up to one of ``ends``, its strings in a row."""
+        cuts = np.concatenate([[0], np.cumsum(self.sizes[numbers])])[np.concatenate([[0], ends])]
+        data = b"".join(
+            self._gathered(numbers[k : k + GATHER]) for k in range(0, len(numbers), GATHER)
+        )
+        return [data[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
+
+
 class Vocabulary:
     """Encoder and decoder of one tokenizer file."""
 
@@ -72,9 +97,8 @@ class Vocabulary:
         tokens.update({i: text.encode() for text, i in self.special.items()})
         ordered = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
         self.width = np.dtype("<u2" if len(ordered) <= 1 << 16 else "<u4")
-        self.token_sizes = np.array([len(token) for token in ordered])
-        self.token_starts = np.cumsum(self.token_sizes) - self.token_sizes
-        self.token_table = np.frombuffer(b"".join(ordered), np.uint8)
+        self.tokens = Strings(ordered)
+        self.decimals = Strings([b"%d," % i for i in range(len(ordered))])
         self.byte_ids = [0] * 256
         for letter, byte in letters.items():
             self.byte_ids[byte] = ids[letter]
@@ -89,6 +113,11 @@ class Vocabulary:
             longest = sorted(self.special, key=len, reverse=True)
             self.cut = re.compile("(" + "|".join(map(re.escape, longest)) + ")")
         self.known: dict[str, bytes] = {}
+        self.known_bytes = 0
+
+    def forget(self) -> None:
+        self.known.clear()
+        self.known_bytes = 0
 
     def merge_word(self, word: bytes) -> list[int]:
         """Ids of one word: boundaries and ranks side by side, one deletion a round."""
@@ -150,37 +179,30 @@ class Vocabulary:
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes of type ``width``."""
         split = [self._split(text) for text in texts]
-        used = set().union(*split)
-        if len(self.known) + len(used) > MEMORY:
-            self.known.clear()
-        new = used.difference(self.known)
-        for piece in new:
+        if self.known_bytes > MEMORY:
+            self.forget()
+        long = []
+        for piece in set().union(*split).difference(self.known):
             ids = (
                 [self.special[piece]] if piece in self.special else self.merge_word(piece.encode())
             )
             self.known[piece] = np.array(ids, self.width).tobytes()
+            if len(piece) > LONG_PIECE:
+                long.append(piece)
+            else:
+                self.known_bytes += PIECE_BYTES + len(self.known[piece])
         known = self.known.__getitem__
         found = [b"".join(map(known, pieces)) for pieces in split]
-        for piece in new:
-            if len(piece) > LONG_PIECE:
-                del self.known[piece]
+        for piece in long:
+            del self.known[piece]
         return found
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_all([text])[0], self.width).tolist()
 
     def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
-        """The texts of runs of ids, special tokens included; broken UTF-8 becomes U+FFFD.
-
-        All bytes are gathered at once: those of an id are a run of one table of all tokens.
-        """
-        sizes = self.token_sizes[ids]
-        stops = np.cumsum(sizes)
-        total = int(stops[-1]) if len(stops) else 0
-        places = np.repeat(self.token_starts[ids] - (stops - sizes), sizes) + np.arange(total)
-        data = self.token_table[places].tobytes()
-        cuts = np.concatenate([[0], stops])[np.concatenate([[0], ends])].tolist()
-        return [data[a:b].decode("utf-8", "replace") for a, b in zip(cuts, cuts[1:])]
+        """The texts of runs of ids, special tokens included; broken UTF-8 becomes U+FFFD."""
+        return [data.decode("utf-8", "replace") for data in self.tokens.joined(ids, ends)]
 
     def decode(self, ids: list[int]) -> str:
         return self.decode_all(np.array(ids, np.int64), np.array([len(ids)]))[0]
@@ -222,6 +244,7 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
                 values = np.frombuffer(b"".join(found), model.width).astype(np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
                 yield pa.RecordBatch.from_arrays([part["doc_id"], ids], ["doc_id", "ids"])
+        model.forget()
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
@@ -251,16 +274,36 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     )
 
 
-def ids_digest(ids: Column) -> Column:
-    """SHA-256 of the decimal ids joined by commas."""
-    return F.sha2(F.array_join(ids.cast("array<string>"), ","), 256)
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256.
 
+    ids_sha256 is that of the decimal ids joined by commas. A text is encoded, and its ids are
+    decoded, within one pass that hands on these four columns only; they are written once, in small
+    Arrow batches. Rows are treated as by ``encode`` and ``decode``.
+    """
 
-def round_trip(docs: DataFrame, path: str) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    return decode(encode(docs, path), path).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        ids_digest(F.col("ids")).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"),
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = vocabulary(path)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                found = model.encode_all(part["text"].to_pylist())
+                ends = np.cumsum([len(f) // model.width.itemsize for f in found])
+                ids = np.frombuffer(b"".join(found), model.width)
+                decimals = model.decimals.joined(ids, ends)
+                texts = model.decode_all(ids, ends)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part["doc_id"],
+                        pa.array(np.diff(ends, prepend=0)),
+                        pa.array([hashlib.sha256(d[:-1]).hexdigest() for d in decimals]),
+                        pa.array([hashlib.sha256(t.encode()).hexdigest() for t in texts]),
+                    ],
+                    ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+                )
+        model.forget()
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    found = docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
+        run, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
+    return staged(found, "encoded")

@@ -24,22 +24,28 @@ def shared_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/corpus/{label}-{uuid.uuid4().hex}"
 
 
+BATCH_ROWS, BATCH_BYTES = 512, 4 << 20
+_BATCH_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": BATCH_ROWS,
+    "spark.sql.execution.arrow.maxBytesPerBatch": BATCH_BYTES,
+}
+
+
 @contextmanager
-def small_batches(spark: SparkSession, rows: int = 512) -> Iterator[None]:
-    """Within it, Arrow batches have at most ``rows`` rows, as whole texts make long rows.
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Within it, Arrow batches have at most ``BATCH_ROWS`` rows and about ``BATCH_BYTES``.
 
-    A batch is held by the JVM and by Python at once, for every core of an executor.
+    Whole texts make long rows, and a batch is held by the JVM and by Python at once, for every core
+    of an executor. A row longer than the bound is a batch of its own.
     """
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    if 0 < int(before) <= rows:
-        yield
-        return
-    spark.conf.set(name, rows)
+    before = {name: spark.conf.get(name) for name in _BATCH_SETTINGS}
+    for name, most in _BATCH_SETTINGS.items():
+        spark.conf.set(name, most)
     try:
         yield
     finally:
-        spark.conf.set(name, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:

@@ -160,6 +160,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     ],
                     ["doc_id", "n_shingles", "set_hash", "signature", "bitmap"],
                 )
+        _WORDS.clear()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInArrow(
@@ -252,6 +253,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, similarity: int) -> DataFrame
                     common = len(np.intersect1d(x, y, assume_unique=True))
                     keep.append(100 * common >= similarity * (len(x) + len(y) - common))
                 yield part.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
+        _WORDS.clear()
 
     left = texts.select(F.col("rep").alias("a"), F.col("text").alias("t_a"))
     right = texts.select(F.col("rep").alias("b"), F.col("text").alias("t_b"))

@@ -68,7 +68,7 @@ def shingles(text):
     return {tuple(parts[k : k + 5]) for k in range(len(parts) - 4)}
 
 
-def expected_near(rows):
+def expected_near(rows, similarity=85):
     """Classes by comparing all pairs."""
     sets = [(i, shingles(t)) for i, t, *_ in rows]
     root = {i: i for i, _ in sets if i is not None}
@@ -83,7 +83,7 @@ def expected_near(rows):
             if i is None or j is None or not x or not y:
                 continue
             common = len(x & y)
-            if 100 * common >= 85 * (len(x) + len(y) - common):
+            if 100 * common >= similarity * (len(x) + len(y) - common):
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     found = []

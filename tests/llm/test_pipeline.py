@@ -30,7 +30,8 @@ def by_hand(rows, accepted):
         if row[1] not in last or row[0] > last[row[1]][0]:
             last[row[1]] = row
     rows = list(last.values())
-    kept = {r[0] for r in expected_near(rows) if r[3]}
+    near = expected_near(rows, corpus_pipeline.NEAR_SIMILARITY)
+    kept = {r[0] for r in near if r[3]}
     rows = [r for r in rows if r[0] in kept]
     sizes = {}
     for r in rows:
