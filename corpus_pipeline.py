@@ -3,6 +3,8 @@
 Every stage takes (spark, docs, sf_dir) and judges all rows that the stage before has kept. All but
 the last return the columns of ``docs``, whatever these are; the last returns one row per emitted
 document with the digest of its ids and of the text decoded from them. Null texts count as empty.
+Rows that repeat another are judged alike, and exact dedup keeps one of them. An empty table passes
+every stage as an empty table. Names of ``docs`` cannot clash with those that the stages use.
 """
 
 from __future__ import annotations
@@ -49,12 +51,36 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_duplicates(docs)
 
 
+def _with_own_ids(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, _row) of every row, where no id is null or stands for several rows.
+
+    Such ids are replaced by a negative hash of the row's id and text.
+    """
+    doc_id = F.col("doc_id").cast("long")
+    rows = docs.select(
+        doc_id.alias("doc_id"),
+        text_or_empty().alias("text"),
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("_row"),
+    )
+    shared = docs.groupBy(doc_id.alias("_id")).count().where("count > 1 OR _id IS NULL")
+    shared = staged(shared.select("_id", F.lit(True).alias("_shared")), "shared-ids")
+    if shared.isEmpty():
+        return rows
+    own = -F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 62)) - 1
+    return rows.join(shared, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(
+        F.when(F.col("_shared"), own).otherwise(F.col("doc_id")).alias("doc_id"), "text", "_row"
+    )
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, that with the smallest doc_id."""
-    found = near_duplicates(docs, NEAR_SIMILARITY)
-    dropped = found.where("NOT kept").select(F.struct("doc_id").alias("_key"))
-    key = F.struct(F.col("doc_id").cast("long").alias("doc_id"))
-    return _without(docs, key, staged(dropped.distinct(), "near-copies"))
+    """One document of each class of near duplicates, that with the smallest doc_id.
+
+    Rows that share an id, or have none, are judged each by its own text.
+    """
+    rows = _with_own_ids(docs)
+    found = near_duplicates(rows.select("doc_id", "text"), NEAR_SIMILARITY)
+    dropped = staged(found.where("NOT kept").select("doc_id").distinct(), "near-copies")
+    return rows.join(dropped, "doc_id", "left_anti").select("_row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
