@@ -7,7 +7,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from sluice.llm.catalog import ORACLES, QUERIES
-from tests.llm.conftest import make_docs
+from tests.llm.conftest import changed, make_docs, words
 from tests.llm.test_dedup import expected_near
 from tests.llm.test_text_operators import expected_targets
 from tests.side_by_side import compare, connect
@@ -74,3 +74,20 @@ def test_stages_on_odd_rows(spark, sf_dir, docs, odd_rows, no_docs):
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, sf_dir)
     assert empty.count() == 0
+
+
+def test_near_dedup_of_rows_that_share_an_id(spark, sf_dir):
+    """A text stays when another text of the same id is a copy; rows without id are judged too."""
+    base, other, third = words(71, 200), words(72, 200), words(73, 200)
+    rows = [
+        (1, base, "en", "a"),
+        (7, changed(base, 1, 2), "en", "a"),
+        (7, other, "en", "b"),
+        (None, changed(other, 2, 2), "en", "b"),
+        (None, third, "en", "b"),
+    ]
+    kept = corpus_pipeline.near_dedup(spark, make_docs(spark, rows), sf_dir)
+    found = [r.text for r in kept.collect()]
+    assert third in found and len(found) == 3
+    assert sum(t in found for t in (rows[0][1], rows[1][1])) == 1
+    assert sum(t in found for t in (rows[2][1], rows[3][1])) == 1
