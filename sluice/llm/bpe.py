@@ -84,12 +84,44 @@ class Strings:
         return [data[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist())]
 
 
+def check_kind(path: str, data: dict) -> None:
+    """Raise if a tokenizer file asks for anything but the pattern and the merges of this module."""
+    model, first = data["model"], data.get("pre_tokenizer") or {}
+    wrong = [
+        name
+        for name, found in {
+            "normalizer": data.get("normalizer"),
+            "pre_tokenizer": first.get("type") != "ByteLevel" or not first.get("use_regex", True),
+            "add_prefix_space": first.get("add_prefix_space"),
+            "model": model.get("type", "BPE") != "BPE",
+            **{
+                name: model.get(name)
+                for name in (
+                    "dropout",
+                    "continuing_subword_prefix",
+                    "end_of_word_suffix",
+                    "ignore_merges",
+                )
+            },
+            "added_tokens": any(
+                token.get(flag)
+                for token in data.get("added_tokens", [])
+                for flag in ("single_word", "lstrip", "rstrip", "normalized")
+            ),
+        }.items()
+        if found
+    ]
+    if wrong:
+        raise ValueError(f"{path} is no plain byte-level BPE: {', '.join(wrong)}")
+
+
 class Vocabulary:
     """Encoder and decoder of one tokenizer file."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             data = json.load(file)
+        check_kind(path, data)
         ids = data["model"]["vocab"]
         letters = byte_letters()
         tokens = {i: bytes(letters[c] for c in token) for token, i in ids.items()}
@@ -166,7 +198,7 @@ class Vocabulary:
                         heapq.heappush(heap, (found, left))
         return [p for p in parts if p >= 0]
 
-    def _split(self, text: str) -> list[str]:
+    def split(self, text: str) -> list[str]:
         """Pieces of a text; strings of special tokens are pieces of their own."""
         pattern = LATIN_PIECES if not text or max(text) < LATIN_END else self.pieces
         if not (self.cut and self.cut.search(text)):
@@ -178,7 +210,7 @@ class Vocabulary:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes of type ``width``."""
-        split = [self._split(text) for text in texts]
+        split = [self.split(text) for text in texts]
         if self.known_bytes > MEMORY:
             self.forget()
         long = []

@@ -16,6 +16,7 @@ from sluice.llm.language_id import train as train_languages
 from sluice.llm.lm_scoring import held_out_scores
 from sluice.llm.mixing import mix
 from sluice.llm.near_dedup import near_duplicates
+from sluice.llm.token_counts import token_counts
 from sluice.llm.token_files import token_file_round_trip
 from sluice.llm.url_filters import url_verdicts
 from sluice.llm.warc import archive_report
@@ -250,3 +251,9 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = train_languages(table(spark, sf_dir, "documents"))
     return identify_pages(table(spark, sf_dir, "pages"), model)
+
+
+@query("op11_token_counts")
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts(table(spark, sf_dir, "documents"), path)
