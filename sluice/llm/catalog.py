@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.llm.bpe import round_trip
+from sluice.llm.centroids import CLUSTERS, ROUNDS, cluster_vectors
 from sluice.llm.common import table
 from sluice.llm.exact_dedup import exact_dedup
 from sluice.llm.fingerprints import edit_report
@@ -257,3 +258,50 @@ def language_id_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     return token_counts(table(spark, sf_dir, "documents"), path)
+
+
+def _centroid_sql() -> str:
+    """One pair of steps a round: vectors to their nearest centroid, centroids to their means."""
+    distance = "list_sum(list_transform(list_zip(v, c), lambda t: (t[1] - t[2]) * (t[1] - t[2])))"
+    steps = [
+        """
+        k AS MATERIALIZED (
+          SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) AS v,
+            row_number() OVER (ORDER BY vec_id, embedding) AS place
+          FROM embeddings
+          WHERE len(embedding) = 64
+            AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = 64)""",
+        f"""
+        c0 AS MATERIALIZED (
+          SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id::varchar) NULLS LAST, v) - 1
+            AS cluster, v AS c
+          FROM k QUALIFY cluster < {CLUSTERS})""",
+    ]
+    for n in range(ROUNDS + 1):
+        steps.append(f"""
+        a{n} AS MATERIALIZED (
+          SELECT place, any_value(vec_id) AS vec_id, any_value(v) AS v,
+            arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance
+          FROM (SELECT place, vec_id, v, cluster, {distance}::bigint AS distance FROM k, c{n})
+          GROUP BY place)""")
+        steps.append(f"""
+        m{n} AS (
+          SELECT cluster, list(mean ORDER BY i) AS c FROM (
+            SELECT cluster, i, floor(sum(v[i])::double / count(*))::bigint AS mean
+            FROM a{n}, range(1, 65) r(i) GROUP BY cluster, i)
+          GROUP BY cluster),
+        c{n + 1} AS MATERIALIZED (
+          SELECT cluster, coalesce(m{n}.c, c{n}.c) AS c FROM c{n} LEFT JOIN m{n} USING (cluster))""")
+    return f"""
+    WITH {",".join(steps)}
+    SELECT vec_id, cluster::int AS cluster, distance,
+      sum(distance) OVER (PARTITION BY cluster)::bigint AS cluster_inertia,
+      sum(distance) OVER ()::bigint AS inertia,
+      sha256(array_to_string(c, ',')) AS centroid_sha256
+    FROM a{ROUNDS} JOIN c{ROUNDS} USING (cluster)
+    """
+
+
+@query("op12_centroid_clustering", _centroid_sql())
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
