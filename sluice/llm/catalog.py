@@ -17,6 +17,7 @@ from sluice.llm.language_id import train as train_languages
 from sluice.llm.lm_scoring import held_out_scores
 from sluice.llm.mixing import mix
 from sluice.llm.near_dedup import near_duplicates
+from sluice.llm.prefix_trie import prefix_trie
 from sluice.llm.token_counts import token_counts
 from sluice.llm.token_files import token_file_round_trip
 from sluice.llm.url_filters import url_verdicts
@@ -305,3 +306,53 @@ def _centroid_sql() -> str:
 @query("op12_centroid_clustering", _centroid_sql())
 def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+# CRC-32 (reflected polynomial 0xEDB88320) of a decimal number's characters, bit by bit.
+CRC32 = (
+    "xor(4294967295, list_reduce(list_prepend(4294967295::bigint, "
+    "list_transform(string_split(conv_id::varchar, ''), lambda x: ord(x)::bigint)), "
+    "lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), "
+    "lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))))"
+)
+
+
+@query(
+    "op13_prefix_trie",
+    f"""
+    WITH t AS (
+      SELECT conv_id, turn, strlen(coalesce(text, '')) AS bytes,
+        sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS digest
+      FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (
+      SELECT conv_id, list({{d: digest, b: bytes}} ORDER BY turn NULLS FIRST, digest) AS own
+      FROM t GROUP BY conv_id),
+    h AS (SELECT conv_id, own, conv_id - conv_id % 5 AS base, {CRC32} % 9 AS h FROM c),
+    r AS (
+      SELECT h.conv_id, list_concat(coalesce(c.own[1:h], []), h.own[h + 1:]) AS path
+      FROM h LEFT JOIN c ON c.conv_id = base),
+    p AS MATERIALIZED (
+      SELECT conv_id, depth, len(path) = depth AS ends, coalesce(path[depth].b, 0) AS bytes,
+        sha256(array_to_string(list_transform(path[1:depth], lambda x: x.d), ',')) AS node,
+        sha256(array_to_string(list_transform(path[1:depth - 1], lambda x: x.d), ',')) AS up
+      FROM (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS depth FROM r)),
+    n AS MATERIALIZED (
+      SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(up) AS up,
+        (count(*) - 1) * any_value(bytes) AS saved,
+        sha256(coalesce(string_agg(conv_id::varchar, ',' ORDER BY conv_id) FILTER (ends), ''))
+          AS ends_sha256
+      FROM p GROUP BY node, depth),
+    k AS (SELECT up AS node, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY up),
+    g AS (
+      SELECT p.node, sum(saved)::bigint AS saved_tokens,
+        count(*) FILTER (k.node IS NULL) AS n_leaves
+      FROM n LEFT JOIN k USING (node) JOIN p ON p.conv_id = n.conv_id AND p.depth <= n.depth
+      GROUP BY p.node)
+    SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs,
+      coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, n.ends_sha256
+    FROM n LEFT JOIN k USING (node) JOIN g USING (node)
+      LEFT JOIN n u ON n.depth > 0 AND u.node = n.up
+    """,
+)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
