@@ -2,8 +2,9 @@
 
 The posterior of a language is the product of
 
-* the likelihood of the whole text: byte trigrams under a naive Bayes model, tempered by a third as
-  every byte is in three of them;
+* the likelihood of the whole text: byte trigrams under a naive Bayes model, tempered as trigrams
+  overlap and follow each other; the temper is the one of ``TEMPERS`` that predicts the labels of
+  held-out texts best;
 * the likelihood of the declared language (markup or metadata), from the counts of declarations
   among the texts that read like each language;
 * the prior of the host, smoothed by its domain, that by the address suffix, and that by all rows.
@@ -11,8 +12,13 @@ The posterior of a language is the product of
 
 The trigram model is fitted to a sample of labelled documents, about ``SAMPLE_ROWS`` a language,
 chosen by the hash of the id; all other counts are over all rows. Every language that a row is
-labelled with is modelled, under its primary tag (``en`` for ``en-US`` and ``EN``); many languages
-share fewer buckets, so that the model stays below ``CELLS`` numbers.
+labelled with is modelled, under its primary tag (``en`` for ``en-US`` and ``EN``). The model is
+sparse: it holds the buckets that a language's texts have, and all others share one probability, so
+a text costs the languages that share its trigrams and not all of them. Many languages share fewer
+buckets, so that the model stays below ``CELLS`` numbers.
+
+A text's row carries the languages that the other evidence could still make the best, usually one or
+two, and their priors and declarations are joined for the pairs that occur.
 
 A text without letters is rejected, and one whose trigrams are, on average, less likely than the bar
 of every language. Bars are calibrated on held-out texts: the sample is halved by the hash of the
@@ -39,7 +45,6 @@ BUCKETS = 1 << 16
 SAMPLE_ROWS = 4000  # labelled documents a language, about
 CELLS = 1 << 23  # buckets times languages of a model
 MIN_BUCKETS = 1 << 8
-HELD_TABLES = 32  # languages counted at once by a task
 SMOOTHING = 0.5  # of counts of declarations
 UNSEEN = 0.2  # share of the probability that is spread evenly over all buckets
 OWN_LEVEL = 0.01  # quantile of a language's held-out texts
@@ -47,23 +52,58 @@ FOREIGN_LEVEL = 0.95  # quantile of texts whose language is not modelled
 BAR_PLACE = 0.75  # of the way from the first to the second
 FOREIGN_ROWS = 20  # below as many, a language takes the foreign level of all
 PRIOR_WEIGHT = 10.0  # rows that a parent's prior counts for
-TEMPER = 1.0 / 3.0
+TEMPERS = (1 / 3, 0.25, 0.2, 0.15, 0.1)
+MARGIN = 16.0  # candidates less likely by so much (natural logarithm) than any evidence can mend go
 UNKNOWN = "und"
-MIN_POSTERIOR = 0.5
+
+
+@dataclass(frozen=True)
+class Gains:
+    """What buckets add to the log probabilities of languages, beside that of an unseen bucket.
+
+    The languages that have bucket b, and their gains, are at ``starts[b]`` to ``starts[b + 1]``.
+    """
+
+    starts: np.ndarray
+    langs: np.ndarray
+    gains: np.ndarray
+    unseen: float
+    size: int
+
+    @staticmethod
+    def of(lang: np.ndarray, bucket: np.ndarray, n: np.ndarray, buckets: int, size: int) -> Gains:
+        """From counts of (language, bucket); the cost of an unseen bucket does not depend on them."""
+        order = np.lexsort((lang, bucket))
+        lang, bucket, n = lang[order], bucket[order], n[order]
+        share = n / np.bincount(lang, n, size)[lang]
+        unseen = np.log(UNSEEN / buckets)
+        gains = np.log((1 - UNSEEN) * share + UNSEEN / buckets) - unseen
+        starts = np.searchsorted(bucket, np.arange(buckets + 1))
+        return Gains(starts, lang.astype(np.int32), gains.astype(np.float32), unseen, size)
+
+    def totals(self, found: np.ndarray) -> np.ndarray:
+        """The sum of the log probabilities of the buckets found, for each language."""
+        buckets, counts = np.unique(found, return_counts=True)
+        begin = self.starts[buckets]
+        sizes = self.starts[buckets + 1] - begin
+        ends = np.cumsum(sizes)
+        places = np.repeat(begin - (ends - sizes), sizes) + np.arange(sizes.sum())
+        gains = self.gains[places] * np.repeat(counts, sizes)
+        return np.bincount(self.langs[places], gains, self.size) + len(found) * self.unseen
 
 
 @dataclass(frozen=True)
 class TextModel:
-    """Log probabilities of trigram buckets, one column a language; rows are buckets.
+    """Gains of trigram buckets by language, and the bars that mean log probabilities must reach.
 
-    ``bars`` has the mean log probability that a text must reach, for each language. There are
-    2^-``shift`` times ``BUCKETS`` rows: a bucket's row is its number without as
+    There are 2^-``shift`` times ``BUCKETS`` buckets: a trigram's bucket is its number without as
     many bits.
     """
 
     languages: tuple[str, ...]
-    log_p: np.ndarray
-    bars: np.ndarray
+    gains: Gains | None = None
+    bars: np.ndarray | None = None
+    temper: float = TEMPERS[0]
     shift: int = 0
 
 
@@ -101,8 +141,8 @@ def shift_for(languages: int) -> int:
 def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TextModel:
     """The text model of ``labelled`` (doc_id, text, lang); rows without a language are left out.
 
-    What comes to the driver is bounded: a count per language, two per bucket and language, and two
-    numbers per row of the sample.
+    What comes to the driver is bounded: a count per language, two per bucket and language, and a
+    few quantiles per language.
     """
     tagged = labelled.select("doc_id", text_or_empty().alias("text"), primary_tag("lang").alias("tag"))
     tagged = tagged.where("tag IS NOT NULL")
@@ -110,7 +150,7 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TextModel:
     languages = tuple(sorted(counts))
     size = len(languages)
     if not size:
-        return TextModel((), np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
+        return TextModel(())
     shift = shift_for(size)
     buckets = BUCKETS >> shift
     known = labelled.sparkSession.createDataFrame(
@@ -124,165 +164,176 @@ def train(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> TextModel:
     sample = sample.select("lang", "text", half.alias("half"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], np.ndarray] = {}
-
-        def counted() -> Iterator[pa.RecordBatch]:
-            for (half, k), total in held.items():
-                where = np.flatnonzero(total)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                found = [trigrams(text) >> shift for text in part["text"].to_pylist()]
+                kind = part["lang"].to_numpy().astype(np.int64) * 2 + part["half"].to_numpy()
+                kinds = np.repeat(kind, [len(f) for f in found])
+                cells, n = np.unique(
+                    kinds * buckets + np.concatenate([np.empty(0, np.int64), *found]),
+                    return_counts=True,
+                )
+                kinds, bucket = np.divmod(cells, buckets)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(len(where), half), pa.int32()),
-                        pa.array(np.full(len(where), k), pa.int32()),
-                        pa.array(where, pa.int32()),
-                        pa.array(total[where], pa.int64()),
+                        pa.array(kinds % 2, pa.int32()),
+                        pa.array(kinds // 2, pa.int32()),
+                        pa.array(bucket, pa.int32()),
+                        pa.array(n, pa.int64()),
                     ],
                     ["half", "lang", "bucket", "n"],
                 )
-            held.clear()
-
-        for batch in batches:
-            for part in slices(batch, "text"):
-                rows = zip(*(part[name].to_pylist() for name in ("half", "lang", "text")))
-                for *k, text in rows:
-                    k = tuple(k)
-                    if k not in held:
-                        if len(held) >= HELD_TABLES:
-                            yield from counted()
-                        held[k] = np.zeros(buckets, np.int64)
-                    held[k] += np.bincount(trigrams(text) >> shift, minlength=buckets)
-        yield from counted()
 
     found = sample.mapInArrow(count, "half int, lang int, bucket int, n long")
     cells = found.groupBy("half", "lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    table = np.zeros((2, buckets, size), np.float32)
-    place = tuple(cells[name].to_numpy() for name in ("half", "bucket", "lang"))
-    table[place] = cells["n"].to_numpy()
-    halves = [_log_p(table[1]), _log_p(table[0])]  # of the other half, for each
-    log_p = _log_p(table.sum(axis=0))
-    return TextModel(languages, log_p, _bars(sample, halves, shift), shift)
-
-
-def _log_p(counts: np.ndarray) -> np.ndarray:
-    """Log probabilities from counts; the cost of an unseen bucket does not depend on their sum."""
-    share = counts / np.maximum(1, counts.sum(axis=0))
-    return np.log((1 - UNSEEN) * share + UNSEEN / len(counts)).astype(np.float32)
-
-
-def _mean_log_p(log_p: np.ndarray, found: np.ndarray) -> np.ndarray:
-    """The mean over the buckets found (at least one), for each language."""
-    total = np.zeros(log_p.shape[1])
-    for begin in range(0, len(found), 1 << 16):
-        total += log_p[found[begin : begin + (1 << 16)]].sum(axis=0, dtype=float)
-    return total / len(found)
+    half, lang, bucket, n = (cells[c].to_numpy() for c in ("half", "lang", "bucket", "n"))
+    # The model that judges a half is made of the other.
+    halves = [
+        Gains.of(lang[half != k], bucket[half != k], n[half != k], buckets, size) for k in (0, 1)
+    ]
+    cell, place = np.unique(lang.astype(np.int64) * buckets + bucket, return_inverse=True)
+    gains = Gains.of(cell // buckets, cell % buckets, np.bincount(place, n), buckets, size)
+    bars, temper = _calibrated(_judged(sample, halves, shift), buckets, size)
+    return TextModel(languages, gains, bars, temper, shift)
 
 
-def _bars(sample: DataFrame, halves: list[np.ndarray], shift: int) -> np.ndarray:
-    """The bar of each language, from the sample (lang, text, half) under ``halves[half]``."""
+def _judged(sample: DataFrame, halves: list[Gains], shift: int) -> DataFrame:
+    """Of every held-out text of the sample (lang, text, half): its language, the mean it has there,
+    the best other language (null for none) and the mean there, and the loss under each temper.
+    """
     sent = sample.sparkSession.sparkContext.broadcast(halves)
+    tempers = np.array(TEMPERS)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 rows = []
-                for half, k, text in zip(
-                    *(part[name].to_pylist() for name in ("half", "lang", "text"))
-                ):
+                columns = (part[name].to_pylist() for name in ("half", "lang", "text"))
+                for half, k, text in zip(*columns):
                     found = trigrams(text) >> shift
                     if not len(found):
                         continue
-                    means = _mean_log_p(sent.value[half], found)
-                    own, means[k] = means[k], -np.inf
-                    rows.append((k, own, int(means.argmax()), means.max()))
-                kinds = pa.int32(), pa.float64(), pa.int32(), pa.float64()
+                    totals = sent.value[half].totals(found)
+                    # Minus the log of the posterior of the label.
+                    weights = np.exp(np.multiply.outer(tempers, totals - totals.max()))
+                    loss = np.log(weights.sum(axis=1)) - tempers * (totals[k] - totals.max())
+                    own, totals[k] = totals[k], -np.inf
+                    other = int(totals.argmax())
+                    foreign = totals[other] / len(found) if other != k else None
+                    rows.append((k, own / len(found), None if other == k else other, foreign, loss))
+                kinds = pa.int32(), pa.float64(), pa.int32(), pa.float64(), pa.list_(pa.float64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
-                    ["lang", "own", "other", "foreign"],
+                    ["lang", "own", "other", "foreign", "loss"],
                 )
 
-    judged = sample.mapInArrow(judge, "lang int, own double, other int, foreign double").toArrow()
-    lang, own, other, foreign = (judged[name].to_numpy() for name in judged.column_names)
-    return calibrated(lang, own, other, foreign, *halves[0].shape)
+    return sample.mapInArrow(
+        judge, "lang int, own double, other int, foreign double, loss array<double>"
+    )
 
 
-def calibrated(lang, own, other, foreign, buckets: int, size: int) -> np.ndarray:
-    """Bars from held-out texts: ``own`` likelihood in ``lang``, the best ``foreign`` in ``other``.
+def _calibrated(judged: DataFrame, buckets: int, size: int) -> tuple[np.ndarray, float]:
+    """The bar of each language and the temper, from held-out texts.
 
-    Without foreign texts, evenly spread trigrams stand for them. A language without held-out texts
-    has the foreign level as its bar, and one that others read like keeps its own level.
+    A bar lies between the low end of the language's own texts and the level that others reach in
+    it. Without foreign texts, evenly spread trigrams stand for them. A language without held-out
+    texts has the foreign level as its bar, and one that others read like keeps its own level.
     """
-    even = -np.log(buckets)
-
-    def level(values: np.ndarray, q: float) -> float:
-        return float(np.quantile(values, q, method="lower"))
-
-    seen = np.isfinite(foreign)
-    of_all = level(foreign[seen], FOREIGN_LEVEL) if seen.any() else even
-    bars = np.empty(size)
-    for k in range(size):
-        others, mine = foreign[seen & (other == k)], own[lang == k]
-        high = level(others, FOREIGN_LEVEL) if len(others) >= FOREIGN_ROWS else of_all
-        low = level(mine, OWN_LEVEL) if len(mine) else high
-        bars[k] = min(low, low + BAR_PLACE * (high - low))
-    return bars
-
-
-def _with_likelihoods(rows: DataFrame, model: TextModel, keep: Sequence[str]) -> DataFrame:
-    """``keep`` of every row, the tempered ``likelihood`` of each language, and ``guess``.
-
-    The guess is the place of the likeliest language whose bar the text reaches, null for none.
+    judged = staged(judged, "held-out")
+
+    def level(name: str, q: float) -> Column:
+        return F.percentile_approx(name, q, 10_000)
+
+    losses = [F.sum(F.col("loss")[k]).alias(f"loss{k}") for k in range(len(TEMPERS))]
+    every = judged.agg(level("foreign", FOREIGN_LEVEL).alias("level"), *losses).first()
+    of_all = -np.log(buckets) if every["level"] is None else every["level"]
+    low, high = np.full(size, np.nan), np.full(size, of_all)
+    for row in judged.groupBy("lang").agg(level("own", OWN_LEVEL).alias("level")).collect():
+        low[row["lang"]] = row["level"]
+    foreign = judged.where("other IS NOT NULL").groupBy("other")
+    foreign = foreign.agg(level("foreign", FOREIGN_LEVEL).alias("level"), F.count("*").alias("n"))
+    for row in foreign.where(F.col("n") >= FOREIGN_ROWS).collect():
+        high[row["other"]] = row["level"]
+    low = np.where(np.isnan(low), high, low)
+    found = [every[f"loss{k}"] for k in range(len(TEMPERS))]
+    temper = TEMPERS[0] if None in found else TEMPERS[int(np.argmin(found))]
+    return np.minimum(low, low + BAR_PLACE * (high - low)), temper
+
+
+def _with_candidates(
+    rows: DataFrame, model: TextModel, keep: Sequence[str], reach: float
+) -> DataFrame:
+    """``keep`` of every row, ``candidates`` (lang, like), and ``guess``.
+
+    The guess is the likeliest language whose bar the text reaches, null for none; only texts that
+    have one have candidates. These are the languages whose tempered log likelihood, here given less
+    that of the best, is within ``reach`` of it.
     """
-    context = rows.sparkSession.sparkContext
-    sent = context.broadcast(model.log_p)  # CELLS numbers, or MIN_BUCKETS a language
-    size, shift, model_bars = len(model.languages), model.shift, model.bars
+    sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        log_p, bars = sent.value, model_bars
+        model = sent.value
+        names = pa.array(model.languages, pa.string())
         for batch in batches:
             for part in slices(batch, "text"):
-                guesses, sums = [], []
-                for text in part["text"].to_pylist():
-                    found = trigrams(text) >> shift
-                    means = _mean_log_p(log_p, found) if len(found) else np.zeros(size)
-                    fits = means >= bars if len(found) else np.zeros(size, bool)
-                    best = int(np.where(fits, means, -np.inf).argmax())
-                    guesses.append(best if fits[best] else None)
-                    sums.append(means * len(found) * TEMPER)
+                texts = part["text"].to_pylist()
+                guesses = [None] * len(texts)
+                places, likes = [np.empty(0, np.int64)] * len(texts), [np.empty(0)] * len(texts)
+                for row, text in enumerate(texts):
+                    found = trigrams(text) >> model.shift
+                    if not len(found):
+                        continue
+                    totals = model.gains.totals(found)
+                    fits = totals / len(found) >= model.bars
+                    if not fits.any():
+                        continue
+                    guesses[row] = model.languages[int(np.where(fits, totals, -np.inf).argmax())]
+                    less = (totals - totals.max()) * model.temper
+                    places[row] = np.flatnonzero(less >= -reach)
+                    likes[row] = less[places[row]]
+                ends = np.cumsum([0, *map(len, places)])
+                pairs = pa.StructArray.from_arrays(
+                    [names.take(pa.array(np.concatenate(places))), pa.array(np.concatenate(likes))],
+                    ["lang", "like"],
+                )
+                candidates = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)
                 yield pa.RecordBatch.from_arrays(
-                    [part[name] for name in keep]
-                    + [pa.array(guesses, pa.int32()), pa.array(sums, pa.list_(pa.float64()))],
-                    [*keep, "guess", "likelihood"],
+                    [part[name] for name in keep] + [pa.array(guesses, pa.string()), candidates],
+                    [*keep, "guess", "candidates"],
                 )
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema]
     return rows.select(*keep, "text").mapInArrow(
-        run, ", ".join([*kinds, "guess int", "likelihood array<double>"])
+        run, ", ".join([*kinds, "guess string", "candidates array<struct<lang: string, like: double>>"])
     )
 
 
-def _best(values: Column) -> Column:
-    """Place of the largest value, the first of equal ones."""
-    return (F.array_position(values, F.array_max(values)) - 1).cast("int")
-
-
-def _totals(counted: DataFrame, size: int) -> list[int]:
-    """The sum of (guess, count) for each language; a null guess is none."""
-    rows = counted.where("guess IS NOT NULL").groupBy("guess").agg(F.sum("count")).collect()
-    found = dict(map(tuple, rows))
-    return [found.get(k, 0) for k in range(size)]
+def _joined(rows: DataFrame, votes: DataFrame, names: Sequence[str], column: str) -> DataFrame:
+    """``rows`` with a column of ``votes``, joined by ``names``, in which nulls are equal; 0 for none."""
+    right = votes.select(F.struct(*names).alias("_key"), column)
+    # A struct of nulls is not null, so it joins.
+    found = rows.withColumn("_key", F.struct(*names)).join(right, "_key", "left").drop("_key")
+    return found.withColumn(column, F.coalesce(column, F.lit(0).cast("long")))
 
 
-def _votes(counted: DataFrame, by: Sequence[str], size: int) -> DataFrame:
-    """``by`` and ``votes``, an array of the counts of each language, from (by, guess, count)."""
-    n = F.when(F.col("guess").isNotNull(), F.struct("guess", "n"))
-    sums = counted.groupBy(*by, "guess").agg(F.sum("count").alias("n"))
-    found = sums.groupBy(*by).agg(F.map_from_entries(F.collect_list(n)).alias("_votes"))
-    return found.select(
-        *by,
-        F.transform(
-            F.sequence(F.lit(0), F.lit(size - 1)),
-            lambda k: F.coalesce(F.col("_votes")[k], F.lit(0).cast("long")),
-        ).alias("votes"),
-    )
+def _priors(pairs: DataFrame, finest: DataFrame, levels: Sequence[str], size: int) -> DataFrame:
+    """``pairs`` (levels, lang) with the votes ``n`` at the finest level and the prior ``parent``
+    above it, from the votes (levels, lang, count)."""
+    votes = finest.groupBy("lang").agg(F.sum("count").alias("n"))
+    total = finest.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
+    pairs = _joined(pairs, votes, ["lang"], "n")
+    pairs = pairs.withColumn("parent", (F.col("n") + 1) / F.lit(float(total + size))).drop("n")
+    for depth in range(1, len(levels) + 1):
+        part = list(levels[:depth])
+        votes = finest.groupBy(*part, "lang").agg(F.sum("count").alias("n"))
+        pairs = _joined(pairs, votes, [*part, "lang"], "n")
+        if depth == len(levels):
+            return pairs
+        sums = finest.groupBy(*part).agg(F.sum("count").alias("_count"))
+        pairs = _joined(pairs, sums, part, "_count")
+        prior = (F.col("n") + PRIOR_WEIGHT * F.col("parent")) / (F.col("_count") + PRIOR_WEIGHT)
+        pairs = staged(pairs.withColumn("parent", prior).drop("n", "_count"), "priors")
+    return pairs
 
 
 def identify(rows: DataFrame, model: TextModel, levels: Sequence[str]) -> DataFrame:
@@ -291,7 +342,8 @@ def identify(rows: DataFrame, model: TextModel, levels: Sequence[str]) -> DataFr
     ``rows`` has text (not null), declared, an id, and ``levels``, coarse to fine (such as suffix,
     domain, host), each a part of the one before. A null level or declaration is no evidence of its
     own: it is a group of its own among its siblings, and an undeclared row has no such factor.
-    Rejected rows have lang ``und``. Repeated rows are judged alike; an empty table gives no rows.
+    Rows whose text reaches no bar are rejected and have lang ``und``; the posterior of the others
+    says how sure the verdict is. Repeated rows are judged alike; an empty table gives no rows.
     """
     size = len(model.languages)
     keep = [name for name in rows.columns if name != "text"]
@@ -303,92 +355,63 @@ def identify(rows: DataFrame, model: TextModel, levels: Sequence[str]) -> DataFr
             F.lit(None).cast("string").alias("text_lang"),
             F.lit(False).alias("accepted"),
         )
-    read = staged(
-        _with_likelihoods(rows, model, keep).withColumn("readable", F.col("guess").isNotNull()),
-        "likelihoods",
+    n = rows.count()
+    # The most that declarations and priors can differ by between two languages.
+    reach = MARGIN + np.log(3 * n + 2) + np.log((n + PRIOR_WEIGHT) * (n + size) / PRIOR_WEIGHT)
+    reach += (len(levels) - 1) * np.log((n + PRIOR_WEIGHT) / PRIOR_WEIGHT)
+    read = staged(_with_candidates(rows, model, keep, float(reach)), "likelihoods")
+    candidates = F.explode("candidates.lang").alias("lang")
+
+    # What is declared, for the languages that texts read like.
+    guessed = read.where("guess IS NOT NULL").withColumnRenamed("guess", "lang")
+    votes = guessed.where("declared IS NOT NULL").groupBy("declared", "lang").count()
+    votes = staged(votes, "declared")
+    kinds = read.where("declared IS NOT NULL").select("declared").distinct().count()
+    totals = votes.groupBy("lang").agg(F.sum("count").alias("total"))
+    pairs = read.where("declared IS NOT NULL").select("declared", candidates).distinct()
+    pairs = _joined(_joined(pairs, votes, ["declared", "lang"], "count"), totals, ["lang"], "total")
+    share = (F.col("count") + SMOOTHING) / (F.col("total") + SMOOTHING * (kinds + 1))
+    said = pairs.select(
+        F.struct("declared", "lang").alias("_said"), F.log(share).alias("_said_log")
     )
-    names = F.array(*[F.lit(name) for name in model.languages])
-
-    # What is declared, for each language that texts read like.
-    said_votes = read.where("declared IS NOT NULL").groupBy("declared", "guess").count()
-    said_votes = staged(said_votes, "declared")
-    kinds = said_votes.select("declared").distinct().count()
-    totals = [
-        F.lit(float(n + SMOOTHING * (kinds + 1))) for n in _totals(said_votes, size)
-    ]
-    said = _votes(said_votes, ["declared"], size).select(
-        F.struct("declared").alias("_said"),
-        F.zip_with("votes", F.array(*totals), lambda n, t: F.log((n + SMOOTHING) / t)).alias(
-            "_said_log"
-        ),
-    )
-
-    # Votes by the finest level, and priors from coarse to fine.
-    finest = staged(read.groupBy(*levels, "guess").count(), "votes")
-    all_votes = _totals(finest, size)
-    parent = F.array(*[F.lit((n + 1) / (sum(all_votes) + size)) for n in all_votes])
-    priors = None
-    for depth in range(1, len(levels) + 1):
-        part = list(levels[:depth])
-        table = _votes(finest, part, size)
-        if priors is None:
-            table = table.withColumn("parent", parent)
-        else:
-            above = priors.select(
-                F.struct(*part[:-1]).alias("_above"), F.col("prior").alias("parent")
-            )
-            table = table.withColumn("_above", F.struct(*part[:-1])).join(above, "_above")
-        count = F.aggregate("votes", F.lit(0).cast("long"), lambda total, n: total + n)
-        priors = staged(
-            table.withColumn("_count", count).select(
-                *part,
-                "votes",
-                "parent",
-                F.zip_with(
-                    "votes",
-                    "parent",
-                    lambda n, p: (n + PRIOR_WEIGHT * p) / (F.col("_count") + PRIOR_WEIGHT),
-                ).alias("prior"),
-            ),
-            "priors",
-        )
 
-    hosts = priors.select(
-        F.struct(*levels).alias("_host"),
-        F.col("votes").alias("_votes"),
-        F.col("parent").alias("_parent"),
-    )
-    own = F.transform(
-        F.sequence(F.lit(0), F.lit(size - 1)),
-        lambda k: F.coalesce((F.col("guess") == k).cast("long"), F.lit(0)),
-    )
-    others = F.zip_with("_votes", own, lambda n, mine: n - mine)
-    prior = F.zip_with(others, "_parent", lambda n, p: F.log(n + PRIOR_WEIGHT * p))
-    none = F.array_repeat(F.lit(0.0), size)
-    evidence = F.zip_with(
-        F.zip_with("likelihood", F.coalesce("_said_log", none), lambda a, b: a + b),
-        prior,
-        lambda a, b: a + b,
+    finest = staged(guessed.groupBy(*levels, "lang").count(), "votes")
+    pairs = staged(read.select(*levels, candidates).distinct(), "pairs")
+    priors = _priors(pairs, finest, levels, size)
+
+    host = [*levels, "lang"]
+    right = priors.select(F.struct(*host).alias("_host"), "n", "parent")
+    read = read.withColumn("_id", F.monotonically_increasing_id())
+    each = read.withColumn("_candidate", F.explode_outer("candidates")).select(
+        "_id",
+        F.struct(*keep, "guess").alias("_row"),
+        F.struct(*levels, F.col("_candidate.lang").alias("lang")).alias("_host"),
+        F.struct("declared", F.col("_candidate.lang").alias("lang")).alias("_said"),
+        F.col("_candidate.like").alias("like"),
     )
+    lang = F.col("_host.lang")
+    own = (F.col("_row.guess") == lang).cast("long")
+    prior = F.log(F.col("n") - own + PRIOR_WEIGHT * F.col("parent"))
+    evidence = F.col("like") + F.coalesce("_said_log", F.lit(0.0)) + prior
+    # Likelihoods are less the best one's, so that no exponential leaves the range of doubles.
     judged = (
-        read.withColumn("_host", F.struct(*levels))
-        .join(hosts, "_host")
-        .withColumn("_said", F.struct("declared"))
+        each.join(right, "_host", "left")
         .join(said, "_said", "left")
-        .withColumn("_evidence", evidence)
-        .withColumn("_best", _best(F.col("_evidence")))
-    )
-    weights = F.transform(
-        "_evidence", lambda e: F.exp(e - F.array_max("_evidence"))
+        .select("_id", "_row", evidence.alias("_evidence"), lang.alias("_lang"))
+        .groupBy("_id")
+        .agg(
+            F.first("_row").alias("_row"),
+            F.min(F.struct(-F.col("_evidence"), "_lang")).alias("_best"),
+            (F.max(F.exp("_evidence")) / F.sum(F.exp("_evidence"))).alias("_posterior"),
+        )
     )
-    posterior = 1.0 / F.aggregate(weights, F.lit(0.0), lambda total, w: total + w)
-    accepted = F.col("readable") & (posterior >= MIN_POSTERIOR)
+    readable = F.col("_row.guess").isNotNull()
     return judged.select(
-        *keep,
-        F.when(accepted, names[F.col("_best")]).otherwise(UNKNOWN).alias("lang"),
-        F.when(F.col("readable"), posterior).otherwise(0.0).alias("posterior"),
-        F.when(F.col("guess").isNotNull(), names[F.col("guess")]).alias("text_lang"),
-        accepted.alias("accepted"),
+        *[F.col(f"_row.{name}").alias(name) for name in keep],
+        F.when(readable, F.col("_best._lang")).otherwise(UNKNOWN).alias("lang"),
+        F.when(readable, F.col("_posterior")).otherwise(0.0).alias("posterior"),
+        F.col("_row.guess").alias("text_lang"),
+        readable.alias("accepted"),
     )
 
 
@@ -432,5 +455,9 @@ def page_evidence(pages: DataFrame) -> DataFrame:
 
 
 def identify_pages(pages: DataFrame, model: TextModel) -> DataFrame:
-    """One row per row of ``pages``: page_id, declared, suffix, domain, host and the verdict."""
+    """One row per row of ``pages``: page_id, declared, suffix, domain, host and the verdict.
+
+    Null html counts as empty and is rejected; pages without an address share one host, the empty
+    one. Repeated rows are judged alike, extra columns are ignored, an empty table gives no rows.
+    """
     return identify(page_evidence(pages), model, ["suffix", "domain", "host"])

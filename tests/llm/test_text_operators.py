@@ -228,6 +228,7 @@ def test_documents_languages(docs, odd_docs, no_docs):
     rows = language_id.identify_documents(docs).collect()
     assert all(r.accepted and r.lang == r.declared for r in rows)
     model = language_id.train(docs)
+    assert model.temper in language_id.TEMPERS
     odd = {r.doc_id: r for r in language_id.identify_documents(odd_docs, model).collect()}
     assert not any(odd[i].accepted for i in (4, 5, 6, 13))
     assert odd[5].lang == "und" and odd[5].posterior == 0.0
@@ -293,7 +294,7 @@ def expected_accepted(labelled, texts):
         foreign[best].append(by[best])
 
     def level(values, q):
-        return sorted(values)[math.floor(q * (len(values) - 1))]
+        return sorted(values)[max(0, math.ceil(q * len(values)) - 1)]
 
     every, bars = [x for xs in foreign.values() for x in xs], {}
     for lang in languages:
@@ -323,7 +324,7 @@ def test_foreign_texts_are_rejected(spark, docs, sf_dir, share):
 def test_many_languages_share_buckets(spark, docs, monkeypatch):
     monkeypatch.setattr(language_id, "CELLS", language_id.BUCKETS)
     model = language_id.train(docs)
-    assert model.log_p.shape == (language_id.BUCKETS >> 2, 4) and model.shift == 2
+    assert len(model.gains.starts) == (language_id.BUCKETS >> 2) + 1 and model.shift == 2
     rows = language_id.identify_documents(docs, model).collect()
     assert sum(r.accepted and r.lang == r.declared for r in rows) >= 0.98 * len(rows)
 
@@ -358,3 +359,100 @@ def test_evidence_decides_where_texts_do_not(spark, docs):
     assert found[50].posterior > found[53].posterior or found[53].lang != "fr"
     assert (found[0].suffix, found[0].domain, found[0].host) == ("fr", "host.fr", "a.host.fr")
     assert found[51].lang == "und" and found[51].host == ""
+
+
+def fused(rows, model, levels):
+    """Verdicts on (text, declared, levels ..) in plain Python, but for the likelihood of the text."""
+    likes, guesses = [], []
+    for text, *_ in rows:
+        found = language_id.trigrams(text) >> model.shift
+        totals = model.gains.totals(found).tolist() if len(found) else [0.0] * len(model.languages)
+        fits = [
+            (total, lang)
+            for total, lang, bar in zip(totals, model.languages, model.bars)
+            if len(found) and total / len(found) >= bar
+        ]
+        likes.append({x: t * model.temper for t, x in zip(totals, model.languages)})
+        guesses.append(max(fits, key=lambda f: f[0])[1] if fits else None)
+    voters = [(g, *r[1:]) for g, r in zip(guesses, rows) if g is not None]
+    kinds = len({r[1] for r in rows if r[1] is not None})
+    size, found = len(model.languages), []
+    for like, guess, (_, declared, *place) in zip(likes, guesses, rows):
+        if guess is None:
+            found.append(("und", 0.0))
+            continue
+        evidence = {}
+        for lang in model.languages:
+            prior = (sum(v[0] == lang for v in voters) + 1) / (len(voters) + size)
+            for depth in range(1, levels):
+                group = [v[0] for v in voters if list(v[2 : 2 + depth]) == place[:depth]]
+                prior = (group.count(lang) + 10 * prior) / (len(group) + 10)
+            own = [v[0] for v in voters if list(v[2:]) == place].count(lang) - (guess == lang)
+            evidence[lang] = like[lang] + math.log(own + 10 * prior)
+            if declared is not None:
+                said = [v[0] for v in voters if v[1] is not None]
+                both = sum(v[0] == lang and v[1] == declared for v in voters)
+                evidence[lang] += math.log((both + 0.5) / (said.count(lang) + 0.5 * (kinds + 1)))
+        top = max(evidence.values())
+        weights = {x: math.exp(e - top) for x, e in evidence.items()}
+        best = min(x for x in weights if weights[x] == 1.0)
+        found.append((best, 1 / sum(weights.values())))
+    return found
+
+
+def test_posterior_against_plain_python(spark, docs):
+    """Short pieces of text, so that declarations and hosts decide."""
+    model = language_id.train(docs)
+    draw = random.Random(11)
+    rows = []
+    for k, row in enumerate(docs.limit(150).collect()):
+        begin = draw.randrange(max(1, len(row.text) - 12))
+        text = row.text[begin : begin + draw.choice([3, 6, 12, 60])]
+        declared = draw.choice([None, row.lang, row.lang, "en", "xx"])
+        suffix = draw.choice([row.lang, "com", None])
+        domain = f"{draw.choice('ab')}.{suffix}" if suffix else None
+        rows.append((k, text, declared, suffix, domain, f"{draw.choice('xy')}.{domain}"))
+    names = "id int, text string, declared string, suffix string, domain string, host string"
+    levels = ["suffix", "domain", "host"]
+    found = language_id.identify(spark.createDataFrame(rows, names), model, levels).collect()
+    verdicts = {r.id: (r.lang, r.posterior) for r in found}
+    expected = fused([r[1:] for r in rows], model, len(levels))
+    assert len(verdicts) == len(rows)
+    for k, (lang, posterior) in enumerate(expected):
+        assert verdicts[k][0] == lang, k
+        assert verdicts[k][1] == pytest.approx(posterior, abs=1e-5), k
+    assert len({round(p, 3) for _, p in expected}) > 30
+
+
+def test_pages_with_odd_rows(spark, docs):
+    """Null addresses and html, repeated rows, empty pages, clashing names; an empty table."""
+    model = language_id.train(docs)
+    text = docs.where("lang = 'es'").first().text
+    rows = [
+        (1, None, f"<html lang=es><p>{text}</p>"),
+        (2, "http://a.es/", None),
+        (3, "no address", ""),
+        (4, None, None),
+        (5, "http://a.es/x", f"<p>{text}</p>"),
+        (5, "http://a.es/x", f"<p>{text}</p>"),
+        (None, "http://a.es/y", f"<p>{text}</p>" * 200),
+        (6, "http://b.es/", "<html lang='1'>12 % 34"),
+    ]
+    names = "page_id long, url string, html string, lang string, guess string, candidates int, n int"
+    pages = spark.createDataFrame([(*r, "x", "x", 1, 1) for r in rows], names)
+    found = language_id.identify_pages(pages, model).collect()
+    verdicts = sorted((str(r.page_id), r.lang, r.accepted, r.host) for r in found)
+    assert verdicts == sorted(
+        [
+            ("1", "es", True, ""),
+            ("2", "und", False, "a.es"),
+            ("3", "und", False, ""),
+            ("4", "und", False, ""),
+            ("5", "es", True, "a.es"),
+            ("5", "es", True, "a.es"),
+            ("None", "es", True, "a.es"),
+            ("6", "und", False, "b.es"),
+        ]
+    )
+    empty = language_id.identify_pages(pages.limit(0), model)
+    assert empty.count() == 0 and empty.columns == language_id.identify_pages(pages, model).columns
