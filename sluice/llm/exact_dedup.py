@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,8 +19,11 @@ from sluice.llm.common import shared_path, staged, text_or_empty
 class DigestIndex:
     """A bucketed table of (digest, keep_id): the document that stays for each text.
 
-    ``buckets`` is fixed when the table is made; a large corpus wants some 100 MB per bucket. The
-    table lives at ``path`` in the shared folder, and later sessions open it by the same arguments.
+    The table lives at ``path`` in the shared folder, and beside it, at ``path``-buckets, the number
+    of its buckets. Later sessions, also those whose catalog knows nothing of it, open it by the
+    same path: it is declared in their catalog over the files that are there. ``buckets`` is fixed
+    when the index is made (a large corpus wants some 100 MB per bucket), and opening it with another
+    number is an error. ``name`` is that of the table in the catalog.
     """
 
     def __init__(
@@ -32,18 +36,45 @@ class DigestIndex:
         self.spark = spark
         self.name = name or f"digest_index_{uuid.uuid4().hex}"
         self.path = path or shared_path(spark, "digest-index")
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        stored = self._stored_buckets()
+        if stored is None:
+            self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            count = spark.createDataFrame([(self.buckets,)], "buckets int")
+            count.write.parquet(f"{self.path}-buckets")
+        elif buckets in (None, stored):
+            self.buckets = stored
+        else:
+            raise ValueError(f"the index at {self.path} has {stored} buckets, not {buckets}")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name} (digest BINARY, keep_id BIGINT) USING parquet "
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS "
+            f"LOCATION '{self.path}'"
+        )
+        known = spark.sql(f"DESCRIBE FORMATTED {self.name}").where("col_name = 'Location'").first()
+        if known["data_type"].split(":", 1)[-1].lstrip("/") != self.path.split(":", 1)[-1].lstrip("/"):
+            raise ValueError(f"the table {self.name} lives at {known['data_type']}")
+
+    def _stored_buckets(self) -> int | None:
+        try:
+            return self.spark.read.parquet(f"{self.path}-buckets").first()["buckets"]
+        except AnalysisException:  # no such path
+            return None
 
     def rows(self) -> DataFrame:
         """The index as a bucketed scan."""
         return self.spark.table(self.name)
 
-    def unbucketed(self) -> DataFrame:
-        """The index as plain files, for joins whose other side may hold hot digests.
+    def compacted(self, path: str | None = None) -> DigestIndex:
+        """A copy of the index at another path, with one sorted file for each bucket.
 
-        With an exchange on both sides, adaptive execution splits the hot partitions.
+        Every append adds a file to the buckets it touches, and Spark sorts a bucket of several
+        files anew when it is read. The old index stays as it is until its files are removed.
         """
-        return self.spark.read.schema(self.rows().schema).parquet(self.path)
+        to = DigestIndex(self.spark, path=path, buckets=self.buckets)
+        # Read as plain files, so that the shuffle that makes a task of each bucket is planned.
+        files = self.spark.read.schema(self.rows().schema).parquet(self.path)
+        to._write(files.repartition(self.buckets, "digest"))
+        return to
 
     def append(self, digests: DataFrame) -> None:
         """Adds the digests (digest, doc_id) that are new.
@@ -52,15 +83,16 @@ class DigestIndex:
         index keeps its document.
         """
         fresh = digests.groupBy("digest").agg(F.max("doc_id").alias("keep_id"))
-        if self.spark.catalog.tableExists(self.name):
-            known = self.rows().select("digest")
-            fresh = fresh.join(known.hint("merge"), "digest", "left_anti")
+        known = self.rows().select("digest")
+        self._write(fresh.join(known.hint("merge"), "digest", "left_anti"))
+
+    def _write(self, rows: DataFrame) -> None:
         (
-            fresh.write.format("parquet")
+            rows.select("digest", F.col("keep_id").cast("long").alias("keep_id"))
+            .write.format("parquet")
             .mode("append")
             .bucketBy(self.buckets, "digest")
             .sortBy("digest")
-            .option("path", self.path)
             .saveAsTable(self.name)
         )
 

@@ -1,5 +1,8 @@
 import collections
 import hashlib
+import subprocess
+import sys
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,6 +13,8 @@ from sluice.llm.common import components
 from sluice.llm.exact_dedup import DigestIndex, digests, drop_duplicates, exact_dedup
 from tests.llm.conftest import changed, make_docs, words
 
+ROOT = Path(__file__).parents[2]
+
 
 def sha(text):
     return hashlib.sha256((text or "").encode()).hexdigest()
@@ -37,6 +42,53 @@ def test_exact_empty(no_docs):
     assert drop_duplicates(no_docs).count() == 0
 
 
+LOAD = """
+import sys
+from sluice.llm.exact_dedup import DigestIndex, digests, exact_dedup
+from sluice.session import local_session
+
+spark = local_session(2, **{"spark.sql.warehouse.dir": sys.argv[3]})
+docs = spark.createDataFrame([tuple(x.split("=")) for x in sys.argv[2].split(",")], "id string, text string")
+docs = docs.selectExpr("cast(id AS long) AS doc_id", "text")
+answers = exact_dedup(docs, DigestIndex(spark, "texts", sys.argv[1], 3))
+print("ANSWERS", sorted((r.doc_id, r.keep_id, r.kept) for r in answers.collect()))
+print("INDEX", sorted(r.keep_id for r in DigestIndex(spark, "texts", sys.argv[1]).rows().collect()))
+try:
+    DigestIndex(spark, "texts", sys.argv[1], 4)
+except ValueError as problem:
+    print("REFUSED", problem)
+"""
+
+
+def test_index_outlives_its_process(tmp_path):
+    """Two processes, each with a catalog of its own, load the same index."""
+    def load(rows, k):
+        command = [sys.executable, "-c", LOAD, str(tmp_path / "index"), rows, str(tmp_path / f"w{k}")]
+        done = subprocess.run(command, capture_output=True, text=True, timeout=300, cwd=ROOT)
+        assert done.returncode == 0, done.stderr
+        return dict(line.split(" ", 1) for line in done.stdout.splitlines() if line[:1].isupper())
+
+    first = load("10=old,11=other", 1)
+    assert first["ANSWERS"] == "[(10, 10, True), (11, 11, True)]"
+    second = load("20=old,21=new", 2)
+    assert second["ANSWERS"] == "[(20, 10, False), (21, 21, True)]"
+    assert second["INDEX"] == "[10, 11, 21]"
+    assert "3 buckets" in second["REFUSED"]
+
+
+def test_compacted_index(spark):
+    index = DigestIndex(spark, buckets=3)
+    for k in range(4):
+        index.append(digests(make_docs(spark, [(10 * k + i, f"{k}-{i}", "", "") for i in range(9)])))
+    small = index.compacted()
+    key = lambda r: (bytes(r.digest), r.keep_id)
+    assert sorted(map(key, small.rows().collect())) == sorted(map(key, index.rows().collect()))
+    assert len(small.rows().inputFiles()) == 3 < len(index.rows().inputFiles())
+    again = exact_dedup(make_docs(spark, [(99, "2-5", "", "")]), small).first()
+    assert (again.keep_id, again.kept) == (25, False)
+    assert index.rows().count() == small.rows().count() == 36
+
+
 def test_index_keeps_earlier_loads(spark):
     index = DigestIndex(spark, buckets=3)
     index.append(digests(make_docs(spark, [(5, "a", "", ""), (4, "a", "", ""), (3, "b", "", "")])))
