@@ -5,8 +5,10 @@ hashed to a wide vector, and the vectors of all units are added. Two kinds of la
 
 * 8 lanes of 32 bits, the halves of four 64-bit hashes, added modulo 2^32: equal multisets of units
   have equal sums whatever their order, and others differ but for chance (256 bits);
-* 128 lanes of +1 or -1, the bits of two 64-bit hashes, added modulo 2^16: their scalar products
-  estimate how many units two texts share.
+* 128 lanes of +1 or -1, the bits of two more 64-bit hashes, added modulo 2^32: their scalar
+  products estimate how many units two texts share.
+
+Every hash reads the unit anew from a seed of its own, so units that collide in one do not in others.
 
 Sums can be updated: the fingerprint of a text with units inserted or deleted is that of the text
 plus or minus theirs (``combine``). All of it is DataFrame work.
@@ -24,7 +26,9 @@ HASHES = 4
 SIGN_HASHES = 2
 LOW_32 = 0xFFFFFFFF
 LANE_PAIR = 0x0000000100000001  # bits i and i + 32 of a hash, as two 32-bit counters
+SIGN_HASH = HASHES  # the seed of the first hash of the signs
 BLOCK_DOCS = 4096
+MOST_BLOCKS = 1 << 16
 
 
 def units(text: Column) -> Column:
@@ -43,13 +47,13 @@ def _total(hashes: Column, term) -> Column:
 
 
 def lanes(text: Column) -> Column:
-    """The vector of a text: (eq: 8 sums mod 2^32, sign: 128 sums in -2^15 .. 2^15 - 1).
+    """The vector of a text: (eq: 8 sums mod 2^32, sign: 128 sums in -2^31 .. 2^31 - 1).
 
     The unit counts stay below 2^31, as texts do.
     """
 
     def hashes(parts: Column, k: int) -> Column:
-        return F.transform(parts, lambda u: F.xxhash64(u, F.lit(k)))
+        return F.transform(parts, lambda u: F.xxhash64(F.lit(k), u))
 
     def halves(hs: Column) -> list[Column]:
         low = _total(hs, lambda h: h.bitwiseAND(F.lit(LOW_32)))
@@ -76,18 +80,20 @@ def lanes(text: Column) -> Column:
 
     def vector(all_hashes: Column) -> Column:
         equal = F.concat(*[F.array(*halves(all_hashes[k])) for k in range(HASHES)])
-        sign = F.concat(*[signs(all_hashes[k]) for k in range(SIGN_HASHES)])
+        sign = F.concat(*[signs(all_hashes[SIGN_HASH + k]) for k in range(SIGN_HASHES)])
         return F.struct(equal.alias("eq"), F.transform(sign, _wrap).alias("sign"))
 
     return _bind(
         units(text),
-        lambda parts: _bind(F.array(*[hashes(parts, k) for k in range(HASHES)]), vector),
+        lambda parts: _bind(
+            F.array(*[hashes(parts, k) for k in range(HASHES + SIGN_HASHES)]), vector
+        ),
     )
 
 
 def _wrap(value: Column) -> Column:
-    """The representative of a sum modulo 2^16 that is nearest to 0."""
-    return F.pmod(value + 32768, F.lit(65536)) - 32768
+    """The representative of a sum modulo 2^32 that is nearest to 0."""
+    return F.pmod(value + (1 << 31), F.lit(1 << 32).cast("long")) - (1 << 31)
 
 
 def combine(a: Column, b: Column, sign: int = 1) -> Column:
@@ -101,13 +107,13 @@ def combine(a: Column, b: Column, sign: int = 1) -> Column:
 
 
 def fingerprint(vector: Column) -> Column:
-    """The vector as text: 8 hex digits for each equality lane, 4 for each sign lane."""
+    """The vector as text: 8 hex digits for each lane."""
 
-    def digits(value: Column, width: int) -> Column:
-        return F.lpad(F.lower(F.hex(value)), width, "0")
+    def digits(value: Column) -> Column:
+        return F.lpad(F.lower(F.hex(value)), 8, "0")
 
-    equal = F.transform(vector["eq"], lambda v: digits(v, 8))
-    sign = F.transform(vector["sign"], lambda v: digits(F.pmod(v, F.lit(65536)), 4))
+    equal = F.transform(vector["eq"], digits)
+    sign = F.transform(vector["sign"], lambda v: digits(F.pmod(v, F.lit(1 << 32).cast("long"))))
     return F.concat(F.array_join(equal, ""), F.array_join(sign, ""))
 
 
@@ -120,7 +126,7 @@ def likeness(a: Column, b: Column) -> Column:
 
     def dot(x: Column, y: Column) -> Column:
         return F.aggregate(
-            F.zip_with(x, y, lambda u, v: u * v), F.lit(0).cast("long"), lambda t, v: t + v
+            F.zip_with(x, y, lambda u, v: u.cast("double") * v), F.lit(0.0), lambda t, v: t + v
         )
 
     length = dot(a["sign"], a["sign"]) + dot(b["sign"], b["sign"])
@@ -139,51 +145,57 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def with_next(docs: DataFrame, columns: list[Column], block_docs: int = BLOCK_DOCS) -> DataFrame:
     """``columns`` of every row, as structs ``here`` and ``next`` (that of the next doc_id).
 
-    The rows are dealt once to blocks of ids. The first row of each block is a quantile of the ids,
-    so it is known beforehand and sent to the block before it as well; the first row of all goes
-    also to the last block. Each row then finds its next one in its own block. Rows that repeat an
-    id follow each other in any order; rows without id come last.
+    The rows are dealt once to blocks of about ``block_docs`` ids (more in very large tables, so
+    that there are some ``MOST_BLOCKS`` at most). Ids whose hash says so begin a block, so a row
+    knows by itself that it begins one and is sent to the block before it as well; the first row of
+    all goes also to the last block. Each row then finds its next one in its own block. Blocks are
+    found by bisection among the sorted ids that begin them. Rows that repeat an id follow each other in any order; rows without id come last.
     """
     rows = docs.select("doc_id", *columns)
     n = docs.count()
+    here = F.struct(*[F.col(c) for c in rows.columns]).alias("here")
     if n == 0:
-        nothing = F.struct(*[F.col(c) for c in rows.columns])
-        return rows.select(nothing.alias("here"), nothing.alias("next"))
-    blocks = max(1, -(-n // block_docs))
-    marks = [k / blocks for k in range(1, blocks)] or [0.5]
-    first, borders = docs.agg(
-        F.min("doc_id"), F.percentile_approx("doc_id", marks, 20 * blocks)
-    ).first()
-    borders = sorted(set(borders or []) - {first}) if blocks > 1 else []
-
-    # Ids from border k on are in block k + 1; the blocks are found by bisection.
-    def bisect(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(F.col("doc_id") < borders[middle], bisect(low, middle)).otherwise(
-            bisect(middle + 1, high)
+        return rows.select(here, here.alias("next"))
+    period = max(block_docs, -(-n // MOST_BLOCKS))
+    first = docs.agg(F.min("doc_id")).first()[0]
+    is_first = F.lit(False) if first is None else F.col("doc_id") == first
+    marked = F.pmod(F.xxhash64(F.lit("block"), "doc_id"), F.lit(period)) == 0
+    marked = F.coalesce(marked & ~is_first, F.lit(False))
+    # Some MOST_BLOCKS ids at most. As text they are one constant of the plan, however many.
+    begins = docs.where(marked).agg(F.sort_array(F.collect_set("doc_id"))).first()[0]
+    borders = F.split(F.lit(",".join(map(str, begins))), ",").cast("array<long>")
+    last = F.lit(len(begins))
+
+    # The block of an id is the number of borders up to it, found between ``low`` and ``high``.
+    def step(span: Column, _: Column) -> Column:
+        middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
+        above = F.col("doc_id") < F.get(borders, middle)
+        return F.when(span["low"] >= span["high"], span).otherwise(
+            F.struct(
+                F.when(above, span["low"]).otherwise(middle + 1).alias("low"),
+                F.when(above, middle).otherwise(span["high"]).alias("high"),
+            )
         )
 
-    last = len(borders)
-    own = F.when(F.col("doc_id").isNull(), F.lit(last)).otherwise(bisect(0, last))
-    begins = F.col("doc_id").isin([*borders, *([] if first is None else [first])])
-    if first is None:
-        begins = F.lit(False)
-    before = F.when(own == 0, F.lit(last)).otherwise(own - 1)
+    steps = F.sequence(F.lit(1), F.lit(len(begins).bit_length() + 1))
+    span = F.struct(F.lit(0).alias("low"), last.alias("high"))
+    own = F.when(F.col("doc_id").isNull(), last).otherwise(F.aggregate(steps, span, step)["low"])
+
+    def to(block: Column, after: int) -> Column:
+        return F.struct(block.alias("block"), F.lit(after).alias("after"))
+
     dealt = (
-        rows.select(F.struct(*[F.col(c) for c in rows.columns]).alias("here"), "doc_id")
+        rows.select(here, "doc_id", (marked | is_first).alias("_begins"), is_first.alias("_first"))
+        .withColumn("_own", own)
+        .withColumn("_before", F.when(F.col("_first"), last).otherwise(F.col("_own") - 1))
         .withColumn(
             "_to",
-            F.when(
-                begins,
-                F.array(
-                    F.struct(own.alias("block"), F.lit(0).alias("after")),
-                    F.struct(before.alias("block"), F.lit(1).alias("after")),
-                ),
-            ).otherwise(F.array(F.struct(own.alias("block"), F.lit(0).alias("after")))),
+            F.explode(
+                F.when(
+                    F.col("_begins"), F.array(to(F.col("_own"), 0), to(F.col("_before"), 1))
+                ).otherwise(F.array(to(F.col("_own"), 0)))
+            ),
         )
-        .withColumn("_to", F.explode("_to"))
     )
     order = Window.partitionBy("_to.block").orderBy("_to.after", F.col("doc_id").asc_nulls_last())
     found = dealt.withColumn("next", F.lead("here").over(order)).where("_to.after = 0")

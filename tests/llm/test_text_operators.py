@@ -146,6 +146,57 @@ def test_edited_texts_over_block_borders(docs, doc_rows, spark):
     assert len(pairs) == len(ids)
 
 
+@pytest.mark.parametrize("block_docs", [1, 3, 1000])
+def test_next_rows_in_any_blocks(spark, block_docs):
+    """Negative, repeated and missing ids; blocks of one id, of some, and one block."""
+    from pyspark.sql import functions as F
+
+    draw = random.Random(block_docs)
+    ids = sorted(draw.sample(range(-500, 500), 120))
+    rows = [(i, f"t{i}", "", "") for i in ids] + [(None, "a", "", ""), (None, "b", "", "")]
+    draw.shuffle(rows)
+    pairs = fingerprints.with_next(make_docs(spark, rows), [F.col("text")], block_docs).collect()
+    found = {p.here.text: p.next.text for p in pairs}
+    assert len(found) == len(rows)
+    assert [found[f"t{a}"] for a in ids[:-1]] == [f"t{b}" for b in ids[1:]]
+    assert found[f"t{ids[-1]}"] in "ab" and f"t{ids[0]}" in (found["a"], found["b"])
+    twice = make_docs(spark, [(k // 2, f"{k}", "", "") for k in range(20)])
+    pairs = fingerprints.with_next(twice, [F.col("text")], block_docs).collect()
+    assert len(pairs) == 20
+    assert all(p.next.doc_id - p.here.doc_id in (0, 1, -9) for p in pairs)
+
+
+def test_many_blocks_are_planned_at_once(spark):
+    """The number of expressions does not grow with that of blocks."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    docs = spark.range(300_000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    begin = time.time()
+    pairs = fingerprints.with_next(docs, [F.col("text")], block_docs=2)
+    pairs._jdf.queryExecution().optimizedPlan()
+    assert time.time() - begin < 10
+    assert pairs.where("next.doc_id <> (here.doc_id + 1) % 300000").count() == 0
+    assert pairs.count() == 300_000
+
+
+def test_lanes_of_many_equal_lines(spark):
+    """Sums of signs do not leave their range; every hash has a seed of its own."""
+    from pyspark.sql import functions as F
+
+    rows = [(1, "x\n" * 40_000 + "y", "x\n" * 39_999 + "z")]
+    row = (
+        spark.createDataFrame(rows, "id int, a string, b string")
+        .select(fingerprints.lanes(F.col("a")).alias("a"), fingerprints.lanes(F.col("b")).alias("b"))
+        .select("a", fingerprints.likeness(F.col("a"), F.col("b")).alias("near"))
+        .first()
+    )
+    assert set(map(abs, row.a.sign)) <= {39_999, 40_001} and row.near > 0.99
+    eq = row.a.eq
+    assert len(set(eq)) == 8
+
+
 def test_edited_odd_rows(odd_docs, no_docs, spark):
     assert fingerprints.edit_report(odd_docs).count() == odd_docs.count()
     assert fingerprints.edit_report(no_docs).count() == 0
