@@ -7,7 +7,9 @@ number, verifies that the numbers are complete and the total length is right, an
 framing.
 
 Archives are written by Spark's text writer, whose line separator is the separator of WARC records,
-and read as a stream by its reader, so they may be in any store that Spark reaches.
+and read as a stream by its reader, so they may be in any store that Spark reaches. Records go
+through string columns as they are: Spark neither checks nor changes the bytes of a string that was
+cast from binary.
 """
 
 from __future__ import annotations
@@ -310,7 +312,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _decoded(rows: DataFrame) -> DataFrame:
-    """``rows`` with ``block`` decoded to ``payload``, or null and the reason in ``error``."""
+    """``rows`` with the parts ``blocks`` joined and decoded to ``payload``, or the ``error``."""
     keep = ["record_id", "record_type", "page_id", "url", "refers_to"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -318,11 +320,11 @@ def _decoded(rows: DataFrame) -> DataFrame:
             for begin in range(0, batch.num_rows, 256):
                 part = batch.slice(begin, 256)
                 payloads, errors = [], []
-                for block, error in zip(part["block"].to_pylist(), part["error"].to_pylist()):
+                for blocks, error in zip(part["blocks"].to_pylist(), part["error"].to_pylist()):
                     found = None
-                    if error is None and block is not None:
+                    if error is None and blocks is not None:
                         try:
-                            found = payload_of(block)
+                            found = payload_of(b"".join(blocks))
                         except ValueError as problem:
                             error = str(problem)
                     payloads.append(found)
@@ -333,7 +335,7 @@ def _decoded(rows: DataFrame) -> DataFrame:
                     [*keep, "payload", "error"],
                 )
 
-    return rows.select(*keep, "block", "error").mapInArrow(
+    return rows.select(*keep, "blocks", "error").mapInArrow(
         run,
         "record_id string, record_type string, page_id long, url string, refers_to string, "
         "payload binary, error string",
@@ -364,16 +366,16 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
         .withColumn("parts", parts)
     )
     numbers = F.transform("parts", lambda p: p["number"])
-    joined = F.aggregate(
-        "parts", F.lit(b"").cast("binary"), lambda block, p: F.concat(block, p["block"])
+    length = F.aggregate(
+        "parts", F.lit(0).cast("long"), lambda total, p: total + F.octet_length(p["block"])
     )
     checked = (
-        grouped.withColumn("block", joined)
+        grouped.withColumn("blocks", F.transform("parts", lambda p: p["block"]))
         .withColumn(
             "error",
             F.when(numbers != F.sequence(F.lit(1), F.size("parts")), "a segment is missing")
             .when(F.col("total").isNull(), "the last segment is missing")
-            .when(F.octet_length("block") != F.col("total"), "the total length is wrong"),
+            .when(length != F.col("total"), "the total length is wrong"),
         )
         .where("copies > 0")
         .withColumn("_copy", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))))
@@ -383,14 +385,16 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
             "first.page_id",
             "first.url",
             F.lit(None).cast("string").alias("refers_to"),
-            "block",
+            "blocks",
             "error",
         )
     )
-    columns = ["record_id", "record_type", "page_id", "url", "refers_to", "block"]
-    responses = whole.where("record_type = 'response'").select(*columns, no_error)
+    columns = ["record_id", "record_type", "page_id", "url", "refers_to"]
+    responses = whole.where("record_type = 'response'").select(
+        *columns, F.array("block").alias("blocks"), no_error
+    )
     revisits = whole.where("record_type = 'revisit'").select(
-        *columns[:-1], F.lit(None).cast("binary").alias("block"), no_error
+        *columns, F.lit(None).cast("array<binary>").alias("blocks"), no_error
     )
     return _decoded(responses.unionByName(revisits).unionByName(checked))
 
