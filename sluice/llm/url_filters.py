@@ -21,6 +21,14 @@ RULES = (
     ("block", "net/fr/"),
 )
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+SPACES_AT_ENDS = r"^[ \t\r\n\f]+|[ \t\r\n\f]+$"
+REFERENCES = (
+    (r"&(?:quot|#0*34|#[xX]0*22);", '"'),
+    (r"&(?:apos|#0*39|#[xX]0*27);", "'"),
+    (r"&(?:sol|#0*47|#[xX]0*2[fF]);", "/"),
+    (r"&(?:colon|#0*58|#[xX]0*3[aA]);", ":"),
+    (r"&(?:amp|#0*38|#[xX]0*26);", "&"),
+)
 # Query parameters that do not change the page.
 TRACKING = r"(?:utm_[^=&]*|ref|fbclid|gclid)"
 
@@ -46,13 +54,44 @@ def rule_fits(host: Column, path: Column, rule: str) -> Column:
 
 
 def first_fit(host: Column, path: Column, rules, value) -> Column:
-    """``value(rule)`` of the longest rule that fits, else null."""
+    """``value(rule)`` of the longest rule that fits, else null; of equally long, the larger text."""
     found = F.lit(None).cast("string")
-    for verdict, rule in sorted(rules, key=lambda r: len(r[1])):
+    for verdict, rule in sorted(rules, key=lambda r: (len(r[1]), r[1])):
         found = F.when(rule_fits(host, path, rule), F.lit(value(verdict, rule))).otherwise(found)
     return found
 
 
+def longest_fits(urls: DataFrame, rules: DataFrame) -> DataFrame:
+    """(host, path, rule, own) of the urls (host, path) that a rule of the table fits.
+
+    ``rules`` is (verdict, rule) and may be large: a host is looked up under each of its suffixes,
+    and its path cut to each length that rules of that suffix have, so all lookups are equalities.
+    """
+    cut = rules.select(
+        F.regexp_extract("rule", "^[^/]*", 0).alias("_suffix"),
+        F.regexp_extract("rule", "(?s)/.*$", 0).alias("_start"),
+        "rule",
+        F.col("verdict").alias("own"),
+    )
+    cut = staged(cut.groupBy("_suffix", "_start", "rule").agg(F.max("own").alias("own")), "rules")
+    lengths = cut.select("_suffix", F.length("_start").alias("_length")).distinct()
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(
+        F.sequence(F.lit(1), F.size(labels)),
+        lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."),
+    )
+    asked = (
+        staged(urls.select("host", "path").distinct(), "hosts")
+        .withColumn("_suffix", F.explode(suffixes))
+        .join(lengths, "_suffix")
+        .where(F.col("_length") <= F.length("path"))
+        .withColumn("_start", F.substring(F.col("path"), F.lit(1), F.col("_length")))
+    )
+    best = F.max(F.struct(F.length("rule"), "rule", "own")).alias("_best")
+    found = asked.join(cut, ["_suffix", "_start"]).groupBy("host", "path").agg(best)
+    return found.select("host", "path", "_best.rule", "_best.own")
+
+
 def address(url: Column) -> Column:
     """The url as a graph node: host in lower case, without fragment; null without ``://``."""
     scheme = lower_ascii(F.regexp_extract(url, r"(?s)^(.*?)://", 1))
@@ -96,12 +135,19 @@ def _without_dots(path: Column) -> Column:
     return F.when(joined == "/", joined).otherwise(F.concat(joined, end))
 
 
+def _unescaped(text: Column) -> Column:
+    """An attribute value without the character references that addresses are written with."""
+    for pattern, letter in REFERENCES:
+        text = F.regexp_replace(text, pattern, letter)
+    return text
+
+
 def _absolute(base: Column, link: Column) -> Column:
     """The reference ``link`` on the page ``base``, absolute; null for one that names no page.
 
     References of other schemes than ``scheme://`` name no page, nor does an empty one.
     """
-    link = F.trim(F.replace(link, F.lit("&amp;"), F.lit("&")))
+    link = F.regexp_replace(_unescaped(link), SPACES_AT_ENDS, "")
     scheme = F.regexp_extract(base, r"(?s)^(.*?)://", 1)
     site = F.concat(scheme, F.lit("://"), host_of(base))
     path = F.when(path_of(base) == "", "/").otherwise(path_of(base))
@@ -124,9 +170,17 @@ def _absolute(base: Column, link: Column) -> Column:
 def declared_targets(url: Column, html: Column) -> Column:
     """Absolute targets of the page's canonical links and refresh redirects, as an array.
 
-    References are resolved against the address of the page; ``canonical`` may be one of several
-    values of ``rel``.
+    References are resolved against the first ``<base href>`` of the page, itself resolved against
+    the address of the page, or against that; ``canonical`` may be one of several values of ``rel``.
     """
+    bases = F.filter(
+        F.transform(
+            F.regexp_extract_all(html, F.lit(r"(?is)<base\s[^>]*>"), 0),
+            lambda t: _attribute(t, "href"),
+        ),
+        lambda t: t != "",
+    )
+    base = F.coalesce(_absolute(url, F.get(bases, F.lit(0))), url)
     links = F.filter(
         F.regexp_extract_all(html, F.lit(r"(?is)<link\s[^>]*>"), 0),
         lambda t: F.array_contains(
@@ -146,18 +200,27 @@ def declared_targets(url: Column, html: Column) -> Column:
             ),
         ),
     )
-    return F.filter(F.transform(to, lambda t: _absolute(url, t)), lambda t: t.isNotNull())
+    return F.flatten(
+        F.transform(
+            F.array(base),
+            lambda b: F.filter(
+                F.transform(to, lambda t: _absolute(b, t)), lambda t: t.isNotNull()
+            ),
+        )
+    )
 
 
 def url_verdicts(pages: DataFrame, rules=RULES, redirects: DataFrame | None = None) -> DataFrame:
     """One row per row of ``pages``: page_id, host, path, rule, verdict.
 
     Edges are: url to its canonical form, url to that of the canonical links and refresh targets in
-    its html, and between those of ``redirects`` (src, dst) if given. Null urls and urls without
+    its html, and between those of ``redirects`` (src, dst) if given. ``rules`` are pairs (verdict,
+    rule), or for many rules a DataFrame of these columns, which is joined. Null urls and urls without
     ``://`` have empty host and path, no edges, and are allowed; null html declares nothing.
     Repeated rows get equal answers; extra columns are ignored; an empty table gives no rows. Nodes
     are MD5 digests of addresses, so hot pages cost 16 bytes an edge.
     """
+    few = () if isinstance(rules, DataFrame) else rules
     url = F.col("url")
     node = F.unhex(F.md5(address(url)))
     declared = F.transform(
@@ -175,10 +238,13 @@ def url_verdicts(pages: DataFrame, rules=RULES, redirects: DataFrame | None = No
                 node.isNotNull(), F.concat(F.array(F.unhex(F.md5(canonical(url)))), declared)
             ).alias("to"),
         )
-        .withColumn("rule", first_fit(F.col("host"), F.col("path"), rules, lambda v, r: r))
-        .withColumn("own", first_fit(F.col("host"), F.col("path"), rules, lambda v, r: v)),
+        .withColumn("rule", first_fit(F.col("host"), F.col("path"), few, lambda v, r: r))
+        .withColumn("own", first_fit(F.col("host"), F.col("path"), few, lambda v, r: v)),
         "urls",
     )
+    if isinstance(rules, DataFrame):
+        fits = staged(longest_fits(read, rules), "fits")
+        read = staged(read.drop("rule", "own").join(fits, ["host", "path"], "left"), "urls")
     edges = read.select(F.col("node").alias("a"), F.explode("to").alias("b"))
     if redirects is not None:
         edges = edges.unionByName(
