@@ -36,6 +36,7 @@ PROBES = 7
 SEGMENT_BYTES = 16 << 20  # of training text
 BATCH_BYTES = 16 << 20  # of text, where lookups travel
 BROADCAST_BYTES = 256 << 20
+HELD_KEYS = 1 << 21  # distinct words and pairs that a task counts before it sends them
 MEMORY = 1 << 17
 
 END = np.uint64(xxhash.xxh3_64_intdigest(b"end of text"))
@@ -109,6 +110,12 @@ def _place(one: np.ndarray, step: np.ndarray, k: int, bits: int) -> np.ndarray:
     return (one + np.uint64(k) * step) % np.uint64(bits)
 
 
+def _cuts(hashes: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each segment begins among sorted hashes, and the segments that have any."""
+    of = segment_of(hashes, segments)
+    return np.searchsorted(of, np.arange(segments + 1)), np.unique(of)
+
+
 class Segment:
     """Word counts and pair filter of one range of hashes."""
 
@@ -160,35 +167,56 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame) -> DataFrame:
     """The segments of the texts in ``docs``: (segment, segments, words, counts, bloom, tokens).
 
-    Every batch of documents is counted on its own and sends one row to each segment, so words and
-    pairs that are everywhere arrive once a batch. All documents and whole texts are counted.
+    A task adds up the words and pairs of its documents, and sends one row to each segment that has
+    any of them when it holds ``HELD_KEYS``, so there are never more rows than distinct keys. All
+    documents and whole texts are counted. Segments that no word or pair falls into have no row.
     """
     size = docs.agg(F.sum(F.octet_length(text_or_empty()))).first()[0] or 0
     segments = max(1, -(-size // SEGMENT_BYTES))
+    most = HELD_KEYS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        keys = 0
+
+        def merged() -> tuple[np.ndarray, ...]:
+            words, counts, pairs, pair_counts = map(np.concatenate, zip(*held))
+            return *_counted(words, counts), *_counted(pairs, pair_counts)
+
+        def sent() -> pa.RecordBatch:
+            words, counts, pairs, pair_counts = held[0]
+            cuts, found = zip(*(_cuts(hashes, segments) for hashes in (words, pairs)))
+            columns: list[list] = [[], [], [], []]
+            full = np.union1d(*found).tolist()
+            for k in full:
+                w, p = (slice(cut[k], cut[k + 1]) for cut in cuts)
+                for column, values, kind in zip(
+                    columns,
+                    (words[w], counts[w], pairs[p], pair_counts[p]),
+                    (np.uint64, np.uint32) * 2,
+                ):
+                    column.append(values.astype(kind).tobytes())
+            return pa.RecordBatch.from_arrays(
+                [pa.array(full, pa.int32())] + [pa.array(column, pa.binary()) for column in columns],
+                ["segment", "words", "counts", "pairs", "pair_counts"],
+            )
+
         for batch in batches:
             for part in slices(batch, "text", 8192, 1 << 22):
                 tokens, contexts, _ = token_hashes(part["text"].to_pylist())
-                words, word_counts = _counted(tokens)
-                pairs, pair_counts = _counted(pair_hashes(contexts, tokens))
-                edges = np.arange(segments + 1)
-                cuts = np.searchsorted(segment_of(words, segments), edges)
-                pair_cuts = np.searchsorted(segment_of(pairs, segments), edges)
-                columns: list[list] = [[], [], [], []]
-                for k in range(segments):
-                    w, p = slice(cuts[k], cuts[k + 1]), slice(pair_cuts[k], pair_cuts[k + 1])
-                    for column, values, kind in zip(
-                        columns,
-                        (words[w], word_counts[w], pairs[p], pair_counts[p]),
-                        (np.uint64, np.uint32) * 2,
-                    ):
-                        column.append(values.astype(kind).tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(segments), pa.int32())]
-                    + [pa.array(column, pa.binary()) for column in columns],
-                    ["segment", "words", "counts", "pairs", "pair_counts"],
-                )
+                held.append((*_counted(tokens), *_counted(pair_hashes(contexts, tokens))))
+                keys += len(held[-1][0]) + len(held[-1][2])
+                if keys >= most:
+                    held[:] = [merged()]
+                    keys = len(held[0][0]) + len(held[0][2])
+                    if keys > most // 2:
+                        yield sent()
+                        held.clear()
+                        keys = 0
+        if held:
+            held[:] = [merged()]
+            yield sent()
+        _WORDS.clear()
 
     def build(table):
         def joined(name, kind):
@@ -296,6 +324,7 @@ def _by_broadcast(docs: DataFrame, model: DataFrame, totals: Totals) -> DataFram
                 yield _rows(
                     part["doc_id"], _scores(tokens, contexts, starts, count, before, level, totals)
                 )
+        _WORDS.clear()
 
     return docs.mapInArrow(run, SCORE_SCHEMA)
 
@@ -317,21 +346,22 @@ def _by_travel(docs: DataFrame, model: DataFrame, totals: Totals) -> DataFrame:
 
     def questions(table):
         *_, words, pairs = asked(table["text"].to_pylist())
-        edges = np.arange(totals.segments + 1)
-        cuts = np.searchsorted(segment_of(words, totals.segments), edges)
-        pair_cuts = np.searchsorted(segment_of(pairs, totals.segments), edges)
-        n = totals.segments
+        cuts, some = _cuts(words, totals.segments)
+        pair_cuts, others = _cuts(pairs, totals.segments)
+        full = np.union1d(some, others).tolist()
         return pa.table(
             {
-                "batch": pa.array([table["batch"][0].as_py()] * n, pa.int32()),
-                "segment": pa.array(range(n), pa.int32()),
-                "words": [words[cuts[k] : cuts[k + 1]].tobytes() for k in range(n)],
-                "pairs": [pairs[pair_cuts[k] : pair_cuts[k + 1]].tobytes() for k in range(n)],
+                "batch": pa.array([table["batch"][0].as_py()] * len(full), pa.int32()),
+                "segment": pa.array(full, pa.int32()),
+                "words": [words[cuts[k] : cuts[k + 1]].tobytes() for k in full],
+                "pairs": [pairs[pair_cuts[k] : pair_cuts[k + 1]].tobytes() for k in full],
             }
         )
 
     def answers(asked_of, segment):
-        held = Segment(*(segment[c][0].as_py() for c in ("words", "counts", "bloom")))
+        # A segment without keys has no row in the model.
+        rows = segment.to_pylist() or [{"words": b"", "counts": b"", "bloom": bytes(8)}]
+        held = Segment(*(rows[0][c] for c in ("words", "counts", "bloom")))
         words = [np.frombuffer(w, np.uint64) for w in asked_of["words"].to_pylist()]
         pairs = [np.frombuffer(p, np.uint64) for p in asked_of["pairs"].to_pylist()]
         return pa.table(

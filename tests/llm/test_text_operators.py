@@ -59,6 +59,20 @@ def test_both_ways_agree(docs, monkeypatch):
     assert [r[5:] for r in sent] == [pytest.approx(r[5:]) for r in travelled]
 
 
+def test_rows_follow_the_distinct_keys(spark, monkeypatch):
+    """Many segments and few keys: no rows of empty segments are sent, in either way."""
+    monkeypatch.setattr(lm_scoring, "SEGMENT_BYTES", 8)
+    monkeypatch.setattr(lm_scoring, "HELD_KEYS", 6)
+    rows = [(k, "a b c " * 200, "", "") for k in range(60)]
+    docs = make_docs(spark, rows)
+    model = lm_scoring.train(docs)
+    assert model.first().segments > 5000 and model.count() <= 9  # 4 words and 5 pairs
+    assert model.agg({"tokens": "sum"}).first()[0] == 60 * 601
+    travelled = lm_scoring.score(docs, model, broadcast_bytes=0)
+    sent = lm_scoring.score(docs, model)
+    assert {tuple(r) for r in travelled.collect()} == {tuple(r) for r in sent.collect()}
+
+
 def test_scores_beat_the_base_on_held_out_text(docs):
     held = [r for r in scored(docs) if r[1]]
     assert sum(r[6] for r in held) > sum(r[5] for r in held) + 0.2 * sum(r[2] for r in held)
