@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,7 @@ from sluice.functions.flatten import flatten_struct
 from sluice.functions.ids import element_hash
 from sluice.operators.filters import exclude_types
 from sluice.operators.sequence import previous_present
+from sluice.session import reliable
 
 ELEMENTS_PER_PAGE = 20
 
@@ -78,13 +79,39 @@ def metadata_struct(**given: Column) -> Column:
     )
 
 
+def with_line_offsets(documents: DataFrame) -> DataFrame:
+    """Parts of documents with ``_offset``, the text lines in the parts before.
+
+    Parts are written once; the offsets are sums over one number per part, and only documents of
+    several parts take part in them.
+    """
+    documents = reliable(documents)
+    several = documents.where("part > 0").select("identifier").distinct()
+    before = Window.partitionBy("identifier").orderBy("part")
+    before = before.rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        documents.join(several, "identifier", "left_semi")
+        .select("identifier", "part", F.size(lines_of(F.col("body"))).alias("_lines"))
+        .select("identifier", "part", F.sum("_lines").over(before).alias("_offset"))
+        .where("_offset > 0")
+    )
+    joined = documents.join(offsets, ["identifier", "part"], "left")
+    return joined.withColumn("_offset", F.coalesce("_offset", F.lit(0)))
+
+
 def partition_text(documents: DataFrame) -> DataFrame:
     """DOC_INDEX columns plus ``body`` (and optionally ``lang``) to ELEMENTS.
 
     The index columns travel with the row, so no join is needed to attach the data source. One
-    input row bounds the rows of a record here, so the parent window is per record.
+    input row bounds the rows of a record here, so the parent window is per record. With a column
+    ``part``, a document is all rows of its identifier, in that order: positions go on from one part
+    to the next, and windows are per block of positions.
     """
     have = set(documents.columns)
+    offset = F.lit(0)
+    if "part" in have:
+        documents = with_line_offsets(documents)
+        offset = F.col("_offset")
     language = F.array(F.col("lang")) if "lang" in have else F.lit(None)
     base = documents.select(
         F.col("identifier").alias("record_id"),
@@ -96,11 +123,12 @@ def partition_text(documents: DataFrame) -> DataFrame:
             language.cast("array<string>").alias("languages"),
         ).alias("doc"),
         data_source_struct(documents).alias("data_source"),
+        offset.cast("long").alias("offset"),
         F.posexplode(lines_of(F.col("body"))).alias("at", "text"),
     )
     typed = base.select(
         "record_id",
-        F.col("at").cast("long").alias("pos"),
+        (F.col("offset") + F.col("at")).alias("pos"),
         element_type(F.col("text")).alias("type"),
         "text",
         "doc",
@@ -110,7 +138,7 @@ def partition_text(documents: DataFrame) -> DataFrame:
         "element_id",
         element_hash(F.col("record_id"), F.lit("/"), F.col("pos"), F.lit("")),
     ).withColumn("_title", F.when(F.col("type") == "Title", F.col("element_id")))
-    typed = previous_present(typed, "_title", "_parent", bounded=True)
+    typed = previous_present(typed, "_title", "_parent", bounded="part" not in have)
     page = F.floor(F.col("pos") / ELEMENTS_PER_PAGE) + 1
     metadata = metadata_struct(
         filename=F.col("doc.filename"),

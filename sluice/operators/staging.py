@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.sources.parts import PART_ROWS, part_of
 from sluice import schemas
 from sluice.functions.dates import (
     epoch_to_timestamp,
@@ -510,11 +511,11 @@ def stage_couchbase(elements: DataFrame) -> DataFrame:
     )
 
 
-def stage_document_parts(elements: DataFrame, rows_per_document: int = 10_000) -> DataFrame:
+def stage_document_parts(elements: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """One document per record with its parts in order.
 
-    A record with more than ``rows_per_document`` elements is delivered in several numbered
-    slices, so no row grows with the record.
+    A record's document has one id. It comes in rows of at most ``part_rows`` elements, numbered by
+    ``part``, so no row grows with the record; a writer sends those of an id one after the other.
     """
     metadata = F.struct(
         F.col("metadata.page_number").alias(PART_METADATA["page_number"]),
@@ -526,14 +527,14 @@ def stage_document_parts(elements: DataFrame, rows_per_document: int = 10_000) -
     )
     part = F.struct(F.col("pos"), F.col("text"), metadata.alias("metadata"))
     return (
-        elements.withColumn("slice", F.floor(F.col("pos") / rows_per_document))
-        .groupBy("record_id", "slice")
+        elements.withColumn("part", part_of(F.col("pos"), part_rows))
+        .groupBy("record_id", "part")
         .agg(F.array_sort(F.collect_list(part)).alias("document_parts"))
         .select(
-            F.sha2(F.concat_ws("#", "record_id", "slice"), 256).alias("id"),
+            F.sha2("record_id", 256).alias("id"),
             F.lit("core").alias("type"),
             F.struct(F.col("record_id").alias("title")).alias("metadata"),
-            "slice",
+            "part",
             F.transform(
                 "document_parts",
                 lambda p: F.struct(p["text"].alias("text"), p["metadata"].alias("metadata")),

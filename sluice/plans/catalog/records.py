@@ -194,14 +194,14 @@ def astra_records_to_documents(spark, sf):
 @query(
     "airtable_tables_to_documents",
     f"""
-    SELECT {o.uuid5("('base' || c_mktsegment || CASE WHEN slice > 0 THEN '#' || slice ELSE '' END)")}
-        AS identifier, slice, ',c_name,created_time,id' || chr(10) ||
-      string_agg(nth || ',' || c_name || ',2024-01-01T00:00:00.000Z,rec' || c_custkey, chr(10)
-                 ORDER BY nth) || chr(10) AS body
-    FROM (SELECT *, nth // 100 AS slice FROM (
+    SELECT {o.uuid5("('base' || c_mktsegment)")} AS identifier, part,
+      CASE WHEN part = 0 THEN ',c_name,created_time,id' || chr(10) ELSE '' END ||
+      string_agg(nth || ',' || c_name || ',2024-01-01T00:00:00.000Z,rec' || c_custkey || chr(10), ''
+                 ORDER BY nth) AS body
+    FROM (SELECT *, nth // 100 AS part FROM (
       SELECT *, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) - 1 AS nth
       FROM customer))
-    GROUP BY c_mktsegment, slice
+    GROUP BY c_mktsegment, part
     """,
 )
 def airtable_tables_to_documents(spark, sf):
@@ -213,8 +213,8 @@ def airtable_tables_to_documents(spark, sf):
         "c_name",
     )
     return records.table_documents(
-        rows, "c_mktsegment", "base", "c_custkey", rows_per_slice=100
-    ).select("identifier", "slice", "body")
+        rows, "c_mktsegment", "base", "c_custkey", part_rows=100
+    ).select("identifier", "part", "body")
 
 
 @query(
@@ -327,7 +327,7 @@ threads AS (
     '</text></message>' AS xml
   FROM dated GROUP BY 1, 2
 )""",
-        """SELECT identifier, 0::bigint AS slice, substr(identifier, 1, 16) || '.xml' AS filename,
+        """SELECT identifier, 0::bigint AS part, substr(identifier, 1, 16) || '.xml' AS filename,
           '<?xml version=''1.0'' encoding=''utf-8''?>' || chr(10) || '<messages>' ||
           string_agg(xml, '' ORDER BY root DESC) || '</messages>' AS body
         FROM threads GROUP BY identifier""",
@@ -430,6 +430,83 @@ def tickets_to_text(spark, sf):
     return tickets.tickets_to_text(heads, comments).select("identifier", "filename", "body")
 
 
+# Two tickets that have all lines of even and of odd orders as comments.
+_GIANT_TICKETS = f"""
+nths AS (
+  SELECT l_orderkey % 2 AS id, row_number() OVER (PARTITION BY l_orderkey % 2
+      ORDER BY l_orderkey, {_LINE_ORDER}) - 1 AS nth,
+    'comment' || chr(10) || 'author_id: ' || l_suppkey || chr(10) || 'id: ' || l_partkey || chr(10)
+      AS line
+  FROM lineitem
+),
+giants AS (
+  SELECT id, nth // 4096 AS part,
+    CASE WHEN nth // 4096 = 0 THEN 'ticket' || chr(10) || 'id: ' || id || chr(10) ELSE '' END ||
+    string_agg(line, '' ORDER BY nth) AS body
+  FROM nths GROUP BY id, nth // 4096
+)"""
+
+
+def _giant_tickets(spark, sf):
+    none = F.lit(None).cast("string")
+    order = ["l_orderkey", *[c.strip() for c in _LINE_ORDER.split(",")]]
+    lines = table(spark, sf, "lineitem")
+    heads = lines.select((F.col("l_orderkey") % 2).alias("id")).distinct()
+    heads = heads.select("id", *[none.alias(c) for c in ("subject", "description", "created_at")])
+    comments = lines.select(
+        (F.col("l_orderkey") % 2).alias("ticket_id"),
+        *order,
+        F.col("l_suppkey").alias("author_id"),
+        none.alias("body"),
+        none.alias("created_at"),
+        F.col("l_partkey").alias("id"),
+    )
+    return tickets.tickets_to_text(heads, comments, order=order)
+
+
+@query(
+    "parts_of_one_document",
+    o.with_(
+        _GIANT_TICKETS,
+        "SELECT id::varchar AS identifier, part, strlen(body)::bigint AS n_bytes, "
+        "sha256(body) AS digest FROM giants",
+    ),
+)
+def parts_of_one_document(spark, sf):
+    """Documents of thousands of children: one identity, in ordered parts."""
+    return _giant_tickets(spark, sf).select(
+        "identifier",
+        "part",
+        F.octet_length("body").cast("long").alias("n_bytes"),
+        F.sha2("body", 256).alias("digest"),
+    )
+
+
+@query(
+    "write_parts_as_one_file",
+    o.with_(
+        _GIANT_TICKETS,
+        "SELECT id || '.txt' AS path, sum(strlen(body))::bigint AS n_bytes, "
+        "sha256(string_agg(body, '' ORDER BY part)) AS digest FROM giants GROUP BY id",
+    ),
+)
+def write_parts_as_one_file(spark, sf):
+    """The parts of a document streamed into one file, read back whole."""
+    from sluice.operators.files import write_documents
+    from sluice.plans.catalog.documents import scratch
+
+    folder = scratch(spark, "tickets")
+    documents = _giant_tickets(spark, sf).withColumnRenamed("filename", "path")
+    written = write_documents(documents, folder).agg(F.sum("n_bytes")).first()[0]
+    back = spark.read.format("binaryFile").load(f"{folder}/*.txt")
+    assert written == back.agg(F.sum("length")).first()[0]
+    return back.select(
+        F.regexp_extract("path", "[^/]*$", 0).alias("path"),
+        F.col("length").alias("n_bytes"),
+        F.sha2("content", 256).alias("digest"),
+    )
+
+
 @query(
     "articles_to_html",
     """SELECT page_id::varchar AS identifier, 'articles/' || page_id || '.html' AS fullpath,
@@ -764,7 +841,7 @@ rendered AS (
     CASE WHEN tag = 'li' AND after IS DISTINCT FROM 'li' THEN '</ul>' ELSE '' END AS closing
   FROM tops
 )""",
-        """SELECT 'p' || r.l_orderkey AS page_id, 0::bigint AS slice, '<html><body>' ||
+        """SELECT 'p' || r.l_orderkey AS page_id, 0::bigint AS part, '<html><body>' ||
           string_agg(r.opening || CASE WHEN r.rank = 2 AND n.rank IS NOT NULL THEN
             '<div>' || n.opening || n.closing || '</div>' ELSE '' END || r.closing,
             '' ORDER BY r.rank) || '</body></html>' AS body
@@ -799,7 +876,7 @@ def peer_rank(spark, sf):
 
 @query(
     "database_to_html",
-    """SELECT n_regionkey, 0::bigint AS slice,
+    """SELECT n_regionkey, 0::bigint AS part,
       '<table><tr><th>area</th><th>n_name</th></tr>' ||
       string_agg('<tr><td><div></div></td><td>' || n_name || '</td></tr>', '' ORDER BY n_nationkey)
       || '</table>' AS body FROM nation GROUP BY n_regionkey""",

@@ -236,7 +236,7 @@ def lakehouse_table_sink(spark, sf):
     o.with_(o.LINES, "SELECT element_id, type, text, parent_id FROM parts"),
 )
 def write_json(spark, sf):
-    """JSON arrays of at most forty elements, written as files and read back."""
+    """One JSON array per document, in parts of forty elements, written as files and read back."""
     rows = roles.parts(spark, sf).withColumn("path", F.col("record_id"))
     folder = scratch(spark, "arrays")
     written = files.write_documents(files.json_documents(rows, "path", 40), folder)

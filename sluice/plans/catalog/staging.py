@@ -571,8 +571,8 @@ def stage_couchbase(spark, sf):
     "stage_vectara",
     o.with_(
         o.ELEMENTS,
-        f"""SELECT sha256(record_id || '#' || pos // 40) AS id, 'core' AS type, record_id AS title,
-          pos // 40 AS slice, '[' || string_agg('{{"text":' || {o.js("text")} ||
+        f"""SELECT sha256(record_id) AS id, 'core' AS type, record_id AS title,
+          pos // 40 AS part, '[' || string_agg('{{"text":' || {o.js("text")} ||
           ',"metadata":{{"page_number":' || page_number || ',"url":"' || url || '","filename":"' ||
           filename || '","filetype":"text/plain","last_modified":"' || last_modified ||
           '","element_id":"' || element_id || '"}}}}', ',' ORDER BY pos) || ']' AS parts
@@ -580,12 +580,12 @@ def stage_couchbase(spark, sf):
     ),
 )
 def stage_vectara(spark, sf):
-    rows = staging.stage_document_parts(roles.elements(spark, sf), rows_per_document=40)
+    rows = staging.stage_document_parts(roles.elements(spark, sf), part_rows=40)
     return rows.select(
         "id",
         "type",
         F.col("metadata.title").alias("title"),
-        "slice",
+        "part",
         F.to_json("document_parts").alias("parts"),
     )
 

@@ -9,7 +9,7 @@ from sluice.functions.dates import float_text
 from sluice.operators.sequence import dense_position, neighbours
 from sluice.session import reliable
 from sluice.sources.messages import xml_escape
-from sluice.sources.slices import sliced_rows
+from sluice.sources.parts import PART_ROWS, assembled, part_texts, placed_rows
 
 # Block type to the tag around its text.
 TEXT_TAGS = {
@@ -122,12 +122,12 @@ def _wrapped(children: Column) -> Column:
     return F.when(kind == "column", column).otherwise(wrapped)
 
 
-def blocks_to_html(blocks: DataFrame, blocks_per_slice: int = 10_000) -> DataFrame:
-    """(page_id, slice, body) of ``(page_id, block_id, parent_id, rank, type, text, cells)``.
+def blocks_to_html(blocks: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
+    """(page_id, part, body) of ``(page_id, block_id, parent_id, rank, type, text, cells)``.
 
     Top-level blocks have their page as parent. Child pages and databases are documents of their
     own and leave no trace. Each round renders one level and folds it into its parents; a page
-    with more than ``blocks_per_slice`` top-level blocks comes as numbered slices.
+    comes in parts of its top-level blocks.
     """
     levels = block_levels(blocks.filter(~F.col("type").isin(SEPARATE)))
     placed = reliable(_own_html(levels))
@@ -153,22 +153,27 @@ def blocks_to_html(blocks: DataFrame, blocks_per_slice: int = 10_000) -> DataFra
                     F.array_join(F.transform("_rows", lambda r: r["html"]), "").alias("_inner"),
                 )
             )
-    sliced = sliced_rows(done, "page_id", "rank", ["html"], rows_per_slice=blocks_per_slice)
-    return sliced.select(
-        "page_id",
-        "slice",
-        F.concat(
-            F.lit("<html><body>"),
-            F.array_join(F.transform("rows", lambda r: r["html"]), ""),
-            F.lit("</body></html>"),
-        ).alias("body"),
+    texts = part_texts(
+        placed_rows(done, ["page_id"], "rank"),
+        ["page_id"],
+        lambda r: r["html"],
+        columns=["html"],
+        part_rows=part_rows,
     )
+    return assembled(
+        texts,
+        ["page_id"],
+        children=placed.filter("level = 0"),
+        opening=F.lit("<html><body>"),
+        closing=F.lit("</body></html>"),
+        part_rows=part_rows,
+    ).select("page_id", "part", "body")
 
 
 def database_to_html(
-    pages: DataFrame, database_id: str, rank: str, rows_per_slice: int = 10_000
+    pages: DataFrame, database_id: str, rank: str, part_rows: int = PART_ROWS
 ) -> DataFrame:
-    """Database rows as an HTML table with property columns in name order."""
+    """Database rows as an HTML table, in parts, with property columns in name order."""
     names = sorted(c for c in pages.columns if c not in (database_id, rank))
     head = "<tr>" + "".join(f"<th>{n}</th>" for n in names) + "</tr>"
 
@@ -177,16 +182,18 @@ def database_to_html(
         return F.concat(F.lit("<td>"), F.coalesce(value, F.lit("<div></div>")), F.lit("</td>"))
 
     row = F.concat(F.lit("<tr>"), *[cell(n) for n in names], F.lit("</tr>"))
-    sliced = sliced_rows(
-        pages.select(database_id, rank, row.alias("html")),
-        database_id, rank, ["html"], rows_per_slice=rows_per_slice,
-    )
-    return sliced.select(
-        database_id,
-        "slice",
-        F.concat(
-            F.lit(f"<table>{head}"),
-            F.array_join(F.transform("rows", lambda r: r["html"]), ""),
-            F.lit("</table>"),
-        ).alias("body"),
+    texts = part_texts(
+        placed_rows(pages.select(database_id, rank, row.alias("html")), [database_id], rank),
+        [database_id],
+        lambda r: r["html"],
+        columns=["html"],
+        part_rows=part_rows,
     )
+    return assembled(
+        texts,
+        [database_id],
+        children=pages,
+        opening=F.lit(f"<table>{head}"),
+        closing=F.lit("</table>"),
+        part_rows=part_rows,
+    ).select(database_id, "part", "body")

@@ -10,7 +10,8 @@ from sluice.functions.text import sanitize_name
 from sluice.operators.batching import global_position
 from sluice.operators.filters import cap_per_group
 from sluice.sources.listings import doc_index
-from sluice.sources.slices import ROWS_PER_SLICE, slice_identifier, sliced_rows
+from sluice.operators.sequence import neighbours
+from sluice.sources.parts import PART_ROWS, assembled, part_texts, placed_rows
 
 CHANNEL_LIMIT = 100
 
@@ -149,11 +150,11 @@ def xml_escape(text: Column) -> Column:
     return F.replace(F.replace(out, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
 
 
-def package_xml(messages: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def package_xml(messages: DataFrame, part_rows: int = PART_ROWS) -> DataFrame:
     """Content of the daily packages: threads newest first, replies after their root.
 
-    A thread is one ``<message><text>`` with ``<reply>`` marks between its messages. Packages with
-    more than ``rows_per_slice`` messages come as numbered slices, each a document of its own.
+    A thread is one ``<message><text>`` with ``<reply>`` marks between its messages. A package comes
+    in parts; a thread may go on from one part to the next.
     """
     rows = with_package(messages).select(
         "channel",
@@ -162,45 +163,42 @@ def package_xml(messages: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> Da
         F.col("ts").cast("double").alias("at"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    sliced = sliced_rows(
-        rows, ["channel", "day"], ["thread", "at", "text"], ["thread", "text"],
-        rows_per_slice=rows_per_slice, numeric_order=False,
+    keys = ["channel", "day"]
+    placed = placed_rows(rows, keys, ["thread", "at", "text"], numeric_order=False)
+    placed = neighbours(placed, "thread", before="_before", key=keys, order="nth")
+    opening = (
+        F.when(F.col("nth") == 0, F.lit("<message><text>"))
+        .when(F.col("_before") != F.col("thread"), F.lit("</text></message><message><text>"))
+        .otherwise(F.lit(" &lt;reply&gt; "))
     )
-
-    def opening(i: Column) -> Column:
-        before = F.get(F.col("rows"), i - 1)["thread"]
-        here = F.get(F.col("rows"), i)["thread"]
-        return (
-            F.when(i == 0, F.lit("<message><text>"))
-            .when(before != here, F.lit("</text></message><message><text>"))
-            .otherwise(F.lit(" &lt;reply&gt; "))
-        )
-
-    body = F.array_join(
-        F.transform("rows", lambda r, i: F.concat(opening(i), xml_escape(r["text"]))), ""
+    marked = placed.withColumn("text", F.concat(opening, xml_escape(F.col("text"))))
+    texts = part_texts(marked, keys, lambda r: r["text"], part_rows=part_rows)
+    packages = assembled(
+        texts,
+        keys,
+        children=rows,
+        opening=F.lit("<?xml version='1.0' encoding='utf-8'?>\n<messages>"),
+        closing=F.lit("</text></message></messages>"),
+        part_rows=part_rows,
     )
     identifier, filename = package_columns()
-    return sliced.select(
-        slice_identifier(identifier).alias("identifier"),
-        "slice",
-        filename.alias("filename"),
-        F.concat(
-            F.lit("<?xml version='1.0' encoding='utf-8'?>\n<messages>"),
-            body,
-            F.lit("</text></message></messages>"),
-        ).alias("body"),
+    return packages.select(
+        identifier.alias("identifier"), "part", filename.alias("filename"), "body"
     )
 
 
 def package_documents(messages: DataFrame, **options) -> DataFrame:
-    """Daily packages as text documents for partitioning: one line per message text line."""
+    """Daily packages as text documents for partitioning: one line per message text line.
+
+    Marks never cross parts, so each part is turned into text by itself.
+    """
     packages = package_xml(messages, **options)
     text = F.regexp_replace(F.regexp_replace("body", r"^<\?xml[^>]*>", ""), "<[^>]*>", "\n")
     text = F.replace(F.replace(text, F.lit(" &lt;reply&gt; "), F.lit("\n")), F.lit("&lt;"), F.lit("<"))
     text = F.replace(F.replace(text, F.lit("&gt;"), F.lit(">")), F.lit("&amp;"), F.lit("&"))
     return doc_index(
         packages.withColumn("body", text),
-        keep=("body",),
+        keep=("part", "body"),
         identifier=F.col("identifier"),
         connector_type=F.lit("slack"),
         filename=F.col("filename"),

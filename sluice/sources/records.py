@@ -14,7 +14,7 @@ from sluice.functions.ids import record_identifier, uuid5_dns
 from sluice.functions.text import csv_line, plain_text
 from sluice.operators.batching import batch_rows
 from sluice.sources.listings import doc_index
-from sluice.sources.slices import slice_identifier, sliced_text
+from sluice.sources.parts import PART_ROWS, assembled, part_texts, placed_rows
 
 SQL_BATCH = 100
 DOCUMENT_STORE_BATCH = 20
@@ -204,28 +204,28 @@ def collection_documents(
 
 
 def table_documents(
-    rows: DataFrame, table_key: str, base: str, rank: str, rows_per_slice: int = 10_000
+    rows: DataFrame, table_key: str, base: str, rank: str, part_rows: int = PART_ROWS
 ) -> DataFrame:
     """One CSV document per table: columns by name, leading row index.
 
-    ``rank`` orders the rows of a table. Tables above ``rows_per_slice`` rows come as numbered
-    slices, each a document of its own with the header, so each reads as a table.
+    ``rank`` orders the rows of a table. The document comes in parts; the first has the header.
     """
     names = sorted(c for c in rows.columns if c not in (table_key, rank))
     header = "," + ",".join(names) + "\n"
     line = csv_line(*[_csv_value(rows, c) for c in names])
     lines = rows.select(table_key, rank, line.alias("_line"))
-    sliced = sliced_text(
-        lines, table_key, rank, lambda r: F.concat(r["nth"].cast("string"), F.lit(","), r["text"]),
-        "\n", text="_line", rows_per_slice=rows_per_slice,
-    )
-    identifier = uuid5_dns(
-        slice_identifier(F.concat(F.lit(base), F.col(table_key).cast("string")))
+    texts = part_texts(
+        placed_rows(lines, [table_key], rank),
+        [table_key],
+        lambda r: F.concat(r["nth"].cast("string"), F.lit(","), r["_line"], F.lit("\n")),
+        columns=["_line"],
+        part_rows=part_rows,
     )
+    identifier = uuid5_dns(F.concat(F.lit(base), F.col(table_key).cast("string")))
     filename = F.concat(F.col(table_key).cast("string"), F.lit(".csv"))
     return doc_index(
-        sliced.withColumn("body", F.concat(F.lit(header), F.col("text"), F.lit("\n"))),
-        keep=("slice", "body"),
+        assembled(texts, [table_key], opening=F.lit(header)),
+        keep=("part", "body"),
         identifier=identifier,
         connector_type=F.lit("airtable"),
         filename=filename,

@@ -11,7 +11,7 @@ from sluice.functions.dates import iso_to_epoch_string
 from sluice.functions.text import fix_unescaped_unicode
 from sluice.operators.filters import cap_per_group, first_seen_wins, status_in
 from sluice.sources.listings import doc_index
-from sluice.sources.slices import ROWS_PER_SLICE, slice_identifier, sliced_text
+from sluice.sources.parts import PART_ROWS, assembled, part_texts, placed_rows
 
 # Printed fields of tickets and comments, in print order.
 TICKET_FIELDS = ["created_at", "description", "id", "subject"]
@@ -32,31 +32,24 @@ def tickets_to_text(
     tickets: DataFrame,
     comments: DataFrame,
     ticket_key: str = "ticket_id",
-    order: str = "rank",
-    rows_per_slice: int = ROWS_PER_SLICE,
+    order: str | Sequence[str] = "rank",
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    """(identifier, slice, body): the ticket, then its comments in order.
-
-    A ticket with more than ``rows_per_slice`` comments continues in further slices, each a document of its own.
-    """
+    """(identifier, part, filename, body): the ticket, then its comments in order, in parts."""
+    orders = [order] if isinstance(order, str) else list(order)
     rendered = comments.select(
-        ticket_key, order, _field_lines("comment", COMMENT_FIELDS).alias("text")
-    )
-    sliced = sliced_text(
-        rendered, ticket_key, order, lambda r: r["text"], "", rows_per_slice=rows_per_slice
+        ticket_key, *orders, _field_lines("comment", COMMENT_FIELDS).alias("text")
     )
+    placed = placed_rows(rendered, [ticket_key], orders)
+    texts = part_texts(placed, [ticket_key], lambda r: r["text"], part_rows=part_rows)
     heads = tickets.select(
         F.col("id").alias(ticket_key), _field_lines("ticket", TICKET_FIELDS).alias("_head")
     )
-    joined = heads.join(sliced, ticket_key, "left")
-    slice_no = F.coalesce("slice", F.lit(0))
-    head = F.when(slice_no == 0, F.col("_head")).otherwise(F.lit(""))
-    joined = joined.withColumn("slice", slice_no)
-    return joined.select(
-        slice_identifier(F.col(ticket_key).cast("string")).alias("identifier"),
-        "slice",
+    return assembled(texts, [ticket_key], heads, opening=F.col("_head")).select(
+        F.col(ticket_key).cast("string").alias("identifier"),
+        "part",
         F.concat(F.col(ticket_key).cast("string"), F.lit(".txt")).alias("filename"),
-        F.concat(head, F.coalesce("text", F.lit(""))).alias("body"),
+        "body",
     )
 
 
@@ -143,14 +136,14 @@ def issues_to_text(
     issues: DataFrame,
     comments: DataFrame,
     order: str = "rank",
-    rows_per_slice: int = ROWS_PER_SLICE,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Templated issue text: ids, project, drop-downs, comments, text fields.
 
     ``issues`` is (id, key, project_key, project_name, issue_type, status, priority, assignee_id,
     assignee_name, reporter_email, reporter_name, labels, components, summary, description,
     attachments); ``comments`` is (key, rank, author, body). Sections are joined by the record
-    separator. Issues with very many comments continue in further slices, each a document of its own.
+    separator. The text comes in parts; comments are all in the middle of it.
     """
     cell, record = F.lit(CELL_SEPARATOR), F.lit(RECORD_SEPARATOR)
     rendered = comments.select(
@@ -158,12 +151,10 @@ def issues_to_text(
         order,
         F.concat(_or_blank(F.col("author")), cell, _or_blank(F.col("body")), record).alias("text"),
     )
-    sliced = sliced_text(
-        rendered, "key", order, lambda r: r["text"], CELL_SEPARATOR, rows_per_slice=rows_per_slice
+    placed = placed_rows(rendered, ["key"], order)
+    comment_texts = part_texts(
+        placed, ["key"], lambda r: r["text"], between=CELL_SEPARATOR, part_rows=part_rows
     )
-    joined = issues.join(
-        sliced.select("key", "slice", F.col("text").alias("_comments")), "key", "left"
-    ).withColumn("slice", F.coalesce("slice", F.lit(0)))
     ids = F.concat(
         F.lit("IssueID_IssueKey:"), _or_blank(F.col("id")), cell, F.col("key"), record
     )
@@ -207,15 +198,18 @@ def issues_to_text(
     texts = block(
         _or_blank(F.col("summary")), _or_blank(F.col("description")), listed("attachments")
     )
-    comments_text = F.coalesce("_comments", F.lit(""))
-    whole = F.concat_ws(
-        RECORD_SEPARATOR, ids, project, drop_downs, F.lit(""), comments_text, texts
+    # A null section is left out with its separator, as concat_ws does.
+    opening = F.concat(
+        F.concat_ws(RECORD_SEPARATOR, ids, project, drop_downs, F.lit("")), F.lit(RECORD_SEPARATOR)
     )
-    return joined.select(
-        slice_identifier(F.col("id").cast("string")).alias("identifier"),
-        "slice",
+    closing = F.coalesce(F.concat(F.lit(RECORD_SEPARATOR), texts), F.lit(""))
+    return assembled(
+        comment_texts, ["key"], issues, comments, opening, closing, part_rows
+    ).select(
+        F.col("id").cast("string").alias("identifier"),
+        "part",
         F.concat(F.col("key"), F.lit(".txt")).alias("filename"),
-        F.when(F.col("slice") == 0, whole).otherwise(comments_text).alias("body"),
+        "body",
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators import acl, closure, filters, graph, incremental
 from sluice.sources import blocks, listings, messages, records, tickets
-from sluice.sources.slices import sliced_text
+from sluice.sources.parts import assembled, part_texts, placed_rows
 
 
 def message(channel, ts, **more):
@@ -44,22 +44,57 @@ def test_replies_belong_to_the_day_of_their_root(spark):
     assert list(packages(spark, rows)) == ["2023-11-14"]
 
 
-def test_large_packages_come_in_slices(spark):
+def test_large_packages_come_in_parts(spark):
     rows = [message("C", str(1700000000 + i), thread_ts="1700000000", text=f"<m{i}>")
             for i in range(25)]
     frame = spark.createDataFrame(rows, MESSAGE)
     whole = messages.package_xml(frame).collect()
     assert len(whole) == 1 and whole[0]["body"].count("&lt;reply&gt;") == 24
-    parts = messages.package_xml(frame, rows_per_slice=10).orderBy("slice").collect()
-    assert [p["slice"] for p in parts] == [0, 1, 2]
-    assert sum(p["body"].count("&lt;m") for p in parts) == 25
+    parts = messages.package_xml(frame, part_rows=10).orderBy("part").collect()
+    assert [p["part"] for p in parts] == [0, 1, 2]
+    assert {p["identifier"] for p in parts} == {whole[0]["identifier"]}
+    assert "".join(p["body"] for p in parts) == whole[0]["body"]
 
 
-def test_sliced_text_keeps_order_and_rows(spark):
+def test_parts_are_partitioned_as_one_document(spark):
+    from sluice.operators.partition import partition_text
+
+    rows = [message("C", str(1700000000 + i), thread_ts="1700000000", text=f"line {i}\nmore {i}")
+            for i in range(25)]
+    frame = spark.createDataFrame(rows, MESSAGE)
+    whole = partition_text(messages.package_documents(frame)).orderBy("pos").collect()
+    cut = partition_text(messages.package_documents(frame, part_rows=4)).orderBy("pos").collect()
+    assert [r["pos"] for r in cut] == list(range(50))
+    assert cut == whole
+
+
+def test_issues_and_tables_join_to_the_whole(spark):
+    """Every number of children around the border of a part gives the same document."""
+    from sluice.sources.blocks import database_to_html
+
+    for n in (0, 1, 4, 5, 9):
+        pages = spark.createDataFrame([(1, k, f"v{k}") for k in range(n)], "db int, r int, name string")
+        whole = [r["body"] for r in database_to_html(pages, "db", "r").collect()]
+        parts = database_to_html(pages, "db", "r", part_rows=4).orderBy("part").collect()
+        assert "".join(p["body"] for p in parts) == "".join(whole)
+        assert len(parts) == -(-n // 4)
+    heads = spark.createDataFrame([(1, "a"), (2, "b")], "k int, name string")
+    children = spark.createDataFrame([(1, i, str(i)) for i in range(8)], "k int, r int, text string")
+    texts = part_texts(placed_rows(children, ["k"], "r"), ["k"], lambda r: r["text"], part_rows=4)
+    found = assembled(
+        texts, ["k"], heads, children, F.concat("name", F.lit("<")), F.lit(">"), part_rows=4
+    )
+    assert {(r["k"], r["part"]): r["body"] for r in found.collect()} == {
+        (1, 0): "a<0123", (1, 1): "4567>", (2, 0): "b<>",
+    }
+
+
+def test_part_texts_keep_order_and_rows(spark):
     rows = spark.createDataFrame([("k", i, str(i)) for i in range(23)], "k string, r int, t string")
-    got = sliced_text(rows, "k", "r", lambda r: r["text"], ",", text="t", rows_per_slice=10)
-    texts = [r["text"] for r in got.orderBy("slice").collect()]
-    assert ",".join(texts) == ",".join(map(str, range(23))) and len(texts) == 3
+    placed = placed_rows(rows, ["k"], "r")
+    got = part_texts(placed, ["k"], lambda r: r["t"], ["t"], between=",", part_rows=10)
+    texts = [r["text"] for r in got.orderBy("part").collect()]
+    assert "".join(texts) == ",".join(map(str, range(23))) and len(texts) == 3
 
 
 def test_relative_path_cuts_the_root_once(spark):
