@@ -224,16 +224,76 @@ def index_dropbox_listing(spark, sf):
     )
 
 
+# Every tenth document shares its folder, the one after it the folder above, and others themselves.
+_COLLABORATIONS = (
+    _LISTING
+    + """,
+collabs AS (
+  SELECT CASE doc_id % 10 WHEN 0 THEN regexp_replace(path, '/[^/]*$', '')
+      WHEN 1 THEN regexp_replace(path, '/[^/]*/[^/]*$', '') ELSE path END AS place,
+    CASE WHEN doc_id % 20 = 0 THEN 'pending' ELSE 'accepted' END AS status,
+    CASE doc_id % 3 WHEN 0 THEN 'editor' WHEN 1 THEN 'viewer' ELSE 'previewer' END AS role,
+    CASE WHEN doc_id % 4 = 1 THEN 'group' ELSE 'user' END AS kind, 'u' || doc_id % 50 AS id
+  FROM listing WHERE doc_id % 10 IN (0, 1, 5)
+),
+grants AS (
+  SELECT place, unnest(CASE role WHEN 'editor' THEN ['read', 'update', 'delete'] WHEN 'viewer'
+    THEN ['read'] ELSE [] END) AS op, kind, id
+  FROM collabs WHERE status = 'accepted'
+),
+granted AS (
+  SELECT DISTINCT path, op, kind, id FROM files JOIN grants
+    ON place = path OR starts_with(path, place || '/')
+),
+triples AS (
+  SELECT path, op, coalesce(string_agg('"' || id || '"', ',' ORDER BY id)
+      FILTER (kind = 'user'), '') AS users,
+    coalesce(string_agg('"' || id || '"', ',' ORDER BY id) FILTER (kind = 'group'), '') AS groups
+  FROM (SELECT path, op FROM files, (VALUES ('read'), ('update'), ('delete')) v(op))
+    LEFT JOIN granted USING (path, op) GROUP BY path, op
+),
+access AS (
+  SELECT path, '[' || string_agg('{"' || op || '":{"users":[' || users || '],"groups":[' || groups ||
+      ']}}', ',' ORDER BY op = 'delete', op = 'update') || ']' AS permissions,
+    sha256('{"denied":[],"permissions":[' || string_agg('{"' || op || '":{"groups":[' || groups ||
+      '],"users":[' || users || ']}}', ',' ORDER BY op) || ']}') AS permissions_version
+  FROM triples GROUP BY path
+)"""
+)
+
+
+def _collaborations(spark, sf):
+    """Collaborations of folders and files, as delivered with the listing."""
+    number, path = F.col("doc_id"), F.col("path")
+    place = (
+        F.when(number % 10 == 0, F.regexp_replace(path, "/[^/]*$", ""))
+        .when(number % 10 == 1, F.regexp_replace(path, "/[^/]*/[^/]*$", ""))
+        .otherwise(path)
+    )
+    role = F.when(number % 3 == 0, "editor").when(number % 3 == 1, "viewer").otherwise("previewer")
+    return _listing(spark, sf).filter(number.isNotNull() & (number % 10).isin(0, 1, 5)).select(
+        place.alias("path"),
+        F.when(number % 20 == 0, "pending").otherwise("accepted").alias("status"),
+        F.lit(False).alias("is_access_only"),
+        role.alias("role"),
+        F.when(number % 4 == 1, "group").otherwise("user").alias("type"),
+        F.concat(F.lit("u"), (number % 50).cast("string")).alias("id"),
+        F.lit(None).cast("string").alias("group_type"),
+    )
+
+
 @query(
     "index_box_listing",
     o.with_(
-        _LISTING,
+        _COLLABORATIONS,
         "SELECT identifier, doc_id::varchar AS version, e || '.0' AS date_created, "
-        "(e + 60) || '.0' AS date_modified FROM files",
+        "(e + 60) || '.0' AS date_modified, permissions, permissions_version "
+        "FROM files JOIN access USING (path)",
     ),
 )
 def index_box_listing(spark, sf):
     from sluice.functions.dates import format_rfc3339
+    from sluice.functions.permissions import permissions_json
 
     landed = _listing(spark, sf).select(
         "path",
@@ -243,8 +303,14 @@ def index_box_listing(spark, sf):
         format_rfc3339(F.col("e") + 60).alias("modified_at"),
         F.col("doc_id").cast("string").alias("id"),
     )
-    return listings.index_box_listing(landed, "corpus/").select(
-        "identifier", "version", "date_created", "date_modified"
+    index = listings.index_box_listing(landed, "corpus/", _collaborations(spark, sf))
+    return index.select(
+        "identifier",
+        "version",
+        "date_created",
+        "date_modified",
+        permissions_json(F.col("permissions_data")).alias("permissions"),
+        "permissions_version",
     )
 
 

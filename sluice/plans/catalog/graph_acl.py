@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.incremental import classify_changes
 from sluice.functions.permissions import permissions_json
-from sluice.operators import acl, closure, graph
+from sluice.operators import access, acl, closure, graph
 from sluice.plans import oracle as o
 from sluice.plans import roles
 from sluice.plans.catalog.elements import chunk_ctes
@@ -572,15 +572,13 @@ def _box(spark, sf):
         F.concat(F.lit("own"), F.col("c_custkey").cast("string")).alias("id"),
         F.lit(None).cast("string").alias("group_type"),
     )
-    reached = closure.tree_closure(_folders(spark, sf))
-    ancestors = reached.filter(F.col("node").startswith("C") & (F.col("root") != "root")).select(
-        F.col("node").alias("doc_id"), F.col("root").alias("folder_id")
+    nodes = _folders(spark, sf).select(F.col("child").alias("id"), F.col("parent").alias("up"))
+    is_file = F.col("id").startswith("C")
+    files = nodes.where(is_file).select(F.col("id").alias("doc_id"), F.col("up").alias("folder_id"))
+    folders = nodes.where(~is_file).select(
+        F.col("id").alias("folder_id"), F.col("up").alias("parent_id")
     )
-    files = table(spark, sf, "customer").select(
-        F.concat(F.lit("C"), F.col("c_custkey").cast("string")).alias("doc_id")
-    )
-    ancestors = ancestors.unionByName(files.withColumn("folder_id", F.col("doc_id")))
-    return acl.inherited_grants(ancestors, acl.box_grants(shared.unionByName(own)))
+    return access.inherited_access(files, folders, acl.box_grants(shared.unionByName(own)))
 
 
 @query(
@@ -588,12 +586,17 @@ def _box(spark, sf):
     o.with_(_BOX, "SELECT doc_id, op, kind AS principal_type, id AS principal_id FROM granted"),
 )
 def acl_inheritance_join(spark, sf):
-    return _box(spark, sf)
+    return _box(spark, sf).grants().withColumnRenamed("id", "doc_id")
+
+
+# Every file's access is delivered, also that of files no grant reaches.
+_BOX_FILES = """(SELECT * FROM granted
+  UNION ALL SELECT 'C' || c_custkey, NULL, NULL, NULL FROM customer)"""
 
 
-@query("acl_box", o.with_(_BOX, _nested_json("granted")))
+@query("acl_box", o.with_(_BOX, _nested_json(_BOX_FILES)))
 def acl_box(spark, sf):
-    nested = acl.nest_grants(_box(spark, sf))
+    nested = _box(spark, sf).permissions().withColumnRenamed("id", "doc_id")
     return nested.select("doc_id", permissions_json(F.col("permissions_data")).alias("permissions"))
 
 

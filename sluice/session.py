@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,3 +65,11 @@ def reliable(df: DataFrame) -> DataFrame:
     """Cut the lineage into replicated storage; partition numbers and row order are kept."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: only its columns are stored, and later scans
+    read those they need. Like a checkpoint, it cuts the lineage and survives lost executors."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

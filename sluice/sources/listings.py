@@ -9,6 +9,8 @@ from sluice import schemas
 from sluice.functions.dates import epoch_string, float_text, iso_to_epoch_string
 from sluice.functions.ids import uuid5_dns
 from sluice.functions.paths import file_name, rel_path
+from sluice.operators.access import path_access
+from sluice.operators.acl import attach_permissions, box_grants
 
 
 def doc_index(df: DataFrame, keep: tuple[str, ...] = (), **given: Column) -> DataFrame:
@@ -192,13 +194,17 @@ def index_dropbox_listing(listing: DataFrame, root: str) -> DataFrame:
     )
 
 
-def index_box_listing(listing: DataFrame, root: str) -> DataFrame:
+def index_box_listing(
+    listing: DataFrame, root: str, collaborations: DataFrame | None = None
+) -> DataFrame:
     """(path, type, size, created_at ISO, modified_at ISO, id).
 
     The version is the file id, which content changes do not move; use the modified date for
-    change detection.
+    change detection. ``collaborations`` of folders and files, (path, status, is_access_only, role,
+    type, id, group_type), are access: a file has those of its own and of all folders above it, and
+    the empty lists if none counts. Without them no access is delivered.
     """
-    return index_files(
+    index = index_files(
         listing,
         root,
         "box",
@@ -212,6 +218,12 @@ def index_box_listing(listing: DataFrame, root: str) -> DataFrame:
             F.lit("file_id"), F.col("id"),
         ),
     )
+    if collaborations is None:
+        return index
+    grants = box_grants(collaborations.withColumnRenamed("path", "folder_id"))
+    paths = _files(listing).select("path").distinct()
+    found = path_access(paths, grants).permissions()
+    return attach_permissions(index, found.select(uuid5_dns(F.col("id")).alias("doc_id"), "permissions_data"))
 
 
 def index_sftp_listing(listing: DataFrame, root: str) -> DataFrame:

@@ -5,7 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.operators import acl, closure, filters, graph, incremental
+from sluice.operators import access, acl, closure, filters, graph, incremental
 from sluice.sources import blocks, listings, messages, records, tickets
 from sluice.sources.parts import assembled, part_texts, placed_rows
 
@@ -262,3 +262,74 @@ def test_caps_above_the_group_limit(spark):
         got = {r["g"]: (r["n"], r["low"]) for r in kept.groupBy("g").agg(
             F.count("*").alias("n"), F.min("v").alias("low")).collect()}
         assert got == {0: (n, 5998 - 2 * (n - 1)), 1: (n, 5999 - 2 * (n - 1))}
+
+
+def expected_access(files, folders, grants):
+    """Grants of every file: its own and those of the folders above, walked one by one."""
+    parents, found = dict(folders), {}
+    for doc, folder in files:
+        places, at = {doc}, folder
+        while at is not None:
+            places.add(at)
+            at = parents.get(at)
+        found[doc] = {g[1:] for g in grants if g[0] in places}
+    return found
+
+
+def test_access_down_folders(spark):
+    """A deep chain, a bushy tree, unknown parents, files without grants, repeated grants."""
+    import random
+
+    draw = random.Random(6)
+    folders = [("r0", None)] + [(f"r{k}", f"r{k - 1}") for k in range(1, 70)]
+    folders += [(f"t{k}", f"t{draw.randrange(k)}" if k else None) for k in range(40)]
+    folders += [("lost", "unknown")]
+    names = [name for name, _ in folders]
+    files = [(f"f{k}", draw.choice([*names, "unknown", None])) for k in range(80)]
+    ops, kinds = ["read", "update", "delete"], ["user", "group"]
+    grants = [
+        (draw.choice([*names, *[f for f, _ in files]]), draw.choice(ops), draw.choice(kinds), f"p{draw.randrange(6)}")
+        for _ in range(90)
+    ] * 2
+    found = access.inherited_access(
+        spark.createDataFrame(files, "doc_id string, folder_id string"),
+        spark.createDataFrame(folders, "folder_id string, parent_id string"),
+        spark.createDataFrame(grants, "folder_id string, op string, principal_type string, principal_id string"),
+    )
+    expected = expected_access(files, folders, grants)
+    got = {doc: set() for doc, _ in files}
+    for row in found.grants().collect():
+        got[row["id"]].add(tuple(row)[1:])
+    assert got == expected
+    lists = {r["id"]: r["permissions_data"] for r in found.permissions().collect()}
+    assert set(lists) == set(expected)
+    for doc, grant in expected.items():
+        for entry in lists[doc]:
+            for kind, values in (("user", entry["users"]), ("group", entry["groups"])):
+                assert values == sorted(p for op, k, p in grant if (op, k) == (entry["op"], kind))
+    # A set is stored once.
+    ids = [r["set_id"] for r in found.sets.collect()]
+    assert len(ids) == len(set(ids))
+
+
+def test_folders_within_themselves_raise(spark):
+    folders = spark.createDataFrame([("a", "b"), ("b", "a")], "folder_id string, parent_id string")
+    grants = spark.createDataFrame(
+        [("a", "read", "user", "u")], "folder_id string, op string, principal_type string, principal_id string"
+    )
+    files = spark.createDataFrame([("f", "a")], "doc_id string, folder_id string")
+    with pytest.raises(ValueError, match="within itself"):
+        access.inherited_access(files, folders, grants)
+
+
+def test_paths_name_their_folders(spark):
+    paths = spark.createDataFrame([("a/b/c.txt",), ("a/d.txt",), ("e.txt",)], "path string")
+    schema = "folder_id string, op string, principal_type string, principal_id string"
+    grants = spark.createDataFrame(
+        [("a", "read", "user", "x"), ("a/b", "update", "group", "y"), ("e.txt", "read", "user", "z")],
+        schema,
+    )
+    found = {}
+    for row in access.path_access(paths, grants).grants().collect():
+        found.setdefault(row["id"], set()).add(row["principal_id"])
+    assert found == {"a/b/c.txt": {"x", "y"}, "a/d.txt": {"x"}, "e.txt": {"z"}}
