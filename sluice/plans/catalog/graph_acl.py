@@ -501,12 +501,12 @@ def _wiki(spark, sf):
         F.lit("group").alias("principal_type"),
         F.concat(F.lit("g"), (F.col("c_custkey") % 40).cast("string")).alias("principal_id"),
     )
-    return acl.wiki_grants(restrictions, space, pages)
+    return acl.wiki_access(restrictions, space, pages)
 
 
 @query("acl_wiki", o.with_(_WIKI, _nested_json("granted")))
 def acl_wiki(spark, sf):
-    nested = acl.nest_grants(_wiki(spark, sf))
+    nested = acl.nest_access(_wiki(spark, sf))
     return nested.select("doc_id", permissions_json(F.col("permissions_data")).alias("permissions"))
 
 
@@ -515,7 +515,7 @@ def acl_wiki(spark, sf):
     o.with_(_WIKI, "SELECT doc_id, op, kind AS principal_type, id AS principal_id FROM granted"),
 )
 def page_over_space_acl(spark, sf):
-    return _wiki(spark, sf)
+    return acl.access_rows(_wiki(spark, sf))
 
 
 # Box: regions and nations are folders, customers are files.
