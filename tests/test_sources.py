@@ -192,6 +192,110 @@ def test_nested_blocks(spark):
     )
 
 
+BLOCK = (
+    "page_id string, block_id string, parent_id string, rank int, type string, text string, "
+    "cells array<string>, url string, caption string"
+)
+
+
+def test_every_block_type_is_shown(spark):
+    shown = {
+        "equation": ("x < y", None, None, "<div>x &lt; y</div>"),
+        "template": ("t", None, None, "<div>t</div>"),
+        "link_to_page": ("id-1", None, None, "<div>id-1</div>"),
+        "bookmark": (None, 'http://a/?q="&', "c", '<div><a href="http://a/?q=&quot;&amp;">'
+                     'http://a/?q="&amp;</a><br/><div>c</div></div>'),
+        "embed": (None, "u", None, '<div><a href="u">u</a></div>'),
+        "file": (None, None, "c", "<div><div>c</div></div>"),
+        "pdf": (None, None, None, ""),
+        "link_preview": (None, "u", None, '<a href="u">u</a>'),
+        "image": (None, "u", "c", '<img src="u"/>'),
+        "video": (None, "u", None, '<video><source src="u">u</source></video>'),
+        "divider": ("x", None, None, "<hr/>"),
+        "breadcrumb": ("x", None, None, ""),
+        "table_of_contents": ("x", None, None, ""),
+        "unsupported": ("x", None, None, ""),
+        "never_heard_of": ("new", None, None, "<p>new</p>"),
+        "also_unknown": (None, None, None, ""),
+        "code": ("a<b", None, None, "<pre>a&lt;b</pre>"),
+    }
+    rows = [
+        (kind, kind + "1", kind, 1, kind, text, None, url, caption)
+        for kind, (text, url, caption, _) in shown.items()
+    ]
+    found = blocks.blocks_to_html(spark.createDataFrame(rows, BLOCK)).collect()
+    assert {r["page_id"]: r["body"] for r in found} == {
+        kind: f"<html><body>{html}</body></html>" for kind, (*_, html) in shown.items()
+    }
+
+
+def rendered(rows, page):
+    """A page from its blocks, child by child."""
+    below = {}
+    for row in rows:
+        if row[0] == page and row[4] != "child_page":
+            below.setdefault(row[2], []).append(row)
+    tags = {"paragraph": "p", "numbered_list_item": "li", "bulleted_list_item": "li"}
+    lists = {"numbered_list_item": "ol", "bulleted_list_item": "ul"}
+
+    def html(parent, level):
+        out, peers = "", sorted(below.get(parent, []), key=lambda r: r[3])
+        for k, (_, name, _, _, kind, text, *_) in enumerate(peers):
+            listed = lists.get(kind)
+            if listed and (k == 0 or peers[k - 1][4] != kind):
+                out += f'<{listed} style="margin-left: {level * 10}px">'
+            if kind in tags:
+                out += f"<{tags[kind]}>{text}</{tags[kind]}>"
+            if name in below:
+                width = f'<div style="width:{100 / len(peers)}%; float: left">'
+                start = {"table": "<table>", "column": width}.get(kind, "<div>")
+                end = "</table>" if kind == "table" else "</div>"
+                out += start + html(name, level + 1) + end
+            if listed and (k + 1 == len(peers) or peers[k + 1][4] != kind):
+                out += f"</{listed}>"
+        return out
+
+    return f"<html><body>{html(page, 0)}</body></html>"
+
+
+def test_block_trees_against_plain_python(spark, monkeypatch):
+    """Bushy and deep trees, columns, unreachable blocks, small windows and small parts."""
+    import random
+
+    draw = random.Random(8)
+    kinds = ["paragraph", "numbered_list_item", "bulleted_list_item", "table", "column", "child_page"]
+    rows = []
+    for page in ("p", "q"):
+        for k in range(60):
+            kind = draw.choice(kinds[:5] if k else ["paragraph"])
+            parent = page if k == 0 or draw.random() < 0.3 else f"{page}{draw.randrange(k)}"
+            rows.append((page, f"{page}{k}", parent, k, kind, f"t{k}", None, None, None))
+    rows += [("p", "out", "nowhere", 1, "paragraph", "x", None, None, None)]
+    rows += [("p", "out2", "out", 1, "paragraph", "x", None, None, None)]
+    rows += [("r", f"r{k}", f"r{k - 1}" if k else "r", 1, "paragraph", str(k), None, None, None)
+             for k in range(40)]
+    frame = spark.createDataFrame(rows, BLOCK)
+    expected = {page: rendered(rows, page) for page in "pqr"}
+
+    def bodies(**options):
+        found = {}
+        for row in blocks.blocks_to_html(frame, **options).orderBy("page_id", "part").collect():
+            found[row["page_id"]] = found.get(row["page_id"], "") + row["body"]
+        return found
+
+    assert bodies() == expected
+    assert bodies(part_rows=7) == expected
+    monkeypatch.setattr(blocks, "BLOCK_ROWS", 5)
+    assert bodies(part_rows=7) == expected
+
+
+def test_blocks_below_themselves_raise(spark):
+    rows = [("p", "a", "b", 1, "paragraph", "", None, None, None),
+            ("p", "b", "a", 1, "paragraph", "", None, None, None)]
+    with pytest.raises(ValueError, match="below itself"):
+        blocks.block_levels(spark.createDataFrame(rows, BLOCK))
+
+
 def test_closure_ends_on_cycles(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "parent string, child string")
     roots = spark.createDataFrame([("a",)], "r string")
