@@ -1,25 +1,25 @@
 """Element tables on plain Parquet with replace-by-record writes.
 
-Rows are spread over buckets by record id. A write puts new files in a folder of its own and then
-publishes a manifest that says which folders make up each bucket, so readers see the old or the
-new table and never a mix. Replacing records rewrites the buckets those records fall into and
-leaves all others alone. With a table format on the class path, ``MERGE`` does the same.
+The logic of a write is a join (``replace_records``, ``upsert_rows``). ``RecordTable`` stores rows
+partitioned by a hash of the record id, and replacing records is a dynamic partition overwrite:
+Spark writes the partitions those records fall into beside the table, moves them into place when all
+tasks are done, and leaves all others alone. As for any table of plain files, one writer at a time
+may replace records; for more, a table format's ``MERGE`` (``merge_rows``) takes its place.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Sequence
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.schema_fit import fit_to_schema
+from sluice.session import written
 
 BUCKETS = 64
-COMMIT_RETRIES = 10
+BUCKET = "_bucket"
+SCHEMA_BUCKET = -1  # an empty partition whose file holds the schema of the table
 
 
 def replace_records(existing: DataFrame, arriving: DataFrame, key: str = "record_id") -> DataFrame:
@@ -72,12 +72,11 @@ def merge_append(existing: DataFrame, arriving: DataFrame) -> DataFrame:
     return existing.unionByName(arriving, allowMissingColumns=True)
 
 
-class CommitConflict(RuntimeError):
-    """Another writer published this table version first."""
-
+class RecordTable:
+    """A Parquet table at ``path``, partitioned by a hash of ``key`` into ``buckets``.
 
-class BucketedTable:
-    """A Parquet table of hash buckets by ``key`` with versioned manifests."""
+    ``buckets`` must be the same whenever the table is opened.
+    """
 
     def __init__(
         self, spark: SparkSession, path: str, key: str = "record_id", buckets: int = BUCKETS
@@ -86,191 +85,89 @@ class BucketedTable:
         self.path = path.rstrip("/")
         self.key = key
         self.buckets = buckets
-        jvm = spark._jvm
-        self._hadoop = jvm.org.apache.hadoop.fs
-        self._fs = self._hadoop.Path(self.path).getFileSystem(
-            spark._jsc.hadoopConfiguration()
-        )
 
-    # Manifests hold bucket folders and the schema: a few kilobytes, whatever the table holds.
-
-    def _versions(self) -> list[int]:
-        folder = self._hadoop.Path(f"{self.path}/manifests")
-        if not self._fs.exists(folder):
-            return []
-        names = [s.getPath().getName() for s in self._fs.listStatus(folder)]
-        return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
-
-    def manifest(self, version: int | None = None) -> dict:
-        versions = self._versions()
-        if not versions:
-            return {"version": 0, "schema": None, "buckets": {}, "n_buckets": self.buckets}
-        version = versions[-1] if version is None else version
-        stream = self._fs.open(self._hadoop.Path(f"{self.path}/manifests/{version:08d}.json"))
+    def schema(self) -> T.StructType | None:
+        """The columns of the table; None if it does not exist."""
         try:
-            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-        finally:
-            stream.close()
-        return json.loads(text)
-
-    def _publish(self, manifest: dict) -> None:
-        """Write the manifest beside its place and rename it; an existing version is a conflict."""
-        name = f"{self.path}/manifests/{manifest['version']:08d}.json"
-        staged = self._hadoop.Path(f"{self.path}/manifests/.{uuid.uuid4().hex}.tmp")
-        out = self._fs.create(staged, False)
-        out.write(bytearray(json.dumps(manifest).encode("utf-8")))
-        out.close()
-        target = self._hadoop.Path(name)
-        if self._fs.exists(target) or not self._fs.rename(staged, target):
-            self._fs.delete(staged, False)
-            raise CommitConflict(name)
-
-    def exists(self) -> bool:
-        return bool(self._versions())
+            return self.spark.read.parquet(f"{self.path}/{BUCKET}={SCHEMA_BUCKET}").schema
+        except AnalysisException:
+            return None
+
+    def _set_schema(self, schema: T.StructType) -> None:
+        empty = self.spark.createDataFrame([], schema).coalesce(1)
+        empty.write.mode("overwrite").parquet(f"{self.path}/{BUCKET}={SCHEMA_BUCKET}")
 
     def create_if_missing(self, schema: T.StructType) -> bool:
-        """Publish an empty table; false when the table is there already."""
-        if self.exists():
+        """Make an empty table; false when it is there already."""
+        if self.schema() is not None:
             return False
-        self._publish(
-            {
-                "version": 1,
-                "schema": schema.jsonValue(),
-                "buckets": {},
-                "n_buckets": self.buckets,
-            }
-        )
+        self._set_schema(schema)
         return True
 
-    def read(self, version: int | None = None) -> DataFrame:
-        return self._read_buckets(self.manifest(version), None)
-
-    def _read_buckets(self, manifest: dict, only: Sequence[str] | None) -> DataFrame:
-        schema = T.StructType.fromJson(manifest["schema"])
-        folders = [
-            f"{self.path}/{folder}"
-            for bucket, listed in manifest["buckets"].items()
-            for folder in listed
-            if only is None or bucket in only
-        ]
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*folders)
-
-    def _bucket(self, n: int) -> Column:
-        return F.pmod(F.xxhash64(self.key), F.lit(n)).cast("int")
-
-    def _write(self, rows: DataFrame, n: int) -> dict[str, list[str]]:
-        """Write rows by bucket into a new folder; returns the bucket folders it made."""
-        folder = f"data/{uuid.uuid4().hex}"
-        # Rebalancing groups rows by bucket and splits a bucket that is much larger than others.
-        (
-            rows.withColumn("_bucket", self._bucket(n))
-            .hint("rebalance", "_bucket")
-            .write.partitionBy("_bucket")
-            .parquet(f"{self.path}/{folder}")
-        )
-        made = {}
-        for status in self._fs.listStatus(self._hadoop.Path(f"{self.path}/{folder}")):
-            name = status.getPath().getName()
-            if name.startswith("_bucket="):
-                made[name.split("=", 1)[1]] = [f"{folder}/{name}"]
-        return made
-
-    def append(self, rows: DataFrame, merge_schema: bool = False) -> int:
-        """Add rows; unknown columns are dropped, or added to the table with ``merge_schema``."""
-        manifest = self.manifest()
-        schema = self._target_schema(manifest, rows, merge_schema)
-        fitted = fit_to_schema(rows, schema)
-        made = self._write(fitted, manifest["n_buckets"])
-        for _ in range(COMMIT_RETRIES):
-            manifest = self.manifest()
-            schema = self._target_schema(manifest, rows, merge_schema)
-            buckets = {b: list(f) for b, f in manifest["buckets"].items()}
-            for bucket, folders in made.items():
-                buckets[bucket] = buckets.get(bucket, []) + folders
-            try:
-                return self._commit(manifest, schema, buckets)
-            except CommitConflict:
-                continue
-        raise CommitConflict(self.path)
-
-    def _target_schema(self, manifest: dict, rows: DataFrame, merge: bool) -> T.StructType:
-        if manifest["schema"] is None:
-            return rows.schema
-        schema = T.StructType.fromJson(manifest["schema"])
-        if merge:
-            extra = [f for f in rows.schema.fields if f.name not in schema.names]
-            schema = T.StructType([*schema.fields, *extra])
+    def _target(self, rows: DataFrame, merge_schema: bool) -> T.StructType:
+        """The schema of the table after a write; with ``merge_schema`` it takes new columns over."""
+        schema = self.schema()
+        if schema is None:
+            self._set_schema(rows.schema)
+            return self.schema()
+        extra = [f for f in rows.schema.fields if f.name not in schema.names]
+        if merge_schema and extra:
+            self._set_schema(T.StructType([*schema.fields, *extra]))
+            return self.schema()
         return schema
 
-    def _commit(self, manifest: dict, schema: T.StructType, buckets: dict) -> int:
-        version = manifest["version"] + 1
-        self._publish(
-            {
-                "version": version,
-                "schema": schema.jsonValue(),
-                "buckets": {b: f for b, f in buckets.items() if f},
-                "n_buckets": manifest["n_buckets"],
-            }
+    def _stored(self) -> DataFrame:
+        """The rows with their bucket."""
+        stored = T.StructType([*self.schema().fields, T.StructField(BUCKET, T.IntegerType())])
+        return self.spark.read.schema(stored).parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self._stored().drop(BUCKET)
+
+    def _placed(self, rows: DataFrame) -> DataFrame:
+        bucket: Column = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
+        return rows.withColumn(BUCKET, bucket)
+
+    def _write(self, rows: DataFrame, mode: str) -> None:
+        # Rebalancing groups rows by bucket and splits a bucket that is much larger than others.
+        (
+            rows.hint("rebalance", BUCKET)
+            .write.mode(mode)
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BUCKET)
+            .parquet(self.path)
         )
-        return version
 
-    def _replace(self, made: dict[str, list[str]], schema: T.StructType, ids: DataFrame) -> int:
-        """Publish new bucket folders in place of the existing rows with the given keys.
+    def append(self, rows: DataFrame, merge_schema: bool = False) -> None:
+        """Add rows; unknown columns are dropped, or added to the table with ``merge_schema``."""
+        fitted = fit_to_schema(rows, self._target(rows, merge_schema))
+        self._write(self._placed(fitted), "append")
 
-        Only the touched buckets are read and rewritten. When another writer publishes first, the
-        kept rows are computed again from its version.
-        """
-        for _ in range(COMMIT_RETRIES):
-            manifest = self.manifest()
-            schema = self._merged(manifest, schema)
-            buckets = {b: list(f) for b, f in manifest["buckets"].items() if b not in made}
-            if len(buckets) < len(manifest["buckets"]):
-                current = {**manifest, "schema": schema.jsonValue()}
-                before = self._read_buckets(current, list(made))
-                kept = self._write(before.join(ids, self.key, "left_anti"), manifest["n_buckets"])
-            else:
-                kept = {}
-            for bucket, folders in made.items():
-                buckets[bucket] = folders + kept.get(bucket, [])
-            try:
-                return self._commit(manifest, schema, buckets)
-            except CommitConflict:
-                continue
-        raise CommitConflict(self.path)
-
-    def _merged(self, manifest: dict, schema: T.StructType) -> T.StructType:
-        """The table's schema plus the columns that are new in ``schema``."""
-        if manifest["schema"] is None:
-            return schema
-        current = T.StructType.fromJson(manifest["schema"])
-        extra = [f for f in schema.fields if f.name not in current.names]
-        return T.StructType([*current.fields, *extra])
-
-    def overwrite_records(self, rows: DataFrame, merge_schema: bool = False) -> int:
+    def overwrite_records(self, rows: DataFrame, merge_schema: bool = False) -> None:
         """Replace all rows of the arriving records. Writing the same rows twice changes nothing.
 
-        The arriving rows are computed once, into their own folders; everything after that reads
-        those folders.
+        The arriving rows are computed once. Only the buckets they fall into, whose numbers the
+        driver reads, are read and rewritten.
         """
-        manifest = self.manifest()
-        schema = self._target_schema(manifest, rows, merge_schema)
-        made = self._write(fit_to_schema(rows, schema), manifest["n_buckets"])
-        written = self._read_buckets({"schema": schema.jsonValue(), "buckets": made}, None)
-        return self._replace(made, schema, written.select(self.key).distinct())
-
-    def upsert(self, rows: DataFrame, id_column: str = "id") -> int:
-        """Insert or replace by id; the table must be bucketed by that id."""
+        fitted = fit_to_schema(rows, self._target(rows, merge_schema))
+        arriving = written(self._placed(fitted), "arriving")
+        touched = [row[BUCKET] for row in arriving.select(BUCKET).distinct().collect()]
+        if not touched:
+            return
+        before = self._stored().where(F.col(BUCKET).isin(touched))
+        kept = before.join(arriving.select(self.key).distinct(), self.key, "left_anti")
+        self._write(kept.unionByName(arriving), "overwrite")
+
+    def upsert(self, rows: DataFrame, id_column: str = "id") -> None:
+        """Insert or replace by id; the table must be partitioned by that id."""
         if id_column != self.key:
-            raise ValueError(f"the table is bucketed by {self.key}, not by {id_column}")
-        return self.overwrite_records(one_row_per_key(rows, id_column))
-
-    def delete_records(self, ids: DataFrame) -> int:
-        """Drop all rows of the given records. The touched bucket numbers, at most the bucket
-        count, are read by the driver."""
-        ids = ids.select(self.key).distinct()
-        manifest = self.manifest()
-        bucket = self._bucket(manifest["n_buckets"]).alias("b")
-        touched = {str(r["b"]): [] for r in ids.select(bucket).distinct().collect()}
-        return self._replace(touched, T.StructType.fromJson(manifest["schema"]), ids)
+            raise ValueError(f"the table is partitioned by {self.key}, not by {id_column}")
+        self.overwrite_records(one_row_per_key(rows, id_column))
+
+
+def merge_rows(rows: DataFrame, table: str, key: str = "id") -> None:
+    """Insert or replace by ``key`` in a table whose format knows MERGE; it must be on the class
+    path."""
+    source = one_row_per_key(rows, key).alias("source")
+    matching = F.expr(f"{table}.{key} = source.{key}")
+    source.mergeInto(table, matching).whenMatched().updateAll().whenNotMatched().insertAll().merge()

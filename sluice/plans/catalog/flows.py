@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sluice.functions.ids import enhanced_element_id
 from sluice.operators import partition, staging
 from sluice.operators.embed import is_unit_vector
-from sluice.operators.tables import BucketedTable
+from sluice.operators.tables import RecordTable
 from sluice.plans import oracle as o
 from sluice.plans import roles
 from sluice.plans.catalog.documents import scratch
@@ -65,7 +65,7 @@ def ingest_basic(spark, sf):
         .embed("hash", dimension=16)
         .stage(staging.stage_sql)
     )
-    target = BucketedTable(spark, scratch(spark, "chunks"), buckets=8)
+    target = RecordTable(spark, scratch(spark, "chunks"), buckets=8)
     flow.write(target)
     return target.read().select(
         "id", "record_id", "element_id", "type", "text", "date_created", "page_number",
@@ -139,7 +139,7 @@ def sql_ingest(spark, sf):
     rows = records.fetch_records(parts, batches, "p_partkey", ["p_name"])
     documents = records.rows_to_documents(rows, "part", "p_partkey")
     staged = staging.stage_lake_table(partition.partition_csv(documents), drop_empty=False)
-    target = BucketedTable(spark, scratch(spark, "lake"), buckets=8)
+    target = RecordTable(spark, scratch(spark, "lake"), buckets=8)
     target.overwrite_records(staged)
     return target.read().select("record_id", "type", "text", "filename")
 
@@ -147,7 +147,7 @@ def sql_ingest(spark, sf):
 @query("stage_table_reuse", o.with_(o.LINES, "SELECT record_id, pos, type FROM parts"))
 def stage_table_reuse(spark, sf):
     """A second run with the same settings adds nothing to the stage table."""
-    target = BucketedTable(spark, scratch(spark, "stage"), buckets=8)
+    target = RecordTable(spark, scratch(spark, "stage"), buckets=8)
     documents = roles.documents(spark, sf)
     Flow(documents.filter("lang = 'en'")).partition().stage_table(target)
     return Flow(documents).partition().stage_table(target).rows.select("record_id", "pos", "type")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sluice.operators import external, files, staging, tables
-from sluice.operators.tables import BucketedTable
+from sluice.operators.tables import RecordTable
 from sluice.plans import oracle as o
 from sluice.plans import roles
 from sluice.plans.catalog.documents import scratch
@@ -45,7 +45,7 @@ UNION ALL SELECT * FROM arriving"""
 @query("overwrite_by_record_id", o.with_(_LOADS, _REPLACED))
 def overwrite_by_record_id(spark, sf):
     existing, arriving = _rows(spark, sf)
-    target = BucketedTable(spark, scratch(spark, "overwrite"), buckets=8)
+    target = RecordTable(spark, scratch(spark, "overwrite"), buckets=8)
     target.append(existing)
     target.overwrite_records(arriving)
     # A second delivery of the same records changes nothing.
@@ -68,7 +68,7 @@ def overwrite_anti_join(spark, sf):
 )
 def upsert_by_id(spark, sf):
     existing, arriving = _rows(spark, sf)
-    target = BucketedTable(spark, scratch(spark, "upsert"), key="id", buckets=8)
+    target = RecordTable(spark, scratch(spark, "upsert"), key="id", buckets=8)
     target.append(existing)
     target.upsert(arriving.unionByName(arriving))
     return target.read()
@@ -93,7 +93,7 @@ def append_by_name(spark, sf):
 )
 def schema_merge_append(spark, sf):
     existing, arriving = _rows(spark, sf)
-    target = BucketedTable(spark, scratch(spark, "merge"), key="id", buckets=4)
+    target = RecordTable(spark, scratch(spark, "merge"), key="id", buckets=4)
     target.append(existing.select("id", "load"))
     target.append(arriving.select("load", "id", "text"), merge_schema=True)
     return target.read()
@@ -117,7 +117,7 @@ def prefix_delete(spark, sf):
        o.with_(_LOADS, "SELECT record_id, text, NULL::varchar AS metadata FROM arriving"))
 def create_table_if_missing(spark, sf):
     _, arriving = _rows(spark, sf)
-    target = BucketedTable(spark, scratch(spark, "create"), buckets=4)
+    target = RecordTable(spark, scratch(spark, "create"), buckets=4)
     target.create_if_missing(staging.ELEMENT_TABLE)
     target.create_if_missing(arriving.schema)
     target.append(arriving)
@@ -256,7 +256,7 @@ def register_source_destination(spark, sf):
     registry = external.Registry()
     registry.register_source("parts", lambda: table(spark, sf, "part"))
     registry.register_source("suppliers", lambda: table(spark, sf, "supplier"))
-    target = BucketedTable(spark, scratch(spark, "registry"), key="p_partkey", buckets=4)
+    target = RecordTable(spark, scratch(spark, "registry"), key="p_partkey", buckets=4)
     registry.register_destination("lake", target.append)
     write = registry.destination("lake")
     write(registry.source("parts")().select("p_partkey", "p_name"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.partition import partition_text
 from sluice.operators.staging import stage_sql
-from sluice.operators.tables import BucketedTable
+from sluice.operators.tables import RecordTable
 from sluice.plans import oracle as o
 from sluice.plans import roles
 from sluice.plans.catalog.documents import scratch
@@ -115,7 +115,7 @@ def _message_stream(spark, sf):
 )
 def stream_daily_packages(spark, sf):
     folder = scratch(spark, "packages")
-    target = BucketedTable(spark, f"{folder}/table", key="identifier", buckets=4)
+    target = RecordTable(spark, f"{folder}/table", key="identifier", buckets=4)
     activity = messages.package_activity(_message_stream(spark, sf))
     target.create_if_missing(activity.schema)
     messages.drain(
@@ -146,7 +146,7 @@ def tumbling_message_windows(spark, sf):
         "n",
         "newest",
     ).withColumn("id", F.concat_ws("#", "day", "event_type"))
-    target = BucketedTable(spark, f"{folder}/table", key="id", buckets=4)
+    target = RecordTable(spark, f"{folder}/table", key="id", buckets=4)
     target.create_if_missing(rows.schema)
     messages.drain(rows, messages.upsert_into(target, "id"), f"{folder}/state", "update")
     return target.read().drop("id")
@@ -162,7 +162,7 @@ def stream_dedupe(spark, sf):
         "identifier", F.col("user_id").cast("string")
     )
     latest = messages.latest_per_identifier(events, F.col("event_id"), ["event_id"])
-    target = BucketedTable(spark, f"{folder}/table", key="identifier", buckets=4)
+    target = RecordTable(spark, f"{folder}/table", key="identifier", buckets=4)
     target.create_if_missing(latest.schema)
     messages.drain(latest, messages.upsert_into(target, "identifier"), f"{folder}/state", "update")
     return target.read()
@@ -187,7 +187,7 @@ def stream_first_seen(spark, sf):
 def stream_filter_stage_sink(spark, sf):
     """Documents stream through filter, partition and staging into a table."""
     folder = scratch(spark, "ingest")
-    target = BucketedTable(spark, f"{folder}/table", buckets=8)
+    target = RecordTable(spark, f"{folder}/table", buckets=8)
     documents = roles.document_columns(_stream(spark, sf, "documents"))
     kept = documents.filter("lang = 'en' AND filesize_bytes <= 5000")
 
@@ -210,7 +210,7 @@ def stream_incremental(spark, sf):
     """Index rows stream against a state table that knows a quarter of them unchanged."""
     folder = scratch(spark, "changes")
     documents = roles.documents(spark, sf)
-    state = BucketedTable(spark, f"{folder}/state_table", key="identifier", buckets=8)
+    state = RecordTable(spark, f"{folder}/state_table", key="identifier", buckets=8)
     known = documents.filter(F.col("doc_id") % 4 == 1).select(
         "identifier",
         F.lit(4e9).alias("processed_at"),
@@ -218,7 +218,7 @@ def stream_incremental(spark, sf):
         "permissions_version",
     )
     state.append(known)
-    done = BucketedTable(spark, f"{folder}/done", key="identifier", buckets=8)
+    done = RecordTable(spark, f"{folder}/done", key="identifier", buckets=8)
 
     def process(changed):
         done.overwrite_records(changed.select("identifier", "version"))

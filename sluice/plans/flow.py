@@ -16,7 +16,7 @@ from sluice.operators import chunk, embed, hashing, partition
 from sluice.operators.filters import filter_documents
 from sluice.operators.html import partition_html
 from sluice.operators.incremental import changed_documents, skip_existing_output
-from sluice.operators.tables import BucketedTable
+from sluice.operators.tables import RecordTable
 
 TEXT = "text"
 HTML = "html"
@@ -72,15 +72,15 @@ class Flow:
             stager(self.rows, **options), step="stage", stager=stager.__name__, **options
         )
 
-    def write(self, table: BucketedTable) -> int:
-        return table.overwrite_records(self.rows)
+    def write(self, table: RecordTable) -> None:
+        table.overwrite_records(self.rows)
 
     @property
     def key(self) -> str:
         """Hash of all step settings so far."""
         return config_hash({"steps": self.settings})
 
-    def stage_table(self, table: BucketedTable) -> Flow:
+    def stage_table(self, table: RecordTable) -> Flow:
         """Append the records the table does not have for these settings, and read from it."""
         key = self.key
         rows = self.rows.withColumn("config_hash", F.lit(key))

@@ -9,19 +9,21 @@ from pyspark.sql import functions as F
 
 from sluice.functions.dates import parse_timestamp
 from sluice.operators.incremental import changed_documents
-from sluice.operators.tables import BucketedTable
+from sluice.operators.tables import RecordTable
+from sluice.session import written
 
 
 def process_changes(
-    state: BucketedTable, process: Callable[[DataFrame], None]
+    state: RecordTable, process: Callable[[DataFrame], None]
 ) -> Callable[[DataFrame, int], None]:
     """Micro-batch handler: compare index rows with the state table, process the changed ones and
-    record their new state. ``process`` must be repeatable, as a batch may run again."""
+    record their new state. The changes are computed once. ``process`` must be repeatable, as a
+    batch may run again."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        changed = written(changed_documents(batch, state.read()), "changes")
+        if changed.isEmpty():
             return
-        changed = changed_documents(batch, state.read())
         process(changed)
         state.upsert(
             changed.select(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.operators.external import message_values
-from sluice.operators.tables import BucketedTable
+from sluice.operators.tables import RecordTable
 from sluice.sources.listings import doc_index
 from sluice.sources.messages import newest, package_columns, time_stamp, with_package
 
@@ -107,24 +107,22 @@ def drain(
     return query
 
 
-def upsert_into(table: BucketedTable, id_column: str) -> Callable[[DataFrame, int], None]:
+def upsert_into(table: RecordTable, id_column: str) -> Callable[[DataFrame, int], None]:
     """Micro-batch handler: insert or replace by id. Repeating a batch changes nothing."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            table.upsert(batch, id_column)
+        table.upsert(batch, id_column)
 
     return handle
 
 
 def replace_into(
-    table: BucketedTable, transform: Callable[[DataFrame], DataFrame]
+    table: RecordTable, transform: Callable[[DataFrame], DataFrame]
 ) -> Callable[[DataFrame, int], None]:
     """Micro-batch handler: run batch operators, then replace the arriving records."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            table.overwrite_records(transform(batch))
+        table.overwrite_records(transform(batch))
 
     return handle
 

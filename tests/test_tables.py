@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.operators import external, files, staging, tables
-from sluice.operators.tables import BucketedTable, CommitConflict
+from sluice.operators.tables import RecordTable
 from sluice.plans import roles
 
 
@@ -30,7 +30,7 @@ def new(spark):
 
 
 def test_overwrite_is_idempotent(spark, tmp_path, old, new):
-    table = BucketedTable(spark, str(tmp_path / "t"), buckets=4)
+    table = RecordTable(spark, str(tmp_path / "t"), buckets=4)
     table.append(old)
     table.overwrite_records(new)
     once = rows_of(table.read())
@@ -41,31 +41,44 @@ def test_overwrite_is_idempotent(spark, tmp_path, old, new):
 
 
 def test_untouched_buckets_are_not_rewritten(spark, tmp_path, old):
-    table = BucketedTable(spark, str(tmp_path / "t"), buckets=16)
+    table = RecordTable(spark, str(tmp_path / "t"), buckets=16)
     table.append(old)
-    before = table.manifest()["buckets"]
+
+    def files_of():
+        found = {}
+        for name in table.read().inputFiles():
+            found.setdefault(name.split("_bucket=")[1].split("/")[0], set()).add(name)
+        return found
+
+    before = files_of()
     table.overwrite_records(old.filter("record_id = 'r2'"))
-    after = table.manifest()["buckets"]
-    changed = [b for b in before if before[b] != after.get(b)]
-    assert len(changed) == 1 and len(before) > 1
+    after = files_of()
+    assert set(after) == set(before) and len(before) > 2
+    assert sum(before[b] != after[b] for b in before) == 1
 
 
-def test_old_versions_stay_readable(spark, tmp_path, old, new):
-    table = BucketedTable(spark, str(tmp_path / "t"), buckets=4)
-    first = table.append(old)
-    table.overwrite_records(new)
-    assert rows_of(table.read(first)) == rows_of(old)
+def test_the_table_outlives_its_object(spark, tmp_path, old, new):
+    RecordTable(spark, str(tmp_path / "t"), buckets=4).append(old)
+    again = RecordTable(spark, str(tmp_path / "t"), buckets=4)
+    assert not again.create_if_missing(new.schema)
+    again.overwrite_records(new)
+    assert again.read().schema.names == old.schema.names
+    assert again.read().filter("record_id = 'r1'").count() == 1
 
 
-def test_delete_records(spark, tmp_path, old):
-    table = BucketedTable(spark, str(tmp_path / "t"), buckets=4)
+def test_writes_without_rows_change_nothing(spark, tmp_path, old):
+    table = RecordTable(spark, str(tmp_path / "t"), buckets=4)
+    assert table.schema() is None and table.create_if_missing(old.schema)
+    table.overwrite_records(old.limit(0))
+    assert table.read().count() == 0
     table.append(old)
-    table.delete_records(spark.createDataFrame([("r0",), ("none",)], "record_id string"))
-    assert rows_of(table.read()) == [r for r in rows_of(old) if r[0] != "r0"]
+    table.overwrite_records(old.limit(0))
+    table.append(old.limit(0))
+    assert rows_of(table.read()) == rows_of(old)
 
 
 def test_schema_grows(spark, tmp_path, old):
-    table = BucketedTable(spark, str(tmp_path / "t"), buckets=2)
+    table = RecordTable(spark, str(tmp_path / "t"), buckets=2)
     table.append(old)
     wider = old.limit(1).withColumn("extra", F.lit("x"))
     table.append(wider)
@@ -75,31 +88,6 @@ def test_schema_grows(spark, tmp_path, old):
     assert table.read().count() == 22
 
 
-def test_conflicting_append_is_retried(spark, tmp_path, old, monkeypatch):
-    table = BucketedTable(spark, str(tmp_path / "t"), buckets=2)
-    other = BucketedTable(spark, str(tmp_path / "t"), buckets=2)
-    table.append(old)
-    publish = table._publish
-    lost = []
-
-    def late(manifest):
-        if not lost:
-            lost.append(1)
-            other.append(old.limit(1))
-        publish(manifest)
-
-    monkeypatch.setattr(table, "_publish", late)
-    table.append(old.limit(2))
-    assert table.read().count() == 20 + 1 + 2
-
-
-def test_published_version_is_never_replaced(spark, tmp_path, old):
-    table = BucketedTable(spark, str(tmp_path / "t"), buckets=2)
-    table.append(old)
-    with pytest.raises(CommitConflict):
-        table._publish({**table.manifest(), "version": 1})
-
-
 def test_upsert_keeps_one_row_per_id(spark, old):
     arriving = spark.createDataFrame(
         [("a", "2"), ("a", "1"), ("c", "3")], "id string, v string"
