@@ -185,10 +185,13 @@ def format_rfc3339(epoch: Column) -> Column:
     )
 
 
-def ensure_isoformat(value: Column) -> Column:
-    """Any readable date text to ISO text without zone; unreadable text fails the job."""
+def ensure_isoformat(value: Column, strict: bool = True) -> Column:
+    """Any readable date text to ISO text without zone; unreadable text fails the job, or is null
+    if not ``strict``."""
     epoch = parse_date_lenient(value)
     text = F.regexp_replace(F.substring(format_rfc3339(epoch), 1, 26), r"\.000000$", "")
+    if not strict:
+        return text
     problem = F.raise_error(F.concat(F.lit("not a date: "), value))
     return F.when(value.isNull() | epoch.isNotNull(), text).otherwise(problem)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.ids import batch_identity
 from sluice.operators.packing import pack
-from sluice.session import reliable
+from sluice.session import written
 
 
 def global_position(
@@ -30,7 +30,7 @@ def global_position(
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_mid", F.monotonically_increasing_id())
     )
-    ranged = reliable(ranged)
+    ranged = written(ranged, "ranges")
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # One row per partition: this window and the broadcast are bounded by the partition count.

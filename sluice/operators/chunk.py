@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators.packing import pack
 from sluice.operators.sequence import dense_position, ordered_lag
-from sluice.session import reliable
+from sluice.session import written
 
 SEPARATOR = "\n\n"
 MAX_CHARACTERS = 500
@@ -185,7 +185,7 @@ def _combine(packed: DataFrame, limit: int, under: int, multipage: bool, options
         F.min_by("_break", "pos").alias("_break"),
     )
     # One narrow row per chunk; written once because several steps below read it.
-    small = reliable(small)
+    small = written(small, "chunks")
     small = dense_position(small, "_nth", order="chunk_start", **_seq(options))
     merged = pack(
         small,

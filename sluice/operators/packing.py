@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.session import reliable
+from sluice.session import written
 
 BLOCK_ROWS = 65_536
 SUPER_BLOCKS = 1_024
@@ -194,7 +194,7 @@ def _entries(
         ]
     )
     maps = haloed.groupBy("k", "b").applyInPandas(exits, map_schema)
-    maps = reliable(maps.withColumn("g", F.floor(F.col("b") / SUPER_BLOCKS)))
+    maps = written(maps.withColumn("g", F.floor(F.col("b") / SUPER_BLOCKS)), "exits")
 
     def compose(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("b")

@@ -26,7 +26,7 @@ from sluice.functions.flatten import flatten_struct
 from sluice.functions.ids import element_hash
 from sluice.operators.filters import exclude_types
 from sluice.operators.sequence import previous_present
-from sluice.session import reliable
+from sluice.session import written
 
 ELEMENTS_PER_PAGE = 20
 
@@ -85,7 +85,7 @@ def with_line_offsets(documents: DataFrame) -> DataFrame:
     Parts are written once; the offsets are sums over one number per part, and only documents of
     several parts take part in them.
     """
-    documents = reliable(documents)
+    documents = written(documents, "parts")
     several = documents.where("part > 0").select("identifier").distinct()
     before = Window.partitionBy("identifier").orderBy("part")
     before = before.rowsBetween(Window.unboundedPreceding, -1)

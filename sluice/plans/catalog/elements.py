@@ -798,26 +798,45 @@ def fit_nested_schema(spark, sf):
     return fitted.withColumn("metadata", F.to_json("metadata"))
 
 
+# What the target lacks, and how many elements have it.
+_DROPPED = {
+    **dict.fromkeys(
+        [
+            "element_id", "type", "metadata.filetype", "metadata.file_directory",
+            "metadata.page_number", "metadata.languages", "metadata.last_modified", "metadata.url",
+            "metadata.data_source",
+        ],
+        "*",
+    ),
+    "embeddings": "embeddings",
+    "metadata.parent_id": "parent_id",
+    "metadata.category_depth": "category_depth",
+    "metadata.link_urls": "link_urls",
+    "metadata.links.text": "links_json",
+    "metadata.links.start_index": "links_json",
+    "metadata.is_continuation": "is_continuation",
+    "metadata.detection_class_prob": "detection_class_prob",
+    "metadata.coordinates.points": "points",
+    "metadata.coordinates.layout_width": "layout_width",
+    "metadata.coordinates.layout_height": "layout_height",
+}
+
+
 @query(
     "dropped_columns_report",
     o.with_(
         o.ELEMENTS,
-        """SELECT 'element_id' AS path, count(*) AS n_rows FROM elements
-        UNION ALL SELECT 'embeddings', count(embeddings) FROM elements
-        UNION ALL SELECT 'metadata.links.text', count(links_json) FROM elements
-        UNION ALL SELECT 'metadata.coordinates.points', count(points) FROM elements
-        UNION ALL SELECT 'metadata.is_continuation', count(is_continuation) FROM elements
-        UNION ALL SELECT 'metadata.page_number', count(page_number) FROM elements""",
+        "SELECT * FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{path}' AS path, count({column}) AS n_rows FROM elements"
+            for path, column in _DROPPED.items()
+        )
+        + ") WHERE n_rows > 0",
     ),
 )
 def dropped_columns_report(spark, sf):
     from pyspark.sql.types import StructType
 
-    report = schema_fit.dropped_columns_report(
+    return schema_fit.dropped_columns_report(
         roles.elements(spark, sf), StructType.fromDDL(_TARGET)
     )
-    shown = [
-        "element_id", "embeddings", "metadata.links.text", "metadata.coordinates.points",
-        "metadata.is_continuation", "metadata.page_number",
-    ]
-    return report.filter(F.col("path").isin(shown))

@@ -255,6 +255,47 @@ def tree_closure(spark, sf):
     return closure.tree_closure(_folders(spark, sf))
 
 
+@query(
+    "tree_intervals",
+    "WITH RECURSIVE "
+    + _FOLDERS
+    + """,
+reach AS (
+  SELECT child AS root, child AS node, 0 AS depth FROM folders
+  UNION ALL SELECT r.root, f.child, r.depth + 1 FROM reach r JOIN folders f ON f.parent = r.node
+),
+sizes AS (SELECT root AS id, count(*) AS n_nodes FROM reach GROUP BY 1)
+SELECT child AS id, n_nodes, CASE substr(child, 1, 1) WHEN 'R' THEN 0 WHEN 'N' THEN 1 ELSE 2
+    END::bigint AS depth,
+  CASE substr(child, 1, 1) WHEN 'R' THEN child ELSE (SELECT max(r.root) FROM reach r
+    WHERE r.node = child AND r.root LIKE 'R%') END AS root
+FROM folders JOIN sizes ON id = child""",
+)
+def tree_intervals(spark, sf):
+    """Subtree sizes, depths and roots from the labels of a tour of every tree."""
+    nodes = _folders(spark, sf).select(F.col("child").alias("id"), F.col("parent").alias("parent_id"))
+    size = ((F.col("leave") - F.col("enter") + 1) / 2).cast("long")
+    return closure.tree_intervals(nodes).select("id", size.alias("n_nodes"), "depth", "root")
+
+
+@query(
+    "ancestor_tests",
+    """SELECT 'R' || l_linenumber % 5 AS above, 'C' || o_custkey AS below,
+      l_linenumber % 5 = n_regionkey AS is_above
+    FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON c_custkey = o_custkey
+      JOIN nation ON n_nationkey = c_nationkey""",
+)
+def ancestor_tests(spark, sf):
+    """For every line: is a region above the customer of its order? No closure is made."""
+    nodes = _folders(spark, sf).select(F.col("child").alias("id"), F.col("parent").alias("parent_id"))
+    lines, orders = table(spark, sf, "lineitem"), table(spark, sf, "orders")
+    pairs = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.concat(F.lit("R"), (F.col("l_linenumber") % 5).cast("string")).alias("above"),
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("below"),
+    )
+    return closure.ancestor_tests(pairs, closure.tree_intervals(nodes))
+
+
 @query(
     "node_paths",
     o.with_(

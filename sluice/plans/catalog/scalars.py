@@ -259,15 +259,16 @@ def format_rfc3339(spark, sf):
     o.with_(
         _STAMP_CASES,
         "SELECT event_id, CASE WHEN kind = 4 THEN strftime(make_timestamp(e * 1000000), "
-        "'%Y-%m-%dT%H:%M:%S') || '.250000' WHEN kind = 5 THEN "
+        "'%Y-%m-%dT%H:%M:%S') || '.250000' WHEN kind = 1 THEN strftime(make_timestamp(e * 1000000), "
+        "'%Y-%m-%dT%H:%M:%S') || '.500000' WHEN kind = 5 THEN "
         "strftime(make_timestamp((e - e % 86400) * 1000000), '%Y-%m-%dT%H:%M:%S') "
-        "ELSE strftime(make_timestamp(e * 1000000), '%Y-%m-%dT%H:%M:%S') END AS iso "
-        "FROM texts WHERE kind IN (2, 3, 4, 5)",
+        "WHEN kind < 5 THEN strftime(make_timestamp(e * 1000000), '%Y-%m-%dT%H:%M:%S') END AS iso "
+        "FROM texts",
     ),
 )
 def ensure_isoformat(spark, sf):
-    rows = _stamps(spark, sf).filter(F.col("value").contains("-"))
-    return rows.select("event_id", dates.ensure_isoformat(F.col("value")).alias("iso"))
+    iso = dates.ensure_isoformat(F.col("value"), strict=False)
+    return _stamps(spark, sf).select("event_id", iso.alias("iso"))
 
 
 @query(

@@ -368,6 +368,54 @@ def test_caps_above_the_group_limit(spark):
         assert got == {0: (n, 5998 - 2 * (n - 1)), 1: (n, 5999 - 2 * (n - 1))}
 
 
+def test_tree_intervals(spark):
+    """Random forests, hubs, unknown parents, a cycle; ancestry by numbers agrees with walking up."""
+    import random
+
+    draw = random.Random(3)
+    parents = {0: None, 1: 77777}
+    for k in range(2, 300):
+        parents[k] = 5 if k % 3 == 0 and k > 5 else draw.randrange(k)
+    parents |= {500: 501, 501: 502, 502: 500, 503: 500}
+    nodes = spark.createDataFrame(list(parents.items()), "id long, parent_id long")
+    labels = {r["id"]: r for r in closure.tree_intervals(nodes).collect()}
+    assert set(labels) == set(range(300))
+
+    def above(k):
+        found = []
+        while parents[k] in parents:
+            k = parents[k]
+            found.append(k)
+        return found
+
+    for k, row in labels.items():
+        chain = above(k)
+        assert row["depth"] == len(chain) and row["root"] == ([k] + chain)[-1]
+    sizes = {k: 1 + sum(k in above(j) for j in range(300)) for k in (0, 1, 5, 17, 299)}
+    assert sizes == {k: (labels[k]["leave"] - labels[k]["enter"] + 1) // 2 for k in sizes}
+    pairs = [(draw.randrange(300), draw.randrange(300)) for _ in range(400)] + [(4, 4), (500, 501)]
+    pairs += [(5, 9), (0, 999)]
+    found = closure.ancestor_tests(
+        spark.createDataFrame(pairs, "above long, below long"), closure.tree_intervals(nodes)
+    )
+    assert {(r["above"], r["below"]): r["is_above"] for r in found.collect()} == {
+        (a, b): b < 300 and a < 300 and a in above(b) for a, b in pairs
+    }
+
+
+def test_long_chain_takes_few_rounds(spark, monkeypatch):
+    n = 20_000
+    nodes = spark.range(n).select("id", (F.col("id") - 1).alias("parent_id"))
+    rounds = []
+    whole = closure.written
+    monkeypatch.setattr(
+        closure, "written", lambda df, label: rounds.append(label) or whole(df, label)
+    )
+    ends = closure.tree_intervals(nodes).agg(F.max("depth"), F.min("enter"), F.max("leave")).first()
+    assert tuple(ends) == (n - 1, 0, 2 * n - 1)
+    assert rounds.count("tour") <= 18
+
+
 def expected_access(files, folders, grants):
     """Grants of every file: its own and those of the folders above, walked one by one."""
     parents, found = dict(folders), {}
