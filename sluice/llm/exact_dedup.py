@@ -83,6 +83,8 @@ class DigestIndex:
         index keeps its document.
         """
         fresh = digests.groupBy("digest").agg(F.max("doc_id").alias("keep_id"))
+        # Written, as the anti-join would else be planned below the aggregate, on every copy.
+        fresh = staged(fresh, "fresh")
         known = self.rows().select("digest")
         self._write(fresh.join(known.hint("merge"), "digest", "left_anti"))
 
