@@ -28,7 +28,8 @@ LOW_32 = 0xFFFFFFFF
 LANE_PAIR = 0x0000000100000001  # bits i and i + 32 of a hash, as two 32-bit counters
 SIGN_HASH = HASHES  # the seed of the first hash of the signs
 BLOCK_DOCS = 4096
-MOST_BLOCKS = 1 << 16
+MARKS = 64  # ids for each block, of which every so many begins one
+MOST_MARKS = 1 << 18
 
 
 def units(text: Column) -> Column:
@@ -145,24 +146,25 @@ def fingerprints(docs: DataFrame) -> DataFrame:
 def with_next(docs: DataFrame, columns: list[Column], block_docs: int = BLOCK_DOCS) -> DataFrame:
     """``columns`` of every row, as structs ``here`` and ``next`` (that of the next doc_id).
 
-    The rows are dealt once to blocks of about ``block_docs`` ids (more in very large tables, so
-    that there are some ``MOST_BLOCKS`` at most). Ids whose hash says so begin a block, so a row
-    knows by itself that it begins one and is sent to the block before it as well; the first row of
-    all goes also to the last block. Each row then finds its next one in its own block. Blocks are
-    found by bisection among the sorted ids that begin them. Rows that repeat an id follow each other in any order; rows without id come last.
+    The rows are dealt once to blocks of about ``block_docs`` ids. The ids that a hash marks, some
+    ``MOST_MARKS`` at most, are sorted, and evenly spaced ones of them begin the blocks, which are
+    found by bisection. The rows that begin a block are sent to the block before it as well; the
+    first row of all goes also to the last block. Each row then finds its next one in its own block.
+    Rows that repeat an id follow each other in any order; rows without id come last.
     """
     rows = docs.select("doc_id", *columns)
     n = docs.count()
     here = F.struct(*[F.col(c) for c in rows.columns]).alias("here")
     if n == 0:
         return rows.select(here, here.alias("next"))
-    period = max(block_docs, -(-n // MOST_BLOCKS))
+    period = max(block_docs // MARKS, -(-n // MOST_MARKS), 1)
     first = docs.agg(F.min("doc_id")).first()[0]
     is_first = F.lit(False) if first is None else F.col("doc_id") == first
     marked = F.pmod(F.xxhash64(F.lit("block"), "doc_id"), F.lit(period)) == 0
     marked = F.coalesce(marked & ~is_first, F.lit(False))
-    # Some MOST_BLOCKS ids at most. As text they are one constant of the plan, however many.
-    begins = docs.where(marked).agg(F.sort_array(F.collect_set("doc_id"))).first()[0]
+    marks = docs.where(marked).agg(F.sort_array(F.collect_set("doc_id"))).first()[0]
+    begins = marks[:: max(1, block_docs // period)]
+    # As text they are one constant of the plan, however many.
     borders = F.split(F.lit(",".join(map(str, begins))), ",").cast("array<long>")
     last = F.lit(len(begins))
 
@@ -185,8 +187,14 @@ def with_next(docs: DataFrame, columns: list[Column], block_docs: int = BLOCK_DO
         return F.struct(block.alias("block"), F.lit(after).alias("after"))
 
     dealt = (
-        rows.select(here, "doc_id", (marked | is_first).alias("_begins"), is_first.alias("_first"))
+        rows.select(here, "doc_id", is_first.alias("_first"))
         .withColumn("_own", own)
+        .withColumn(
+            "_begins",
+            F.coalesce(
+                F.col("_first") | (F.get(borders, F.col("_own") - 1) == F.col("doc_id")), F.lit(False)
+            ),
+        )
         .withColumn("_before", F.when(F.col("_first"), last).otherwise(F.col("_own") - 1))
         .withColumn(
             "_to",
