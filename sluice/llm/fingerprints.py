@@ -165,7 +165,8 @@ def with_next(docs: DataFrame, columns: list[Column], block_docs: int = BLOCK_DO
     marks = docs.where(marked).agg(F.sort_array(F.collect_set("doc_id"))).first()[0]
     begins = marks[:: max(1, block_docs // period)]
     # As text they are one constant of the plan, however many.
-    borders = F.split(F.lit(",".join(map(str, begins))), ",").cast("array<long>")
+    borders = F.split(F.lit(",".join(map(str, begins))), ",") if begins else F.array()
+    borders = borders.cast("array<long>")
     last = F.lit(len(begins))
 
     # The block of an id is the number of borders up to it, found between ``low`` and ``high``.
