@@ -135,11 +135,14 @@ def _without_dots(path: Column) -> Column:
     return F.when(joined == "/", joined).otherwise(F.concat(joined, end))
 
 
-def _unescaped(text: Column) -> Column:
-    """An attribute value without the character references that addresses are written with."""
+def _cleaned(value: Column) -> Column:
+    """An attribute value without white space around it and without the character references that
+    addresses are written with."""
+    text = value
     for pattern, letter in REFERENCES:
         text = F.regexp_replace(text, pattern, letter)
-    return text
+    text = F.when(value.contains("&"), text).otherwise(value)
+    return F.regexp_replace(text, SPACES_AT_ENDS, "")
 
 
 def _absolute(base: Column, link: Column) -> Column:
@@ -147,7 +150,6 @@ def _absolute(base: Column, link: Column) -> Column:
 
     References of other schemes than ``scheme://`` name no page, nor does an empty one.
     """
-    link = F.regexp_replace(_unescaped(link), SPACES_AT_ENDS, "")
     scheme = F.regexp_extract(base, r"(?s)^(.*?)://", 1)
     site = F.concat(scheme, F.lit("://"), host_of(base))
     path = F.when(path_of(base) == "", "/").otherwise(path_of(base))
@@ -180,7 +182,9 @@ def declared_targets(url: Column, html: Column) -> Column:
         ),
         lambda t: t != "",
     )
-    base = F.coalesce(_absolute(url, F.get(bases, F.lit(0))), url)
+    # Values are cleaned once, in arrays of their own, as they are used many times.
+    first = F.transform(F.slice(bases, 1, 1), _cleaned)
+    base = F.coalesce(F.get(F.transform(first, lambda t: _absolute(url, t)), F.lit(0)), url)
     links = F.filter(
         F.regexp_extract_all(html, F.lit(r"(?is)<link\s[^>]*>"), 0),
         lambda t: F.array_contains(
@@ -204,7 +208,8 @@ def declared_targets(url: Column, html: Column) -> Column:
         F.transform(
             F.array(base),
             lambda b: F.filter(
-                F.transform(to, lambda t: _absolute(b, t)), lambda t: t.isNotNull()
+                F.transform(F.transform(to, _cleaned), lambda t: _absolute(b, t)),
+                lambda t: t.isNotNull(),
             ),
         )
     )
