@@ -48,8 +48,9 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^" + SPACE + r"\p
 LATIN_END = "\u0180"
 _L = r"a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f"
 _N = r"0-9\xb2\xb3\xb9\xbc-\xbe"
+# No two of letters, numbers and the apostrophe begin alike, so letters, the most frequent, go first.
 LATIN_PIECES = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{SPACE}{_L}{_N}]+"
+    rf"[{_L}]+|[{_N}]|'(?:s|t|re|ve|m|ll|d)|[^{SPACE}{_L}{_N}]+"
 )
 WORD_END = "</w>"
 

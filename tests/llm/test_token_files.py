@@ -37,6 +37,19 @@ def test_file_without_tokens():
     assert file.document(0).tolist() == []
 
 
+def test_pieces(library):
+    texts = [
+        "don't stop,it's\u00a0they've\u3000'sure 12,5 \x1c a\x1fb\x85c 'S 'll'll x'd",
+        "'t're've'm'll'd'x '1 a'1 \u2028Straße ÉCOLE e\u0301cole, naïve-ish ﬁn",
+        "\x1d\x1e \t\n\x0b\x0c\r", "", "ΣΑΣ σας", "日本語、テスト123 привет-мир!", "İstanbul K",
+        "[UNK] </w> <s> a</w>b",
+    ]
+    coder = token_files.Coder(PATH)
+    for _ in range(2):
+        found = [np.frombuffer(ids, coder.width).tolist() for ids in coder.encode_all(texts)]
+        assert found == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def expected(library, rows):
     start, found = 0, []
     for doc_id, text in rows:
