@@ -11,6 +11,7 @@ from sluice.plans import roles
 from sluice.plans.catalog.documents import scratch
 from sluice.plans.catalog.registry import query
 from sluice.plans.roles import table
+from sluice.sources.parts import assembled, part_texts
 
 
 def _rows(spark, sf):
@@ -195,6 +196,35 @@ def read_element_files(spark, sf):
     return out
 
 
+@query(
+    "read_elements_by_content",
+    o.with_(
+        o.LINES,
+        "SELECT kind, element_id, type, text FROM parts CROSS JOIN (VALUES ('array'), ('lines')) v(kind)",
+    ),
+)
+def read_elements_by_content(spark, sf):
+    """Pretty-printed arrays and JSON lines under suffixes that tell nothing."""
+    rows = roles.parts(spark, sf).select("record_id", "pos", "element_id", "type", "text")
+    element = F.to_json(F.struct("element_id", "type", "text"), {"pretty": "true"})
+    children = rows.select("record_id", F.col("pos").alias("nth"), element.alias("text"))
+    texts = part_texts(children, ["record_id"], lambda r: r["text"], between=",\n")
+    arrays = assembled(
+        texts, ["record_id"], children=children, opening=F.lit("[\n"), closing=F.lit("\n]\n")
+    )
+    named = arrays.select(F.concat("record_id", F.lit(".data")).alias("path"), "part", "body")
+    folders = {"array": scratch(spark, "pretty"), "lines": scratch(spark, "lines")}
+    files.write_documents(named, folders["array"]).write.format("noop").mode("overwrite").save()
+    line = F.to_json(F.struct("element_id", "type", "text"))
+    rows.select(line.alias("value")).write.text(folders["lines"])
+    out = None
+    for kind, folder in folders.items():
+        back = files.read_element_files(spark, folder, "data")
+        back = back.select(F.lit(kind).alias("kind"), "element_id", "type", "text")
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
 @query(
     "kafka_sink",
     o.with_(
