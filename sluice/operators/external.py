@@ -42,11 +42,11 @@ def write_batches(
 ) -> None:
     """Send rows to ``send`` in sized batches, one stream per partition.
 
-    ``concurrency`` bounds the number of streams. ``send`` must tolerate repeats (replace by id):
+    ``concurrency`` is the number of streams; the steps before keep their own. ``send`` must tolerate repeats (replace by id):
     a lost executor sends its partition again.
     """
     if concurrency:
-        rows = rows.coalesce(concurrency)
+        rows = rows.repartition(concurrency)
 
     def size(row) -> int:
         if size_column:

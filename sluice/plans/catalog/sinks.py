@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sluice.operators import external, files, staging, tables
+from sluice.operators import batch_writer, external, files, staging, tables
 from sluice.operators.tables import RecordTable
 from sluice.plans import oracle as o
 from sluice.plans import roles
@@ -125,19 +125,55 @@ def create_table_if_missing(spark, sf):
     return target.read().select("record_id", "text", "metadata")
 
 
-@query("batched_sink")
+@query(
+    "batched_sink",
+    "SELECT count(*) AS n_rows, sum(l_orderkey)::bigint AS keys, 0::bigint AS oversized, "
+    "0::bigint AS unfilled, count(*) AS reported_rows, 100 * count(*) AS reported_size, "
+    "true AS all_batches FROM lineitem",
+)
 def batched_sink(spark, sf):
-    """Batch sizes a writer is called with, per partition stream."""
-    rows = table(spark, sf, "lineitem").select("l_orderkey", F.lit(100).alias("size"))
+    """Batches of at most 5000 rows and 400 000 bytes in a destination, against its report.
 
-    def sizes(batches):
-        import pyarrow as pa
-
-        stream = (row for batch in batches for row in batch.to_pylist())
-        for group in external.batches(stream, 500, 40_000, lambda row: row["size"]):
-            yield pa.RecordBatch.from_pydict({"n_rows": [len(group)]})
-
-    return rows.mapInArrow(sizes, "n_rows long")
+    Whatever the partitions, only the last batch of each holds less than fits.
+    """
+    folder = scratch(spark, "batches")
+    name = "batches_" + folder.rsplit("-", 1)[1]
+    batch_writer.register_file_destination(spark, name, folder)
+    rows = table(spark, sf, "lineitem").select("l_orderkey", F.lit(100).alias("size"))
+    writer = rows.write.format(name).option("size_column", "size").mode("append")
+    writer.option("max_rows", 5000).option("max_bytes", 400_000).save()
+    partition = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)-(\d+)", 1).cast("int")
+    number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)-(\d+)", 2).cast("int")
+    back = spark.read.schema("l_orderkey long, size long").json(f"{folder}/batches")
+    sent = spark.read.schema("partition int, batches int, rows long, size long").json(
+        f"{folder}/report"
+    )
+    batches = (
+        back.groupBy(partition.alias("partition"), number.alias("number"))
+        .agg(
+            F.count(F.lit(1)).alias("n"), F.sum("l_orderkey").alias("keys"), F.sum("size").alias("size")
+        )
+        .join(sent.select("partition", "batches"), "partition")
+    )
+    found = batches.agg(
+        F.sum("n").alias("n_rows"),
+        F.sum("keys").alias("keys"),
+        F.count_if((F.col("n") > 5000) | (F.col("size") > 400_000)).alias("oversized"),
+        F.count_if((F.col("n") < 4000) & (F.col("number") < F.col("batches") - 1)).alias("unfilled"),
+        F.count(F.lit(1)).alias("_batches"),
+    )
+    report = sent.agg(
+        F.sum("rows").alias("reported_rows"),
+        F.sum("size").alias("reported_size"),
+        F.sum("batches").alias("_sent"),
+    )
+    # Both have one row, and share no columns.
+    both = found.unionByName(report, allowMissingColumns=True)
+    names = ["n_rows", "keys", "oversized", "unfilled", "reported_rows", "reported_size"]
+    return both.agg(
+        *[F.max(name).alias(name) for name in names],
+        (F.max("_batches") == F.max("_sent")).alias("all_batches"),
+    )
 
 
 @query(
