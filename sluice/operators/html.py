@@ -16,6 +16,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from sluice.functions.ids import element_hash, uuid5_dns
 from sluice.functions.paths import absolute_url, file_name, file_suffix, url_allowed, url_path
 from sluice.operators.partition import data_source_struct, metadata_struct
+from sluice.session import written
 
 _HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
 _HREF = r"""(?i)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
@@ -180,12 +181,27 @@ def parse_pages(pages: DataFrame, html: str = "body") -> DataFrame:
 
 def partition_html(documents: DataFrame) -> DataFrame:
     """DOC_INDEX columns plus ``body`` (HTML) to ELEMENTS; parse failures have no elements."""
-    parsed = parse_pages(documents)
+    return _page_elements(parse_pages(documents))
+
+
+def partition_html_or_fail(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The elements of ``partition_html``, and (record_id, step, error) of pages that do not parse.
+
+    The parsed pages are written once, so the HTML is read and parsed once for both.
+    """
+    parsed = written(parse_pages(documents), "parsed-pages")
+    errors = parsed.filter("error IS NOT NULL").select(
+        F.col("identifier").alias("record_id"), F.lit("partition").alias("step"), "error"
+    )
+    return _page_elements(parsed), errors
+
+
+def _page_elements(parsed: DataFrame) -> DataFrame:
     base = parsed.select(
         F.col("identifier").alias("record_id"),
         "filename",
         "url",
-        data_source_struct(documents).alias("data_source"),
+        data_source_struct(parsed).alias("data_source"),
         F.posexplode("parts").alias("pos", "p"),
     )
     links = F.zip_with(

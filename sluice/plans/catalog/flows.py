@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sluice.functions.ids import enhanced_element_id
 from sluice.operators import partition, staging
 from sluice.operators.embed import is_unit_vector
+from sluice.operators.incremental import status_report
 from sluice.operators.tables import RecordTable
 from sluice.plans import oracle as o
 from sluice.plans import roles
@@ -86,6 +87,21 @@ def html_ingest(spark, sf):
     )
 
 
+@query(
+    "html_failures",
+    "SELECT 'partition' AS step, count(*) AS failures, count(DISTINCT url) AS records FROM pages "
+    "WHERE page_id % 7 = 3 HAVING count(*) > 0",
+)
+def html_failures(spark, sf):
+    """Every seventh page is broken, and the report has these."""
+    broken = F.concat(F.lit("<![broken[ "), F.coalesce("body", F.lit("")))
+    documents = roles.page_documents(spark, sf)
+    number = F.regexp_extract("filename", r"^\d+", 0).cast("long")
+    documents = documents.withColumn("body", F.when(number % 7 == 3, broken).otherwise(F.col("body")))
+    flow = Flow(documents).partition_html_or_fail()
+    return status_report(flow.errors)
+
+
 @query(
     "messages_ingest",
     o.with_(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from sluice.functions.ids import config_hash
 from sluice.operators import chunk, embed, hashing, partition
 from sluice.operators.filters import filter_documents
-from sluice.operators.html import partition_html
+from sluice.operators.html import partition_html, partition_html_or_fail
 from sluice.operators.incremental import changed_documents, skip_existing_output
 from sluice.operators.tables import RecordTable
 
@@ -30,14 +30,21 @@ _PARTITIONERS = {
 
 
 class Flow:
-    """Documents (index columns and body) on their way to a destination."""
+    """Documents (index columns and body) on their way to a destination.
 
-    def __init__(self, rows: DataFrame, settings: Sequence[dict] = ()):
+    ``errors`` has (record_id, step, error) of the records that a step could not process, for
+    ``status_report`` and ``fail_on_errors``; it is None while no step keeps them.
+    """
+
+    def __init__(
+        self, rows: DataFrame, settings: Sequence[dict] = (), errors: DataFrame | None = None
+    ):
         self.rows = rows
         self.settings = list(settings)
+        self.errors = errors
 
     def _next(self, rows: DataFrame, **settings) -> Flow:
-        return Flow(rows, [*self.settings, settings])
+        return Flow(rows, [*self.settings, settings], self.errors)
 
     def filter(self, globs: Sequence[str] | None = None, max_size: int | None = None) -> Flow:
         rows = filter_documents(self.rows, globs, max_size)
@@ -51,6 +58,15 @@ class Flow:
         rows = partition.postprocess(_PARTITIONERS[kind](self.rows), **postprocess)
         return self._next(rows, step="partition", kind=kind, **postprocess)
 
+    def partition_html_or_fail(self, **postprocess) -> Flow:
+        """As ``partition(HTML)``, but keeps the pages that do not parse as ``errors``."""
+        rows, errors = partition_html_or_fail(self.rows)
+        if self.errors is not None:
+            errors = self.errors.unionByName(errors)
+        rows = partition.postprocess(rows, **postprocess)
+        settings = dict(step="partition", kind=HTML, **postprocess)
+        return Flow(rows, [*self.settings, settings], errors)
+
     def hash_ids(self) -> Flow:
         # All elements of a record came out of one input row here, so windows are per record.
         rows = hashing.assign_hash_ids(self.rows, bounded=True)
@@ -88,4 +104,4 @@ class Flow:
         done = table.read().select("record_id", "config_hash").distinct()
         table.append(skip_existing_output(rows, done, key))
         stored = table.read().filter(F.col("config_hash") == key).drop("config_hash")
-        return Flow(stored, self.settings)
+        return Flow(stored, self.settings, self.errors)

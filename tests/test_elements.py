@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sluice.operators import chunk, embed, hashing, html, orig_elements, partition
+from sluice.operators.incremental import fail_on_errors, status_report
 from sluice.plans import roles
 from sluice.plans.flow import Flow
 
@@ -162,6 +163,27 @@ def test_html_elements(spark):
     assert [r["text"] for r in rows if r["record_id"] == "e"] == ["open never closed", "cell"]
 
 
+def test_pages_that_do_not_parse_are_kept_as_errors(spark):
+    docs = spark.createDataFrame(
+        [
+            ("a", "a.html", "http://x/a", "<p>Fine</p>"),
+            ("b", "b.html", "http://x/b", "<p>Lost</p><![x[ y"),
+            ("c", "c.html", "http://x/c", None),
+            ("b", "b.html", "http://x/b", "<![x[ y"),
+        ],
+        "identifier string, filename string, url string, body string",
+    )
+    flow = Flow(docs).partition_html_or_fail()
+    assert [(r["record_id"], r["text"]) for r in flow.rows.collect()] == [("a", "Fine")]
+    assert {(r["record_id"], r["step"]) for r in flow.errors.collect()} == {("b", "partition")}
+    assert all(r["error"].startswith("AssertionError: ") for r in flow.errors.collect())
+    assert [tuple(r) for r in status_report(flow.errors).collect()] == [("partition", 2, 1)]
+    with pytest.raises(RuntimeError, match="partition failed for b"):
+        fail_on_errors(flow.errors)
+    assert flow.key == Flow(docs).partition("html").key
+    assert Flow(docs.limit(1)).partition_html_or_fail().errors.isEmpty()
+
+
 def test_text_types(spark):
     lines = {
         "- item": "ListItem",
