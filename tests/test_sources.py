@@ -515,3 +515,21 @@ def test_space_access_by_arrays(spark):
     assert nested[3][0]["users"] == ["m"] and nested[3][0]["groups"] == ["r"]
     plan = access_of._jdf.queryExecution().executedPlan().toString()
     assert "Generate" not in plan
+
+
+def test_grants_of_folders_are_not_stored_for_each_file(spark):
+    """Many files with own grants below a folder of many grants: stored grants do not multiply."""
+    files = spark.range(300).select(F.concat(F.lit("f"), "id").alias("doc_id"), F.lit("top").alias("folder_id"))
+    folders = spark.createDataFrame([("top", None)], "folder_id string, parent_id string")
+    schema = "folder_id string, op string, principal_type string, principal_id string"
+    rows = [("top", "read", "user", f"p{k:03d}") for k in range(200)]
+    rows += [(f"f{k}", "read", "user", f"own{k}") for k in range(299)] + [("f7", "read", "user", "p007")]
+    found = access.inherited_access(files, folders, spark.createDataFrame(rows, schema))
+    stored = sum(
+        t.agg(F.coalesce(F.sum(F.size("grants")), F.lit(0))).first()[0] for t in (found.sets, found.more)
+    )
+    assert stored == 200 + 299
+    assert found.grants().count() == 300 * 200 + 299
+    lists = {r["id"]: r["permissions_data"][0]["users"] for r in found.permissions().collect()}
+    common = [f"p{k:03d}" for k in range(200)]
+    assert lists["f7"] == ["own7", *common] and lists["f299"] == common
