@@ -13,6 +13,7 @@ from sluice.functions.text import plain_text
 from sluice.session import reliable
 
 ENTRY = "array<struct<key:string,value:string,json:string>>"
+PAIR = "array<struct<key:string,value:string>>"
 
 
 def flat_columns(
@@ -48,14 +49,11 @@ def flatten_struct(
     return df.select(*rest, *[c.alias(name) for name, c in leaves])
 
 
-def _entry(key: Column, value: Column, dtype: T.DataType) -> Column:
+def _entry(key: Column, value: Column, dtype: T.DataType, json: bool) -> Column:
     nested = isinstance(dtype, (T.ArrayType, T.MapType, T.StructType))
     text = F.to_json(value) if nested else plain_text(value, dtype)
-    return F.struct(
-        key.alias("key"),
-        F.when(value.isNotNull(), text).alias("value"),
-        json_quote(value).alias("json"),
-    )
+    fields = [key.alias("key"), F.when(value.isNotNull(), text).alias("value")]
+    return F.struct(*fields, *([json_quote(value).alias("json")] if json else []))
 
 
 def flat_entries(
@@ -65,21 +63,30 @@ def flat_entries(
     sep: str = "-",
     lists: bool = False,
     drop_null: bool = False,
+    json: bool = True,
 ) -> Column:
     """(key, value, json) entries of a nested value, in schema and list order.
 
     ``lists`` descends into arrays with the index as key part. Map keys are data, so map entries
-    are read from the row; all other keys come from the schema.
+    are read from the row; all other keys come from the schema. Without ``json`` the entries are
+    (key, value): nothing later would keep Spark from making the JSON text of every value.
     """
+    none = F.array().cast(ENTRY if json else PAIR)
+    absent = none if drop_null else F.array(_null_entry(key, json))
     if isinstance(dtype, T.StructType):
         parts = [
             flat_entries(
-                value[f.name], f.dataType, F.concat(key, F.lit(sep + f.name)), sep, lists, drop_null
+                value[f.name],
+                f.dataType,
+                F.concat(key, F.lit(sep + f.name)),
+                sep,
+                lists,
+                drop_null,
+                json,
             )
             for f in dtype.fields
         ]
-        inner = F.concat(*parts) if parts else F.array().cast(ENTRY)
-        absent = F.array().cast(ENTRY) if drop_null else F.array(_null_entry(key))
+        inner = F.concat(*parts) if parts else none
         return F.when(value.isNotNull(), inner).otherwise(absent)
     if isinstance(dtype, T.MapType):
         inner = F.flatten(
@@ -92,10 +99,10 @@ def flat_entries(
                     sep,
                     lists,
                     drop_null,
+                    json,
                 ),
             )
         )
-        absent = F.array().cast(ENTRY) if drop_null else F.array(_null_entry(key))
         return F.when(value.isNotNull(), inner).otherwise(absent)
     if isinstance(dtype, T.ArrayType) and lists:
         inner = F.flatten(
@@ -108,23 +115,20 @@ def flat_entries(
                     sep,
                     lists,
                     drop_null,
+                    json,
                 ),
             )
         )
-        absent = F.array().cast(ENTRY) if drop_null else F.array(_null_entry(key))
         return F.when(value.isNotNull(), inner).otherwise(absent)
-    entry = F.array(_entry(key, value, dtype))
+    entry = F.array(_entry(key, value, dtype, json))
     if drop_null:
-        return F.when(value.isNotNull(), entry).otherwise(F.array().cast(ENTRY))
+        return F.when(value.isNotNull(), entry).otherwise(none)
     return entry
 
 
-def _null_entry(key: Column) -> Column:
-    return F.struct(
-        key.alias("key"),
-        F.lit(None).cast("string").alias("value"),
-        F.lit(None).cast("string").alias("json"),
-    )
+def _null_entry(key: Column, json: bool) -> Column:
+    names = ["value", "json"] if json else ["value"]
+    return F.struct(key.alias("key"), *[F.lit(None).cast("string").alias(n) for n in names])
 
 
 def flat_row_entries(
@@ -134,18 +138,22 @@ def flat_row_entries(
     lists: bool = False,
     drop_null: bool = False,
     prefix: str = "",
+    json: bool = True,
 ) -> Column:
     """Entries of several top-level columns, in the given order."""
     parts = [
         flat_entries(
-            F.col(f"`{c}`"), schema[c].dataType, F.lit(prefix + c), sep, lists, drop_null
+            F.col(f"`{c}`"), schema[c].dataType, F.lit(prefix + c), sep, lists, drop_null, json
         )
         for c in columns
     ]
     return F.concat(*parts)
 
 
-def entries_map(entries: Column) -> Column:
+def entries_map(entries: Column, json: bool = True) -> Column:
+    """The map of key to value; ``json`` tells whether the entries have JSON text to leave out."""
+    if not json:
+        return F.map_from_entries(entries)
     return F.map_from_entries(
         F.transform(entries, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")))
     )

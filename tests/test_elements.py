@@ -265,3 +265,13 @@ def test_images_are_swapped_at_their_tags(spark):
         "'/b.png?x=1&amp;y=2'", f'"{data}Qg=="'
     )
     assert got[2] == "x"
+
+
+def test_maps_of_destinations_make_no_json_of_their_entries(spark, sf_dir):
+    """Only maps are asked for, so no value is printed as JSON beside its text."""
+    from sluice.operators import staging
+
+    for stage in (staging.stage_kdbai, staging.stage_chroma, staging.stage_qdrant):
+        rows = stage(roles.elements(spark, sf_dir))
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert ", json, " not in plan
