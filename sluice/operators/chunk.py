@@ -95,17 +95,20 @@ def chunk_elements(
         "n_pieces",
         F.posexplode(pieces).alias("piece", "text"),
     )
+    if overlap_all and overlap:
+        # Taken before the windows, so that those which find the chunk before carry no whole texts.
+        cut = cut.withColumn("_ending", F.right("text", F.lit(overlap)))
     cut = dense_position(cut, "pos", order=["chunk_start", "piece"], **_seq(options))
     if overlap_all and overlap:
-        cut = ordered_lag(cut, "text", "_prior", order="pos", **_seq(options))
+        cut = ordered_lag(cut, "_ending", "_prior", order="pos", **_seq(options))
         # Pieces of one element already overlap.
         cut = cut.withColumn(
             "text",
             F.when(
                 (F.col("piece") == 0) & F.col("_prior").isNotNull(),
-                F.concat(F.right("_prior", F.lit(overlap)), F.lit(" "), F.col("text")),
+                F.concat("_prior", F.lit(" "), F.col("text")),
             ).otherwise(F.col("text")),
-        ).drop("_prior")
+        ).drop("_prior", "_ending")
     metadata = (
         F.col("metadata")
         .withField("is_continuation", F.when(F.col("piece") > 0, F.lit(True)))
