@@ -332,6 +332,9 @@ _IMAGE = re.compile(
 _SOURCE = re.compile(r"""(?is)(\ssrc\s*=\s*)(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 
 
+SWAP_ROWS = 128
+
+
 @F.arrow_udf(T.StringType())
 def _swap_images(pages: pa.Array, images: pa.Array) -> pa.Array:
     """The pages with the sources of their image tags replaced; sources compare unescaped."""
@@ -353,4 +356,16 @@ def _swap_images(pages: pa.Array, images: pa.Array) -> pa.Array:
 
         return _IMAGE.sub(tag, page)
 
-    return pa.array(map(swapped, pages.to_pylist(), images.to_pylist()), pa.string())
+    # A few pages at a time: as Python texts they take several times the space of a batch.
+    pieces = [
+        pa.array(
+            map(
+                swapped,
+                pages.slice(at, SWAP_ROWS).to_pylist(),
+                images.slice(at, SWAP_ROWS).to_pylist(),
+            ),
+            pa.string(),
+        )
+        for at in range(0, len(pages), SWAP_ROWS)
+    ]
+    return pa.concat_arrays(pieces) if pieces else pa.array([], pa.string())

@@ -275,3 +275,16 @@ def test_maps_of_destinations_make_no_json_of_their_entries(spark, sf_dir):
         rows = stage(roles.elements(spark, sf_dir))
         plan = rows._jdf.queryExecution().optimizedPlan().toString()
         assert ", json, " not in plan
+
+
+def test_images_are_swapped_over_slices_of_a_batch():
+    import pyarrow as pa
+
+    from sluice.operators import html as pages_html
+
+    n = 2 * pages_html.SWAP_ROWS + 7
+    texts = pa.array([f'<img src="/{k}.png">' if k % 5 else None for k in range(n)])
+    images = pa.array([[{"src": f"/{k}.png", "data": f"data:{k}"}] for k in range(n)])
+    got = pages_html._swap_images.func(texts, images).to_pylist()
+    assert got == [f'<img src="data:{k}">' if k % 5 else None for k in range(n)]
+    assert pages_html._swap_images.func(texts[:0], images[:0]).to_pylist() == []
