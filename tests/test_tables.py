@@ -164,3 +164,18 @@ def test_vector_rules_of_the_document_store(spark, sf_dir):
 def test_missing_listed_field_fails(spark, sf_dir):
     with pytest.raises(KeyError):
         staging.stage_milvus(roles.elements(spark, sf_dir), fields=["nowhere"])
+
+
+def test_many_files_of_one_task_are_all_reported(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from sluice.operators.files import REPORT_ROWS, write_documents
+
+    n = REPORT_ROWS + 5
+    rows = spark.range(0, n, 1, 1).select(
+        F.concat((F.col("id") % 3).cast("string"), F.lit("/"), F.col("id").cast("string")).alias("path"),
+        F.concat(F.lit("t"), F.col("id").cast("string")).alias("body"),
+    )
+    found = {r["path"]: r["n_bytes"] for r in write_documents(rows, str(tmp_path)).collect()}
+    assert found == {f"{k % 3}/{k}": len(f"t{k}") for k in range(n)}
+    assert len(list(tmp_path.glob("*/*"))) == n
