@@ -148,3 +148,19 @@ def test_global_position(spark):
 def test_position_in_group(frame, rows):
     got = position_in_group(frame.select("record_id", "pos"), ["record_id"], ["pos"]).collect()
     assert all(r["nth"] == r["pos"] for r in got) and len(got) == len(rows)
+
+
+def test_positions_of_few_groups_leave_the_rows_in_place(spark):
+    """Rows of a giant group are not brought together to learn where the group begins."""
+    from sluice.operators.batching import position_in_group
+
+    frame = spark.range(20_000).select((F.col("id") % 2).alias("record_id"), F.col("id").alias("pos"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "40000")
+    try:
+        placed = position_in_group(frame, ["record_id"], ["pos"])
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" not in plan
+    assert placed.filter("nth <> floor(pos / 2)").isEmpty()
