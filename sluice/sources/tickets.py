@@ -45,7 +45,7 @@ def tickets_to_text(
     heads = tickets.select(
         F.col("id").alias(ticket_key), _field_lines("ticket", TICKET_FIELDS).alias("_head")
     )
-    return assembled(texts, [ticket_key], heads, opening=F.col("_head")).select(
+    return assembled(texts, [ticket_key], heads, comments, opening=F.col("_head")).select(
         F.col(ticket_key).cast("string").alias("identifier"),
         "part",
         F.concat(F.col(ticket_key).cast("string"), F.lit(".txt")).alias("filename"),

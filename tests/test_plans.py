@@ -96,3 +96,20 @@ def test_ids_and_dates_reach_the_scan(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     text = plan(filters.between_dates(events, "ts", 1704500000, 1705500000))
     assert "GreaterThanOrEqual(ts," in text and "LessThanOrEqual(ts," in text
+
+
+def test_chunks_before_are_found_by_their_last_characters(spark, sf_dir):
+    text = plan(QUERIES["chunk_overlap_all"](spark, sf_dir))
+    assert "lag(_ending" in text and "lag(text" not in text
+
+
+def test_large_documents_are_not_the_null_side_of_an_outer_join(spark):
+    """Spark splits a large key of an inner join, but not on the side that may be null."""
+    from sluice.sources.parts import assembled
+
+    texts = spark.createDataFrame([(1, 0, "a"), (1, 1, "b")], "k int, part long, text string")
+    heads = spark.createDataFrame([(1, "x"), (2, "y"), (None, "z")], "k int, head string")
+    found = assembled(texts, ["k"], heads, opening=F.col("head"))
+    assert "LeftOuter" not in plan(found)
+    rows = sorted((r["k"] or 0, r["part"], r["body"]) for r in found.collect())
+    assert rows == [(0, 0, "z"), (1, 0, "xa"), (1, 1, "b"), (2, 0, "y")]
