@@ -11,16 +11,25 @@ from sluice.plans import roles
 from sluice.plans.catalog.documents import scratch
 from sluice.plans.catalog.registry import query
 from sluice.plans.roles import table
+from sluice.session import written
 from sluice.sources.parts import assembled, part_texts
 
 
 def _rows(spark, sf):
     """Staged rows of an earlier load, and a new load of a part of the records."""
-    flat = staging.stage_sql(roles.elements(spark, sf)).select("id", "record_id", "text", "type")
+    flat = staging.stage_sql(roles.elements(spark, sf))
+    own = F.regexp_replace("filename", r"\.txt$", "").cast("long").alias("_own")
+    flat = flat.select("id", "record_id", "text", "type", own)
     docs = roles.documents(spark, sf).select(
         F.col("identifier").alias("record_id"), F.col("doc_id")
     )
-    keyed = flat.join(docs, "record_id")
+    # An element has the doc_id of its document; only records that several documents share are
+    # joined, and they are written, so that Spark knows whether they are few.
+    shared = docs.groupBy("record_id").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    shared = written(docs.join(shared.select("record_id"), "record_id", "left_semi"), "shared")
+    keyed = flat.join(shared.withColumn("_shared", F.lit(True)), "record_id", "left")
+    keyed = keyed.withColumn("doc_id", F.when(F.col("_shared"), F.col("doc_id")).otherwise(F.col("_own")))
+    keyed = keyed.select("record_id", "id", "text", "type", "doc_id")
     existing = keyed.filter("doc_id % 5 < 4").withColumn("load", F.lit("old")).drop("doc_id")
     arriving = (
         keyed.filter("doc_id % 3 = 0 AND type <> 'Title'")

@@ -179,3 +179,42 @@ def test_many_files_of_one_task_are_all_reported(spark, tmp_path):
     found = {r["path"]: r["n_bytes"] for r in write_documents(rows, str(tmp_path)).collect()}
     assert found == {f"{k % 3}/{k}": len(f"t{k}") for k in range(n)}
     assert len(list(tmp_path.glob("*/*"))) == n
+
+
+def test_overwrite_of_few_buckets_moves_rows_once(spark, tmp_path):
+    grouped = []
+
+    class Watched(RecordTable):
+        def _write(self, rows, mode, grouped_=True):
+            grouped.append((mode, grouped_))
+            super()._write(rows, mode, grouped_)
+
+    for buckets in (8, 64):
+        target = Watched(spark, str(tmp_path / str(buckets)), buckets=buckets)
+        target.append(keyed_rows(spark, [(str(n % 50), n) for n in range(200)]))
+        arriving = keyed_rows(spark, [(str(n % 10), -n) for n in range(20)])
+        for _ in range(2):
+            target.overwrite_records(arriving)
+            found = sorted(tuple(r) for r in target.read().select("record_id", "n").collect())
+            kept = [(str(n % 50), n) for n in range(200) if n % 50 >= 10]
+            assert found == sorted(kept + [(str(n % 10), -n) for n in range(20)])
+    few, many = ("overwrite", False), ("overwrite", True)
+    assert grouped == [("append", True), few, few, ("append", True), many, many]
+
+
+def keyed_rows(spark, rows):
+    return spark.createDataFrame(rows, "record_id string, n long")
+
+
+def test_elements_of_loads_are_not_joined_with_their_documents(spark, tmp_path):
+    from sluice.plans.catalog.sinks import _rows
+
+    texts = [(n, f"Some words of {n}.\nNumber {n} ends here.", "en", "web") for n in range(40)]
+    texts += [texts[6], texts[6], (None, "No number.", "en", "web")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string, source string")
+    docs.repartition(8).write.parquet(str(tmp_path / "documents.parquet"))
+    existing, arriving = _rows(spark, str(tmp_path))
+    plan = existing._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    # Three copies of document 6 are nine rows an element, as each copy meets each.
+    assert existing.count() == 2 * (31 + 9) and arriving.where("type <> 'x'").count() == 2 * (13 + 9)
