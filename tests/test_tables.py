@@ -202,6 +202,15 @@ def test_overwrite_of_few_buckets_moves_rows_once(spark, tmp_path):
     assert grouped == [("append", True), few, few, ("append", True), many, many]
 
 
+def test_smallest_row_of_a_key_travels_once(spark):
+    rows = keyed_rows(spark, [("a", 2), ("a", 1), ("b", None), ("b", 3), (None, 1)])
+    found = tables.one_row_per_key(rows, "record_id")
+    assert "min_by" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [("a", 1), ("b", None), (None, 1)], key=str
+    )
+
+
 def keyed_rows(spark, rows):
     return spark.createDataFrame(rows, "record_id string, n long")
 
