@@ -533,3 +533,40 @@ def test_grants_of_folders_are_not_stored_for_each_file(spark):
     lists = {r["id"]: r["permissions_data"][0]["users"] for r in found.permissions().collect()}
     common = [f"p{k:03d}" for k in range(200)]
     assert lists["f7"] == ["own7", *common] and lists["f299"] == common
+
+
+def test_blocks_meet_paths_and_children_in_one_step(spark):
+    rows = [
+        ("p", "a", "p", 1, "toggle", "A"), ("p", "b", "a", 1, "toggle", "B"),
+        ("p", "c", "b", 1, "paragraph", "C"), ("p", "d", "p", 2, "paragraph", "D"),
+        ("p", "x", "gone", 1, "toggle", "X"), ("p", "y", "x", 1, "paragraph", "Y"),
+        ("q", None, "q", 1, "toggle", "N"), ("q", "z", None, 2, "paragraph", "Z"),
+    ]
+    schema = "page_id string, block_id string, parent_id string, rank long, type string, text string"
+    frame = spark.createDataFrame(rows, schema)
+    frame = frame.withColumn("cells", F.lit(None).cast("array<string>"))
+    events = blocks._events(*blocks._levels(frame))
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2
+    found = blocks.blocks_to_html(frame).collect()
+    assert sorted((r["page_id"], r["part"], r["body"]) for r in found) == [
+        ("p", 0, "<html><body><p>A</p><div><p>B</p><div><p>C</p></div></div><p>D</p></body></html>"),
+        ("q", 0, "<html><body><p>Z</p></body></html>"),
+    ]
+
+
+def test_children_counted_before(spark):
+    rows = spark.createDataFrame([("a", n, f"{n}") for n in range(7)] + [("b", 0, "0")],
+                                 "key string, nth long, text string")
+    texts = part_texts(rows, ["key"], lambda r: r["text"], part_rows=3)
+    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("_children"))
+    ends = {"opening": F.lit("<"), "closing": F.lit(">"), "part_rows": 3}
+    found = [
+        sorted((r["key"], r["part"], r["body"]) for r in made.collect())
+        for made in (
+            assembled(texts, ["key"], children=rows, **ends),
+            assembled(texts, ["key"], counts=counts, **ends),
+        )
+    ]
+    assert found[0] == found[1]
+    assert found[1] == [("a", 0, "<012"), ("a", 1, "345"), ("a", 2, "6>"), ("b", 0, "<0>")]
