@@ -181,6 +181,88 @@ def test_many_files_of_one_task_are_all_reported(spark, tmp_path):
     assert len(list(tmp_path.glob("*/*"))) == n
 
 
+def _long_documents(spark):
+    """a: one segment of two parts, b: just two, c: two and a part, d: from part 6 on; parts of three."""
+    n_parts = {"a": 1, "x/b": 4, "x/c": 5, "d": 9}
+    rows = [
+        (path, n, f"{path}{n}é\n" * n) for path, k in n_parts.items() for n in range(k) if path != "d" or n > 5
+    ]
+    expected = {}
+    for path, _, body in sorted(rows):
+        expected[path] = expected.get(path, "") + body
+    return spark.createDataFrame(rows[::-1], "path string, part long, body string"), expected
+
+
+def test_segments_of_a_document_are_one_file(spark, tmp_path):
+    documents, expected = _long_documents(spark)
+    for _ in range(2):
+        found = files.write_documents(documents, str(tmp_path), segment_parts=2)
+        sizes = {r["path"]: r["n_bytes"] for r in found.collect()}
+        assert sizes == {p: len(t.encode()) for p, t in expected.items()}
+    there = {str(f.relative_to(tmp_path)): f for f in tmp_path.rglob("*") if f.is_file()}
+    assert {p: f.read_text("utf-8") for p, f in there.items() if not p.endswith(".crc")} == expected
+
+
+def test_no_task_gets_all_parts_of_a_document(spark, tmp_path, monkeypatch):
+    held = []
+    joined_up = files._joined_up
+
+    def watched(segments, folder, run):
+        held.extend(tuple(r) for r in segments.select("path", "segment", "n_bytes").collect())
+        return joined_up(segments, folder, run)
+
+    monkeypatch.setattr(files, "_joined_up", watched)
+    documents = spark.range(0, 1000, 1, 3).selectExpr("'a' AS path", "id AS part", "repeat('t', 10) AS body")
+    found = files.write_documents(documents, str(tmp_path))
+    assert [tuple(r) for r in found.collect()] == [("a", 10_000)]
+    assert max(n for _, _, n in held) == 10 * files.SEGMENT_PARTS and len(held) == 16
+
+
+def test_documents_are_put_together_without_offsets(spark, tmp_path, monkeypatch):
+    from pyarrow import fs
+
+    opened = fs.FileSystem.from_uri
+    monkeypatch.setattr(files, "qualified", lambda spark, folder: folder)
+    assert opened(str(tmp_path))[1] == str(tmp_path)  # a folder that is not known to be mounted
+    documents, expected = _long_documents(spark)
+    files.write_documents(documents, str(tmp_path), segment_parts=2)
+    for path, text in expected.items():
+        assert (tmp_path / path).read_text("utf-8") == text
+
+
+def test_digests_go_on_from_range_to_range(spark, tmp_path):
+    import hashlib
+
+    from sluice.operators import digests
+
+    (tmp_path / "below").mkdir()
+    sizes = {"a.txt": 1, "b.txt": 99, "c.txt": 100, "below/d.txt": 1001}
+    for name, n in sizes.items():
+        (tmp_path / name).write_bytes(os.urandom(n))
+    expected = {
+        name: (n, hashlib.sha256((tmp_path / name).read_bytes()).hexdigest()) for name, n in sizes.items()
+    }
+    for pattern, names in (("*.txt", ["a.txt", "b.txt", "c.txt"]), ("*/*.txt", ["below/d.txt"])):
+        for range_bytes in (100, 333, digests.RANGE_BYTES):
+            rows = digests.file_digests(spark, str(tmp_path), pattern, range_bytes).collect()
+            assert {r["path"]: (r["n_bytes"], r["digest"]) for r in rows} == {p: expected[p] for p in names}
+
+
+def test_state_of_a_digest_is_handed_on():
+    import hashlib
+
+    from sluice.operators.digests import ResumableSha256, _crypto
+
+    library, data = _crypto(), os.urandom(500)
+    assert library is not None
+    for cut in (0, 1, 63, 64, 65, 300, 500):
+        first = ResumableSha256(library)
+        first.update(data[:cut])
+        second = ResumableSha256(library, first.state())
+        second.update(data[cut:])
+        assert second.hexdigest() == hashlib.sha256(data).hexdigest()
+
+
 def test_overwrite_of_few_buckets_moves_rows_once(spark, tmp_path):
     grouped = []
 
