@@ -535,6 +535,35 @@ def test_grants_of_folders_are_not_stored_for_each_file(spark):
     assert lists["f7"] == ["own7", *common] and lists["f299"] == common
 
 
+def test_files_of_one_set_are_expanded_by_many_tasks(spark, monkeypatch):
+    """All files below one folder, half of them with the same grant of their own, none in a few."""
+    files = spark.range(4000).select(
+        F.concat(F.lit("f"), "id").alias("doc_id"), F.when(F.col("id") > 9, "top").alias("folder_id")
+    )
+    folders = spark.createDataFrame([("top", None)], "folder_id string, parent_id string")
+    schema = "folder_id string, op string, principal_type string, principal_id string"
+    rows = [("top", "read", "user", f"p{k:02d}") for k in range(50)]
+    rows += [(f"f{k}", "update", "user", "own") for k in range(0, 4000, 2)]
+    monkeypatch.setattr(access, "TASK_GRANTS", 1000, raising=False)
+    monkeypatch.setattr(access, "COPY_ROWS", 100, raising=False)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = access.inherited_access(files, folders, spark.createDataFrame(rows, schema))
+        grants = found.grants().withColumn("task", F.spark_partition_id())
+        most = grants.groupBy("task").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        assert most < 50 * 1000
+        assert grants.count() == grants.select("id", "op", "principal_id").distinct().count()
+        assert grants.count() == 3990 * 50 + 2000
+        lists = found.permissions().withColumn("task", F.spark_partition_id())
+        assert lists.groupBy("task").count().agg(F.max("count")).first()[0] < 1000
+        sizes = lists.select(*[F.size(F.col("permissions_data")[k]["users"]).alias(f"n{k}") for k in (0, 1)])
+        counted = sorted((r[0], r[1], r["count"]) for r in sizes.groupBy(*sizes.columns).count().collect())
+        assert counted == [(0, 0, 5), (0, 1, 5), (50, 0, 1995), (50, 1, 1995)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
 def test_blocks_meet_paths_and_children_in_one_step(spark):
     rows = [
         ("p", "a", "p", 1, "toggle", "A"), ("p", "b", "a", 1, "toggle", "B"),
