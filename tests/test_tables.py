@@ -145,6 +145,30 @@ def test_documents_as_files(spark, tmp_path, sf_dir):
     assert documents.where("part > 1").count() > 0
 
 
+def test_elements_move_once_into_documents(spark, tmp_path, monkeypatch):
+    """Elements with gaps, repeated positions, no path, and documents of several parts."""
+    rows = [("a", n, f"a{n}") for n in range(7)] + [("b", 0, "b"), ("c", 0, "c"), ("c", 0, "c")]
+    rows += [("d", n, f"d{n}") for n in (0, 9)] + [("e", n % 3, f"e{n}") for n in range(6)] + [(None, 0, "x")]
+    frame = spark.createDataFrame(rows, "path string, pos long, text string")
+    monkeypatch.setattr(files, "element_json", lambda elements: F.col("text"))
+    documents = files.json_documents(frame, "path", part_rows=3)
+    found = sorted((r["path"] or "", r["part"], r["body"]) for r in documents.collect())
+    assert found == [
+        ("", 0, "[]"),
+        ("a.json", 0, "[a0,a1,a2"), ("a.json", 1, ",a3,a4,a5"), ("a.json", 2, ",a6]"),
+        ("b.json", 0, "[b]"), ("c.json", 0, "[c,c]"), ("d.json", 0, "[d0]"), ("d.json", 3, ",d9"),
+        ("e.json", 0, "[e0,e3,e1,e4,e2,e5"),
+    ]
+    plan = documents._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    dealt = files._dealt(documents.where("path IS NOT NULL"), files.SEGMENT_PARTS)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+    files.write_documents(documents.where("path IS NOT NULL"), str(tmp_path)).collect()
+    assert (tmp_path / "a.json").read_text() == "[a0,a1,a2,a3,a4,a5,a6]"
+    assert sorted(os.listdir(tmp_path)) == [f"{name}.json" for name in "abcde"]
+
+
 def test_unparsed_lines_are_kept(spark, tmp_path):
     path = tmp_path / "x.ndjson"
     path.write_text('{"element_id":"a","text":"t"}\nnot json\n')
