@@ -557,6 +557,10 @@ def test_files_of_one_set_are_expanded_by_many_tasks(spark, monkeypatch):
         assert grants.count() == 3990 * 50 + 2000
         lists = found.permissions().withColumn("task", F.spark_partition_id())
         assert lists.groupBy("task").count().agg(F.max("count")).first()[0] < 1000
+        plain = F.size(F.col("permissions_data")[1]["users"]) == 0
+        below = lists.where(F.size(F.col("permissions_data")[0]["users"]) > 0)
+        kinds = below.groupBy("task").agg(F.count_distinct(plain).alias("n")).groupBy("n").count().collect()
+        assert {r["n"]: r["count"] for r in kinds}.get(1, 0) > 10  # equal lists are kept apart
         sizes = lists.select(*[F.size(F.col("permissions_data")[k]["users"]).alias(f"n{k}") for k in (0, 1)])
         counted = sorted((r[0], r[1], r["count"]) for r in sizes.groupBy(*sizes.columns).count().collect())
         assert counted == [(0, 0, 5), (0, 1, 5), (50, 0, 1995), (50, 1, 1995)]
